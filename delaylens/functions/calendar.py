@@ -144,10 +144,9 @@ def holiday_dim(years: DataFrame) -> DataFrame:
     y = F.col("year")
     anchor = F.make_date(y, F.greatest(F.col("m"), F.lit(1)), F.greatest(F.col("d"), F.lit(1)))
     month_start = F.make_date(y, F.greatest(F.col("m"), F.lit(1)), F.lit(1))
-    # 25/26 December share one rule: the pair moves past the weekend together
+    # 25 and 26 December move past the weekend as a pair, hence two days
     shift = (
         F.when((F.col("m") == 12) & (F.dayofweek(anchor).isin(1, 7)), 2)
-        .when((F.col("m") == 12) & (F.col("d") == 26) & (F.dayofweek(anchor) == 2), 1)
         .when(F.dayofweek(anchor) == 7, 2)
         .when(F.dayofweek(anchor) == 1, 1)
     )
