@@ -48,7 +48,12 @@ def running_totals(
     inside = Window.partitionBy(*keys, "_cell").orderBy(direction(order))
     inside = inside.rangeBetween(*_STRICT_BEFORE) if frame == "range" else inside.rowsBetween(*_STRICT_BEFORE)
     local = cut.withColumns({f"_loc_{s}": F.coalesce(F.sum(s).over(inside), F.lit(0)) for s in sums})
-    joined = local.join(offsets, [*keys, "_cell"])
+    # a null key is a key like any other
+    side = offsets.withColumnsRenamed({k: f"_key_{k}" for k in keys}).withColumnRenamed("_cell", "_key_cell")
+    same = F.col("_cell") == F.col("_key_cell")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    joined = local.join(side, same).drop("_key_cell", *[f"_key_{k}" for k in keys])
     return joined.withColumns({f"{s}_before": F.col(f"_loc_{s}") + F.col(f"_off_{s}") for s in sums}).drop(
         "_cell", *[f"_loc_{s}" for s in sums], *[f"_off_{s}" for s in sums]
     )
