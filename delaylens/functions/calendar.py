@@ -128,19 +128,8 @@ def holiday_dim(years: DataFrame) -> DataFrame:
     """(country, date) for every year in `years(year int)`.
 
     Bounded by rules x years; each rule row computes its own date."""
-    rules = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("country"),
-                F.lit(rule).alias("rule"),
-                F.lit(m).alias("m"),
-                F.lit(d).alias("d"),
-                F.lit(lo).alias("lo"),
-                F.lit(hi).alias("hi"),
-            )
-            for c, rule, m, d, lo, hi in HOLIDAY_RULES
-        ]
-    )
+    rows = ", ".join(f"'{c}', '{rule}', {m}, {d}, {lo}, {hi}" for c, rule, m, d, lo, hi in HOLIDAY_RULES)
+    rules = F.expr(f"stack({len(HOLIDAY_RULES)}, {rows}) AS (country, rule, m, d, lo, hi)")
     y = F.col("year")
     anchor = F.make_date(y, F.greatest(F.col("m"), F.lit(1)), F.greatest(F.col("d"), F.lit(1)))
     month_start = F.make_date(y, F.greatest(F.col("m"), F.lit(1)), F.lit(1))
@@ -162,7 +151,7 @@ def holiday_dim(years: DataFrame) -> DataFrame:
     )
     return (
         years.select(y.cast("int").alias("year"))
-        .select(y, F.inline(rules))
+        .select(y, rules)
         .where(y.between(F.col("lo"), F.col("hi")))
         .select("country", date.alias("date"))
         .where("date is not null")

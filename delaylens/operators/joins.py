@@ -73,7 +73,7 @@ def grid_match(
     spread = (
         sites.withColumn("_dx", F.explode(around))
         .withColumn("_dy", F.explode(around))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).cast("bigint"))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
         .withColumns(
             {"_cx": F.floor(F.col(site_lat) / radius) + F.col("_dx"), "_cy": F.floor(F.col(site_lon) / radius) + F.col("_dy")}
         )

@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from delaylens.session import prepare
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -14,16 +16,14 @@ ORACLES: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    """Registers a job under `name`. Naive timestamps are UTC everywhere, so the
-    session is set to UTC before the job is built."""
+    """Registers a job under `name`."""
 
     def register(job: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name!r} is registered twice")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return job(spark, sf_dir)
+            return job(prepare(spark), sf_dir)
 
         run.__name__ = job.__name__
         run.__doc__ = job.__doc__

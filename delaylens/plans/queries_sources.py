@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from delaylens.constants import AIRPORT_CODES, EXTRACTED_SCHEMA
-from delaylens.functions.calendar import holiday_dim, years_of
-from delaylens.plans import features as jobs
 from delaylens.plans.catalog import query
 from delaylens.plans.testdata import (
     SCOPE,
@@ -14,14 +12,11 @@ from delaylens.plans.testdata import (
     flights,
     positions,
     registry_rows,
-    reports,
-    table,
     weather,
     with_cte,
 )
 from delaylens.session import shared_dir
 from delaylens.sources import files
-from delaylens.streaming.extract import extract_in_chunks
 
 _FLIGHT_OUT = "flight_id, icao24, adep, ades, typecode, delayed_15min"
 

@@ -21,12 +21,20 @@ def get_session(app: str = "delaylens", cores: str | int = "*", **conf: str) ->
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        # a call site per column costs more than the rest of building a plan
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """The one session setting the jobs rely on: naive timestamps are UTC."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return spark
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the one the cluster names in spark.checkpoint.dir.
 

@@ -92,8 +92,9 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """Aircraft registry CSV, all strings, blanks kept as empty text, with the
     position of each row for keep-first."""
     rows = spark.read.option("header", True).option("emptyValue", "").option("nullValue", "\u0000").csv(path)
-    # file and row order: ids grow within a partition and partitions follow the file
-    return rows.select(*REGISTRY_COLUMNS).withColumn("position", F.monotonically_increasing_id())
+    # ids grow within a split; file and split offset order the splits themselves
+    position = F.struct("_metadata.file_name", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+    return rows.select(*REGISTRY_COLUMNS, position.alias("position"))
 
 
 def load_registry(rows: DataFrame, position: str = "position") -> DataFrame:
