@@ -16,7 +16,7 @@ SCORE_CELLS = 4096
 
 def score_table(df: DataFrame, score: str, label: str, keys: list[str] | None = None) -> DataFrame:
     """Per distinct score, highest first: positives `p` and negatives `q` at the
-    score, `tp` and `fp` at or above it, and the totals `P` and `N`."""
+    score, `tp` and `fp` at or above it, and the totals `positives` and `negatives`."""
     keys = keys or []
     rows = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
     points = rows.groupBy(*keys, F.col(score).alias("score")).agg(
@@ -30,8 +30,8 @@ def score_table(df: DataFrame, score: str, label: str, keys: list[str] | None =
         "q",
         (F.col("p_before") + F.col("p")).alias("tp"),
         (F.col("q_before") + F.col("q")).alias("fp"),
-        F.col("p_total").alias("P"),
-        F.col("q_total").alias("N"),
+        F.col("p_total").alias("positives"),
+        F.col("q_total").alias("negatives"),
     )
 
 
@@ -42,7 +42,7 @@ def ranking_metrics(df: DataFrame, score: str, label: str, keys: list[str] | Non
     # doubles, because the pair count overflows a long at 10^10 rows
     twice_area = F.sum((2 * F.col("tp") - F.col("p")).cast("double") * F.col("q"))
     precision_steps = F.sum(F.col("p") * F.col("tp") / (F.col("tp") + F.col("fp")))
-    positives, negatives = F.max("P"), F.max("N")
+    positives, negatives = F.max("positives"), F.max("negatives")
     return table.groupBy(*(keys or [])).agg(
         F.try_divide(twice_area, positives.cast("double") * negatives * 2).alias("auc"),
         F.try_divide(precision_steps, positives).alias("average_precision"),
@@ -53,13 +53,13 @@ def pr_curve(df: DataFrame, score: str, label: str, keys: list[str] | None = Non
     """Precision, recall and F1 at every distinct score used as threshold."""
     table = score_table(df, score, label, keys)
     precision = F.col("tp") / (F.col("tp") + F.col("fp"))
-    recall = F.try_divide(F.col("tp").cast("double"), F.col("P"))
+    recall = F.try_divide(F.col("tp").cast("double"), F.col("positives"))
     return table.select(
         *(keys or []),
         F.col("score").alias("threshold"),
         precision.alias("precision"),
         recall.alias("recall"),
-        F.try_divide(2.0 * F.col("tp"), F.col("tp") + F.col("fp") + F.col("P")).alias("f1"),
+        F.try_divide(2.0 * F.col("tp"), F.col("tp") + F.col("fp") + F.col("positives")).alias("f1"),
     )
 
 
