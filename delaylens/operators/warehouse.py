@@ -6,9 +6,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from delaylens.constants import DAY_NAMES, KPI_GOOD, KPI_WARNING, MONTH_NAMES, SEASONS, TIME_OF_DAY
+from delaylens.constants import DAY_HELPER, KPI_GOOD, KPI_WARNING, MONTH_HELPER, SEASONS, TIME_OF_DAY
 from delaylens.functions.text import pick
 from delaylens.operators.prefix import dense_ids
+from delaylens.session import stage
 
 
 def band(value: Column, bands: list[tuple[str, float | None]]) -> Column:
@@ -31,7 +32,12 @@ def time_id(ts: Column) -> Column:
     return F.date_format(ts, "yyyyMMddHH").cast("bigint")
 
 
-def time_dimension(df: DataFrame, columns: list[str]) -> DataFrame:
+def time_dimension(
+    df: DataFrame,
+    columns: list[str],
+    day_names: list[str] = DAY_HELPER,
+    month_names: list[str] = MONTH_HELPER,
+) -> DataFrame:
     """One row per hour between the first and last timestamp of `columns`."""
     span = df.agg(
         F.least(*[F.min(c) for c in columns], F.lit(None).cast("timestamp_ntz")).alias("lo"),
@@ -52,10 +58,10 @@ def time_dimension(df: DataFrame, columns: list[str]) -> DataFrame:
         F.year("ts").cast("bigint").alias("year"),
         F.quarter("ts").cast("bigint").alias("quarter"),
         month.cast("bigint").alias("month"),
-        pick(MONTH_NAMES, month - 1).alias("month_name"),
+        pick(month_names, month - 1).alias("month_name"),
         F.day("ts").cast("bigint").alias("day"),
         (weekday + 1).cast("bigint").alias("day_of_week"),
-        pick(DAY_NAMES, weekday).alias("day_name"),
+        pick(day_names, weekday).alias("day_name"),
         weekday.isin(5, 6).alias("weekend"),
         pick(SEASONS, F.floor((month % 12) / 3)).alias("season"),
         hour.cast("bigint").alias("hour"),
@@ -67,15 +73,19 @@ def _at_hour(day: Column, hour: Column) -> Column:
     return (day.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), hour)).cast("timestamp_ntz")
 
 
-def dimension(df: DataFrame, natural_key: list[str], attributes: list[str], id_name: str) -> DataFrame:
+def dimension(
+    df: DataFrame, natural_key: list[str], attributes: list[str], id_name: str, staged: bool = True
+) -> DataFrame:
     """Distinct natural keys with their attributes and a dense surrogate key.
 
     Attributes that differ between rows of one key are resolved to the largest
-    combination, so that the result does not depend on row order."""
+    combination, so that the result does not depend on row order. Numbering
+    reads the keys twice, so they are staged unless the source is cheap."""
     if attributes:
         rows = df.groupBy(*natural_key).agg(F.max(F.struct(*attributes)).alias("_a")).select(*natural_key, "_a.*")
     else:
         rows = df.select(*natural_key).distinct()
+    rows = stage(rows, id_name) if staged else rows
     return dense_ids(rows, natural_key, id_name).select(id_name, *natural_key, *attributes)
 
 
@@ -83,7 +93,7 @@ def extend_dimension(existing: DataFrame, incoming: DataFrame, natural_key: list
     """Keeps the ids of known keys and numbers new keys after the largest one."""
     new = incoming.join(existing.select(*natural_key), natural_key, "left_anti")
     last = existing.agg(F.coalesce(F.max(id_name), F.lit(0))).scalar()
-    numbered = dense_ids(new, natural_key, id_name).withColumn(id_name, F.col(id_name) + last)
+    numbered = dense_ids(stage(new, id_name), natural_key, id_name).withColumn(id_name, F.col(id_name) + last)
     return existing.unionByName(numbered.select(*existing.columns))
 
 

@@ -37,7 +37,15 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def load_all() -> None:
     """Imports every module that registers queries."""
-    import importlib, os
-    for m in ["aggregates","features","history","joins","metrics","model","scalars","sources","streaming","warehouse"]:
-        if os.path.exists(os.path.join(os.path.dirname(__file__), f"queries_{m}.py")):
-            importlib.import_module(f"delaylens.plans.queries_{m}")
+    from delaylens.plans import (  # noqa: F401
+        queries_aggregates,
+        queries_features,
+        queries_history,
+        queries_joins,
+        queries_metrics,
+        queries_model,
+        queries_scalars,
+        queries_sources,
+        queries_streaming,
+        queries_warehouse,
+    )

@@ -15,13 +15,12 @@ from delaylens.plans.testdata import (
     flights,
 
     registry_rows,
-    reports,
     route_facts,
 
     weather,
     with_cte,
 )
-from delaylens.sources.files import either_end
+from delaylens.sources.files import either_end, hourly_observations
 
 _NATIONS = ", ".join(str(n) for n in NATION_SCOPE)
 
@@ -34,14 +33,27 @@ def mean_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "hourly_collapse",
     with_cte(
-        "flights reports",
-        "SELECT airport, hour, round(visibility_mi, 6) AS visibility_mi, round(ceiling_ft, 6) AS ceiling_ft, flight_category FROM reports",
+        "flights",
+        "SELECT airport, hour, round(visibility_mi, 6) AS visibility_mi, ceiling_ft, CAST(CASE WHEN visibility_mi < 1 OR ceiling_ft < 500 THEN 3 "
+        "WHEN visibility_mi < 3 OR ceiling_ft < 1000 THEN 2 WHEN visibility_mi < 5 OR ceiling_ft < 3000 THEN 1 ELSE 0 END AS DOUBLE) AS flight_category "
+        "FROM (SELECT adep AS airport, strftime(first_seen, '%Y-%m-%dT%H:00') AS hour, sum(CASE WHEN k % 7 <> 0 THEN k END) / "
+        "count(CASE WHEN k % 7 <> 0 THEN 1 END) / 8 AS visibility_mi, min(CASE WHEN k % 3 = 0 THEN CAST(value * 40 AS DOUBLE) ELSE 12000 END) AS ceiling_ft "
+        "FROM flights GROUP BY 1, 2) m",
     ),
 )
 def hourly_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean visibility, lowest ceiling and category per airport and hour."""
-    rows = reports(spark, sf_dir)
-    return rows.withColumns({c: F.round(c, 6) for c in ("visibility_mi", "ceiling_ft")})
+    none, k = F.lit(None), F.col("k")
+    observations = flights(spark, sf_dir).select(
+        F.col("adep").alias("airport"),
+        F.col("first_seen").alias("valid"),
+        F.when(k % 7 != 0, k / 8).alias("vsby"),
+        F.when(k % 3 == 0, "OVC").otherwise("FEW").alias("skyc1"),
+        (F.col("value") * 40).alias("skyl1"),
+        *[none.cast("string").alias(f"skyc{i}") for i in (2, 3, 4)],
+        *[none.cast("double").alias(f"skyl{i}") for i in (2, 3, 4)],
+    )
+    return hourly_observations(observations).withColumn("visibility_mi", F.round("visibility_mi", 6))
 
 
 @query("group_sizes", with_cte("flights", "SELECT adep, count(*) AS n FROM flights GROUP BY adep"))

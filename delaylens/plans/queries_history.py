@@ -306,6 +306,33 @@ def risk_summary_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _latest_risk(spark, sf_dir).select("airport", line.alias("line"))
 
 
+@query(
+    "airport_brief",
+    with_cte("airports flights predictions", "SELECT 1").removesuffix(" SELECT 1")
+    + f", {_LATEST_RISK} SELECT airport, concat('Airport: ', airport, chr(10), 'Current risk: ', CAST(CAST(round_even(risk_score * 100, 0) AS BIGINT) "
+    "AS VARCHAR), '% (', CASE WHEN risk_score < 0.25 THEN 'low' WHEN risk_score < 0.40 THEN 'medium' ELSE 'high' END, ')', chr(10), "
+    "'Live traffic nearby: ', CAST(n AS VARCHAR), ' aircraft', chr(10), 'Weather: wind n/a, temp n/a, precip n/a', chr(10), "
+    "'Top model-identified risk drivers for this exact prediction:', chr(10), "
+    "'- no strong individual driver identified (all features near neutral for this prediction)', chr(10), "
+    "'Risk over roughly the last hour (oldest to newest, %): ', series) AS brief FROM airports JOIN latest USING (airport) JOIN "
+    "(SELECT airport, string_agg(CAST(CAST(round_even(risk_score * 100, 0) AS BIGINT) AS VARCHAR), ', ' ORDER BY time) AS series "
+    f"FROM ({_RECENT}) p GROUP BY airport) t USING (airport)",
+)
+def airport_brief(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text about each airport with its trend; no drivers are given."""
+    nothing = F.lit(None).cast("double")
+    rows = _latest_risk(spark, sf_dir).join(history.risk_trend(predictions(spark, sf_dir)), "airport")
+    brief = text.airport_brief(
+        F.col("airport"),
+        F.col("risk_score"),
+        F.col("n"),
+        text.weather_line(nothing, nothing, nothing),
+        F.lit(None),
+        F.col("series"),
+    )
+    return rows.select("airport", brief.alias("brief"))
+
+
 @query(
     "latest_run",
     "SELECT o_orderpriority AS run_name, arg_max(o_orderkey, o_orderdate::DATE::VARCHAR || lpad(o_orderkey::VARCHAR, 12, '0')) AS run_id FROM orders GROUP BY 1",

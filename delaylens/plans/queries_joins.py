@@ -222,17 +222,15 @@ def substring_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_cte(
         "positions",
         "SELECT event_id, concat(coalesce(trim(callsign), '(no callsign)'), ' (icao24=', icao24, '): origin ', origin_country, "
-        "', altitude ', coalesce(CAST(CAST(round_even(baro_altitude, 0) AS BIGINT) AS VARCHAR), 'n/a'), ' m, heading ', "
-        "CAST(CAST(round_even(true_track, 0) AS BIGINT) AS VARCHAR), '°') AS line FROM positions "
+        "', altitude ', coalesce(CAST(CAST(round_even(baro_altitude, 0) AS BIGINT) AS VARCHAR), 'n/a'), ' m, speed ', "
+        "CAST(CAST(round_even(velocity * 3.6::DOUBLE, 0) AS BIGINT) AS VARCHAR), ' km/h, heading ', "
+        "CAST(CAST(round_even(true_track, 0) AS BIGINT) AS VARCHAR), '°, position (', coalesce(CAST(lat AS VARCHAR), 'n/a'), ', ', "
+        "coalesce(CAST(lon AS VARCHAR), 'n/a'), ')') AS line FROM positions "
         "WHERE time = (SELECT max(time) FROM positions)",
     ),
 )
 def aircraft_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text line per aircraft of the newest snapshot."""
+    fields = ["callsign", "icao24", "origin_country", "baro_altitude", "velocity", "true_track", "lat", "lon"]
     rows = latest_state(positions(spark, sf_dir))
-    return rows.select(
-        "event_id",
-        aircraft_line(
-            F.col("callsign"), F.col("icao24"), F.col("origin_country"), F.col("baro_altitude"), F.col("true_track")
-        ).alias("line"),
-    )
+    return rows.select("event_id", aircraft_line(*[F.col(c) for c in fields]).alias("line"))

@@ -79,7 +79,7 @@ def stream_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     "stream_latest_state",
     with_cte(
         "positions",
-        "SELECT icao24, max(time) AS time, max(time) + 21600 <= (SELECT max(time) FROM positions) AS evicted FROM positions "
+        "SELECT icao24, max(time) AS time, max(time) + 21600 < (SELECT max(time) FROM positions) AS evicted FROM positions "
         "WHERE lat IS NOT NULL GROUP BY icao24",
     ),
 )

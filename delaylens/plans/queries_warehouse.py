@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from delaylens.constants import (
     CONDITION_GROUPS,
+    DAY_HELPER,
     DISTANCE_BANDS,
     HUMIDITY_BANDS,
+    MONTH_HELPER,
     PRESSURE_BANDS,
     SKY_GROUPS,
     TEMPERATURE_BANDS,
@@ -27,13 +29,17 @@ def _band_sql(value: str, bands: list[tuple[str, float | None]]) -> str:
     return f"CASE WHEN {value} IS NULL THEN NULL {whens} ELSE '{bands[0][0]}' END"
 
 
+def _names(values: list[str]) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
 _ROLES = ["scheduled_departure", "scheduled_arrival", "departure", "arrival"]
 
 
 @query(
     "dim_time",
     "SELECT CAST(strftime(t, '%Y%m%d%H') AS BIGINT) AS time_id, year(t) AS year, quarter(t) AS quarter, month(t) AS month, "
-    "strftime(t, '%b') AS month_name, day(t) AS day, isodow(t) AS day_of_week, strftime(t, '%a') AS day_name, isodow(t) >= 6 AS weekend, "
+    f"{_names(MONTH_HELPER)}[month(t)] AS month_name, day(t) AS day, isodow(t) AS day_of_week, {_names(DAY_HELPER)}[isodow(t)] AS day_name, isodow(t) >= 6 AS weekend, "
     "['winter','spring','summer','autumn'][(month(t) % 12) // 3 + 1] AS season, hour(t) AS hour, "
     "CASE WHEN hour(t) < 6 THEN 'night' WHEN hour(t) < 12 THEN 'morning' WHEN hour(t) < 18 THEN 'afternoon' ELSE 'evening' END AS time_of_day "
     "FROM (SELECT unnest(generate_series(date_trunc('hour', min(ts)), max(ts), INTERVAL 1 HOUR)) AS t FROM events) x",
@@ -82,11 +88,12 @@ def _airport_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["n_nationkey"],
         ["n_name", "r_name"],
         "airport_id",
+        staged=False,
     )
 
 
 def _airline_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wh.dimension(table(spark, sf_dir, "customer"), ["c_mktsegment"], [], "airline_id")
+    return wh.dimension(table(spark, sf_dir, "customer"), ["c_mktsegment"], [], "airline_id", staged=False)
 
 
 _WEATHER_BANDS = {
@@ -180,7 +187,12 @@ def banding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact rows: four time roles, airline, two airports, flight, and two
     weather roles that may stay null."""
-    rows = shipments(spark, sf_dir).withColumns({f"{r}_time_id": wh.time_id(F.col(r)) for r in _ROLES})
+    rows = shipments(spark, sf_dir).withColumns(
+        {
+            **{f"{r}_time_id": wh.time_id(F.col(r)) for r in _ROLES},
+            "air_time": F.col("elapsed_time") - F.col("taxi_out") - F.col("taxi_in"),
+        }
+    )
     airport, weather = _airport_dim(spark, sf_dir), _weather_dim(spark, sf_dir)
     flight_key = {c: c for c in _FLIGHT_KEY}
     fact = wh.lookup_dimension(rows, _airline_dim(spark, sf_dir), {"carrier": "c_mktsegment"}, "airline_id", "airline_id")
@@ -211,10 +223,13 @@ _FACT_OUT = [
     "flight_id",
     "origin_weather_id",
     "destination_weather_id",
+    "distance",
     "departure_delay",
     "arrival_delay",
     "taxi_out",
     "taxi_in",
+    "elapsed_time",
+    "air_time",
     "cancelled",
     "diverted",
     *CAUSES,
@@ -229,7 +244,7 @@ _FACT_OUT = [
         "SELECT l_orderkey, l_linenumber, "
         + ", ".join(f"CAST(strftime({r}, '%Y%m%d%H') AS BIGINT) AS {r}_time_id" for r in _ROLES)
         + ", airline_id, o.airport_id AS origin_airport_id, e.airport_id AS destination_airport_id, f.flight_id, w.weather_id AS origin_weather_id, "
-        "v.weather_id AS destination_weather_id, departure_delay, arrival_delay, taxi_out, taxi_in, cancelled, diverted, "
+        "v.weather_id AS destination_weather_id, s.distance, departure_delay, arrival_delay, taxi_out, taxi_in, elapsed_time, elapsed_time - taxi_out - taxi_in AS air_time, cancelled, diverted, "
         + ", ".join(CAUSES)
         + " FROM shipments s JOIN d_airline ON carrier = c_mktsegment JOIN d_airport o ON s.origin = o.n_nationkey "
         "JOIN d_airport e ON s.destination = e.n_nationkey JOIN d_flight f ON (s.flight_number, s.tail, s.origin, s.destination) = "
@@ -241,6 +256,16 @@ def fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fact(spark, sf_dir).select(*_FACT_OUT)
 
 
+@query("fact_ids", "SELECT 1 AS first_id, count(*) AS last_id, count(*) AS n_ids FROM lineitem")
+def fact_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense ids over the whole fact, repeated natural keys included."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    ids = dense_ids(rows, rows.columns, "fact_id")
+    return ids.agg(
+        F.min("fact_id").alias("first_id"), F.max("fact_id").alias("last_id"), F.count_distinct("fact_id").alias("n_ids")
+    )
+
+
 @query(
     "fk_audit",
     "SELECT 'foreign_key:customer' AS \"check\", count(*) AS n FROM orders WHERE o_custkey % 10 = 3 UNION ALL "

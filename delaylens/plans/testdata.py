@@ -73,7 +73,9 @@ def snapshot_time(ts, seconds: int = 90):
     return F.floor(F.unix_seconds(ts.cast("timestamp")) / seconds) * seconds
 
 
-_EXACT_AVG = "CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / count(*) / 100"
+# means to whole hundredths, so that neither engine has a rounding tie to break
+_EXACT_AVG = "floor(CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / count(*)) / 100"
+_AVG_K = "floor(CAST(sum(k) AS DOUBLE) * 100 / count(*)) / 100"
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +84,7 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy(F.col("adep").alias("airport"), hour_text(F.col("first_seen")).alias("time")).agg(
         F.expr(f"{_EXACT_AVG} - 20").alias("temperature_2m"),
         (F.max("k") / 50).alias("precipitation"),
-        (F.sum("k") / F.count("*")).alias("wind_speed_10m"),
+        F.expr(_AVG_K).alias("wind_speed_10m"),
     )
 
 
@@ -195,6 +197,7 @@ _SHIPMENT = [
     "CAST(l_partkey % 24 AS INT) AS dep_hour",
     "l_quantity * 3 - 30 AS departure_delay",
     "l_quantity * 3 - 40 + l_suppkey % 15 AS arrival_delay",
+    "CAST(50 + l_partkey % 300 + l_suppkey % 15 AS BIGINT) AS elapsed_time",
     "5 + l_linenumber * 2 AS taxi_out",
     "3 + l_linenumber AS taxi_in",
     "l_returnflag = 'R' AND l_linenumber = 1 AS cancelled",
@@ -268,7 +271,7 @@ CTE = {
     + _select(_POSITION, f"(SELECT *, {_K} FROM events) e")
     + ") p)",
     "weather": "weather AS (SELECT adep AS airport, strftime(first_seen, '%Y-%m-%dT%H:00') AS time, "
-    f"{_EXACT_AVG} - 20 AS temperature_2m, max(k) / 50 AS precipitation, sum(k) / count(*) AS wind_speed_10m "
+    f"{_EXACT_AVG} - 20 AS temperature_2m, max(k) / 50 AS precipitation, {_AVG_K} AS wind_speed_10m "
     "FROM flights WHERE adep <> 'LFPG' GROUP BY 1, 2)",
     "reports": "reports AS (SELECT *, CAST(CASE WHEN visibility_mi < 1 OR ceiling_ft < 500 THEN 3 "
     "WHEN visibility_mi < 3 OR ceiling_ft < 1000 THEN 2 WHEN visibility_mi < 5 OR ceiling_ft < 3000 THEN 1 ELSE 0 END "

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(app: str = "delaylens", cores: str | int = "*", **conf: str) -> SparkSession:
@@ -51,6 +51,14 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to the shared folder and read back: for a result that
+    several later steps read and that is costly to work out again."""
+    path = shared_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give the context a checkpoint folder if none is set, so long iterative
     lineages (boosting) can be cut and survive a lost executor."""

@@ -57,11 +57,10 @@ def union_files(frames: list[DataFrame]) -> DataFrame:
 
 
 def rewrite_filtered(df: DataFrame, condition: Column, path: str, partition_by: list[str]) -> None:
-    """Filtered copy in partition folders. Rows are spread by the partition
-    columns plus a random-free salt, so that a heavy partition is written by
-    several tasks without every task opening every folder."""
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(16))
-    kept = df.where(condition).repartition(*partition_by, salt)
+    """Filtered copy in partition folders. The rebalance hint gathers each
+    folder's rows and lets adaptive execution cut a heavy one into files of the
+    advisory size, and join small ones."""
+    kept = df.where(condition).hint("rebalance", *partition_by)
     kept.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
