@@ -107,12 +107,27 @@ def _combinations(path: dict, value: float) -> np.ndarray:
     return table
 
 
-def _passes(column: np.ndarray, tests: list) -> np.ndarray:
-    ok = np.ones(len(column), dtype=bool)
-    for n_categories, bounds, goes_left in tests:
-        left = column <= bounds[0] if n_categories < 0 else np.isin(column, bounds)
-        ok &= left if goes_left else ~left
-    return ok
+def _contributions(x: np.ndarray, leaves: list) -> np.ndarray:
+    """Contributions of each row of x; every distinct split is tested once."""
+    out = np.zeros(x.shape)
+    splits: dict[tuple, np.ndarray] = {}
+
+    def goes_left(feature: int, n_categories: int, bounds: tuple) -> np.ndarray:
+        key = (feature, n_categories, bounds)
+        if key not in splits:
+            column = x[:, feature]
+            splits[key] = column <= bounds[0] if n_categories < 0 else np.isin(column, bounds)
+        return splits[key]
+
+    for features, tests, table in leaves:
+        mask = np.zeros(len(x), dtype=np.int64)
+        for j, feature in enumerate(features):
+            passed = np.ones(len(x), dtype=bool)
+            for n_categories, bounds, left in tests[j]:
+                passed &= goes_left(feature, n_categories, bounds) == left
+            mask |= passed.astype(np.int64) << j
+        out[:, features] += table[mask]
+    return out
 
 
 def with_contributions(df: DataFrame, model: PipelineModel, spec: FeatureSpec) -> DataFrame:
@@ -130,12 +145,6 @@ def with_contributions(df: DataFrame, model: PipelineModel, spec: FeatureSpec) -
     @F.pandas_udf("array<double>")
     def contribute(features: pd.Series) -> pd.Series:
         x = np.stack(features.to_numpy()) if len(features) else np.zeros((0, width))
-        out = np.zeros((len(x), width))
-        for on_path, tests, table in shared.value:
-            mask = np.zeros(len(x), dtype=np.int64)
-            for j, (f, t) in enumerate(zip(on_path, tests)):
-                mask |= _passes(x[:, f], t).astype(np.int64) << j
-            out[:, on_path] += table[mask]
-        return pd.Series(list(out))
+        return pd.Series(list(_contributions(x, shared.value)))
 
     return df.withColumns({"contributions": contribute("_features"), "bias": F.lit(bias)})

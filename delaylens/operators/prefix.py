@@ -60,15 +60,16 @@ def running_totals(
 
 
 def exact_quantiles(
-    df: DataFrame, keys: list[str], value: str, probabilities: dict[str, float], cell_width: float
+    df: DataFrame, keys: list[str], value: str, probabilities: dict[str, float], cell: Column
 ) -> DataFrame:
     """Exact interpolated quantiles per key, named by `probabilities`.
 
     The rows shrink to one per distinct (key, value) before the shuffle; equal
-    values may repeat any number of times. `cell_width` is the span of values
-    one task orders (only the distinct ones count)."""
+    values may repeat any number of times. `cell` cuts the values of a key
+    into spans one task orders; it may use `value`, the keys and any column
+    that depends on the keys alone, which must then be listed in them."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    ranked = running_totals(counts, keys, value, ["_n"], F.floor(F.col(value) / cell_width))
+    ranked = running_totals(counts, keys, value, ["_n"], cell)
     low, high = F.col("_n_before"), F.col("_n_before") + F.col("_n")
     picks, outputs = [], []
     for name, p in probabilities.items():

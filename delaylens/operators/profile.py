@@ -14,15 +14,18 @@ def value_counts(df: DataFrame, column: str, normalise: bool = False, dropna: bo
     counts = rows.groupBy(column).agg(F.count("*").alias("n"))
     if not normalise:
         return counts
-    total = rows.agg(F.count("*")).scalar()
-    return counts.withColumn("share", F.col("n") / total)
+    return counts.withColumn("share", F.col("n") / counts.agg(F.sum("n")).scalar())
 
 
-def summary_statistics(df: DataFrame, columns: list[str], cell_width: float = 10.0) -> DataFrame:
+QUANTILE_CELLS = 1024
+
+
+def summary_statistics(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, std, min, quartiles and max per column, one row each.
 
     One scan gives the moments; the quartiles are exact and computed over
-    distinct values, so no task holds a column."""
+    distinct values in equal spans between minimum and maximum, so no task
+    holds a column."""
     moments = df.agg(
         *[
             F.struct(
@@ -41,7 +44,14 @@ def summary_statistics(df: DataFrame, columns: list[str], cell_width: float = 10
     long = df.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]))
     )
-    quartiles = exact_quantiles(long, ["column"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, cell_width)
+    # one row per column
+    bounds = F.broadcast(stacked.select("column", F.col("min").alias("_lo"), F.col("max").alias("_hi")))
+    span = F.try_divide(F.col("value") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
+    cell = F.floor(F.coalesce(span, F.lit(0.0)) * QUANTILE_CELLS)
+    bounded = long.join(bounds, "column")
+    quartiles = exact_quantiles(
+        bounded, ["column", "_lo", "_hi"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, cell
+    ).drop("_lo", "_hi")
     return stacked.join(quartiles, "column", "left")
 
 
@@ -138,11 +148,12 @@ def expected_and_label(
     actual: str = "duration_min",
     threshold: float = DELAY_THRESHOLD_MIN,
     inclusive: bool = True,
-    cell_width: float = 60.0,
+    cell_minutes: float = 60.0,
 ) -> DataFrame:
     """Adds expected_duration_min (exact median of `actual` per group),
     delay_min and delayed_15min (delay >= threshold, or > if not inclusive)."""
-    expected = exact_quantiles(df, group, actual, {"expected_duration_min": 0.5}, cell_width)
+    cell = F.floor(F.col(actual) / cell_minutes)
+    expected = exact_quantiles(df, group, actual, {"expected_duration_min": 0.5}, cell)
     delay = F.col(actual) - F.col("expected_duration_min")
     late = (F.col("delay_min") >= threshold) if inclusive else (F.col("delay_min") > threshold)
     return df.join(expected, group, "left").withColumn("delay_min", delay).withColumn("delayed_15min", late.cast("bigint"))

@@ -20,9 +20,14 @@ def historical_rate(airport: Column, rates: dict[str, float] = HISTORICAL_DELAY_
     return out
 
 
-def live_features(context: DataFrame, holidays: DataFrame, at: str = "at") -> DataFrame:
+def live_features(
+    context: DataFrame, holidays: DataFrame, at: str = "at", instant_traffic: bool = False
+) -> DataFrame:
     """Feature columns for merged live contexts; `at` is the time of scoring
-    and typecode is null unless the context is about one aircraft."""
+    and typecode is null unless the context is about one aircraft.
+
+    Traffic is the rolling count (which falls back to the instant's by itself);
+    instant_traffic=True takes the instant's count for both windows."""
     typecode = F.col("typecode") if "typecode" in context.columns else F.lit(None).cast("string")
     metar = F.col("metar")
     rate = historical_rate(F.col("airport"))
@@ -30,6 +35,10 @@ def live_features(context: DataFrame, holidays: DataFrame, at: str = "at") -> Da
         {
             "adep": F.col("airport"),
             "typecode": typecode,
+            **{
+                c: F.col("live_traffic_count" if instant_traffic else c)
+                for c in ("traffic_1h", "traffic_3h")
+            },
             "visibility_mi": metar["visibility_mi"].cast("double"),
             "ceiling_ft": metar["ceiling_ft"].cast("double"),
             "flight_category": metar["flight_category"].cast("double"),
