@@ -214,7 +214,7 @@ def substring_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = joins.find_matches(
         positions(spark, sf_dir), ["dlh14", "c00", " ac0101 ", "nosuch"], ["callsign", "icao24"], "event_id"
     )
-    return rows.select("query", "rank", "event_id")
+    return rows.select("query", F.col("rank").cast("bigint").alias("rank"), "event_id")
 
 
 @query(

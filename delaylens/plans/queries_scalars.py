@@ -91,8 +91,8 @@ def hour_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _CAT = (
-    "CASE WHEN visibility < 1 OR ceiling < 500 THEN 3 WHEN visibility < 3 OR ceiling < 1000 THEN 2 "
-    "WHEN visibility < 5 OR ceiling < 3000 THEN 1 ELSE 0 END"
+    "CAST(CASE WHEN visibility < 1 OR ceiling < 500 THEN 3 WHEN visibility < 3 OR ceiling < 1000 THEN 2 "
+    "WHEN visibility < 5 OR ceiling < 3000 THEN 1 ELSE 0 END AS BIGINT)"
 )
 
 

@@ -194,8 +194,8 @@ _CEILING = (
     with_cte(
         "flights",
         "SELECT flight_id, airport, visibility_mi, ceiling_ft, temperature_2m, wind_speed_10m, "
-        "CASE WHEN visibility_mi IS NULL THEN NULL WHEN visibility_mi < 1 OR ceiling_ft < 500 THEN 3 "
-        "WHEN visibility_mi < 3 OR ceiling_ft < 1000 THEN 2 WHEN visibility_mi < 5 OR ceiling_ft < 3000 THEN 1 ELSE 0 END "
+        "CAST(CASE WHEN visibility_mi IS NULL THEN NULL WHEN visibility_mi < 1 OR ceiling_ft < 500 THEN 3 "
+        "WHEN visibility_mi < 3 OR ceiling_ft < 1000 THEN 2 WHEN visibility_mi < 5 OR ceiling_ft < 3000 THEN 1 ELSE 0 END AS BIGINT) "
         "AS flight_category FROM (SELECT flight_id, adep AS airport, "
         f"CAST({_VISIBILITY_MILES} AS DOUBLE) AS visibility_mi, least({_CEILING}, 12000) AS ceiling_ft, "
         "CAST(k AS DOUBLE) - 40 AS temperature_2m, round(k * CAST(1.852 AS DOUBLE), 6) AS wind_speed_10m "

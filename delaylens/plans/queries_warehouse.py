@@ -256,7 +256,7 @@ def fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fact(spark, sf_dir).select(*_FACT_OUT)
 
 
-@query("fact_ids", "SELECT 1 AS first_id, count(*) AS last_id, count(*) AS n_ids FROM lineitem")
+@query("fact_ids", "SELECT CAST(1 AS BIGINT) AS first_id, count(*) AS last_id, count(*) AS n_ids FROM lineitem")
 def fact_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense ids over the whole fact, repeated natural keys included."""
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
@@ -368,7 +368,7 @@ def cube_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rollup_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Volume and cancellations by year, quarter and month."""
     at = "scheduled_departure"
-    rows = shipments(spark, sf_dir).withColumns({"year": F.year(at), "quarter": F.quarter(at), "month": F.month(at)})
+    rows = shipments(spark, sf_dir).withColumns({n: f(at).cast("bigint") for n, f in (("year", F.year), ("quarter", F.quarter), ("month", F.month))})
     measures = {"flights": F.count("*"), "cancellation_ratio": F.round(wh.kpi_columns()["cancellation_ratio"], 6)}
     return wh.rollup_ratio(rows, ["year", "quarter", "month"], measures)
 
@@ -404,7 +404,7 @@ def pivot_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def cancellation_by_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _weathered(spark, sf_dir).groupBy("temp_group", F.month("departure").alias("month"))
+    rows = _weathered(spark, sf_dir).groupBy("temp_group", F.month("departure").cast("bigint").alias("month"))
     return rows.agg(
         F.count("*").alias("flights"), F.round(wh.kpi_columns()["cancellation_ratio"], 6).alias("cancellation_ratio")
     )
@@ -432,7 +432,7 @@ def share_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def hourly_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = shipments(spark, sf_dir).withColumn("hour", F.hour("scheduled_departure"))
+    rows = shipments(spark, sf_dir).withColumn("hour", F.hour("scheduled_departure").cast("bigint"))
     return wh.hourly_profile(rows, "hour", "departure_delay").withColumn("avg_delay", F.round("avg_delay", 6))
 
 

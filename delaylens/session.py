@@ -9,6 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local_roots: dict[str, str] = {}
+
+
 def get_session(app: str = "delaylens", cores: str | int = "*", **conf: str) -> SparkSession:
     """A local session for tests and the bench. On a cluster the session comes
     from spark-submit; no operator here depends on these settings."""
@@ -46,8 +49,10 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="delaylens-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        if app not in _local_roots:
+            _local_roots[app] = tempfile.mkdtemp(prefix="delaylens-")
+        root = _local_roots[app]
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
