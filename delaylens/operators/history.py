@@ -33,9 +33,10 @@ def trend_series(
     df: DataFrame, entity: str, time: str, value: Column, keep: int = PREDICTION_HISTORY, name: str = "series"
 ) -> DataFrame:
     """Each entity's values over the bounded history, oldest first, without
-    nulls. At most one value per entity and snapshot is expected, so a list has
-    at most `keep` entries."""
+    nulls; one value per entity and snapshot (the largest, should there be
+    more), so a list has at most `keep` entries."""
     recent = bounded_history(df, time, keep).withColumn("_v", value).where("_v is not null")
+    recent = recent.groupBy(entity, time).agg(F.max("_v").alias("_v"))
     steps = F.sort_array(F.collect_list(F.struct(F.col(time).alias("t"), F.col("_v").alias("v"))))
     return recent.groupBy(entity).agg(F.transform(steps, lambda s: s["v"]).alias(name))
 

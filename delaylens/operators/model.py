@@ -17,7 +17,14 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from delaylens.constants import BOOST_ROUNDS, CATEGORICAL_COLUMNS, FEATURE_COLUMNS, SEARCH_SPACE, TARGET_COLUMN
+from delaylens.constants import (
+    BOOST_ROUNDS,
+    CATEGORICAL_COLUMNS,
+    EARLY_STOPPING_ROUNDS,
+    FEATURE_COLUMNS,
+    SEARCH_SPACE,
+    TARGET_COLUMN,
+)
 from delaylens.operators import metrics
 from delaylens.operators.profile import class_balance
 from delaylens.session import ensure_checkpoint_dir
@@ -79,7 +86,7 @@ def tree_settings(config: dict) -> dict:
     }
 
 
-def _pipeline(spec: FeatureSpec, config: dict, rounds: int, validation: str | None) -> Pipeline:
+def _pipeline(spec: FeatureSpec, config: dict, rounds: int) -> Pipeline:
     indexed = [f"{c}_ix" for c in spec.categorical]
     stages = [
         StringIndexer(
@@ -87,8 +94,6 @@ def _pipeline(spec: FeatureSpec, config: dict, rounds: int, validation: str | No
         ),
         VectorAssembler(inputCols=indexed + [f"{c}_in" for c in spec.numeric], outputCol="features"),
     ]
-    # stop at the first round that no longer lowers the validation loss
-    early_stop = {"validationIndicatorCol": validation, "validationTol": 0.0} if validation else {}
     booster = GBTClassifier(
         labelCol="_label",
         featuresCol="features",
@@ -101,31 +106,67 @@ def _pipeline(spec: FeatureSpec, config: dict, rounds: int, validation: str | No
         checkpointInterval=10,
         maxMemoryInMB=1024,
         **tree_settings(config),
-        **early_stop,
     )
     return Pipeline(stages=stages + [booster])
 
 
-def fit(
-    train: DataFrame, spec: FeatureSpec, config: dict, rounds: int = BOOST_ROUNDS, validation: DataFrame | None = None
-) -> tuple[PipelineModel, int]:
-    """Fits a boosted classifier with weighted positives; with a validation
-    part, stops early on it. Returns the model and its number of rounds."""
-    ensure_checkpoint_dir(train.sparkSession)
-    balance = class_balance(train, spec.label, config["pos_weight_mult"]).first()
-    weight = balance["positive_weight"] or 1.0
-    parts = train.withColumn("_validation", F.lit(False))
-    if validation is not None:
-        parts = parts.unionByName(validation.withColumn("_validation", F.lit(True)))
-    rows = prepare(parts, spec).withColumns(
+def positive_weight(train: DataFrame, spec: FeatureSpec, config: dict) -> float:
+    return float(class_balance(train, spec.label, config["pos_weight_mult"]).first()["positive_weight"] or 1.0)
+
+
+def _weighted(df: DataFrame, spec: FeatureSpec, weight: float) -> DataFrame:
+    return prepare(df, spec).withColumns(
         {
             "_label": F.col(spec.label).cast("double"),
-            "_weight": F.when(F.col(spec.label) == 1, F.lit(float(weight))).otherwise(1.0),
+            "_weight": F.when(F.col(spec.label) == 1, F.lit(weight)).otherwise(1.0),
         }
     )
-    pipeline = _pipeline(spec, config, rounds, "_validation" if validation is not None else None)
-    model = pipeline.fit(rows)
-    return model, model.stages[-1].getNumTrees
+
+
+def fit(train: DataFrame, spec: FeatureSpec, config: dict, rounds: int = BOOST_ROUNDS) -> PipelineModel:
+    """Fits a boosted classifier of `rounds` trees with weighted positives."""
+    ensure_checkpoint_dir(train.sparkSession)
+    rows = _weighted(train, spec, positive_weight(train, spec, config))
+    return _pipeline(spec, config, rounds).fit(rows)
+
+
+def best_round(losses: list[float], patience: int) -> tuple[int, bool]:
+    """The round with the lowest loss before `patience` rounds pass without a
+    lower one, and whether they did."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def fit_early_stopping(
+    train: DataFrame,
+    validation: DataFrame,
+    spec: FeatureSpec,
+    config: dict,
+    rounds: int = BOOST_ROUNDS,
+    patience: int = EARLY_STOPPING_ROUNDS,
+) -> tuple[PipelineModel, int]:
+    """Fits with early stopping on the validation loss, weighted like the
+    training rows, and returns the model of the best round and its number.
+
+    A fit cannot be continued, but the same seed grows the same first trees, so
+    the number of rounds is doubled until the loss has stopped falling."""
+    weight = positive_weight(train, spec, config)
+    tried = min(rounds, 2 * patience)
+    while True:
+        model = fit(train, spec, config, tried)
+        rows = _weighted(validation, spec, weight)
+        for stage in model.stages[:-1]:
+            rows = stage.transform(rows)
+        best, stopped = best_round(model.stages[-1].evaluateEachIteration(rows), patience)
+        if stopped or tried == rounds:
+            break
+        tried = min(rounds, 2 * tried)
+    return (model, best) if best == tried else (fit(train, spec, config, best), best)
 
 
 def score(model: PipelineModel, df: DataFrame, spec: FeatureSpec, name: str = "risk_score") -> DataFrame:
@@ -157,6 +198,7 @@ def search(
     log_path: str,
     configs: list[dict] = SEARCH_SPACE,
     rounds: int = BOOST_ROUNDS,
+    patience: int = EARLY_STOPPING_ROUNDS,
 ) -> tuple[dict, int]:
     """Walk-forward search: every configuration is fitted before each fold and
     scored on it. Returns the configuration with the best mean average
@@ -167,7 +209,7 @@ def search(
         for i, (start, end) in enumerate(folds):
             train, later = metrics.temporal_split(df, spec.time, start)
             part = later.where(ts < F.lit(end).cast("timestamp_ntz"))
-            model, best = fit(train, spec, config, rounds, part)
+            model, best = fit_early_stopping(train, part, spec, config, rounds, patience)
             result = metrics.ranking_metrics(score(model, part, spec), "risk_score", spec.label).first()
             log_metrics(
                 spark,
@@ -206,7 +248,7 @@ def train_final(
     newest fold, one evaluation on the held-out part. Returns the model and
     the scored test rows."""
     train, test = metrics.temporal_split(df, spec.time, cutoff)
-    pipeline, used = fit(train, spec, config, rounds)
+    pipeline = fit(train, spec, config, rounds)
     start, end = folds[-1]
     newest = metrics.temporal_split(metrics.temporal_split(df, spec.time, start)[1], spec.time, end)[0]
     best = metrics.best_f1(score(pipeline, newest, spec), "risk_score", spec.label).first()
@@ -215,10 +257,10 @@ def train_final(
     counts = metrics.confusion_metrics(scored, "risk_score", spec.label, F.lit(best["threshold"])).first()
     values = {
         "decision_threshold": best["threshold"],
-        "num_boost_round": float(used),
+        "num_boost_round": float(rounds),
         "auc": ranking["auc"],
         "pr_auc": ranking["average_precision"],
         **{m: counts[m] for m in ("f1", "precision", "recall")},
     }
     log_metrics(df.sparkSession, log_path, uuid.uuid4().hex[:12], [("final_model", -1, -1, m, v) for m, v in values.items()])
-    return TrainedModel(pipeline, spec, best["threshold"], config, used), scored
+    return TrainedModel(pipeline, spec, best["threshold"], config, rounds), scored

@@ -53,7 +53,7 @@ def cv_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, path, _ = trained(spark, sf_dir)
     log = shared_dir(spark, "search")
     rows = spark.read.parquet(path)
-    ml.search(rows, ml.learn_categories(rows, ml.FeatureSpec()), FOLDS, log, CONFIGS, ROUNDS)
+    ml.search(rows, ml.learn_categories(rows, ml.FeatureSpec()), FOLDS, log, CONFIGS, 4, patience=2)
     return ml.search_summary(spark.read.parquet(log))
 
 
@@ -73,13 +73,17 @@ def final_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("early_stop")
 def early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rounds kept when a fast learner stops on its validation fold."""
+    """Fold scores of a fast learner that stopped early on that fold."""
     model, path, _ = trained(spark, sf_dir)
     train = spark.read.parquet(path)
     before = train.where(F.col("first_seen") < F.lit(FOLDS[0][0]).cast("timestamp_ntz"))
     fold = train.where(F.col("first_seen").between(*[F.lit(d).cast("timestamp_ntz") for d in FOLDS[0]]))
-    _, rounds = ml.fit(before, model.spec, {**CONFIGS[0], "learning_rate": 0.8}, 12, fold)
-    return spark.range(1).select(F.lit(12).alias("max_rounds"), F.lit(rounds).alias("rounds_kept"))
+    config = {**CONFIGS[0], "learning_rate": 0.8}
+    stopped, rounds = ml.fit_early_stopping(before, fold, model.spec, config, 12, patience=2)
+    part = ml.score(stopped, fold, model.spec)
+    return part.groupBy("adep").agg(
+        F.count("*").alias("n"), F.avg("risk_score").alias("mean_score"), F.lit(rounds).alias("rounds_kept")
+    )
 
 
 @query("importance")

@@ -94,6 +94,20 @@ def stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "stream_latest_positions",
+    with_cte(
+        "positions",
+        "SELECT icao24, max(time) AS time FROM positions WHERE lat IS NOT NULL GROUP BY icao24",
+    ),
+)
+def stream_latest_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest position per aircraft, without a custom state function."""
+    out = shared_dir(spark, "newest")
+    live.run_available(live.latest_positions(_position_stream(spark, sf_dir)), live.batch_writer(out), "newest", "update")
+    return spark.read.parquet(out).groupBy("icao24").agg(F.max("time").alias("time"))
+
+
 @query(
     "late_rows_dropped",
     "SELECT event_type, window_end, count(*) AS n FROM (SELECT event_type, CAST(epoch(date_trunc('day', ts)) AS BIGINT) + 86400 AS window_end "

@@ -346,12 +346,16 @@ def _weathered(spark: SparkSession, sf_dir: str) -> DataFrame:
         "shipments station_weather",
         "d_weather",
         "SELECT carrier, wind_group, CAST(grouping_id(carrier, wind_group) AS BIGINT) AS level, count(*) AS flights, "
-        f"round({_KPIS['on_time_ratio']}, 6) AS on_time_ratio {_WEATHER_JOIN} GROUP BY CUBE (carrier, wind_group)",
+        f"round({_KPIS['on_time_ratio']}, 6) AS on_time_ratio, round(avg(departure_delay), 6) AS avg_departure_delay {_WEATHER_JOIN} GROUP BY CUBE (carrier, wind_group)",
     ),
 )
 def cube_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """On-time ratio by carrier and wind band, with all totals."""
-    measures = {"flights": F.count("*"), "on_time_ratio": F.round(wh.kpi_columns()["on_time_ratio"], 6)}
+    measures = {
+        "flights": F.count("*"),
+        "on_time_ratio": F.round(wh.kpi_columns()["on_time_ratio"], 6),
+        "avg_departure_delay": F.round(F.avg("departure_delay"), 6),
+    }
     return wh.cube_ratio(_weathered(spark, sf_dir), ["carrier", "wind_group"], measures)
 
 

@@ -69,6 +69,12 @@ def head_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
+    """A random sample over the whole range; the first rows of a file sorted by
+    time would cover its oldest part only."""
+    return df.sample(fraction=fraction, seed=seed)
+
+
 def read_observations(spark: SparkSession, path: str) -> DataFrame:
     """Station reports as CSV with M for missing, tagged with their airport."""
     rows = spark.read.schema(OBSERVATION_SCHEMA).option("header", True).option("nullValue", "M").csv(path)

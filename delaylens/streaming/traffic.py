@@ -102,6 +102,15 @@ def count_per_window(events: DataFrame, key: str, size: str) -> DataFrame:
     return counts.select(key, F.unix_seconds("window.end").alias("window_end"), "n")
 
 
+def latest_positions(positions: DataFrame) -> DataFrame:
+    """Newest position per aircraft as a running aggregate: rows are combined
+    before the shuffle, so a busy aircraft costs one row per task. Readers drop
+    aircraft whose time is too old."""
+    located = positions.where("lat is not null and lon is not null")
+    newest = F.max(F.struct("time", "lat", "lon"))
+    return located.groupBy("icao24").agg(newest.alias("p")).select("icao24", "p.*")
+
+
 _STATE = "time bigint, lat double, lon double"
 _CHANGE = "icao24 string, time bigint, lat double, lon double, status string"
 

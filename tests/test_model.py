@@ -24,7 +24,7 @@ def fitted(spark):
     ]
     df = spark.createDataFrame(rows, "adep string, a double, b double, y int")
     spec = ml.learn_categories(df, ml.FeatureSpec(numeric=["a", "b"], categorical=["adep"], label="y"))
-    pipeline, _ = ml.fit(df, spec, CONFIG, rounds=3)
+    pipeline = ml.fit(df, spec, CONFIG, rounds=3)
     return df, spec, pipeline
 
 
@@ -69,6 +69,18 @@ def test_contributions_are_shapley_values(spark, fitted):
         assert sum(row["contributions"]) + row["bias"] == pytest.approx(odds, abs=1e-6)
 
 
+def test_best_round():
+    assert ml.best_round([3, 2, 1, 2, 2, 0], 2) == (3, True)
+    assert ml.best_round([3, 2, 1, 2, 0], 3) == (5, False)
+    assert ml.best_round([1, 2, 3], 2) == (1, True)
+
+
+def test_early_stopping_keeps_the_best_round(fitted):
+    df, spec, _ = fitted
+    model, best = ml.fit_early_stopping(df, df, spec, {**CONFIG, "learning_rate": 1.0}, rounds=4, patience=1)
+    assert model.stages[-1].getNumTrees == best
+
+
 def test_importance_shares_add_up(spark, fitted):
     _, spec, pipeline = fitted
     rows = explain.importance(spark, pipeline, spec).collect()
