@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from delaylens.constants import AIRPORTS, MATCH_RADIUS_DEG, SLIDE_SECONDS, TRAFFIC_WINDOWS
 from delaylens.operators.joins import match_sites

@@ -119,8 +119,6 @@ def describe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def missing_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-
-
     joined = hourly_lookup_join(flights(spark, sf_dir), weather(spark, sf_dir), ["temperature_2m"], lookup_hour="time")
     rows = profile.missing_profile(joined, ["typecode", "temperature_2m", "adep"])
     return rows.withColumn("share_missing", F.round("share_missing", 6))

@@ -217,8 +217,6 @@ def _latest_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def rank_by_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Airports by newest risk; the rank is over the few airports."""
-
-
     rows = history.rank_by_risk(_latest_risk(spark, sf_dir))
     rank = F.row_number().over(Window.orderBy(F.col("risk_score").desc(), "ordinal"))
     return rows.select("airport", F.round("risk_score", 6).alias("risk_score"), rank.cast("bigint").alias("rank"))

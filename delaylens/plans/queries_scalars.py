@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from delaylens.constants import AIRPORTS, DAY_NAMES, FLIGHT_CATEGORIES, MONTH_NAMES
 from delaylens.functions import geo, text, weather as wx
 from delaylens.functions.calendar import holiday_dim, hour_floor, hour_text, with_calendar, with_holiday, years_of
 from delaylens.plans.catalog import query
