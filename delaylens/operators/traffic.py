@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from delaylens.constants import AIRPORTS, MATCH_RADIUS_DEG, SLIDE_SECONDS, TRAFFIC_WINDOWS
 from delaylens.operators.joins import match_sites
@@ -78,8 +78,15 @@ def sliding_distinct_direct(
     )
 
 
-def rolling_counts(seen: DataFrame, windows: dict[str, int] = TRAFFIC_WINDOWS) -> DataFrame:
-    """(airport, label, window_end, n) for every window length."""
+def rolling_counts(
+    seen: DataFrame, windows: dict[str, int] = TRAFFIC_WINDOWS, latest: Column | None = None
+) -> DataFrame:
+    """(airport, label, window_end, n) for every window length.
+
+    With `latest`, only what the window of that time can hold is read: the
+    longest window before it instead of the whole history."""
+    if latest is not None:
+        seen = seen.where(F.col("time") >= latest - F.lit(max(windows.values())))
     parts = [sliding_distinct(seen, size).withColumn("label", F.lit(label)) for label, size in windows.items()]
     out = parts[0]
     for part in parts[1:]:

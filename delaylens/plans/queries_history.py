@@ -73,8 +73,8 @@ def _current(carry_forward: bool) -> str:
 
 def _current_window(spark: SparkSession, sf_dir: str, carry_forward: bool) -> DataFrame:
     p = positions(spark, sf_dir)
-    counts = traffic.rolling_counts(traffic.sightings(p))
     latest = p.agg(F.max("time")).scalar()
+    counts = traffic.rolling_counts(traffic.sightings(p), latest=None if carry_forward else latest)
     rows = history.current_window(counts, airports(spark), latest, list(TRAFFIC_WINDOWS), carry_forward)
     return rows.select("airport", "traffic_1h", "traffic_3h")
 
