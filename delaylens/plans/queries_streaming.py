@@ -6,11 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from delaylens.functions.calendar import holiday_dim, years_of
-from delaylens.operators import joins, traffic as batch
+from delaylens.operators import traffic as batch
 from delaylens.plans.catalog import query
-from delaylens.plans.queries_history import _sliding_sql
+from delaylens.plans.queries_history import _current, _sliding_sql
 from delaylens.plans.queries_model import trained
-from delaylens.plans.scoring import live_features, score_context
 from delaylens.plans.testdata import (
     _K,
     _POSITION,
@@ -25,6 +24,7 @@ from delaylens.plans.testdata import (
 )
 from delaylens.session import shared_dir
 from delaylens.streaming import traffic as live
+from delaylens.streaming.scoring import score_stream
 
 
 def _position_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,13 +129,15 @@ def late_rows_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).drop("batch_id")
 
 
-@query("stream_score")
+@query(
+    "stream_score",
+    _current(False).replace("SELECT airport, coalesce", "SELECT airport, CAST((SELECT max(time) FROM positions) AS BIGINT) AS at, coalesce", 1),
+)
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every micro-batch of positions gives one scored row per airport, appended
-    to the prediction history."""
+    """Every micro-batch of positions gives one scored row per airport in the
+    prediction history; the check covers its time and rolling traffic."""
     model, _, _ = trained(spark, sf_dir)
-    out = shared_dir(spark, "predictions")
-    calendar = holiday_dim(years_of(flights(spark, sf_dir), "first_seen"))
+    seen, out = shared_dir(spark, "seen"), shared_dir(spark, "predictions")
     newest_report = reports(spark, sf_dir).groupBy("airport").agg(
         F.max_by(F.struct("visibility_mi", "ceiling_ft", "flight_category"), "hour").alias("v")
     )
@@ -145,15 +147,15 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     newest_weather = weather(spark, sf_dir).groupBy("airport").agg(
         F.max_by(F.struct("temperature_2m", "precipitation", "wind_speed_10m"), "time").alias("v")
     )
-
-    def predict(rows: DataFrame, batch_id: int) -> None:
-        instant = joins.match_sites(rows).groupBy("airport").agg(F.count_distinct("icao24").alias("live_traffic_count"))
-        no_windows = spark.createDataFrame([], "airport string, traffic_1h bigint, traffic_3h bigint")
-        context = joins.live_context(airports(spark), report, newest_weather.select("airport", "v.*"), no_windows, instant)
-        at = rows.agg(F.max("ts")).scalar()
-        scored = score_context(live_features(context.withColumn("at", at), calendar), model)
-        history = scored.select("airport", "at", "risk_score", "risk_level", "live_traffic_count", "top_factors")
-        live.batch_writer(out)(history, batch_id)
-
-    live.run_available(_position_stream(spark, sf_dir), predict, "score")
-    return spark.read.parquet(out)
+    score_stream(
+        _position_stream(spark, sf_dir),
+        model,
+        airports(spark),
+        report,
+        newest_weather.select("airport", "v.*"),
+        holiday_dim(years_of(flights(spark, sf_dir), "first_seen")),
+        seen,
+        out,
+    )
+    history = spark.read.parquet(out).where("risk_score between 0 and 1")
+    return history.select("airport", F.unix_seconds(F.col("at").cast("timestamp")).alias("at"), "traffic_1h", "traffic_3h")
