@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from delaylens.llm import bpe
-from delaylens.llm.common import table
+from delaylens.llm import bpe, langid, quality
+from delaylens.llm.common import held_out, table
 from delaylens.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +37,21 @@ def tokenizer_json(name: str = "byte_bpe_50k.json") -> str:
     return Path(public_tokenizers.path(name)).read_text(encoding="utf-8")
 
 
+@query("op1_language_id")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id"), 4))
+    net = langid.fit(documents.where("not held_out"), "text", "lang", "doc_id")
+    return langid.identify(documents, "text", ["doc_id", "held_out"], net)
+
+
+@query("op2_quality_compression")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id"), 4))
+    seen = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id"), 4))
+    model = quality.fit(documents.where("not held_out"), seen, "text", "doc_id", "quality")
+    return quality.score(documents, "text", ["doc_id", "held_out"], model)
+
+
 @query("op4_bpe_word_table")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     definition = tokenizer_json()
