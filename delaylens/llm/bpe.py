@@ -31,7 +31,9 @@ WORDS = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Words in the table that every task gets; about 10 MB.
 SHARED_WORDS = 200_000
 #: Words that a task holds beside the shared ones before it starts anew.
-TASK_WORDS = 1_000_000
+TASK_WORDS = 200_000
+#: Words encoded in one call of the tokenizer.
+ENCODE_AT_ONCE = 4096
 
 
 @lru_cache(maxsize=4)
@@ -99,6 +101,11 @@ def word_counts(words: DataFrame) -> DataFrame:
     return words.select("words").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def encode_each(tokenizer, words: list[str]) -> list[list[int]]:
+    parts = (words[at : at + ENCODE_AT_ONCE] for at in range(0, len(words), ENCODE_AT_ONCE))
+    return [e.ids for part in parts for e in tokenizer.encode_batch(part, add_special_tokens=False)]
+
+
 def encode_words(words: DataFrame, tokenizer_json: str) -> DataFrame:
     """(word, ids): each row's word encoded on its own."""
 
@@ -106,8 +113,8 @@ def encode_words(words: DataFrame, tokenizer_json: str) -> DataFrame:
         tokenizer = load(tokenizer_json)
         for batch in batches:
             text = batch.column(0).to_pylist()
-            ids = [e.ids for e in tokenizer.encode_batch(text, add_special_tokens=False)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["word", "ids"])
+            lists = pa.array(encode_each(tokenizer, text), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["word", "ids"])
 
     return words.select("word").mapInArrow(encode, "word string, ids array<int>")
 
@@ -143,7 +150,7 @@ class WordTable:
             self.restart()
         new = [w for w in words if w not in self.slot]
         if new:
-            ids = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
+            ids = encode_each(self.tokenizer, new)
             length = np.fromiter(map(len, ids), np.int64, len(ids))
             first = len(self.flat)
             self.slot.update(zip(new, range(len(self.length), len(self.length) + len(new))))
@@ -169,26 +176,42 @@ def ids_by_position(words: pa.Array, table: WordTable) -> tuple[np.ndarray, np.n
     return ids, np.concatenate([[0], ends])[word_ends]
 
 
+class SharedWords:
+    """A frame's texts cut into words, and the table of its frequent words."""
+
+    def __init__(self, df: DataFrame, text: str, keep: list[str], tokenizer_json: str, shared_words: int):
+        self.split = df.select(*keep, words_of(F.col(text), special_tokens(tokenizer_json)).alias("words"))
+        self.words, self.ids = shared_table(self.split, tokenizer_json, shared_words)
+        self.tokenizer_json = tokenizer_json
+
+    def joined(self, schema, values) -> DataFrame:
+        """The kept columns and the arrays that `values` makes of each batch's
+        flat ids and row ends."""
+        words, ids, definition = self.words, self.ids, self.tokenizer_json
+
+        def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table = WordTable(definition, words, ids)
+            for whole in batches:
+                for at in range(0, whole.num_rows, 500):
+                    batch = whole.slice(at, 500)
+                    flat, ends = ids_by_position(batch.column("words"), table)
+                    yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *values(flat, ends)], names=[f.name for f in schema])
+
+        return self.split.mapInArrow(join, schema)
+
+
 def encode(df: DataFrame, text: str, keep: list[str], tokenizer_json: str, shared_words: int = SHARED_WORDS) -> DataFrame:
     """The columns `keep` and `ids` array<int>: each text's token ids.
 
     Null and empty texts have no ids; repeated rows stay; other columns are
     not read."""
-    split = df.select(*keep, words_of(F.col(text), special_tokens(tokenizer_json)).alias("words"))
-    words, word_ids = shared_table(split, tokenizer_json, shared_words)
-    schema = schema_with(df, keep, "ids array<int>")
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = WordTable(tokenizer_json, words, word_ids)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
-                ids, ends = ids_by_position(batch.column("words"), table)
-                offsets = np.concatenate([[0], ends]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], names=[*keep, "ids"])
+    def lists(flat: np.ndarray, ends: np.ndarray) -> list[pa.Array]:
+        offsets = np.concatenate([[0], ends]).astype(np.int32)
+        return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))]
 
-    return split.mapInArrow(join, schema)
+    schema = schema_with(df, keep, "ids array<int>")
+    return SharedWords(df, text, keep, tokenizer_json, shared_words).joined(schema, lists)
 
 
 def decode_bytes(ids: list[int], pieces: list[bytes]) -> bytes:
@@ -210,23 +233,20 @@ def decode(df: DataFrame, ids: str, keep: list[str], tokenizer_json: str) -> Dat
     return df.select(*keep, F.col(ids).alias("ids")).mapInArrow(join, schema)
 
 
-def digests(encoded: DataFrame, keep: list[str], tokenizer_json: str) -> DataFrame:
+def encode_digests(df: DataFrame, text: str, keep: list[str], tokenizer_json: str, shared_words: int = SHARED_WORDS) -> DataFrame:
     """The columns `keep`, n_tokens, ids_sha256 (decimal ids joined by commas)
-    and decoded_sha256 (the decoded text in UTF-8), from the ids alone."""
-    schema = schema_with(encoded, keep, "n_tokens long, ids_sha256 string, decoded_sha256 string")
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = id_pieces(tokenizer_json)
-        decimal = [str(i) for i in range(len(pieces))]
-        for whole in batches:
-            for at in range(0, whole.num_rows, 200):
-                batch = whole.slice(at, 200)
-                rows = batch.column(len(keep)).to_pylist()
-                out = [
-                    pa.array([len(x) for x in rows], pa.int64()),
-                    pa.array([hashlib.sha256(",".join(map(decimal.__getitem__, x)).encode()).hexdigest() for x in rows]),
-                    pa.array([hashlib.sha256(decode_bytes(x, pieces)).hexdigest() for x in rows]),
-                ]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *out], names=[f.name for f in schema])
-
-    return encoded.select(*keep, "ids").mapInArrow(digest, schema)
+    and decoded_sha256 (the text decoded from those ids, in UTF-8): encode and
+    decode in one pass, for checking round trips without moving the ids."""
+    pieces = id_pieces(tokenizer_json)
+    decimal = [str(i) for i in range(len(pieces))]
+
+    def digest(flat: np.ndarray, ends: np.ndarray) -> list[pa.Array]:
+        rows = [x.tolist() for x in np.split(flat, ends[:-1])] if len(ends) else []
+        return [
+            pa.array([len(x) for x in rows], pa.int64()),
+            pa.array([hashlib.sha256(",".join(map(decimal.__getitem__, x)).encode()).hexdigest() for x in rows], pa.string()),
+            pa.array([hashlib.sha256(decode_bytes(x, pieces)).hexdigest() for x in rows], pa.string()),
+        ]
+
+    schema = schema_with(df, keep, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return SharedWords(df, text, keep, tokenizer_json, shared_words).joined(schema, digest)

@@ -54,6 +54,4 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_bpe_word_table")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    definition = tokenizer_json()
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), "text", ["doc_id"], definition)
-    return bpe.digests(encoded, ["doc_id"], definition)
+    return bpe.encode_digests(table(spark, sf_dir, "documents"), "text", ["doc_id"], tokenizer_json())
