@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaylens.llm import bpe, langid, quality
+from delaylens.llm import bpe, jaccard, langid, quality
 from delaylens.llm.common import held_out, table
 from delaylens.session import prepare
 
@@ -55,3 +55,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_bpe_word_table")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), "text", ["doc_id"], tokenizer_json())
+
+
+@query("op8_ngram_jaccard_join")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"), "text", "doc_id")
