@@ -24,7 +24,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delaylens.llm.common import schema_with, single_threaded
+from delaylens.llm.common import most_frequent, schema_with, single_threaded
+from delaylens.session import stage
 
 # Fixed value: the word pattern of byte-level BPE.
 WORDS = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -122,8 +123,8 @@ def encode_words(words: DataFrame, tokenizer_json: str) -> DataFrame:
 def shared_table(words: DataFrame, tokenizer_json: str, shared_words: int) -> tuple[pa.Array, pa.Array]:
     """The most frequent words of all rows and their ids; `shared_words` bounds
     what the driver gets and every task is sent."""
-    frequent = word_counts(words).orderBy(F.desc("n"), "word").limit(shared_words)
-    got = encode_words(frequent.repartition(F.col("word")), tokenizer_json).toArrow().combine_chunks()
+    frequent = most_frequent(stage(word_counts(words), "words"), shared_words)
+    got = encode_words(frequent, tokenizer_json).toArrow().combine_chunks()
     if not got.num_rows:
         return pa.array([], pa.string()), pa.array([], pa.list_(pa.int32()))
     return got.column("word").chunk(0), got.column("ids").chunk(0)

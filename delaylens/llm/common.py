@@ -52,3 +52,17 @@ def class_sample(rows: DataFrame, label: str, key: str, per_class: int) -> DataF
     ranked = rows.withColumn("sample_rank", unit_hash(F.col(key)) * counts[F.col(label)])
     chosen = ranked.where(F.col("sample_rank") < per_class)
     return chosen.orderBy("sample_rank", key).limit(2 * per_class * len(sizes)).drop("sample_rank")
+
+
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The rows of a written table counts(word, n) with n from the least value on
+    of which at most `most` rows exist, to a sixteenth of a power of two. Only a
+    histogram of those steps comes to the driver; nothing is sorted."""
+    step = F.floor(F.log2("n") * 16).alias("step")
+    total, least = 0, None
+    for row in sorted(counts.groupBy(step).count().collect(), reverse=True):
+        total += row["count"]
+        if total > most:
+            break
+        least = row["step"]
+    return counts.where(step >= least) if least is not None else counts.limit(0)

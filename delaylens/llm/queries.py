@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaylens.llm import bpe, jaccard, langid, quality
+from delaylens.llm import bpe, decontaminate, jaccard, langid, lm, quality
 from delaylens.llm.common import held_out, table
 from delaylens.session import prepare
 
@@ -60,3 +60,15 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_ngram_jaccard_join")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"), "text", "doc_id")
+
+
+@query("op10_benchmark_decontamination")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.report(documents, benchmark, "doc_id", "text", "item_id", "text")
+
+
+@query("op7_lm_scoring")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id"), 7))
+    return lm.score(documents, "text", "doc_id", "held_out", documents.where("not held_out"))
