@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaylens.llm import bpe, decontaminate, jaccard, langid, lm, quality
+from delaylens.llm import bpe, decontaminate, jaccard, langid, lm, quality, urlfilter, warc
 from delaylens.llm.common import held_out, table
 from delaylens.session import prepare
 
@@ -72,3 +72,23 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id"), 7))
     return lm.score(documents, "text", "doc_id", "held_out", documents.where("not held_out"))
+
+
+@query("op5_warc_dictionary")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), "page_id", "url", "html")
+
+
+#: Of op9's contract, in its order.
+RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+@query("op9_url_trust")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages"), RULES, "page_id", "url", "html")
