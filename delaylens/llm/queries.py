@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaylens.llm import bpe, decontaminate, jaccard, langid, lm, quality, urlfilter, warc
+from delaylens.llm import bpe, decontaminate, hnsw, jaccard, langid, lm, quality, urlfilter, warc
 from delaylens.llm.common import held_out, table
 from delaylens.session import prepare
 
@@ -92,3 +92,8 @@ RULES = [
 @query("op9_url_trust")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), RULES, "page_id", "url", "html")
+
+
+@query("op6_hnsw_search")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.search(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("id") % 20 == 0, 20)
