@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaylens.llm import bpe, decontaminate, hnsw, jaccard, langid, lm, quality, urlfilter, warc
+from delaylens.llm import bpe, decontaminate, hnsw, jaccard, langid, lm, preference, quality, urlfilter, warc
 from delaylens.llm.common import held_out, table
 from delaylens.session import prepare
 
@@ -52,6 +52,43 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents, "text", ["doc_id", "held_out"], model)
 
 
+OP3_SQL = """
+WITH turns AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i FROM turns
+), ending AS (
+  SELECT conv_id, max(i) AS last, arg_max(text, i) AS reply FROM placed WHERE role = 'assistant' GROUP BY conv_id
+), sides AS (
+  SELECT p.conv_id, p.i, p.role, p.text AS c, CASE WHEN p.i = e.last THEN coalesce(n.reply, '') ELSE p.text END AS r
+  FROM placed p JOIN ending e USING (conv_id) LEFT JOIN ending n ON n.conv_id = xor(p.conv_id, 1)
+), split AS (
+  SELECT *, coalesce(min(CASE WHEN c <> r THEN i END) OVER (PARTITION BY conv_id) - 1, max(i) OVER (PARTITION BY conv_id)) AS k FROM sides
+), long AS (
+  SELECT conv_id, k, i, 'chosen' AS side, role, c AS text FROM split UNION ALL SELECT conv_id, k, i, 'rejected', role, r FROM split
+), shown AS (
+  SELECT *, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS shown FROM long
+), measured AS (
+  SELECT *, sum(CASE WHEN i > k THEN length(shown) ELSE 0 END) OVER (PARTITION BY conv_id, side ORDER BY i) AS stop FROM shown
+)
+SELECT conv_id, CAST(max(k) AS BIGINT) AS n_prompt_turns,
+  sha256(coalesce(string_agg(shown, '' ORDER BY i) FILTER (WHERE side = 'chosen' AND i <= k), '')) AS prompt_sha256,
+  sha256(coalesce(string_agg(shown, '' ORDER BY i) FILTER (WHERE side = 'chosen' AND i > k), '')) AS chosen_sha256,
+  sha256(coalesce(string_agg(shown, '' ORDER BY i) FILTER (WHERE side = 'rejected' AND i > k), '')) AS rejected_sha256,
+  coalesce(string_agg(CAST(stop - 11 - length(text) AS BIGINT) || '-' || CAST(stop - 1 AS BIGINT), ',' ORDER BY i)
+    FILTER (WHERE side = 'chosen' AND i > k AND role = 'assistant'), '') AS chosen_spans,
+  coalesce(string_agg(CAST(stop - 11 - length(text) AS BIGINT) || '-' || CAST(stop - 1 AS BIGINT), ',' ORDER BY i)
+    FILTER (WHERE side = 'rejected' AND i > k AND role = 'assistant'), '') AS rejected_spans
+FROM measured GROUP BY conv_id
+"""
+
+
+@query("op3_preference_format", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = preference.swapped_replies(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    return preference.digests(preference.format_pairs(pairs, "conv_id"), "conv_id")
+
+
 @query("op4_bpe_word_table")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), "text", ["doc_id"], tokenizer_json())
