@@ -23,8 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def schema_with(df: DataFrame, keep: list[str], ddl: str) -> T.StructType:
-    """The schema of the columns `keep`, then those of `ddl`."""
-    return T.StructType(df.select(*keep).schema.fields + T.StructType.fromDDL(ddl).fields)
+    """The schema of the columns `keep`, then those of `ddl`, under new names."""
+    added = T.StructType.fromDDL(ddl)
+    if clash := set(keep) & set(added.names):
+        raise ValueError(f"kept columns have the names of results: {sorted(clash)}")
+    return T.StructType(df.select(*keep).schema.fields + added.fields)
 
 
 def remainder(doc_id: Column, modulus: int) -> Column:

@@ -70,7 +70,7 @@ def found_windows(documents: DataFrame, benchmark: DataFrame, key: str, text: st
         hit = scanned.join(F.broadcast(hashes) if few else hashes, "hash").withColumn("length", F.lit(length))
         probes = hit if probes is None else probes.unionByName(hit)
     if probes is None:
-        return documents.select(key, F.lit(None).cast(benchmark.schema[item].dataType).alias("item"), F.lit(0).alias("start"), F.lit(0).alias("length")).limit(0)
+        return documents.select(key, F.lit(None).cast(benchmark.schema[item].dataType).alias("item"), F.lit(0).alias("start"), F.lit(0).alias("length"), F.lit("").alias("phrase")).limit(0)
     return probes.join(F.broadcast(windows) if few else windows, ["hash", "length"]).select(key, "item", "start", "length", "phrase")
 
 
@@ -130,12 +130,19 @@ def without_words(text: Column, hit: Column) -> Column:
     return F.concat(F.get(gaps, F.lit(0)), F.array_join(kept, ""))
 
 
-def remove(documents: DataFrame, benchmark: DataFrame, key: str, text: str, item: str, item_text: str, window: int = WINDOW, document_share: float = 1.0) -> DataFrame:
+def remove(
+    documents: DataFrame, benchmark: DataFrame, key: str, text: str, item: str, item_text: str,
+    window: int = WINDOW, document_share: float = 1.0, length: str | None = None,
+) -> DataFrame:
     """All columns of `documents`, without the hit spans; rows of which at least
-    `document_share` of the words are hit are removed whole. Rows without a hit
-    are unchanged. A column of the name row_key or words_hit must not exist."""
-    found = hits(documents, benchmark, key, text, item, item_text, window).select("row_key", "words_hit")
-    rows = documents.withColumn("row_key", row_key(F.col(key), F.col(text))).join(found, "row_key", "left")
-    hit = F.col("words_hit").isNotNull()
-    kept = rows.where(~hit | (F.size("words_hit") < document_share * F.size(words(F.col(text)))))
-    return kept.withColumn(text, F.when(hit, without_words(F.col(text), F.col("words_hit"))).otherwise(F.col(text))).select(*documents.columns)
+    `document_share` of the words are hit are removed whole. `length` names a
+    column that gets the new text's length. Rows without a hit are unchanged."""
+    found = stage(hits(documents, benchmark, key, text, item, item_text, window).select(F.col("row_key").alias("__key"), F.col("words_hit").alias("__hit")), "hits")
+    few = found.agg(F.coalesce(F.sum(F.size("__hit") + 10), F.lit(0))).first()[0] <= 10 * BROADCAST_HITS
+    rows = documents.withColumn("__key", row_key(F.col(key), F.col(text))).join(F.broadcast(found) if few else found, "__key", "left")
+    hit = F.col("__hit").isNotNull()
+    kept = rows.where(~hit | (F.size("__hit") < document_share * F.size(words(F.col(text)))))
+    cleaned = kept.withColumn(text, F.when(hit, without_words(F.col(text), F.col("__hit"))).otherwise(F.col(text)))
+    if length:
+        cleaned = cleaned.withColumn(length, F.when(hit, F.length(text)).otherwise(F.col(length)).cast(documents.schema[length].dataType))
+    return cleaned.select(*documents.columns)

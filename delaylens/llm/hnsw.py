@@ -32,6 +32,8 @@ SHARD_ROWS = 8192
 #: Links of a node (twice as many on the lowest level), and beam widths.
 LINKS = 16
 BUILD_BEAM = 64
+#: Entry points that a level hands to the one below.
+ENTRIES = 16
 SEARCH_BEAM = 160
 #: Queries that one task searches in one shard.
 QUERY_BLOCK = 4096
@@ -53,8 +55,7 @@ class Graph:
         """Entry points on `to_level`: the nearest found on the levels above."""
         entry = np.zeros((len(queries), 1), np.int64)
         for level in range(len(self.levels) - 1, to_level, -1):
-            ids, _ = search_level(self.vectors, self.levels[level], queries, entry, 8)
-            entry = ids[:, :1]
+            entry, _ = search_level(self.vectors, self.levels[level], queries, entry, ENTRIES)
         return entry
 
     def search(self, queries: np.ndarray, beam: int) -> np.ndarray:

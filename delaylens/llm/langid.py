@@ -173,16 +173,40 @@ def identify(df: DataFrame, text: str, keep: list[str], net: ByteConvNet | None)
     schema = schema_with(df, keep, "lang_pred string, score double")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                has_letter = batch.column("has_letter").to_numpy(zero_copy_only=False).astype(bool) & (net is not None)
-                names, score = np.full(batch.num_rows, UNDETERMINED, object), np.zeros(batch.num_rows)
-                if has_letter.any():
-                    best, share = classify(net, batch.column("text").filter(pa.array(has_letter)))
-                    names[has_letter], score[has_letter] = np.array(net.labels, object)[best], share
-                out = [pa.array(names, pa.string()), pa.array(np.clip(score, 0, 1))]
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *out], names=[f.name for f in schema])
-
-    has_letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("has_letter")
-    return df.select(*keep, F.col(text).alias("text"), has_letter).mapInArrow(apply, schema)
+        for batch, names, score in judged(batches, len(keep), net):
+            out = [pa.array(names, pa.string()), pa.array(np.clip(score, 0, 1))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *out], names=[f.name for f in schema])
+
+    return with_letters(df, text, keep).mapInArrow(apply, schema)
+
+
+def with_letters(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    has_letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
+    return df.select(*keep, F.col(text).alias("__text"), has_letter.alias("__has_letter"))
+
+
+def judged(batches: Iterator[pa.RecordBatch], n_keep: int, net: ByteConvNet | None) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Small batches with each row's language and score; text and letter flag
+    follow the kept columns."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, 500):
+            batch = whole.slice(at, 500)
+            has_letter = batch.column(n_keep + 1).to_numpy(zero_copy_only=False).astype(bool) & (net is not None)
+            names, score = np.full(batch.num_rows, UNDETERMINED, object), np.zeros(batch.num_rows)
+            if has_letter.any():
+                best, share = classify(net, batch.column(n_keep).filter(pa.array(has_letter)))
+                names[has_letter], score[has_letter] = np.array(net.labels, object)[best], share
+            yield batch, names, score
+
+
+def determined(df: DataFrame, text: str, net: ByteConvNet | None) -> DataFrame:
+    """The rows of `df`, all columns, whose language is found; the others go."""
+
+    columns = df.columns
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, names, _ in judged(batches, len(columns), net):
+            kept = pa.RecordBatch.from_arrays(batch.columns[:-2], names=columns)
+            yield kept.filter(pa.array(names != UNDETERMINED, pa.bool_()))
+
+    return with_letters(df, text, df.columns).mapInArrow(apply, df.schema)

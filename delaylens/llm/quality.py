@@ -177,4 +177,18 @@ def score(df: DataFrame, text: str, keep: list[str], model: CompressionModel) ->
             out = [pa.array(got), pa.array((got >= GOOD_FROM).astype(np.int32))]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *out], names=[f.name for f in schema])
 
-    return df.select(*keep, F.col(text).alias("text")).mapInArrow(apply, schema)
+    return df.select(*keep, F.col(text).alias("__text")).mapInArrow(apply, schema)
+
+
+def good(df: DataFrame, text: str, model: CompressionModel) -> DataFrame:
+    """The rows of `df`, all columns, that are predicted good; the others go."""
+
+    columns = df.columns
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = model.scorer()
+        for batch in batches:
+            good_enough = scorer.score(batch.column(len(columns)).to_pylist()) >= GOOD_FROM
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=columns).filter(pa.array(good_enough, pa.bool_()))
+
+    return df.select("*", F.col(text).alias("__text")).mapInArrow(apply, df.schema)
