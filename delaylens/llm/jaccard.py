@@ -11,8 +11,9 @@ Every link between different sets is found or made certain by other links:
    built (a second pass over their texts).
 3. Signatures. A small set (size up to a boundary) enumerates its subsets of the
    size that a link with the larger set of m elements must share; large sets are
-   found by scanning the inverted lists of their rarest-by-hash elements (the
-   prefix). The boundary is the one with the least counted cost.
+   found by scanning the inverted lists of their rarest elements (the prefix),
+   counted over all classes, so passages that many texts share stay out of the
+   lists. The boundary is the one with the least counted cost.
 4. Lists are not expanded into all pairs. In hub rounds each member of a list is
    compared with one member only; groups of near copies melt into one component.
    The last round compares all pairs of a list that are still in different
@@ -28,8 +29,10 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from delaylens.llm.common import schema_with
@@ -46,7 +49,10 @@ BROADCAST_IDS = 2_000_000
 #: The largest boundary that the cost model looks at.
 LARGEST_SMALL = 20
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+#: Stands for a null key while texts are read again.
 NO_ID = -(1 << 63)
+#: Rows to remove that are broadcast at most (about 60 bytes each).
+BROADCAST_LOSERS = 500_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -143,11 +149,12 @@ def whole_sets(documents: DataFrame, text: str, key: str, classes: DataFrame, wi
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 cache = word_cache(cache)
-                sets = [shingles(t, width, cache).tobytes() for t in whole.column(0).slice(at, 1000).to_pylist()]
-                prints = [hashlib.blake2b(s, digest_size=16).digest() for s in sets]
-                yield pa.RecordBatch.from_arrays([pa.array(prints, pa.binary()), pa.array(sets, pa.binary())], ["fingerprint", "hashes"])
+                sets = [shingles(t, width, cache) for t in whole.column(0).slice(at, 1000).to_pylist()]
+                prints = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+                lists = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(prints, pa.binary()), lists], ["fingerprint", "hashes"])
 
-    again = chosen.select(F.col(text).alias("text")).mapInArrow(make, "fingerprint binary, hashes binary")
+    again = chosen.select(F.col(text).alias("text")).mapInArrow(make, "fingerprint binary, hashes array<long>")
     matched = again.join(classes.select("fingerprint", "class", "size"), "fingerprint")
     # repeated ids bring the same set twice
     return matched.groupBy("class", "size").agg(F.max("hashes").alias("hashes"))
@@ -181,34 +188,67 @@ def choose_boundary(counts: dict[int, int], list_length: float, percent: int) ->
     return min(range(0, LARGEST_SMALL + 1), key=lambda x: (cost(x), x))
 
 
-def signatures(hashes: np.ndarray, boundary: int, percent: int) -> np.ndarray:
-    """Keys of one set: any two sets that link have a key in common."""
+def rare_postings(sets: DataFrame, percent: int) -> DataFrame:
+    """(key, class, size): each class's prefix in order of rarity. Elements of one
+    class only come first; a class whose prefix is full of them has no posting,
+    for it can link with nothing."""
+    every = sets.select("class", "size", F.explode("hashes").alias("key"))
+    shared = every.groupBy("key").count().where("count > 1")
+    own = W.partitionBy("class")
+    ranked = every.join(shared, "key").select(
+        "key", "class", "size", F.row_number().over(own.orderBy("count", "key")).alias("rank"), F.count("*").over(own).alias("shared")
+    )
+    return ranked.where(F.col("rank") <= prefix_sql(F.col("size"), percent) - (F.col("size") - F.col("shared"))).select("key", "class", "size")
+
+
+def prefix_sql(size, percent: int):
+    return size - F.floor((size * percent + 99) / 100) + 1
+
+
+def subset_keys(hashes: np.ndarray, boundary: int, percent: int) -> np.ndarray:
+    """Keys of a small set: any two small sets that link have one in common."""
     n = len(hashes)
-    keys = []
-    if scans_lists(n, boundary, percent):
-        keys.append(hashes[: prefix_length(n, percent)])
-    if n <= boundary:
-        mixed = mix(hashes + np.uint64(1))
-        total = mixed.sum(dtype=np.uint64)
-        for m, c in subset_sizes(n, boundary, percent):
-            left_out = np.array(list(combinations(range(n), n - c)), np.intp).reshape(comb(n, c), n - c)
-            part = total - mixed[left_out].sum(axis=1, dtype=np.uint64)
-            keys.append(mix(part + np.uint64(m) * MULTIPLIER))
-    return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-
-
-def keyed(sets: DataFrame, boundary: int, percent: int) -> DataFrame:
-    """(key, class, size): the signatures of all classes."""
+    keys = [np.zeros(0, np.uint64)]
+    mixed = mix(hashes + np.uint64(1))
+    total = mixed.sum(dtype=np.uint64)
+    for m, c in subset_sizes(n, boundary, percent):
+        left_out = np.array(list(combinations(range(n), n - c)), np.intp).reshape(comb(n, c), n - c)
+        part = total - mixed[left_out].sum(axis=1, dtype=np.uint64)
+        keys.append(mix(part + np.uint64(m) * MULTIPLIER))
+    return np.concatenate(keys)
+
+
+def subset_postings(sets: DataFrame, boundary: int, percent: int) -> DataFrame:
+    """(key, class, size) of the small sets' subsets."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [signatures(np.frombuffer(b, np.uint64), boundary, percent).view(np.int64) for b in batch.column(2).to_pylist()]
+            keys = [subset_keys(s, boundary, percent).view(np.int64) for s in rows_of(batch.column(2))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.list_(pa.int64()))], ["class", "size", "keys"])
 
-    made = sets.select("class", "size", "hashes").mapInArrow(make, "class long, size long, keys array<long>")
+    small = sets.where(F.col("size") <= boundary).select("class", "size", "hashes")
+    made = small.mapInArrow(make, "class long, size long, keys array<long>")
     return made.select(F.explode("keys").alias("key"), "class", "size")
 
 
+def rows_of(lists: pa.Array) -> list[np.ndarray]:
+    """Each row's hashes."""
+    flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+    ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    return np.split(flat, ends[:-1]) if len(lists) else []
+
+
+def postings(sets: DataFrame, percent: int) -> DataFrame:
+    """(key, class, size): the signatures of all classes; any two that link have
+    a key in common."""
+    lists = stage(rare_postings(sets, percent), "lists")
+    lengths = lists.groupBy("key").count().agg(F.sum(F.col("count") * F.col("count")), F.sum("count")).first()
+    sizes = {r["size"]: r["count"] for r in sets.where(F.col("size") <= 2 * LARGEST_SMALL).groupBy("size").count().collect()}
+    boundary = choose_boundary(sizes, lengths[0] / lengths[1] if lengths[1] else 0.0, percent)
+    scanned = lists.where(F.floor(F.col("size") * 100 / percent) > boundary)
+    return stage(scanned.union(subset_postings(sets, boundary, percent)), "keys")
+
+
 def close_sizes(a: str, b: str, percent: int):
     return (F.col(a) * percent <= F.col(b) * 100) & (F.col(b) * percent <= F.col(a) * 100)
 
@@ -219,8 +259,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            for x, y in zip(rows_of(batch.column(2)), rows_of(batch.column(3)), strict=True):
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -271,21 +310,34 @@ def join(df: DataFrame, text: str, key: str, width: int = SHINGLE, percent: int
     their own key. Null keys take part; a component's id leaves them out. Equal
     texts, and repeated keys, link as any others. Other columns are not read."""
     source = df.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    no_id = F.lit(NO_ID).cast(source.schema["id"].dataType)
     rows = stage(features(source, "text", "id", width, percent).withColumn("row", F.monotonically_increasing_id()), "shingles")
     alike = stage(possible(rows), "alike")
     classes = stage(
         alike.groupBy("fingerprint", "size").agg(
-            F.min("row").alias("class"), F.min("id").alias("least_id"), F.min(F.coalesce("id", F.lit(NO_ID))).alias("first_id")
+            F.min("row").alias("class"), F.min("id").alias("least_id"), F.min(F.coalesce("id", no_id)).alias("first_id")
         ),
         "classes",
     )
-    sets = stage(whole_sets(source.withColumn("id", F.coalesce("id", F.lit(NO_ID))), "text", "id", classes, width), "sets")
-    sizes = {r["size"]: r["count"] for r in sets.where(F.col("size") <= 2 * LARGEST_SMALL).groupBy("size").count().collect()}
-    lengths = keyed(sets, 0, percent).groupBy("key").count().agg(F.sum(F.col("count") * F.col("count")), F.sum("count")).first()
-    boundary = choose_boundary(sizes, lengths[0] / lengths[1] if lengths[1] else 0.0, percent)
-    found = class_components(sets, stage(keyed(sets, boundary, percent), "keys"), percent)
+    sets = stage(whole_sets(source.withColumn("id", F.coalesce("id", no_id)), "text", "id", classes, width), "sets")
+    found = class_components(sets, postings(sets, percent), percent)
     placed = classes.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     smallest = placed.groupBy("component").agg(F.min("least_id").alias("component_id"))
     of_print = placed.join(smallest, "component").select("fingerprint", "component_id")
     out = rows.select("id", "size", "fingerprint").join(of_print, "fingerprint", "left")
     return out.select(F.col("id").alias(key), F.col("size").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+
+
+def one_of_each(df: DataFrame, text: str, key: str, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of `df`, all columns, less the near copies: of each component the
+    row with the smallest key stays (of rows with that key, one). Rows with an
+    empty set all stay, but for repeated rows."""
+    padded = F.lpad(F.coalesce(F.col(key).cast("string"), F.lit("null")), 20, "0")
+    tagged = df.withColumn("__tag", F.concat_ws(":", padded, F.hex(F.xxhash64(text)), F.length(text).cast("string")))
+    joined = stage(join(tagged, text, "__tag", width, percent).select("__tag", "component_id"), "components")
+    losers = joined.where("component_id <> __tag").select("__tag").distinct()
+    kept = tagged.join(F.broadcast(losers) if losers.count() <= BROADCAST_LOSERS else losers, "__tag", "left_anti")
+    repeated = joined.where("component_id = __tag").groupBy("__tag").count().where("count > 1").select("__tag")
+    if not repeated.isEmpty():
+        kept = kept.join(repeated, "__tag", "left_anti").unionByName(kept.join(repeated, "__tag").dropDuplicates(["__tag"]))
+    return kept.select(*df.columns)
