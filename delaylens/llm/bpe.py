@@ -17,6 +17,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,13 @@ TASK_WORDS = 200_000
 ENCODE_AT_ONCE = 4096
 
 
+def public_tokenizer(name: str = "byte_bpe_50k.json") -> str:
+    """A public tokenizer's definition, read once on the driver."""
+    import public_tokenizers
+
+    return Path(public_tokenizers.path(name)).read_text(encoding="utf-8")
+
+
 @lru_cache(maxsize=4)
 def load(tokenizer_json: str):
     """The tokenizer without truncation and padding."""
@@ -181,8 +189,8 @@ class SharedWords:
     """A frame's texts cut into words, and the table of its frequent words."""
 
     def __init__(self, df: DataFrame, text: str, keep: list[str], tokenizer_json: str, shared_words: int):
-        self.split = df.select(*keep, words_of(F.col(text), special_tokens(tokenizer_json)).alias("words"))
-        self.words, self.ids = shared_table(self.split, tokenizer_json, shared_words)
+        self.split = df.select(*keep, words_of(F.col(text), special_tokens(tokenizer_json)).alias("__words"))
+        self.words, self.ids = shared_table(self.split.select(F.col("__words").alias("words")), tokenizer_json, shared_words)
         self.tokenizer_json = tokenizer_json
 
     def joined(self, schema, values) -> DataFrame:
@@ -195,7 +203,7 @@ class SharedWords:
             for whole in batches:
                 for at in range(0, whole.num_rows, 500):
                     batch = whole.slice(at, 500)
-                    flat, ends = ids_by_position(batch.column("words"), table)
+                    flat, ends = ids_by_position(batch.column(batch.num_columns - 1), table)
                     yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *values(flat, ends)], names=[f.name for f in schema])
 
         return self.split.mapInArrow(join, schema)
@@ -231,7 +239,7 @@ def decode(df: DataFrame, ids: str, keep: list[str], tokenizer_json: str) -> Dat
             text = [decode_bytes(x or [], pieces).decode() for x in batch.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(text, pa.string())], names=[*keep, "decoded"])
 
-    return df.select(*keep, F.col(ids).alias("ids")).mapInArrow(join, schema)
+    return df.select(*keep, F.col(ids).alias("__ids")).mapInArrow(join, schema)
 
 
 def encode_digests(df: DataFrame, text: str, keep: list[str], tokenizer_json: str, shared_words: int = SHARED_WORDS) -> DataFrame:

@@ -4,11 +4,11 @@ its production parameters, to its whole table."""
 from __future__ import annotations
 
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from delaylens.llm import bpe, decontaminate, hnsw, jaccard, langid, lm, preference, quality, urlfilter, warc
 from delaylens.llm.common import held_out, table
 from delaylens.session import prepare
@@ -30,13 +30,6 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def tokenizer_json(name: str = "byte_bpe_50k.json") -> str:
-    """A public tokenizer's definition, read once on the driver."""
-    import public_tokenizers
-
-    return Path(public_tokenizers.path(name)).read_text(encoding="utf-8")
-
-
 @query("op1_language_id")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id"), 4))
@@ -91,7 +84,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_bpe_word_table")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode_digests(table(spark, sf_dir, "documents"), "text", ["doc_id"], tokenizer_json())
+    return bpe.encode_digests(table(spark, sf_dir, "documents"), "text", ["doc_id"], bpe.public_tokenizer())
 
 
 @query("op8_ngram_jaccard_join")
@@ -134,3 +127,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_hnsw_search")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.search(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("id") % 20 == 0, 20)
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
