@@ -77,7 +77,8 @@ def early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, path, _ = trained(spark, sf_dir)
     train = spark.read.parquet(path)
     before = train.where(F.col("first_seen") < F.lit(FOLDS[0][0]).cast("timestamp_ntz"))
-    fold = train.where(F.col("first_seen").between(*[F.lit(d).cast("timestamp_ntz") for d in FOLDS[0]]))
+    start, end = (F.lit(d).cast("timestamp_ntz") for d in FOLDS[0])
+    fold = train.where((F.col("first_seen") >= start) & (F.col("first_seen") < end))
     config = {**CONFIGS[0], "learning_rate": 0.8}
     stopped, rounds = ml.fit_early_stopping(before, fold, model.spec, config, 12, patience=2)
     part = ml.score(stopped, fold, model.spec)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from delaylens.plans.features import extract
-from delaylens.session import shared_dir
+from delaylens.streaming.traffic import checkpoint_of
 
 
 def extract_in_chunks(
@@ -21,14 +21,15 @@ def extract_in_chunks(
     files_per_chunk: int = 40,
 ) -> None:
     """Runs the row-local stage over all files not seen yet, `files_per_chunk`
-    at a time. The checkpoint remembers finished files and the file sink's log
-    makes a repeated chunk harmless."""
+    at a time. The checkpoint beside `out` remembers finished files, so a later
+    call goes on where the last one ended; the file sink's log makes a repeated
+    chunk harmless."""
     raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_chunk).parquet(path)
     job = (
         extract(raw, weather, reports, scope, holidays)
         .writeStream.format("parquet")
         .option("path", out)
-        .option("checkpointLocation", shared_dir(spark, "extract-log"))
+        .option("checkpointLocation", checkpoint_of(out))
         .trigger(availableNow=True)
         .start()
     )

@@ -51,4 +51,4 @@ def score_stream(
         )
         batch_writer(history_path)(history, batch_id)
 
-    run_available(positions, predict, "score")
+    run_available(positions, predict, history_path)

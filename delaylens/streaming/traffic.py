@@ -12,7 +12,6 @@ from pyspark.sql.types import StructType
 
 from delaylens.constants import SLIDE_SECONDS
 from delaylens.operators.joins import match_sites
-from delaylens.session import shared_dir
 from delaylens.sources.files import parse_states
 
 
@@ -34,13 +33,20 @@ def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     return parse_states(lines, "value")
 
 
-def run_available(df: DataFrame, batch: Callable[[DataFrame, int], None], label: str, mode: str = "append") -> None:
-    """Runs a stream over everything there is, one call of `batch` per
-    micro-batch; its checkpoint lies in the shared folder."""
+def checkpoint_of(target: str) -> str:
+    """Where the stream that fills `target` keeps its progress: beside it, so
+    that both are kept, or thrown away, together."""
+    return f"{target.rstrip('/')}.checkpoint"
+
+
+def run_available(df: DataFrame, batch: Callable[[DataFrame, int], None], target: str, mode: str = "append") -> None:
+    """Runs a stream over everything not seen yet, one call of `batch` per
+    micro-batch. Its checkpoint lies beside `target`: a later call with the same
+    target goes on with new files and new batch ids."""
     job = (
         df.writeStream.outputMode(mode)
         .foreachBatch(batch)
-        .option("checkpointLocation", shared_dir(df.sparkSession, f"{label}-log"))
+        .option("checkpointLocation", checkpoint_of(target))
         .trigger(availableNow=True)
         .start()
     )
@@ -76,7 +82,7 @@ def write_sightings(positions: DataFrame, path: str) -> None:
         cell = (F.floor(F.col("time") / SLIDE_SECONDS) * SLIDE_SECONDS).alias("time")
         batch_writer(path)(match_sites(rows).select("airport", "icao24", cell).distinct(), batch_id)
 
-    run_available(positions, per_cell, "sightings")
+    run_available(positions, per_cell, path)
 
 
 def window_counts(positions: DataFrame, size: int, slide: int = SLIDE_SECONDS) -> DataFrame:

@@ -102,8 +102,11 @@ def test_failed_batch_leaves_others_alone(spark):
         run_batch(broken, target, "b")
     load_batch(spark.range(3), target, "a")
     assert spark.read.parquet(f"{target}/rows").count() == 3
+    with pytest.raises(Exception):
+        run_batch(broken, target, "a")
+    assert spark.read.parquet(f"{target}/rows").count() == 3
     log = {(r["batch_id"], r["status"]) for r in spark.read.parquet(f"{target}/log").collect()}
-    assert log == {("a", "loaded"), ("b", "failed")}
+    assert log == {("a", "loaded"), ("b", "failed"), ("a", "failed")}
 
 
 def test_shared_dir_follows_the_session(spark):
