@@ -1,25 +1,28 @@
-"""Positions: matching to a small fixed set of airports, bounding boxes, motion.
+"""Positions: matching to a list of airports, bounding boxes, motion.
 
-The airport set is a short constant list, so matching is written as unrolled
-column arithmetic: no join, no shuffle, and it stays in generated code. For a
-large site table use operators.joins.grid_match instead.
+A short list is written out as column arithmetic: no join, no shuffle, and it
+stays in generated code. A longer one is a constant array that is gone through
+per row. For a site table use operators.joins.grid_match and nearest_grid.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, functions as F
 
 from delaylens.constants import AIRPORTS, BBOX_MARGIN_DEG, MATCH_RADIUS_DEG, METRES_PER_DEGREE
 
-MAX_INLINE_SITES = 200
+#: Sites written out one by one; more make the generated code too long.
+UNROLLED_SITES = 60
 
 
-def _checked(sites: list[tuple]) -> list[tuple]:
-    if not 0 < len(sites) <= MAX_INLINE_SITES:
-        raise ValueError(f"inline matching takes 1..{MAX_INLINE_SITES} sites; use grid_match for more")
-    return sites
+def _site_array(sites: list[tuple]) -> Column:
+    """All sites as one constant: code, place in the list, latitude, longitude."""
+    return F.array(
+        *[
+            F.struct(F.lit(i).alias("place"), F.lit(s[0]).alias("code"), F.lit(float(s[1])).alias("lat"), F.lit(float(s[2])).alias("lon"))
+            for i, s in enumerate(sites)
+        ]
+    )
 
 
 def near(lat: Column, lon: Column, site_lat: float, site_lon: float, radius: float = MATCH_RADIUS_DEG) -> Column:
@@ -28,9 +31,10 @@ def near(lat: Column, lon: Column, site_lat: float, site_lon: float, radius: flo
 
 def sites_in_range(lat: Column, lon: Column, sites: list[tuple] = AIRPORTS, radius: float = MATCH_RADIUS_DEG) -> Column:
     """Array of every matching site code; one position can match several."""
-    return F.array_compact(
-        F.array(*[F.when(near(lat, lon, s[1], s[2], radius), F.lit(s[0])) for s in _checked(sites)])
-    )
+    if len(sites) <= UNROLLED_SITES:
+        return F.array_compact(F.array(*[F.when(near(lat, lon, s[1], s[2], radius), F.lit(s[0])) for s in sites]))
+    close = F.filter(_site_array(sites), lambda s: (F.abs(lat - s["lat"]) <= radius) & (F.abs(lon - s["lon"]) <= radius))
+    return F.when(lat.isNotNull() & lon.isNotNull(), F.transform(close, lambda s: s["code"]))
 
 
 def nearest_site(lat: Column, lon: Column, sites: list[tuple] = AIRPORTS, metric: str = "degrees") -> Column:
@@ -38,7 +42,13 @@ def nearest_site(lat: Column, lon: Column, sites: list[tuple] = AIRPORTS, metric
 
     metric="degrees" is the plain squared degree distance; "haversine" weighs
     longitude by latitude."""
-    distances = [_distance(lat, lon, s[1], s[2], metric) for s in _checked(sites)]
+    if len(sites) > UNROLLED_SITES:
+        ranked = F.transform(
+            _site_array(sites),
+            lambda s: F.struct(_distance(lat, lon, s["lat"], s["lon"], metric).alias("distance"), s["place"].alias("place"), s["code"].alias("code")),
+        )
+        return F.when(lat.isNotNull() & lon.isNotNull(), F.array_min(ranked)["code"])
+    distances = [_distance(lat, lon, F.lit(s[1]), F.lit(s[2]), metric) for s in sites]
     best = distances[0] if len(distances) == 1 else F.least(*distances)
     code = F.lit(None).cast("string")
     for site, distance in reversed(list(zip(sites, distances))):
@@ -46,14 +56,14 @@ def nearest_site(lat: Column, lon: Column, sites: list[tuple] = AIRPORTS, metric
     return code
 
 
-def _distance(lat: Column, lon: Column, site_lat: float, site_lon: float, metric: str) -> Column:
+def _distance(lat: Column, lon: Column, site_lat: Column, site_lon: Column, metric: str) -> Column:
     if metric == "degrees":
-        dlat, dlon = lat - F.lit(site_lat), lon - F.lit(site_lon)
+        dlat, dlon = lat - site_lat, lon - site_lon
         return dlat * dlat + dlon * dlon
     if metric == "haversine":
-        half_lat = F.sin(F.radians(lat - F.lit(site_lat)) / 2)
-        half_lon = F.sin(F.radians(lon - F.lit(site_lon)) / 2)
-        return half_lat * half_lat + F.cos(F.radians(lat)) * F.lit(math.cos(math.radians(site_lat))) * half_lon * half_lon
+        half_lat = F.sin(F.radians(lat - site_lat) / 2)
+        half_lon = F.sin(F.radians(lon - site_lon) / 2)
+        return half_lat * half_lat + F.cos(F.radians(lat)) * F.cos(F.radians(site_lat)) * half_lon * half_lon
     raise ValueError(f"unknown metric {metric!r}")
 
 

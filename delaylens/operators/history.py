@@ -66,11 +66,15 @@ def snapshot_delta(
 def change_series(df: DataFrame, entity: str, time: str, score: str) -> DataFrame:
     """Change against the entity's previous snapshot, over the whole history.
 
-    The previous snapshot of a time is looked up by rank of the distinct times
-    (few, one per poll), so an entity's history is never ordered in one task."""
-    times = df.select(time).distinct()
-    order = Window.orderBy(time)
-    previous = times.select(time, F.lag(time).over(order).alias("_prev"))
+    The previous snapshot of a time is looked up among the distinct times, day by
+    day; the first of a day follows the last of the newest day before it (one row
+    a day), so neither an entity's history nor the times are ordered in one task."""
+    day = F.floor(F.col(time) / 86400) if dict(df.dtypes)[time] in ("bigint", "int", "double") else F.unix_date(F.to_date(time))
+    times = df.select(time, day.alias("_day")).distinct()
+    days = times.groupBy("_day").agg(F.max(time).alias("_last"))
+    before_day = days.select("_day", F.lag("_last").over(Window.orderBy("_day")).alias("_last_before"))
+    in_day = Window.partitionBy("_day").orderBy(time)
+    previous = times.withColumn("_lag", F.lag(time).over(in_day)).join(before_day, "_day").select(time, F.coalesce("_lag", "_last_before").alias("_prev"))
     now = df.join(previous, time)
     before = df.select(F.col(entity), F.col(time).alias("_prev"), F.col(score).alias("_before"))
     pct = percent_half_up

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from delaylens.functions.calendar import hour_floor
 from delaylens.functions.geo import nearest_site, sites_in_range
 from delaylens.constants import AIRPORTS, MATCH_RADIUS_DEG
+from delaylens.session import stage
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -29,17 +30,24 @@ def hourly_lookup_join(
     ts: str = "first_seen",
     lookup_key: str = "airport",
     lookup_hour: str = "hour",
+    newest: str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Left join on (key, hour of ts); unmatched rows get nulls.
 
     `lookup_hour` is a timestamp or the text form YYYY-MM-DDTHH:00. Duplicate
     lookup hours would multiply rows, so one row per (key, hour) is kept, as a
-    keyed lookup does."""
+    keyed lookup does: the one that is greatest in the column `newest`, or in the
+    values where none is named. `unique=True` says that the lookup has one row per
+    hour already and saves that shuffle."""
     hour = F.col(lookup_hour)
     if dict(lookup.dtypes)[lookup_hour] == "string":
         hour = F.to_timestamp_ntz(hour, F.lit("yyyy-MM-dd'T'HH:mm"))
-    small = lookup.select(F.col(lookup_key).alias(key), hour.alias("_hour"), *values)
-    small = small.groupBy(key, "_hour").agg(F.max(F.struct(*values)).alias("_v")).select(key, "_hour", "_v.*")
+    small = lookup.select(F.col(lookup_key).alias(key), hour.alias("_hour"), *values, *([F.col(newest).alias("_newest")] if newest else []))
+    if not unique:
+        ranked = F.struct(*(["_newest"] if newest else []), *values)
+        small = small.groupBy(key, "_hour").agg(F.max(ranked).alias("_v")).select(key, "_hour", "_v.*")
+    small = small.drop("_newest")
     return df.withColumn("_hour", hour_floor(F.col(ts))).join(small, [key, "_hour"], "left").drop("_hour")
 
 
@@ -83,6 +91,58 @@ def grid_match(
     return cells.join(spread, ["_cx", "_cy", "_salt"]).where(close).drop("_cx", "_cy", "_salt")
 
 
+def nearest_grid(
+    df: DataFrame,
+    sites: DataFrame,
+    key: str,
+    site: str,
+    lat: str = "lat",
+    lon: str = "lon",
+    site_lat: str = "site_lat",
+    site_lon: str = "site_lon",
+    order: str | None = None,
+    side: float = 1.0,
+    salt: int = 8,
+) -> DataFrame:
+    """(key, site): the closest site of a table of any size by squared degree
+    distance, ties by `order` (the site itself by default).
+
+    Rings of cells: a site within one cell side lies in the 3x3 cells around a
+    position, so the best found there is final if it is that near. What is left
+    looks again in cells four times as wide, until one ring spans the earth. Each
+    round is a salted equi-join; what is left is written to the shared folder.
+    `key` must tell positions apart; null positions, and all of them if there is
+    no site, are left out."""
+    rest = df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(F.col(key).alias("_key"), F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
+    places = sites.select(F.col(site).alias("_site"), F.col(site_lat).alias("lat"), F.col(site_lon).alias("lon"), F.col(order or site).alias("_order"))
+    found = None
+    around = F.array(*[F.lit(d) for d in (-1, 0, 1)])
+    while True:
+        cells = rest.withColumns(
+            {"_cx": F.floor(F.col("_lat") / side), "_cy": F.floor(F.col("_lon") / side), "_salt": F.pmod(F.xxhash64("_key"), F.lit(salt))}
+        )
+        spread = (
+            places.withColumn("_dx", F.explode(around))
+            .withColumn("_dy", F.explode(around))
+            .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
+            .withColumns({"_cx": F.floor(F.col("lat") / side) + F.col("_dx"), "_cy": F.floor(F.col("lon") / side) + F.col("_dy")})
+        )
+        dlat, dlon = F.col("_lat") - F.col("lat"), F.col("_lon") - F.col("lon")
+        distance = (dlat * dlat + dlon * dlon).alias("distance")
+        best = cells.join(spread, ["_cx", "_cy", "_salt"]).groupBy("_key").agg(F.min(F.struct(distance, "_order", "_site")).alias("best"))
+        last = side > 720
+        near = best if last else best.where(F.col("best.distance") <= side * side)
+        near = stage(near.select("_key", F.col("best._site").alias("_site")), "nearest")
+        found = near if found is None else found.union(near)
+        if last:
+            break
+        rest = stage(rest.join(near.select("_key"), "_key", "left_anti"), "unplaced")
+        if rest.isEmpty():
+            break
+        side *= 4
+    return found.select(F.col("_key").alias(key), F.col("_site").alias(site))
+
+
 def lookup_registry(df: DataFrame, registry: DataFrame, key: str = "icao24") -> DataFrame:
     """Aircraft attributes by lower-case id; null where unknown. `registry` has
     one row per id (sources.files.load_registry keeps the first)."""
@@ -164,15 +224,14 @@ NO_PREDICTIONS = "no predictions yet"
 NO_CONTEXT = "no context for airport"
 
 
-def entity_context(positions: DataFrame, registry: DataFrame, context: DataFrame) -> DataFrame:
+def entity_context(positions: DataFrame, registry: DataFrame, context: DataFrame, sites: list[tuple] = AIRPORTS) -> DataFrame:
     """Each aircraft with its registry entry and the nearest airport's latest
     context, or the first reason why it cannot be scored (`reason` is null for
     the rows that can).
 
-    `context` has one row per airport, at most the fixed airport set, so it is
-    broadcast."""
+    `context` has at most one row per listed site, so it is broadcast."""
     have_predictions = context.agg(F.count("*")).scalar() > 0
-    located = lookup_registry(positions, registry).withColumn("nearest_airport", nearest_site(F.col("lat"), F.col("lon")))
+    located = lookup_registry(positions, registry).withColumn("nearest_airport", nearest_site(F.col("lat"), F.col("lon"), sites))
     side = F.broadcast(
         context.select(F.col("airport").alias("nearest_airport"), F.struct(*context.columns).alias("context"))
     )

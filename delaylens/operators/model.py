@@ -32,14 +32,14 @@ from delaylens.session import ensure_checkpoint_dir
 OTHER = "(other)"
 MISSING = "(missing)"
 SENTINEL = -9999.0
-MAX_CATEGORIES = 60
-MAX_BINS = 64
+#: Split candidates of a number; a category with more values raises it.
+LEAST_BINS = 255
 
 
 @dataclass
 class FeatureSpec:
-    """What the model sees: columns, label, time, and the kept values of each
-    category (the most frequent ones; others share one value)."""
+    """What the model sees: columns, label, time, and the values of each category
+    that training rows have (unseen ones share one value)."""
 
     numeric: list[str] = field(default_factory=lambda: [c for c in FEATURE_COLUMNS if c not in CATEGORICAL_COLUMNS])
     categorical: list[str] = field(default_factory=lambda: list(CATEGORICAL_COLUMNS))
@@ -51,20 +51,25 @@ class FeatureSpec:
     def names(self) -> list[str]:
         return self.categorical + self.numeric
 
+    @property
+    def bins(self) -> int:
+        """Room for every value of the largest category, unseen and missing ones."""
+        return max(LEAST_BINS, 3 + max((len(v) for v in self.kept.values()), default=0))
+
 
-def learn_categories(df: DataFrame, spec: FeatureSpec, limit: int = MAX_CATEGORIES) -> FeatureSpec:
-    """Keeps the `limit` most frequent values per category; the list that
-    reaches the driver has that bound."""
+def learn_categories(df: DataFrame, spec: FeatureSpec) -> FeatureSpec:
+    """Keeps every value of each category. Categories are dimensions (airports,
+    aircraft types): their lists fit the driver, as the indexer needs them there."""
     kept = {}
     for c in spec.categorical:
         counts = df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("v")).count()
-        kept[c] = [r["v"] for r in counts.orderBy(F.col("count").desc(), "v").limit(limit).collect()]
+        kept[c] = [r["v"] for r in counts.orderBy(F.col("count").desc(), "v").collect()]
     return FeatureSpec(spec.numeric, spec.categorical, spec.label, spec.time, kept)
 
 
 def prepare(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Casts features to what the trees can split: categories as text with
-    missing and rare values named, numbers with missing ones far below all
+    missing and unseen values named, numbers with missing ones far below all
     others, so that one split can set them apart."""
     out = {}
     for c in spec.categorical:
@@ -99,7 +104,7 @@ def _pipeline(spec: FeatureSpec, config: dict, rounds: int) -> Pipeline:
         featuresCol="features",
         weightCol="_weight",
         maxIter=rounds,
-        maxBins=MAX_BINS,
+        maxBins=spec.bins,
         subsamplingRate=0.8,
         featureSubsetStrategy="0.8",
         seed=42,

@@ -60,7 +60,8 @@ def sliding_distinct_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return traffic.sliding_distinct_direct(traffic.sightings(positions(spark, sf_dir)), 3600)
 
 
-def _current(carry_forward: bool) -> str:
+def current_sql(carry_forward: bool) -> str:
+    """Reads the adapters airports, positions and sightings."""
     newest = "" if carry_forward else " AND window_end = (latest + 300) // 300 * 300"
     picks = ", ".join(
         f"coalesce((SELECT arg_max(n, window_end) FROM (SELECT airport AS a, window_end, count(DISTINCT icao24) AS n FROM "
@@ -68,7 +69,11 @@ def _current(carry_forward: bool) -> str:
         f"WHERE c.a = airports.airport AND window_end <= latest + 300{newest}), 0) AS traffic_{h}h"
         for h in (1, 3)
     )
-    return with_cte("airports positions sightings", f"SELECT airport, {picks} FROM airports")
+    return f"SELECT airport, {picks} FROM airports"
+
+
+def _current(carry_forward: bool) -> str:
+    return with_cte("airports positions sightings", current_sql(carry_forward))
 
 
 def _current_window(spark: SparkSession, sf_dir: str, carry_forward: bool) -> DataFrame:

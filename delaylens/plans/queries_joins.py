@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from delaylens.functions import geo
 from delaylens.functions.text import aircraft_line
+from delaylens.constants import TRAFFIC_WINDOWS
 from delaylens.operators import joins
-from delaylens.operators.history import latest_state
+from delaylens.operators.history import current_window, latest_state
+from delaylens.operators.traffic import rolling_counts, sightings
 from delaylens.plans.catalog import query
+from delaylens.plans.queries_history import current_sql
 from delaylens.plans.testdata import (
     airports,
     flights,
@@ -66,6 +69,21 @@ def proximity_grid_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.grid_match(positions(spark, sf_dir), airports(spark)).select("event_id", "icao24", "airport")
 
 
+@query(
+    "nearest_grid",
+    with_cte(
+        "positions",
+        "SELECT event_id, site FROM (SELECT event_id, site, row_number() OVER (PARTITION BY event_id ORDER BY "
+        "(lat - site_lat) * (lat - site_lat) + (lon - site_lon) * (lon - site_lon), site) AS rn "
+        f"FROM positions, ({_SITES} FROM supplier) s WHERE lat IS NOT NULL) q WHERE rn = 1",
+    ),
+)
+def nearest_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The closest site of a table to every position, by rings of grid cells."""
+    sites = table(spark, sf_dir, "supplier").selectExpr(*_SITES.removeprefix("SELECT ").split(", "))
+    return joins.nearest_grid(positions(spark, sf_dir), sites, "event_id", "site")
+
+
 @query(
     "nearest_airport",
     with_cte(
@@ -102,39 +120,35 @@ def _latest_per_airport(df: DataFrame, hour: str, values: list[str]) -> DataFram
 
 
 def _context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Merged live inputs per airport from the newest hour of each source. The
-    report side lacks precipitation and one airport, rolling counts exist for
-    two airports only."""
-    report = _latest_per_airport(
-        reports(spark, sf_dir).where("airport <> 'EHAM'"), "hour", ["visibility_mi", "ceiling_ft", "flight_category"]
-    ).withColumns({"temperature_2m": F.col("visibility_mi") - 3, "wind_speed_10m": F.col("ceiling_ft") / 100})
+    """Merged live inputs per airport: the newest hour of each source, the rolling
+    windows that end now (airports without one have no row), and the newest
+    snapshot. The report side lacks precipitation."""
+    report = _latest_per_airport(reports(spark, sf_dir), "hour", ["visibility_mi", "ceiling_ft", "flight_category"]).withColumns({"temperature_2m": F.col("visibility_mi") - 3, "wind_speed_10m": F.col("ceiling_ft") / 100})
     model = _latest_per_airport(weather(spark, sf_dir), "time", ["temperature_2m", "precipitation", "wind_speed_10m"])
-    traffic = (
-        flights(spark, sf_dir)
-        .where("adep in ('EDDF', 'EGLL')")
-        .groupBy(F.col("adep").alias("airport"))
-        .agg(F.count_distinct("icao24").alias("traffic_1h"), F.count_distinct("flight_id").alias("traffic_3h"))
-    )
-    instant = joins.match_sites(positions(spark, sf_dir)).groupBy("airport").agg(F.count("*").alias("live_traffic_count"))
+    seen = positions(spark, sf_dir)
+    latest = seen.agg(F.max("time")).scalar()
+    counts = rolling_counts(sightings(seen), latest=latest)
+    traffic = current_window(counts, airports(spark).select("airport"), latest, list(TRAFFIC_WINDOWS)).where("traffic_3h > 0")
+    now = joins.match_sites(latest_state(seen))
+    instant = now.groupBy("airport").agg(F.count_distinct("icao24").alias("live_traffic_count"))
     return joins.live_context(airports(spark), report, model, traffic, instant)
 
 
 _CONTEXT_CTE = (
     "rep AS (SELECT airport, arg_max(visibility_mi, hour) AS visibility_mi, arg_max(ceiling_ft, hour) AS ceiling_ft, "
-    "arg_max(flight_category, hour) AS flight_category FROM reports WHERE airport <> 'EHAM' GROUP BY 1), "
+    "arg_max(flight_category, hour) AS flight_category FROM reports GROUP BY 1), "
     "mod AS (SELECT airport, arg_max(temperature_2m, time) AS t, arg_max(precipitation, time) AS p, "
     "arg_max(wind_speed_10m, time) AS w FROM weather GROUP BY 1), "
-    "tra AS (SELECT adep AS airport, count(DISTINCT icao24) AS a, count(DISTINCT flight_id) AS b FROM flights "
-    "WHERE adep IN ('EDDF', 'EGLL') GROUP BY 1), "
-    "ins AS (SELECT airport, count(*) AS n FROM positions JOIN airports ON abs(lat - site_lat) <= 0.5 "
-    "AND abs(lon - site_lon) <= 0.5 GROUP BY 1), "
+    "tra AS (SELECT airport, traffic_1h AS a, traffic_3h AS b FROM (" + current_sql(False) + ") t WHERE traffic_3h > 0), "
+    "ins AS (SELECT airport, count(DISTINCT icao24) AS n FROM positions JOIN airports ON abs(lat - site_lat) <= 0.5 "
+    "AND abs(lon - site_lon) <= 0.5 WHERE time = (SELECT max(time) FROM positions) GROUP BY 1), "
     "context AS (SELECT airport, ordinal, coalesce(n, 0) AS live_traffic_count, coalesce(a, n, 0) AS traffic_1h, "
     "coalesce(b, n, 0) AS traffic_3h, round(coalesce(visibility_mi - 3, t), 6) AS temperature_2m, "
     "round(coalesce(ceiling_ft / 100, w), 6) AS wind_speed_10m, round(p, 6) AS precipitation, flight_category "
     "FROM airports LEFT JOIN rep USING (airport) LEFT JOIN mod USING (airport) LEFT JOIN tra USING (airport) "
     "LEFT JOIN ins USING (airport)) "
 )
-_CONTEXT_NEEDS = "airports flights positions weather reports"
+_CONTEXT_NEEDS = "airports flights positions sightings weather reports"
 
 
 def _with_context(body: str) -> str:

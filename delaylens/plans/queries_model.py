@@ -139,7 +139,7 @@ def entity_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     aircraft's own type; the others keep their reason."""
     model, _, _ = trained(spark, sf_dir)
     registry = load_registry(registry_rows(spark, sf_dir), "p_partkey")
-    context = _context(spark, sf_dir).where("airport in ('EDDF', 'EGLL', 'EHAM', 'EPWA')")
+    context = _context(spark, sf_dir)
     found = entity_context(positions(spark, sf_dir), registry, context)
     usable = found.where("reason is null").select("event_id", "icao24", F.col("registry.typecode").alias("typecode"), "context.*")
     scored = score_context(_live(spark, sf_dir, usable), model)

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from delaylens.functions import geo
 from delaylens.operators import joins, prefix, rolling, traffic
 from delaylens.operators.history import last_n_track
 
@@ -100,3 +101,33 @@ def test_track_keeps_the_last_positions(spark):
     rows = spark.createDataFrame([("a", t, float(t)) for t in range(40)], "icao24 string, time int, lat double")
     (track,) = last_n_track(rows, "icao24", "time", ["lat"], 15).collect()
     assert [p["lat"] for p in track["track"]] == [float(t) for t in range(25, 40)]
+
+
+def many_sites(n=400):
+    rng = np.random.default_rng(4)
+    return [(f"S{i:03d}", float(a), float(o)) for i, (a, o) in enumerate(zip(rng.uniform(35, 60, n), rng.uniform(-10, 25, n)))]
+
+
+def test_four_hundred_sites(spark):
+    """Inline forms, grid forms and plain loops agree, ties to the first listed."""
+    sites = many_sites()
+    sites.append(("TWIN", *sites[7][1:]))
+    rng = np.random.default_rng(5)
+    points = [(i, float(a), float(o)) for i, (a, o) in enumerate(zip(rng.uniform(30, 65, 300), rng.uniform(-60, 40, 300)))]
+    points += [(300, *sites[7][1:]), (301, None, 3.0)]
+    df = spark.createDataFrame(points, "id int, lat double, lon double").cache()
+    table = spark.createDataFrame([(i, *s) for i, s in enumerate(sites)], "place int, site string, site_lat double, site_lon double")
+    near = {i: min(range(len(sites)), key=lambda k: ((a - sites[k][1]) ** 2 + (o - sites[k][2]) ** 2, k)) for i, a, o in points[:-1]}
+    inline = df.select("id", geo.nearest_site(F.col("lat"), F.col("lon"), sites).alias("site"))
+    assert {r.id: r.site for r in inline.collect()} == {**{i: sites[k][0] for i, k in near.items()}, 301: None}
+    grid = joins.nearest_grid(df, table, "id", "site", order="place")
+    assert {r.id: r.site for r in grid.collect()} == {i: sites[k][0] for i, k in near.items()}
+    same(joins.match_sites(df, sites=sites).select("id", "airport"), joins.grid_match(df, table).select("id", F.col("site").alias("airport")))
+
+
+def test_changes_across_days(spark):
+    from delaylens.operators.history import change_series
+
+    rows = [("A", 10, 0.1), ("A", 86000, 0.2), ("A", 3 * 86400, 0.3), ("B", 10, 0.5), ("B", 3 * 86400, 0.9), ("A", 3 * 86400 + 5, 0.3)]
+    got = change_series(spark.createDataFrame(rows, "airport string, time bigint, risk double"), "airport", "time", "risk").collect()
+    assert {(r.airport, r.time, r.from_pct, r.to_pct) for r in got} == {("A", 86000, 10, 20), ("A", 3 * 86400, 20, 30)}
