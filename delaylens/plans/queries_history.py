@@ -8,7 +8,7 @@ from delaylens.constants import FEATURE_LABELS, TRAFFIC_WINDOWS
 from delaylens.functions import text
 from delaylens.operators import history, traffic
 from delaylens.plans.catalog import query
-from delaylens.plans.testdata import airports, flights, positions, predictions, table, with_cte
+from delaylens.plans.testdata import airports, flights, positions, predictions, table, weather, with_cte
 
 _SLIDE = (
     "SELECT airport, icao24, unnest(generate_series(CAST(floor(time / 300) AS BIGINT) + 1, CAST(floor(time / 300) AS BIGINT) + {n})) * 300 "
@@ -274,65 +274,86 @@ def top_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("flight_id", F.array_join(lines, ";").alias("factors"))
 
 
+# each airport's newest weather hour, and drivers ranked by what stands out in it
+_STATION = (
+    "station AS (SELECT airport, arg_max(round(temperature_2m, 2), time) AS temp, arg_max(round(wind_speed_10m, 2), time) AS wind, "
+    "arg_max(round(precipitation, 2), time) AS rain FROM weather GROUP BY 1)"
+)
+_DRIVERS = {"wind_speed_10m": ("wind", "(wind - 50) / 100"), "temperature_2m": ("temp", "(20 - temp) / 90"), "traffic_1h": ("n", "(n - 3) / 70")}
+_SHOWN_SQL = {
+    "wind_speed_10m": "printf('%.1f km/h', wind)",
+    "temperature_2m": "printf('%.1f°C', temp)",
+    "traffic_1h": "concat(CAST(n AS BIGINT), ' aircraft')",
+}
+_DRIVER_ROWS = " UNION ALL ".join(
+    f"SELECT airport, {i} AS pos, '{FEATURE_LABELS[name]}' AS l, CAST({effect} AS DOUBLE) AS c, {_SHOWN_SQL[name]} AS v FROM seen"
+    for i, (name, (_, effect)) in enumerate(_DRIVERS.items())
+)
+_SEEN = (
+    f"{_LATEST_RISK}, {_STATION}, seen AS (SELECT airport, ordinal, risk_score, n, temp, wind, rain FROM airports JOIN latest USING (airport) "
+    "LEFT JOIN station USING (airport)), drivers AS (SELECT airport, coalesce(string_agg(concat(l, ' (', v, ') ', "
+    "CASE WHEN c > 0 THEN 'increases' ELSE 'decreases' END, ' risk'), '; ' ORDER BY rn) FILTER (rn <= {top} AND abs(c) > 0.000001), '') AS d FROM "
+    f"(SELECT *, row_number() OVER (PARTITION BY airport ORDER BY abs(c) DESC NULLS LAST, pos) AS rn FROM ({_DRIVER_ROWS}) x) y GROUP BY airport)"
+)
+_WEATHER_SQL = (
+    "concat('wind ', coalesce(CAST(wind AS VARCHAR) || ' km/h', 'n/a'), ', temp ', coalesce(CAST(temp AS VARCHAR) || 'C', 'n/a'), "
+    "', precip ', coalesce(CAST(rain AS VARCHAR) || ' mm', 'n/a'))"
+)
+_BAND_SQL = "CASE WHEN risk_score < 0.25 THEN 'low' WHEN risk_score < 0.40 THEN 'medium' ELSE 'high' END"
+_PCT_SQL = "CAST(CAST(round_even(risk_score * 100, 0) AS BIGINT) AS VARCHAR)"
+
+
+def _seen_sql(top: int, body: str) -> str:
+    head = with_cte("airports flights weather predictions", "SELECT 1").removesuffix(" SELECT 1")
+    return f"{head}, {_SEEN.format(top=top)} {body}"
+
+
+def _with_drivers(spark: SparkSession, sf_dir: str, top: int) -> DataFrame:
+    """Each airport's newest risk and traffic, its newest weather hour as a line,
+    and its strongest drivers."""
+    newest = weather(spark, sf_dir).groupBy("airport").agg(
+        *[F.max_by(F.round(c, 2), "time").alias(a) for c, a in (("temperature_2m", "temp"), ("wind_speed_10m", "wind"), ("precipitation", "rain"))]
+    )
+    seen = _latest_risk(spark, sf_dir).join(newest, "airport", "left")
+    shown = F.array(*[text.format_value(F.lit(name), F.col(column).cast("double")) for name, (column, _) in _DRIVERS.items()])
+    effects = F.array(*[F.expr(effect).cast("double") for _, effect in _DRIVERS.values()])
+    # an airport without weather has no effect of it
+    known = F.transform(effects, lambda e: F.coalesce(e, F.lit(0.0)))
+    drivers = history.top_factors(seen, list(_DRIVERS), known, shown, F.lit(False), top)
+    return seen.select(
+        "airport", "risk_score", "n", text.weather_line(F.col("wind"), F.col("temp"), F.col("rain")).alias("weather"), drivers.alias("drivers")
+    )
+
+
 @query(
     "risk_summary_line",
-    with_cte("airports flights predictions", "SELECT 1").removesuffix(" SELECT 1")
-    + f", {_LATEST_RISK} SELECT airport, concat(airport, ': risk ', CAST(CAST(round_even(risk_score * 100, 0) AS BIGINT) AS VARCHAR), '% (', "
-    "CASE WHEN risk_score < 0.25 THEN 'low' WHEN risk_score < 0.40 THEN 'medium' ELSE 'high' END, '), ', CAST(n AS VARCHAR), "
-    "' aircraft nearby, wind ', CASE WHEN ordinal = 2 THEN 'n/a' ELSE '12.5 km/h' END, ', temp ', CAST(ordinal AS VARCHAR), 'C, precip n/a', "
-    "CASE WHEN ordinal = 0 THEN '' ELSE concat(', top model drivers: wind speed (12.5 km/h) increases risk; aircraft type (A320) decreases risk') END) "
-    "AS line FROM airports JOIN latest USING (airport)",
+    _seen_sql(
+        2,
+        f"SELECT airport, concat(airport, ': risk ', {_PCT_SQL}, '% (', {_BAND_SQL}, '), ', CAST(n AS VARCHAR), ' aircraft nearby, ', {_WEATHER_SQL}, "
+        "CASE WHEN d = '' THEN '' ELSE concat(', top model drivers: ', d) END) AS line FROM seen JOIN drivers USING (airport)",
+    ),
 )
 def risk_summary_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text line per airport with its two strongest drivers."""
-
-    def factor(name: str, value: str, direction: str):
-        return F.struct(
-            F.lit(name).alias("feature"),
-            text.feature_label(F.lit(name)).alias("label"),
-            F.lit(value).alias("value"),
-            F.lit(0.1).alias("contribution"),
-            F.lit(direction).alias("direction"),
-        )
-
-    factors = F.array(
-        factor("wind_speed_10m", "12.5 km/h", "increases"),
-        factor("typecode", "A320", "decreases"),
-        factor("month", "Jan", "increases"),
-    )
-    weather = text.weather_line(
-        F.when(F.col("ordinal") != 2, F.lit(12.5)), F.col("ordinal"), F.lit(None).cast("double")
-    )
-    line = text.risk_line(
-        F.col("airport"), F.col("risk_score"), F.col("n"), weather, F.when(F.col("ordinal") != 0, factors), top=2
-    )
-    return _latest_risk(spark, sf_dir).select("airport", line.alias("line"))
+    rows = _with_drivers(spark, sf_dir, 2)
+    line = text.risk_line(*[F.col(c) for c in ("airport", "risk_score", "n", "weather", "drivers")], top=2)
+    return rows.select("airport", line.alias("line"))
 
 
 @query(
     "airport_brief",
-    with_cte("airports flights predictions", "SELECT 1").removesuffix(" SELECT 1")
-    + f", {_LATEST_RISK} SELECT airport, concat('Airport: ', airport, chr(10), 'Current risk: ', CAST(CAST(round_even(risk_score * 100, 0) AS BIGINT) "
-    "AS VARCHAR), '% (', CASE WHEN risk_score < 0.25 THEN 'low' WHEN risk_score < 0.40 THEN 'medium' ELSE 'high' END, ')', chr(10), "
-    "'Live traffic nearby: ', CAST(n AS VARCHAR), ' aircraft', chr(10), 'Weather: wind n/a, temp n/a, precip n/a', chr(10), "
-    "'Top model-identified risk drivers for this exact prediction:', chr(10), "
-    "'- no strong individual driver identified (all features near neutral for this prediction)', chr(10), "
-    "'Risk over roughly the last hour (oldest to newest, %): ', series) AS brief FROM airports JOIN latest USING (airport) JOIN "
-    "(SELECT airport, string_agg(CAST(CAST(round_even(risk_score * 100, 0) AS BIGINT) AS VARCHAR), ', ' ORDER BY time) AS series "
-    f"FROM ({_RECENT}) p GROUP BY airport) t USING (airport)",
+    _seen_sql(
+        3,
+        f"SELECT airport, concat_ws(chr(10), 'airport: ' || airport, concat('risk: ', {_PCT_SQL}, '% ', {_BAND_SQL}), concat('traffic: ', n), "
+        f"concat('weather: ', {_WEATHER_SQL}), concat('drivers: ', CASE WHEN d = '' THEN 'none' ELSE d END), concat('trend: ', series)) AS brief "
+        "FROM seen JOIN drivers USING (airport) JOIN (SELECT airport, string_agg("
+        f"CAST(CAST(round_even(risk_score * 100, 0) AS BIGINT) AS VARCHAR), ' ' ORDER BY time) AS series FROM ({_RECENT}) p GROUP BY airport) t USING (airport)",
+    ),
 )
 def airport_brief(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The text about each airport with its trend; no drivers are given."""
-    nothing = F.lit(None).cast("double")
-    rows = _latest_risk(spark, sf_dir).join(history.risk_trend(predictions(spark, sf_dir)), "airport")
-    brief = text.airport_brief(
-        F.col("airport"),
-        F.col("risk_score"),
-        F.col("n"),
-        text.weather_line(nothing, nothing, nothing),
-        F.lit(None),
-        F.col("series"),
-    )
+    """The text about each airport with its drivers and trend."""
+    rows = _with_drivers(spark, sf_dir, 3).join(history.risk_trend(predictions(spark, sf_dir)), "airport")
+    brief = text.airport_brief(*[F.col(c) for c in ("airport", "risk_score", "n", "weather", "drivers", "series")])
     return rows.select("airport", brief.alias("brief"))
 
 
