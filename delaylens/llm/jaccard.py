@@ -17,7 +17,9 @@ Every link between different sets is found or made certain by other links:
 4. Lists are not expanded into all pairs. In hub rounds each member of a list is
    compared with one member only; groups of near copies melt into one component.
    The last round compares all pairs of a list that are still in different
-   components, so no link between components is lost.
+   components, so no link between components is lost. A pair is only compared
+   where enough elements are left from the shared one on, in both orders, for the
+   overlap that the two sizes need.
 """
 
 from __future__ import annotations
@@ -35,14 +37,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from delaylens.llm.common import schema_with
+from delaylens.llm.common import schema_with, unit_hash
 from delaylens.llm.graph import components
 from delaylens.session import stage
 
 SHINGLE = 4
 #: Similarity in hundredths.
 PERCENT = 85
-HUB_ROUNDS = 3
+HUB_ROUNDS = 5
 #: Classes whose ids are sent to all tasks at most (8 bytes each); above it the
 #: texts are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
@@ -189,16 +191,17 @@ def choose_boundary(counts: dict[int, int], list_length: float, percent: int) ->
 
 
 def rare_postings(sets: DataFrame, percent: int) -> DataFrame:
-    """(key, class, size): each class's prefix in order of rarity. Elements of one
-    class only come first; a class whose prefix is full of them has no posting,
-    for it can link with nothing."""
+    """(key, class, size, place): each class's prefix in order of rarity, and each
+    element's place in that order. Elements of one class only come first; a class
+    whose prefix is full of them has no posting, for it can link with nothing."""
     every = sets.select("class", "size", F.explode("hashes").alias("key"))
     shared = every.groupBy("key").count().where("count > 1")
     own = W.partitionBy("class")
     ranked = every.join(shared, "key").select(
         "key", "class", "size", F.row_number().over(own.orderBy("count", "key")).alias("rank"), F.count("*").over(own).alias("shared")
     )
-    return ranked.where(F.col("rank") <= prefix_sql(F.col("size"), percent) - (F.col("size") - F.col("shared"))).select("key", "class", "size")
+    placed = ranked.withColumn("place", F.col("size") - F.col("shared") + F.col("rank"))
+    return placed.where(F.col("place") <= prefix_sql(F.col("size"), percent)).select("key", "class", "size", "place")
 
 
 def prefix_sql(size, percent: int):
@@ -219,7 +222,7 @@ def subset_keys(hashes: np.ndarray, boundary: int, percent: int) -> np.ndarray:
 
 
 def subset_postings(sets: DataFrame, boundary: int, percent: int) -> DataFrame:
-    """(key, class, size) of the small sets' subsets."""
+    """(key, class, size, place) of the small sets' subsets; place says nothing."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,7 +231,7 @@ def subset_postings(sets: DataFrame, boundary: int, percent: int) -> DataFrame:
 
     small = sets.where(F.col("size") <= boundary).select("class", "size", "hashes")
     made = small.mapInArrow(make, "class long, size long, keys array<long>")
-    return made.select(F.explode("keys").alias("key"), "class", "size")
+    return made.select(F.explode("keys").alias("key"), "class", "size", F.lit(1).cast("long").alias("place"))
 
 
 def rows_of(lists: pa.Array) -> list[np.ndarray]:
@@ -239,8 +242,8 @@ def rows_of(lists: pa.Array) -> list[np.ndarray]:
 
 
 def postings(sets: DataFrame, percent: int) -> DataFrame:
-    """(key, class, size): the signatures of all classes; any two that link have
-    a key in common."""
+    """(key, class, size, place): the signatures of all classes; any two that
+    link have a key in common at places that pass `may_link`."""
     lists = stage(rare_postings(sets, percent), "lists")
     lengths = lists.groupBy("key").count().agg(F.sum(F.col("count") * F.col("count")), F.sum("count")).first()
     sizes = {r["size"]: r["count"] for r in sets.where(F.col("size") <= 2 * LARGEST_SMALL).groupBy("size").count().collect()}
@@ -249,8 +252,14 @@ def postings(sets: DataFrame, percent: int) -> DataFrame:
     return stage(scanned.union(subset_postings(sets, boundary, percent)), "keys")
 
 
-def close_sizes(a: str, b: str, percent: int):
-    return (F.col(a) * percent <= F.col(b) * 100) & (F.col(b) * percent <= F.col(a) * 100)
+def may_link(percent: int):
+    """Of a joined pair of postings: sizes close enough, and from the shared
+    element on enough elements left. True for a linking pair's first shared
+    element, because all it shares lies from there on."""
+    size, size_b, place, place_b = (F.col(c) for c in ("size", "size_b", "place", "place_b"))
+    close = (size * percent <= size_b * 100) & (size_b * percent <= size * 100)
+    left = F.least(size - place, size_b - place_b) + 1
+    return close & (left * (100 + percent) >= percent * (size + size_b))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -281,25 +290,30 @@ def class_components(sets: DataFrame, keys: DataFrame, percent: int) -> DataFram
         return now.join(several, "key")
 
     links = None
-    for number in range(HUB_ROUNDS + 1):
+    number = 0
+    while True:
         rows = stage(apart(), "lists")
         if rows.isEmpty():
-            break
-        if number < HUB_ROUNDS:
-            turn = F.struct(F.xxhash64("class", F.lit(number)).alias("turn"), "class", "size", "component")
-            hub = rows.groupBy("key").agg(F.min(turn).alias("hub")).select("key", "hub.*").toDF("key", "turn", "b", "size_b", "component_b")
-            pairs = rows.join(hub, "key").where("component <> component_b")
+            return found
+        last = number >= HUB_ROUNDS
+        if not last:
+            # a member with few elements of its own is near most of its group
+            turn = F.col("place") * (unit_hash(F.col("class"), F.lit(number)) if number else F.lit(1.0))
+            hub = rows.groupBy("key").agg(F.min(F.struct(turn.alias("turn"), "class", "size", "place", "component")).alias("hub"))
+            other = hub.select("key", "hub.*").toDF("key", "turn", "b", "size_b", "place_b", "component_b")
         else:
             other = rows.toDF("key", *[c + "_b" for c in rows.columns[1:]]).withColumnRenamed("class_b", "b")
-            pairs = rows.join(other, "key").where("component <> component_b and class < b")
-        pairs = pairs.where(close_sizes("size", "size_b", percent)).select(F.col("class").alias("a"), "b").distinct()
-        new = stage(verified(pairs, sets, percent), "links")
+        pairs = rows.join(other, "key").where(may_link(percent) & (F.col("component") != F.col("component_b")))
+        if last:
+            pairs = pairs.where("class < b")
+        new = stage(verified(pairs.select(F.col("class").alias("a"), "b").distinct(), sets, percent), "links")
         if not new.isEmpty():
             links = new if links is None else links.union(new)
             found = components(links)
-        elif number < HUB_ROUNDS - 1:
-            continue
-    return found
+        if last:
+            return found
+        # a round without a new link: go on to all that is left
+        number = HUB_ROUNDS if new.isEmpty() else number + 1
 
 
 def join(df: DataFrame, text: str, key: str, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
