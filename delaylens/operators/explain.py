@@ -6,7 +6,6 @@ small (trees x nodes), whatever the data.
 
 from __future__ import annotations
 
-import itertools
 import math
 
 import numpy as np
@@ -64,47 +63,43 @@ def _leaf_tables(nodes: pd.DataFrame, weights: list[float]) -> tuple[list, float
     the path's features the row passes, so it is worked out once per leaf and
     combination."""
     leaves, bias = [], 0.0
-    for tree, part in nodes.groupby("tree"):
-        by_id = part.set_index("id")
-
-        def walk(node_id: int, path: dict) -> None:
-            nonlocal bias
-            node = by_id.loc[node_id]
-            if node["left"] < 0:
-                value = float(node["prediction"]) * weights[int(tree)] * 2.0
-                reach = math.prod(cover for _, cover in path.values())
-                bias += value * reach
+    columns = [nodes[c].tolist() for c in ("tree", "id", "prediction", "rows", "left", "right", "feature", "bounds", "n_categories")]
+    node_of = {(int(tree), int(i)): rest for tree, i, *rest in zip(*columns)}
+    for tree in sorted({t for t, _ in node_of}):
+        pending: list[tuple[int, dict]] = [(0, {})]
+        while pending:
+            node_id, path = pending.pop()
+            prediction, rows, left, right, feature, bounds, n_categories = node_of[tree, node_id]
+            if left < 0:
+                value = float(prediction) * weights[tree] * 2.0
+                bias += value * math.prod(cover for _, cover in path.values())
                 if path:
-                    leaves.append((list(path), [tests for tests, _ in path.values()], _combinations(path, value)))
-                return
-            feature = int(node["feature"])
-            for child, goes_left in ((node["left"], True), (node["right"], False)):
-                cover = by_id.loc[child]["rows"] / node["rows"] if node["rows"] else 0.0
-                tests, share = path.get(feature, ([], 1.0))
-                test = (int(node["n_categories"]), tuple(node["bounds"]), goes_left)
-                walk(int(child), {**path, feature: (tests + [test], share * cover)})
-
-        walk(0, {})
+                    leaves.append((list(path), [tests for tests, _ in path.values()], _combinations([c for _, c in path.values()], value)))
+                continue
+            for child, goes_left in ((left, True), (right, False)):
+                cover = node_of[tree, int(child)][1] / rows if rows else 0.0
+                tests, share = path.get(int(feature), ([], 1.0))
+                test = (int(n_categories), tuple(bounds), goes_left)
+                pending.append((int(child), {**path, int(feature): (tests + [test], share * cover)}))
     return leaves, bias
 
 
-def _combinations(path: dict, value: float) -> np.ndarray:
-    covers = [cover for _, cover in path.values()]
+def _combinations(covers: list[float], value: float) -> np.ndarray:
+    """Contributions (combination, feature) of a leaf with these covers: for each
+    feature the product of (cover + passed * t) over the others, as a polynomial
+    in t whose coefficients sum the subsets of each size, weighed by size."""
     d = len(covers)
-    # weight of a subset: Shapley order weight
-    order = [math.factorial(s) * math.factorial(d - s - 1) / math.factorial(d) for s in range(d)]
-    table = np.zeros((2**d, d))
-    for mask in range(2**d):
-        passed = [float(mask >> j & 1) for j in range(d)]
-        for i in range(d):
-            others = [j for j in range(d) if j != i]
-            total = 0.0
-            for s in range(d):
-                for known in itertools.combinations(others, s):
-                    term = math.prod(passed[j] if j in known else covers[j] for j in others)
-                    total += order[s] * term
-            table[mask, i] = value * (passed[i] - covers[i]) * total
-    return table
+    z = np.array(covers)
+    passed = (np.arange(2**d)[:, None] >> np.arange(d) & 1).astype(float)
+    weight = np.array([math.factorial(s) * math.factorial(d - s - 1) / math.factorial(d) for s in range(d)])
+    by_size = np.zeros((2**d, d, d))
+    by_size[:, :, 0] = 1.0
+    for j in range(d):
+        grown = by_size * z[j]
+        grown[:, :, 1:] += by_size[:, :, :-1] * passed[:, j, None, None]
+        grown[:, j] = by_size[:, j]
+        by_size = grown
+    return value * (passed - z) * (by_size @ weight)
 
 
 def _contributions(x: np.ndarray, leaves: list) -> np.ndarray:
@@ -130,15 +125,19 @@ def _contributions(x: np.ndarray, leaves: list) -> np.ndarray:
     return out
 
 
-def with_contributions(df: DataFrame, model: PipelineModel, spec: FeatureSpec) -> DataFrame:
+def leaf_tables(spark: SparkSession, model: PipelineModel) -> tuple[list, float]:
+    """What contributions need of a model: bounded by its trees and leaves."""
+    return _leaf_tables(node_table(spark, model).toPandas(), list(model.stages[-1].treeWeights))
+
+
+def with_contributions(df: DataFrame, model: PipelineModel, spec: FeatureSpec, tables: tuple[list, float] | None = None) -> DataFrame:
     """Adds `contributions` (log-odds per feature, in the order of spec.names)
     and `bias`; together they add up to the log-odds of the score.
 
     Expects the `_features` array of operators.model.score, the only column
-    that crosses to Python, in Arrow batches; no rows move between tasks."""
-    # bounded by the model: trees x nodes
-    nodes = node_table(df.sparkSession, model).toPandas()
-    leaves, bias = _leaf_tables(nodes, list(model.stages[-1].treeWeights))
+    that crosses to Python, in Arrow batches; no rows move between tasks.
+    `tables` are the model's leaf_tables, if they are at hand."""
+    leaves, bias = tables or leaf_tables(df.sparkSession, model)
     shared = df.sparkSession.sparkContext.broadcast(leaves)
     width = len(spec.names)
 

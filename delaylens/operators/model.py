@@ -204,10 +204,12 @@ def search(
     configs: list[dict] = SEARCH_SPACE,
     rounds: int = BOOST_ROUNDS,
     patience: int = EARLY_STOPPING_ROUNDS,
+    scores_path: str | None = None,
 ) -> tuple[dict, int]:
     """Walk-forward search: every configuration is fitted before each fold and
     scored on it. Returns the configuration with the best mean average
-    precision and its mean number of rounds; all scores are in the log."""
+    precision and its mean number of rounds; all metrics are in the log, and each
+    fold's (trial, fold, risk_score, label) rows under `scores_path`."""
     spark, run = df.sparkSession, uuid.uuid4().hex[:12]
     ts = F.col(spec.time)
     for trial, config in enumerate(configs):
@@ -215,7 +217,11 @@ def search(
             train, later = metrics.temporal_split(df, spec.time, start)
             part = later.where(ts < F.lit(end).cast("timestamp_ntz"))
             model, best = fit_early_stopping(train, part, spec, config, rounds, patience)
-            result = metrics.ranking_metrics(score(model, part, spec), "risk_score", spec.label).first()
+            scored = score(model, part, spec)
+            if scores_path:
+                shown = [F.lit(trial).alias("trial"), F.lit(i).alias("fold"), "risk_score", F.col(spec.label).alias("label")]
+                scored.select(*shown).write.mode("append").parquet(scores_path)
+            result = metrics.ranking_metrics(scored, "risk_score", spec.label).first()
             log_metrics(
                 spark,
                 log_path,
@@ -244,6 +250,8 @@ class TrainedModel:
     threshold: float
     config: dict
     rounds: int
+    #: explain.leaf_tables of the pipeline, worked out at the first use
+    leaves: tuple | None = None
 
 
 def train_final(
