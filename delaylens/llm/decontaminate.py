@@ -126,7 +126,9 @@ def without_words(text: Column, hit: Column) -> Column:
     """The text without the words at the places `hit` and what follows each."""
     word = F.regexp_extract_all(text, F.lit(WORD_ANY_CASE), F.lit(0))
     gaps = F.split(text, WORD_ANY_CASE)
-    kept = F.transform(word, lambda w, i: F.when(F.array_contains(hit, i), "").otherwise(F.concat(w, F.get(gaps, i + 1))))
+    # arguments are worked out once a row, what stands in a lambda once a word
+    pieces = F.zip_with(word, F.slice(gaps, 2, F.size(gaps)), lambda w, gap: F.concat(w, gap))
+    kept = F.filter(pieces, lambda piece, i: ~F.array_contains(hit, i))
     return F.concat(F.get(gaps, F.lit(0)), F.array_join(kept, ""))
 
 
