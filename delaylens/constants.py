@@ -36,16 +36,6 @@ CATEGORY_LIMITS = [(3, 1.0, 500.0), (2, 3.0, 1000.0), (1, 5.0, 3000.0)]
 RISK_LOW_BELOW = 0.25
 RISK_MEDIUM_BELOW = 0.40
 
-HISTORICAL_DELAY_RATE = {
-    "EDDF": 0.0499,
-    "EDDM": 0.0600,
-    "EGLL": 0.0359,
-    "EHAM": 0.0407,
-    "EPGD": 0.0521,
-    "EPWA": 0.0500,
-    "LFPG": 0.0383,
-}
-
 KMH_PER_KNOT = 1.852
 KMH_PER_MPS = 3.6
 

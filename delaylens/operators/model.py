@@ -6,10 +6,11 @@ only loops over configurations and folds.
 
 from __future__ import annotations
 
+import json
 import math
 import time
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -26,6 +27,7 @@ from delaylens.constants import (
     TARGET_COLUMN,
 )
 from delaylens.operators import metrics
+from delaylens.operators.history import latest_run
 from delaylens.operators.profile import class_balance
 from delaylens.session import ensure_checkpoint_dir
 
@@ -57,6 +59,19 @@ class FeatureSpec:
         return max(LEAST_BINS, 3 + max((len(v) for v in self.kept.values()), default=0))
 
 
+@dataclass
+class TrainedModel:
+    pipeline: PipelineModel
+    spec: FeatureSpec
+    threshold: float
+    config: dict
+    rounds: int
+    #: long-run delay rate of each airport in the training rows
+    rates: dict[str, float] = field(default_factory=dict)
+    #: explain.leaf_tables of the pipeline, worked out at the first use
+    leaves: tuple | None = None
+
+
 def learn_categories(df: DataFrame, spec: FeatureSpec) -> FeatureSpec:
     """Keeps every value of each category. Categories are dimensions (airports,
     aircraft types): their lists fit the driver, as the indexer needs them there."""
@@ -196,6 +211,34 @@ def log_metrics(spark: SparkSession, path: str, run: str, rows: list[tuple[str,
     table.coalesce(1).write.mode("append").parquet(path)
 
 
+def params_path(log_path: str) -> str:
+    return f"{log_path.rstrip('/')}.params"
+
+
+def log_params(spark: SparkSession, log_path: str, run_id: str, run_name: str, params: dict) -> None:
+    """Appends the run's settings, as text, to the table beside the metric log."""
+    rows = [(run_id, run_name, key, json.dumps(value)) for key, value in sorted(params.items())]
+    table = spark.createDataFrame(rows, "run_id string, run_name string, key string, value string")
+    table.coalesce(1).write.mode("append").parquet(params_path(log_path))
+
+
+def save_model(model: TrainedModel, models_path: str, run_id: str) -> str:
+    """Writes all that scoring needs below `models_path`/`run_id`."""
+    folder = f"{models_path.rstrip('/')}/{run_id}"
+    model.pipeline.write().overwrite().save(f"{folder}/pipeline")
+    rest = {"spec": asdict(model.spec), "threshold": model.threshold, "config": model.config, "rounds": model.rounds, "rates": model.rates}
+    spark = SparkSession.getActiveSession()
+    spark.createDataFrame([(json.dumps(rest),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/rest")
+    return folder
+
+
+def load_model(spark: SparkSession, models_path: str, run_id: str) -> TrainedModel:
+    folder = f"{models_path.rstrip('/')}/{run_id}"
+    rest = json.loads(spark.read.text(f"{folder}/rest").first()["value"])
+    spec = FeatureSpec(**rest.pop("spec"))
+    return TrainedModel(PipelineModel.load(f"{folder}/pipeline"), spec, **rest)
+
+
 def search(
     df: DataFrame,
     spec: FeatureSpec,
@@ -234,6 +277,8 @@ def search(
             )
     summary = search_summary(spark.read.parquet(log_path).where(F.col("run_id") == run))
     winner = summary.orderBy(F.col("val_pr_auc_mean").desc(), "trial").first()
+    chosen = {"trial": winner["trial"], "chosen": configs[winner["trial"]], "configs": configs, "folds": folds, "rounds": rounds, "patience": patience}
+    log_params(spark, log_path, run, "search", chosen)
     return configs[winner["trial"]], max(1, winner["best_iteration_mean"])
 
 
@@ -243,23 +288,26 @@ def search_summary(log: DataFrame) -> DataFrame:
     return metrics.fold_summary(wide, ["trial"], ["val_auc", "val_pr_auc"], "best_iteration")
 
 
-@dataclass
-class TrainedModel:
-    pipeline: PipelineModel
-    spec: FeatureSpec
-    threshold: float
-    config: dict
-    rounds: int
-    #: explain.leaf_tables of the pipeline, worked out at the first use
-    leaves: tuple | None = None
+def newest_run(log: DataFrame, name: str = "final_model") -> DataFrame:
+    """The newest run of that name in the metric log: run_name, run_id, start_time."""
+    return latest_run(log.where(F.col("run_name") == name).select("run_name", "run_id", "start_time"))
+
+
+def load_newest(spark: SparkSession, log_path: str, models_path: str) -> TrainedModel:
+    """The model of the newest final run: what every scoring job starts with."""
+    run = newest_run(spark.read.parquet(log_path)).first()
+    if run is None:
+        raise LookupError(f"no final_model run in {log_path}")
+    return load_model(spark, models_path, run["run_id"])
 
 
 def train_final(
-    df: DataFrame, spec: FeatureSpec, folds: list[tuple[str, str]], cutoff: str, config: dict, rounds: int, log_path: str
+    df: DataFrame, spec: FeatureSpec, folds: list[tuple[str, str]], cutoff: str, config: dict, rounds: int, log_path: str, models_path: str | None = None
 ) -> tuple[TrainedModel, DataFrame]:
     """Refit on everything before the cutoff, threshold by best F1 on the
     newest fold, one evaluation on the held-out part. Returns the model and
-    the scored test rows."""
+    the scored test rows; metrics and settings go to the log, the model below
+    `models_path` under the run's id."""
     train, test = metrics.temporal_split(df, spec.time, cutoff)
     pipeline = fit(train, spec, config, rounds)
     start, end = folds[-1]
@@ -275,5 +323,12 @@ def train_final(
         "pr_auc": ranking["average_precision"],
         **{m: counts[m] for m in ("f1", "precision", "recall")},
     }
-    log_metrics(df.sparkSession, log_path, uuid.uuid4().hex[:12], [("final_model", -1, -1, m, v) for m, v in values.items()])
-    return TrainedModel(pipeline, spec, best["threshold"], config, rounds), scored
+    # one row per airport
+    rates = {r[0]: r["rate"] for r in train.groupBy("adep").agg(F.avg(F.col(spec.label).cast("double")).alias("rate")).collect() if r[0] is not None}
+    model = TrainedModel(pipeline, spec, best["threshold"], config, rounds, rates)
+    run = uuid.uuid4().hex[:12]
+    log_metrics(df.sparkSession, log_path, run, [("final_model", -1, -1, m, v) for m, v in values.items()])
+    where = save_model(model, models_path, run) if models_path else None
+    settings = {**config, "cutoff": cutoff, "folds": folds, "features": spec.names, "model": where}
+    log_params(df.sparkSession, log_path, run, "final_model", settings)
+    return model, scored

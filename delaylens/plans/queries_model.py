@@ -35,6 +35,10 @@ def training_rows(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def models_of(log: str) -> str:
+    return f"{log}.models"
+
+
 def trained(spark: SparkSession, sf_dir: str) -> tuple[ml.TrainedModel, str, str]:
     """The final model, its feature table and its metric log; fitted once per
     application and data set."""
@@ -43,7 +47,7 @@ def trained(spark: SparkSession, sf_dir: str) -> tuple[ml.TrainedModel, str, str
         path, log = training_rows(spark, sf_dir), shared_dir(spark, "metrics")
         rows = spark.read.parquet(path)
         spec = ml.learn_categories(rows, ml.FeatureSpec())
-        model, _ = ml.train_final(rows, spec, FOLDS, CUTOFF, CONFIGS[0], ROUNDS, log)
+        model, _ = ml.train_final(rows, spec, FOLDS, CUTOFF, CONFIGS[0], ROUNDS, log, models_of(log))
         _TRAINED[key] = (model, path, log)
     return _TRAINED[key]
 
@@ -229,17 +233,30 @@ def score_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.groupBy("adep").agg(F.count("*").alias("n"), *held)
 
 
-def _live(spark: SparkSession, sf_dir: str, context: DataFrame) -> DataFrame:
+@query("stored_model", with_cte("flights", f"SELECT adep, count(*) AS n, count(*) AS n_same, TRUE AS settings_kept FROM flights WHERE adep IN ({SCOPE_SQL}) GROUP BY adep"))
+def stored_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every flight scored by the newest stored model as by the one in memory."""
+    model, path, log = trained(spark, sf_dir)
+    loaded = ml.load_newest(spark, log, models_of(log))
+    rows = spark.read.parquet(path)
+    both = ml.score(loaded.pipeline, ml.score(model.pipeline, rows, model.spec).drop("_features"), loaded.spec, "again")
+    kept = (loaded.spec, loaded.threshold, loaded.config, loaded.rounds, loaded.rates) == (model.spec, model.threshold, model.config, model.rounds, model.rates)
+    return both.groupBy("adep").agg(
+        F.count("*").alias("n"), F.count_if(F.col("again") == F.col("risk_score")).alias("n_same"), F.first(F.lit(kept)).alias("settings_kept")
+    )
+
+
+def _live(spark: SparkSession, sf_dir: str, context: DataFrame, rates: dict[str, float]) -> DataFrame:
     rows = flights(spark, sf_dir)
     newest = rows.agg(F.max("first_seen")).scalar()
-    return live_features(context.withColumn("at", newest), holiday_dim(years_of(rows, "first_seen")))
+    return live_features(context.withColumn("at", newest), holiday_dim(years_of(rows, "first_seen")), rates)
 
 
 @query("score_batch", _with_context(f"SELECT airport, live_traffic_count, {_HOLD} FROM context"))
 def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Airport-level risk from the merged live context, missing fields and all."""
     model, _, _ = trained(spark, sf_dir)
-    scored = score_context(_live(spark, sf_dir, _context(spark, sf_dir)), model)
+    scored = score_context(_live(spark, sf_dir, _context(spark, sf_dir), model.rates), model)
     return scored.selectExpr("airport", "live_traffic_count", *_CHECKS)
 
 
@@ -264,6 +281,6 @@ def entity_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     context = _context(spark, sf_dir)
     found = entity_context(positions(spark, sf_dir), registry, context)
     usable = found.where("reason is null").select("event_id", "icao24", F.col("registry.typecode").alias("typecode"), "context.*")
-    scored = score_context(_live(spark, sf_dir, usable), model)
+    scored = score_context(_live(spark, sf_dir, usable, model.rates), model)
     rejected = found.where("reason is not null").select("event_id", "icao24", "reason")
     return scored.selectExpr("event_id", "icao24", "airport", "typecode", *_CHECKS).unionByName(rejected, allowMissingColumns=True)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from delaylens.constants import HISTORICAL_DELAY_RATE
 from delaylens.functions.calendar import with_calendar, with_holiday
 from delaylens.functions.text import format_value, risk_band
 from delaylens.operators.explain import leaf_tables, with_contributions
@@ -12,16 +11,17 @@ from delaylens.operators.history import top_factors
 from delaylens.operators.model import TrainedModel, score
 
 
-def historical_rate(airport: Column, rates: dict[str, float] = HISTORICAL_DELAY_RATE) -> Column:
-    """Long-run delay rate; an unknown airport gets the mean of the rates."""
-    out = F.lit(sum(rates.values()) / len(rates))
-    for code, rate in rates.items():
-        out = F.when(airport == code, F.lit(rate)).otherwise(out)
-    return out
+def historical_rate(airport: Column, rates: dict[str, float]) -> Column:
+    """Long-run delay rate, as learned with the model; an unknown airport gets the
+    mean of the rates."""
+    if not rates:
+        return F.lit(None).cast("double")
+    table = F.create_map(*[F.lit(x) for pair in rates.items() for x in pair])
+    return F.coalesce(F.try_element_at(table, airport), F.lit(sum(rates.values()) / len(rates)))
 
 
 def live_features(
-    context: DataFrame, holidays: DataFrame, at: str = "at", instant_traffic: bool = False
+    context: DataFrame, holidays: DataFrame, rates: dict[str, float], at: str = "at", instant_traffic: bool = False
 ) -> DataFrame:
     """Feature columns for merged live contexts; `at` is the time of scoring
     and typecode is null unless the context is about one aircraft.
@@ -30,7 +30,7 @@ def live_features(
     instant_traffic=True takes the instant's count for both windows."""
     typecode = F.col("typecode") if "typecode" in context.columns else F.lit(None).cast("string")
     metar = F.col("metar")
-    rate = historical_rate(F.col("airport"))
+    rate = historical_rate(F.col("airport"), rates)
     rows = context.withColumns(
         {
             "adep": F.col("airport"),

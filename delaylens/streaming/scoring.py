@@ -45,7 +45,7 @@ def score_stream(
         instant = now.agg(F.count_distinct("icao24").alias("live_traffic_count"))
         context = live_context(airports, reports, weather, traffic, instant)
         moment = F.timestamp_seconds(at).cast("timestamp_ntz")
-        scored = score_context(live_features(context.withColumn("at", moment), holidays), model)
+        scored = score_context(live_features(context.withColumn("at", moment), holidays, model.rates), model)
         history = scored.select(
             "airport", "at", "risk_score", "risk_level", "live_traffic_count", "traffic_1h", "traffic_3h", "top_factors"
         )
