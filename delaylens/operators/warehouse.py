@@ -80,13 +80,14 @@ def dimension(
 
     Attributes that differ between rows of one key are resolved to the largest
     combination, so that the result does not depend on row order. Numbering
-    reads the keys twice, so they are staged unless the source is cheap."""
+    reads the keys twice, so they are staged unless the source is cheap; the
+    numbered rows are staged too, for every role of a fact reads them."""
     if attributes:
         rows = df.groupBy(*natural_key).agg(F.max(F.struct(*attributes)).alias("_a")).select(*natural_key, "_a.*")
     else:
         rows = df.select(*natural_key).distinct()
     rows = stage(rows, id_name) if staged else rows
-    return dense_ids(rows, natural_key, id_name).select(id_name, *natural_key, *attributes)
+    return stage(dense_ids(rows, natural_key, id_name).select(id_name, *natural_key, *attributes), id_name)
 
 
 def extend_dimension(existing: DataFrame, incoming: DataFrame, natural_key: list[str], id_name: str) -> DataFrame:

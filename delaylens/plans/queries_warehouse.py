@@ -21,7 +21,7 @@ from delaylens.operators.prefix import dense_ids
 from delaylens.plans.catalog import query
 from delaylens.plans.testdata import CAUSES, CTE, shipments, station_weather, table, with_cte
 from delaylens.plans.warehouse_load import load_batches, run_batch
-from delaylens.session import shared_dir
+from delaylens.session import shared_dir, stage
 
 
 def _band_sql(value: str, bands: list[tuple[str, float | None]]) -> str:
@@ -76,9 +76,8 @@ def surrogate_keys_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FLIGHT_KEY = ["flight_number", "tail", "origin", "destination"]
 
 
-def _flight_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = shipments(spark, sf_dir).select(*_FLIGHT_KEY, "distance", "scheduled_time")
-    dim = wh.dimension(rows, _FLIGHT_KEY, ["distance", "scheduled_time"], "flight_id")
+def _flight_dim(rows: DataFrame) -> DataFrame:
+    dim = wh.dimension(rows.select(*_FLIGHT_KEY, "distance", "scheduled_time"), _FLIGHT_KEY, ["distance", "scheduled_time"], "flight_id")
     return dim.withColumn("distance_group", wh.band(F.col("distance"), DISTANCE_BANDS))
 
 
@@ -149,7 +148,7 @@ def _with_dims(needs: str, dims: str, body: str) -> str:
     ),
 )
 def dim_flight(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flight_dim(spark, sf_dir)
+    return _flight_dim(shipments(spark, sf_dir))
 
 
 @query(
@@ -187,7 +186,9 @@ def banding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact rows: four time roles, airline, two airports, flight, and two
     weather roles that may stay null."""
-    rows = shipments(spark, sf_dir).withColumns(
+    # the joined source feeds the flight dimension and the fact
+    source = stage(shipments(spark, sf_dir), "shipments")
+    rows = source.withColumns(
         {
             **{f"{r}_time_id": wh.time_id(F.col(r)) for r in _ROLES},
             "air_time": F.col("elapsed_time") - F.col("taxi_out") - F.col("taxi_in"),
@@ -198,7 +199,7 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = wh.lookup_dimension(rows, _airline_dim(spark, sf_dir), {"carrier": "c_mktsegment"}, "airline_id", "airline_id")
     fact = wh.lookup_dimension(fact, airport, {"origin": "n_nationkey"}, "airport_id", "origin_airport_id")
     fact = wh.lookup_dimension(fact, airport, {"destination": "n_nationkey"}, "airport_id", "destination_airport_id")
-    fact = wh.lookup_dimension(fact, _flight_dim(spark, sf_dir), flight_key, "flight_id", "flight_id")
+    fact = wh.lookup_dimension(fact, _flight_dim(source), flight_key, "flight_id", "flight_id")
     fact = fact.withColumns({"dep_h": F.hour("departure"), "arr_h": F.hour("arrival")})
     for role, place, hour in (("origin", "origin", "dep_h"), ("destination", "destination", "arr_h")):
         fact = wh.lookup_dimension(
