@@ -180,8 +180,11 @@ def live_context(
     weather: DataFrame,
     traffic: DataFrame,
     instant: DataFrame,
+    keys: tuple[str, ...] = ("airport",),
 ) -> DataFrame:
-    """One row per airport with merged live inputs; any source may be empty.
+    """One row per row of `airports` with merged live inputs; any source may be
+    empty. Traffic and instant counts are found by `keys` (with a time among them,
+    for several snapshots at once), reports and weather by airport.
 
     Report temperature and wind win over the weather model, precipitation comes
     from the weather model alone, and rolling counts fall back to the count of
@@ -201,8 +204,8 @@ def live_context(
     joined = (
         airports.join(r, "airport", "left")
         .join(w, "airport", "left")
-        .join(traffic.select("airport", "traffic_1h", "traffic_3h"), "airport", "left")
-        .join(instant.select("airport", "live_traffic_count"), "airport", "left")
+        .join(traffic.select(*keys, "traffic_1h", "traffic_3h"), list(keys), "left")
+        .join(instant.select(*keys, "live_traffic_count"), list(keys), "left")
     )
     now = F.coalesce("live_traffic_count", F.lit(0)).cast("bigint")
     return joined.select(

@@ -128,33 +128,50 @@ def late_rows_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).drop("batch_id")
 
 
-@query(
-    "stream_score",
-    _current(False).replace("SELECT airport, coalesce", "SELECT airport, CAST((SELECT max(time) FROM positions) AS BIGINT) AS at, coalesce", 1),
+_AT_SQL = with_cte(
+    "airports flights positions sightings weather",
+    "SELECT t.time AS at, a.airport, count(DISTINCT s.icao24) FILTER (s.time = t.time) AS live_traffic_count, "
+    "count(DISTINCT s.icao24) FILTER (floor(s.time / 300) > floor(t.time / 300) - 12) AS traffic_1h, count(DISTINCT s.icao24) AS traffic_3h, "
+    "any_value(w.temperature_2m) AS temperature_2m, TRUE AS in_range FROM (SELECT DISTINCT time FROM positions) t CROSS JOIN airports a "
+    "LEFT JOIN sightings s ON s.airport = a.airport AND s.time <= t.time AND floor(s.time / 300) > floor(t.time / 300) - 36 "
+    "LEFT JOIN (SELECT airport, round(arg_max(temperature_2m, time), 6) AS temperature_2m FROM weather GROUP BY 1) w ON w.airport = a.airport GROUP BY 1, 2",
 )
+
+
+@query("stream_score", _AT_SQL)
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every micro-batch of positions gives one scored row per airport in the
-    prediction history; the check covers its time and rolling traffic."""
+    """One scored row per airport and snapshot over three deliveries, each its own
+    run, with its rolling traffic, the snapshot's own, and the newest weather."""
     model, _, _ = trained(spark, sf_dir)
-    seen, out = shared_dir(spark, "seen"), shared_dir(spark, "predictions")
+    source, seen, out = (shared_dir(spark, name) for name in ("deliveries", "seen", "predictions"))
+    rows = positions(spark, sf_dir)
+    span = rows.agg(F.min("time").alias("low"), F.max("time").alias("high")).first()
+    third = (span["high"] - span["low"]) // 3 + 1
     newest_report = reports(spark, sf_dir).groupBy("airport").agg(
         F.max_by(F.struct("visibility_mi", "ceiling_ft", "flight_category"), "hour").alias("v")
     )
     report = newest_report.select("airport", "v.*").withColumns(
         {"temperature_2m": F.lit(None).cast("double"), "wind_speed_10m": F.lit(None).cast("double")}
     )
-    newest_weather = weather(spark, sf_dir).groupBy("airport").agg(
-        F.max_by(F.struct("temperature_2m", "precipitation", "wind_speed_10m"), "time").alias("v")
-    )
-    score_stream(
-        _position_stream(spark, sf_dir),
-        model,
-        airports(spark),
-        report,
-        newest_weather.select("airport", "v.*"),
-        holiday_dim(years_of(flights(spark, sf_dir), "first_seen")),
-        seen,
-        out,
+
+    def newest_weather() -> DataFrame:
+        values = F.struct("temperature_2m", "precipitation", "wind_speed_10m")
+        return weather(spark, sf_dir).groupBy("airport").agg(F.max_by(values, "time").alias("v")).select("airport", "v.*")
+
+    for i in range(3):
+        rows.where(F.floor((F.col("time") - span["low"]) / third) == i).write.mode("append").parquet(source)
+        score_stream(
+            live.read_stream(spark, source, rows.schema),
+            model,
+            airports(spark),
+            lambda: report,
+            newest_weather,
+            holiday_dim(years_of(flights(spark, sf_dir), "first_seen")),
+            seen,
+            out,
+        )
+    history = spark.read.parquet(out)
+    return history.select(
+        F.col("time").alias("at"), "airport", "live_traffic_count", "traffic_1h", "traffic_3h", F.round("temperature_2m", 6).alias("temperature_2m"),
+        F.col("risk_score").between(0, 1).alias("in_range"),
     )
-    history = spark.read.parquet(out).where("risk_score between 0 and 1")
-    return history.select("airport", F.unix_seconds(F.col("at").cast("timestamp")).alias("at"), "traffic_1h", "traffic_3h")

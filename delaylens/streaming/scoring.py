@@ -1,54 +1,92 @@
 """Live scoring as a stream: each micro-batch of positions extends the sightings
-and appends one scored row per airport to the prediction history."""
+and appends one scored row per airport and snapshot to the prediction history."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from delaylens.constants import SLIDE_SECONDS, TRAFFIC_WINDOWS
-from delaylens.operators.history import current_window
 from delaylens.operators.joins import live_context, match_sites
 from delaylens.operators.model import TrainedModel
-from delaylens.operators.traffic import rolling_counts
 from delaylens.plans.scoring import live_features, score_context
-from delaylens.streaming.traffic import batch_writer, run_available
+from delaylens.streaming.traffic import run_available
+
+
+def _write(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Rows by event day and batch: a repeated batch replaces itself, and readers
+    of the last hours open no older folder."""
+    tagged = rows.withColumns({"day": F.to_date(F.timestamp_seconds("time")), "batch_id": F.lit(batch_id)})
+    (
+        tagged.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("day", "batch_id")
+        .parquet(path)
+    )
+
+
+def traffic_at(snapshots: DataFrame, seen: DataFrame) -> DataFrame:
+    """(time, airport, traffic_1h, traffic_3h): distinct aircraft of the windows
+    that are current at each snapshot, of sightings up to that moment.
+
+    `seen` has the first time of each (airport, aircraft, cell); a snapshot meets
+    it by cell, so only the cells of its longest window are read."""
+    spans = {label: size // SLIDE_SECONDS for label, size in TRAFFIC_WINDOWS.items()}
+    last = F.floor(F.col("time") / SLIDE_SECONDS)
+    cells = snapshots.select(F.col("time").alias("at"), last.alias("last"), F.explode(F.sequence(last - max(spans.values()) + 1, last)).alias("cell"))
+    known = seen.withColumn("cell", F.floor(F.col("time") / SLIDE_SECONDS))
+    found = cells.join(known, "cell").where("time <= at")
+    counts = [
+        F.count_distinct(F.when(F.col("cell") > F.col("last") - span, F.col("icao24"))).alias(f"traffic_{label}")
+        for label, span in spans.items()
+    ]
+    return found.groupBy(F.col("at").alias("time"), "airport").agg(*counts)
 
 
 def score_stream(
     positions: DataFrame,
     model: TrainedModel,
     airports: DataFrame,
-    reports: DataFrame,
-    weather: DataFrame,
+    reports: Callable[[], DataFrame],
+    weather: Callable[[], DataFrame],
     holidays: DataFrame,
     sightings_path: str,
     history_path: str,
 ) -> None:
-    """Scores every airport once per micro-batch.
+    """Scores every airport at every snapshot of each micro-batch.
 
-    Rolling traffic comes from the sightings table, of which only the longest
-    window is read; the instant's count is the newest snapshot's. Both tables
-    are written by batch id, so a repeated micro-batch changes nothing."""
+    `reports` and `weather` are called in each micro-batch, so that what has come
+    in since the start is seen. Rolling traffic comes from the sightings table, of
+    which only the days of the longest window are read; the instant's count is the
+    snapshot's own. A repeated micro-batch changes nothing."""
     spark = positions.sparkSession
+    # the sites of the job: a dimension
+    codes = F.array(*[F.lit(r[0]) for r in airports.select("airport").collect()])
 
-    def predict(rows: DataFrame, batch_id: int) -> None:
-        cell = (F.floor(F.col("time") / SLIDE_SECONDS) * SLIDE_SECONDS).alias("time")
+    def predict(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.persist()
         near = match_sites(rows)
-        batch_writer(sightings_path)(near.select("airport", "icao24", cell).distinct(), batch_id)
-
-        # one row: the time of this batch
-        latest = rows.agg(F.max("time").alias("latest"))
-        at = latest.scalar()
-        counts = rolling_counts(spark.read.parquet(sightings_path), latest=at)
-        traffic = current_window(counts, airports.select("airport"), at, list(TRAFFIC_WINDOWS))
-        now = near.where(F.col("time") == at).groupBy("airport")
-        instant = now.agg(F.count_distinct("icao24").alias("live_traffic_count"))
-        context = live_context(airports, reports, weather, traffic, instant)
-        moment = F.timestamp_seconds(at).cast("timestamp_ntz")
+        cell = F.floor(F.col("time") / SLIDE_SECONDS).alias("cell")
+        first = near.groupBy("airport", "icao24", cell).agg(F.min("time").alias("time"))
+        _write(first.select("airport", "icao24", "time"), sightings_path, batch_id)
+
+        snapshots = rows.select("time").distinct()
+        # one row: how far back the first snapshot looks
+        oldest = snapshots.agg(F.to_date(F.timestamp_seconds(F.min("time") - max(TRAFFIC_WINDOWS.values())))).first()[0]
+        if oldest is None:
+            rows.unpersist()
+            return
+        seen = spark.read.parquet(sightings_path).where(F.col("day") >= F.lit(oldest))
+        each = snapshots.select("time", F.explode(codes).alias("airport")).join(F.broadcast(airports), "airport")
+        instant = near.groupBy("time", "airport").agg(F.count_distinct("icao24").alias("live_traffic_count"))
+        context = live_context(each, reports(), weather(), traffic_at(snapshots, seen), instant, ("airport", "time"))
+        moment = F.timestamp_seconds("time").cast("timestamp_ntz")
         scored = score_context(live_features(context.withColumn("at", moment), holidays, model.rates), model)
         history = scored.select(
-            "airport", "at", "risk_score", "risk_level", "live_traffic_count", "traffic_1h", "traffic_3h", "top_factors"
+            "airport", "time", "at", "risk_score", "risk_level", "live_traffic_count", "traffic_1h", "traffic_3h", "temperature_2m", "top_factors"
         )
-        batch_writer(history_path)(history, batch_id)
+        _write(history, history_path, batch_id)
+        rows.unpersist()
 
     run_available(positions, predict, history_path)
