@@ -9,9 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from delaylens.operators.prefix import running_totals
-
-SCORE_CELLS = 4096
+from delaylens.operators.prefix import running_totals, value_cells
+from delaylens.session import stage
 
 
 def score_table(df: DataFrame, score: str, label: str, keys: list[str] | None = None) -> DataFrame:
@@ -22,7 +21,9 @@ def score_table(df: DataFrame, score: str, label: str, keys: list[str] | None =
     points = rows.groupBy(*keys, F.col(score).alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("q")
     )
-    ranked = running_totals(points, keys, "score", ["p", "q"], F.floor(F.col("score") * SCORE_CELLS), descending=True)
+    # written once: scoring is costly, and cells, offsets and ranks all read it
+    points = stage(points, "score-counts")
+    ranked = running_totals(points, keys, "score", ["p", "q"], value_cells(points, "score"), descending=True)
     return ranked.select(
         *keys,
         "score",

@@ -12,7 +12,29 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from delaylens.session import stage
+
 _STRICT_BEFORE = (Window.unboundedPreceding, -1)
+#: Cells that value_cells cuts a column into; a power of two.
+CELLS = 256
+
+
+def value_cells(points: DataFrame, value: str, cells: int = CELLS) -> Column:
+    """A cell number for each value, ascending, such that about equally many rows
+    of `points` fall into each whatever the values look like. The boundaries are
+    approximate percentiles (`cells` numbers on the driver); the number is found by
+    halving, so a row takes log2(cells) comparisons."""
+    shares = [i / cells for i in range(1, cells)]
+    found = points.agg(F.percentile_approx(F.col(value).cast("double"), shares, 10 * cells)).first()[0]
+    bounds = sorted(set(found or []))
+
+    def place(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(F.col(value) <= bounds[middle], place(low, middle)).otherwise(place(middle + 1, high))
+
+    return place(0, len(bounds))
 
 
 def running_totals(
@@ -60,15 +82,16 @@ def running_totals(
 
 
 def exact_quantiles(
-    df: DataFrame, keys: list[str], value: str, probabilities: dict[str, float], cell: Column
+    df: DataFrame, keys: list[str], value: str, probabilities: dict[str, float], cell: Column | None = None
 ) -> DataFrame:
     """Exact interpolated quantiles per key, named by `probabilities`.
 
     The rows shrink to one per distinct (key, value) before the shuffle; equal
-    values may repeat any number of times. `cell` cuts the values of a key
-    into spans one task orders; it may use `value`, the keys and any column
-    that depends on the keys alone, which must then be listed in them."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    values may repeat any number of times. These counts are written once, for
+    they are read for the cells, the offsets and the ranks. `cell` cuts the values
+    of a key into spans one task orders; without it the spans follow the values."""
+    counts = stage(df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n")), "value-counts")
+    cell = value_cells(counts, value) if cell is None else cell
     ranked = running_totals(counts, keys, value, ["_n"], cell)
     low, high = F.col("_n_before"), F.col("_n_before") + F.col("_n")
     picks, outputs = [], []

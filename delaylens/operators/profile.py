@@ -17,15 +17,12 @@ def value_counts(df: DataFrame, column: str, normalise: bool = False, dropna: bo
     return counts.withColumn("share", F.col("n") / counts.agg(F.sum("n")).scalar())
 
 
-QUANTILE_CELLS = 1024
-
-
 def summary_statistics(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, std, min, quartiles and max per column, one row each.
 
     One scan gives the moments; the quartiles are exact and computed over
-    distinct values in equal spans between minimum and maximum, so no task
-    holds a column."""
+    distinct values in spans that hold about equally many, so neither a column nor
+    its crowded part has to fit one task."""
     moments = df.agg(
         *[
             F.struct(
@@ -44,14 +41,7 @@ def summary_statistics(df: DataFrame, columns: list[str]) -> DataFrame:
     long = df.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]))
     )
-    # one row per column
-    bounds = F.broadcast(stacked.select("column", F.col("min").alias("_lo"), F.col("max").alias("_hi")))
-    span = F.try_divide(F.col("value") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
-    cell = F.floor(F.coalesce(span, F.lit(0.0)) * QUANTILE_CELLS)
-    bounded = long.join(bounds, "column")
-    quartiles = exact_quantiles(
-        bounded, ["column", "_lo", "_hi"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, cell
-    ).drop("_lo", "_hi")
+    quartiles = exact_quantiles(long, ["column"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
     return stacked.join(quartiles, "column", "left")
 
 

@@ -131,3 +131,26 @@ def test_changes_across_days(spark):
     rows = [("A", 10, 0.1), ("A", 86000, 0.2), ("A", 3 * 86400, 0.3), ("B", 10, 0.5), ("B", 3 * 86400, 0.9), ("A", 3 * 86400 + 5, 0.3)]
     got = change_series(spark.createDataFrame(rows, "airport string, time bigint, risk double"), "airport", "time", "risk").collect()
     assert {(r.airport, r.time, r.from_pct, r.to_pct) for r in got} == {("A", 86000, 10, 20), ("A", 3 * 86400, 20, 30)}
+
+
+def test_cells_follow_the_values(spark):
+    """One far outlier, and scores crowded near 0.03: no cell holds many rows, and
+    the statistics are exact."""
+    from delaylens.operators import metrics, profile
+
+    rng = np.random.default_rng(9)
+    values = np.append(rng.normal(0, 1, 4000), 1e12)
+    scores = np.round(0.03 + rng.random(4001) * 1e-3, 7)
+    df = spark.createDataFrame(pd.DataFrame({"v": values, "s": scores, "y": (rng.random(4001) < 0.05).astype("int64")})).cache()
+    for column in ("v", "s"):
+        largest = df.groupBy(prefix.value_cells(df, column).alias("cell")).count().agg(F.max("count")).first()[0]
+        assert largest < 4001 / 64
+    stats = profile.summary_statistics(df, ["v", "s"]).toPandas().set_index("column")
+    for column, plain in (("v", values), ("s", scores)):
+        assert np.allclose(stats.loc[column, ["p25", "p50", "p75"]].astype(float), np.percentile(plain, [25, 50, 75]))
+    area = metrics.ranking_metrics(df, "s", "y").first()["auc"]
+    y = df.toPandas().sort_values("s")
+    ranks = y["s"].rank().to_numpy()
+    positive = y["y"].to_numpy() == 1
+    p, q = positive.sum(), (~positive).sum()
+    assert np.isclose(area, (ranks[positive].sum() - p * (p + 1) / 2) / (p * q))
