@@ -43,7 +43,10 @@ HEADLINE = [
     "rollup_time",
     "stream_sightings_windows",
     "stream_window_counts",
-    "score_flights",
+    "train_model",  # builds the features, fits the final model and scores the test part
+    "cv_metrics",  # the walk-forward search
+    "stored_model",  # loads the newest model and scores every flight twice
+    "score_flights",  # scores and explains every flight
 ]
 
 

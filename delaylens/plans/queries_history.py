@@ -123,6 +123,24 @@ def last_n_track(spark: SparkSession, sf_dir: str) -> DataFrame:
 _RECENT = "SELECT * FROM predictions WHERE time IN (SELECT DISTINCT time FROM predictions ORDER BY time DESC LIMIT 120)"
 
 
+@query(
+    "aircraft_series",
+    with_cte(
+        "positions",
+        "SELECT icao24, string_agg(coalesce(CAST(CAST(round_even(baro_altitude, 0) AS BIGINT) AS VARCHAR), 'n/a'), ',' ORDER BY event_id) AS altitude, "
+        "string_agg(coalesce(CAST(CAST(round_even(velocity * 3.6::DOUBLE, 0) AS BIGINT) AS VARCHAR), 'n/a'), ',' ORDER BY event_id) AS speed FROM (SELECT *, "
+        "row_number() OVER (PARTITION BY icao24 ORDER BY time DESC, event_id DESC) AS rn FROM positions WHERE lat IS NOT NULL) p WHERE rn <= 15 GROUP BY icao24",
+    ),
+)
+def aircraft_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Altitude and speed of every aircraft over its last 15 positions."""
+    located = positions(spark, sf_dir).where("lat is not null")
+    tracks = history.last_n_track(located, "icao24", "time", ["event_id", "baro_altitude", "velocity"])
+    altitude = F.transform("track", lambda p: text.whole_number(p["baro_altitude"]))
+    speed = F.transform("track", lambda p: text.whole_number(p["velocity"] * 3.6))
+    return tracks.select("icao24", F.array_join(altitude, ",").alias("altitude"), F.array_join(speed, ",").alias("speed"))
+
+
 @query(
     "trend_series",
     with_cte(

@@ -98,6 +98,25 @@ def nearest_airport(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", geo.nearest_site(F.col("lat"), F.col("lon")).alias("airport"))
 
 
+_HAVERSINE = (
+    "power(sin(radians(lat - site_lat) / 2), 2) + cos(radians(lat)) * cos(radians(site_lat)) * power(sin(radians(lon - site_lon) / 2), 2)"
+)
+
+
+@query(
+    "nearest_airport_sphere",
+    with_cte(
+        "airports positions",
+        f"SELECT airport, count(*) AS n FROM (SELECT event_id, airport, row_number() OVER (PARTITION BY event_id ORDER BY {_HAVERSINE}, ordinal) AS d "
+        "FROM positions, airports WHERE lat IS NOT NULL) x WHERE d = 1 GROUP BY airport",
+    ),
+)
+def nearest_airport_sphere(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions by their closest airport on the sphere."""
+    rows = positions(spark, sf_dir).where("lat is not null")
+    return rows.groupBy(geo.nearest_site(F.col("lat"), F.col("lon"), metric="haversine").alias("airport")).agg(F.count("*").alias("n"))
+
+
 @query(
     "registry_join",
     with_cte(

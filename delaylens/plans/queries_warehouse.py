@@ -18,7 +18,7 @@ from delaylens.constants import (
 )
 from delaylens.operators import warehouse as wh
 from delaylens.operators.prefix import dense_ids
-from delaylens.plans.catalog import query
+from delaylens.plans.catalog import ORACLES, query
 from delaylens.plans.testdata import CAUSES, CTE, shipments, station_weather, table, with_cte
 from delaylens.plans.warehouse_load import load_batches, run_batch
 from delaylens.session import shared_dir, stage
@@ -183,9 +183,9 @@ def banding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _weather_dim(spark, sf_dir).select("weather_id", "nation", "hour", *_WEATHER_BANDS, "sky_group", "weather_group")
 
 
-def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact rows: four time roles, airline, two airports, flight, and two
-    weather roles that may stay null."""
+def _load(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The fact rows (four time roles, airline, two airports, flight, and two
+    weather roles that may stay null) and the dimensions they point to."""
     # the joined source feeds the flight dimension and the fact
     source = stage(shipments(spark, sf_dir), "shipments")
     rows = source.withColumns(
@@ -194,12 +194,12 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
             "air_time": F.col("elapsed_time") - F.col("taxi_out") - F.col("taxi_in"),
         }
     )
-    airport, weather = _airport_dim(spark, sf_dir), _weather_dim(spark, sf_dir)
+    airport, weather, airline, flight = _airport_dim(spark, sf_dir), _weather_dim(spark, sf_dir), _airline_dim(spark, sf_dir), _flight_dim(source)
     flight_key = {c: c for c in _FLIGHT_KEY}
-    fact = wh.lookup_dimension(rows, _airline_dim(spark, sf_dir), {"carrier": "c_mktsegment"}, "airline_id", "airline_id")
+    fact = wh.lookup_dimension(rows, airline, {"carrier": "c_mktsegment"}, "airline_id", "airline_id")
     fact = wh.lookup_dimension(fact, airport, {"origin": "n_nationkey"}, "airport_id", "origin_airport_id")
     fact = wh.lookup_dimension(fact, airport, {"destination": "n_nationkey"}, "airport_id", "destination_airport_id")
-    fact = wh.lookup_dimension(fact, _flight_dim(source), flight_key, "flight_id", "flight_id")
+    fact = wh.lookup_dimension(fact, flight, flight_key, "flight_id", "flight_id")
     fact = fact.withColumns({"dep_h": F.hour("departure"), "arr_h": F.hour("arrival")})
     for role, place, hour in (("origin", "origin", "dep_h"), ("destination", "destination", "arr_h")):
         fact = wh.lookup_dimension(
@@ -211,7 +211,8 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
             required=False,
             attributes={"temp_group": f"{role}_temp_group", "wind_group": f"{role}_wind_group", "weather_group": f"{role}_weather_group"},
         )
-    return fact
+    dims = {"time": wh.time_dimension(source, _ROLES), "airline": airline, "airport": airport, "flight": flight, "weather": weather}
+    return fact, dims
 
 
 _FACT_OUT = [
@@ -254,7 +255,35 @@ _FACT_OUT = [
     ),
 )
 def fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _fact(spark, sf_dir).select(*_FACT_OUT)
+    return _load(spark, sf_dir)[0].select(*_FACT_OUT)
+
+
+# the fact's ten keys: dimension, its key, and rows taken out of it for the audit
+_KEYS = {
+    **{f"{r}_time_id": ("time", "time_id", "{} % 100 = 3") for r in _ROLES},
+    "airline_id": ("airline", "airline_id", "{} = 1"),
+    "origin_airport_id": ("airport", "airport_id", "{} % 7 = 0"),
+    "destination_airport_id": ("airport", "airport_id", "{} % 5 = 0"),
+    "flight_id": ("flight", "flight_id", "{} % 11 = 0"),
+    "origin_weather_id": ("weather", "weather_id", "{} % 3 = 0"),
+    "destination_weather_id": ("weather", "weather_id", "{} % 4 = 0"),
+}
+
+
+@query(
+    "fact_audit",
+    f"WITH fact AS ({ORACLES['fact_load']}) SELECT * FROM ("
+    + " UNION ALL ".join(
+        f"SELECT 'foreign_key:{role}' AS \"check\", count(*) AS n FROM fact WHERE {hole.format(role)}" for role, (_, _, hole) in _KEYS.items()
+    )
+    + "".join(f" UNION ALL SELECT 'not_null:{c}', count(*) FROM fact WHERE {c} IS NULL" for c in ("flight_id", "arrival_delay", "origin_weather_id"))
+    + ") c WHERE n > 0",
+)
+def fact_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loaded fact and its ten keys against dimensions with rows taken out."""
+    fact, dims = _load(spark, sf_dir)
+    keys = {role: (dims[dim].where(f"NOT ({hole.format(key)})"), key) for role, (dim, key, hole) in _KEYS.items()}
+    return wh.audit_fact(stage(fact, "fact"), ["flight_id", "arrival_delay", "origin_weather_id"], keys)
 
 
 @query("fact_ids", "SELECT CAST(1 AS BIGINT) AS first_id, count(*) AS last_id, count(*) AS n_ids FROM lineitem")

@@ -133,12 +133,15 @@ def track_latest(positions: DataFrame, ttl_seconds: int) -> DataFrame:
             state.remove()
             yield pd.DataFrame([(key[0], *last, "evicted")], columns=["icao24", "time", "lat", "lon", "status"])
             return
-        best = state.get if state.exists else None
+        known = state.get if state.exists else None
+        best = known
         for batch in batches:
             row = batch.loc[batch["time"].idxmax()]
-            if best is None or row["time"] >= best[0]:
+            if best is None or row["time"] > best[0]:
                 best = (int(row["time"]), float(row["lat"]), float(row["lon"]))
-        if best is None:
+        if best is None or best == known:  # nothing newer came
+            if known is not None:
+                state.setTimeoutTimestamp(max((known[0] + ttl_seconds) * 1000, state.getCurrentWatermarkMs() + 1))
             return
         state.update(best)
         state.setTimeoutTimestamp(max((best[0] + ttl_seconds) * 1000, state.getCurrentWatermarkMs() + 1))
