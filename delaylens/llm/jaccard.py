@@ -41,9 +41,9 @@ from delaylens.llm.common import schema_with, unit_hash
 from delaylens.llm.graph import components
 from delaylens.session import stage
 
-SHINGLE = 4
-#: Similarity in hundredths.
-PERCENT = 85
+#: Words of a shingle, and the least similarity in hundredths.
+SHINGLE = 5
+PERCENT = 80
 HUB_ROUNDS = 5
 #: Classes whose ids are sent to all tasks at most (8 bytes each); above it the
 #: texts are joined by a shuffle.

@@ -112,7 +112,7 @@ FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT d AS doc_id, min(c)
 
 @query("op8_ngram_jaccard_join", OP8_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.join(table(spark, sf_dir, "documents"), "text", "doc_id")
+    return jaccard.join(table(spark, sf_dir, "documents"), "text", "doc_id", width=4, percent=85)
 
 
 OP10_SQL = r"""

@@ -132,12 +132,12 @@ def test_model_is_normalised():
     assert np.exp(model.log_probability(np.array([1]), np.array([5]), np.array([5])))[0] > 0.2
 
 
-def plain_components(texts):
+def plain_components(texts, width=4, percent=85):
     """{row: (set size, smallest row reached)} by comparing all pairs that share a shingle."""
     sets = []
     for t in texts.values():
         words = (t or "").encode().lower().split()
-        n = min(4, len(words))
+        n = min(width, len(words))
         sets.append({tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if n else set())
     ids, at = list(texts), {}
     parent = list(range(len(ids)))
@@ -150,7 +150,7 @@ def plain_components(texts):
     for i, s in enumerate(sets):
         shared = Counter(j for x in s for j in at.get(x, ()))
         for j, both in shared.items():
-            if 100 * both >= 85 * (len(s) + len(sets[j]) - both):
+            if 100 * both >= percent * (len(s) + len(sets[j]) - both):
                 a, b = root(i), root(j)
                 parent[max(a, b, key=lambda k: ids[k])] = min(a, b, key=lambda k: ids[k])
         for x in s:
@@ -185,8 +185,9 @@ def test_links_of_small_sets_and_groups(spark):
     for _ in range(40):
         add([*[f"q{x}" for x in rng.integers(0, 10**6, 60)], *base[:50]])
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join(df, "text", "doc_id").collect()}
-    assert got == plain_components(texts)
+    for width, percent in ((4, 85), (5, 80)):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join(df, "text", "doc_id", width, percent).collect()}
+        assert got == plain_components(texts, width, percent)
 
 
 def test_small_sets_share_a_key():
@@ -271,7 +272,7 @@ def test_pipeline(spark, rows):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     kept = corpus_pipeline.quality_classifier(spark, corpus_pipeline.language_id(spark, docs, SF_DIR), SF_DIR).collect()
     assert len(kept) >= 0.7 * len(rows["documents"])
-    components = plain_components({r.doc_id: r.text for r in kept})
+    components = plain_components({r.doc_id: r.text for r in kept}, 5, 80)
     unique = [r for r in kept if components[r.doc_id][1] == r.doc_id]
     hits = plain_hits(unique, rows["benchmark"])
     from tokenizers import Tokenizer

@@ -142,7 +142,7 @@ def check_base(got, rows):
 
 
 def test_links_of_odd_rows(odd, none):
-    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in jaccard.join(odd, "text", "doc_id").collect())
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in jaccard.join(odd, "text", "doc_id", 4, 85).collect())
     n = len(jaccard.shingles(LONG, 4, {}))
     assert got == sorted([
         ("1", 11, "1"), ("1", 11, "1"), ("None", 11, "1"), ("2", 0, "2"), ("3", 0, "3"), ("4", 1, "4"), ("5", n, "5"),
