@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delaylens.llm.common import most_frequent, schema_with, single_threaded
+from delaylens.llm.common import lean, most_frequent, schema_with, single_threaded, text_batches
 from delaylens.session import stage
 
 # Fixed value: the word pattern of byte-level BPE.
@@ -100,14 +100,26 @@ def words_of(text: Column, specials: list[str]) -> Column:
 
 
 def word_counts(words: DataFrame) -> DataFrame:
-    """(word, n) over all rows of a column `words`; each batch is summed first."""
+    """(word, n) over all rows of a column `words`; a task sums its batches up
+    first, as long as they are few words."""
+
+    def sums(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        whole = pa.Table.from_batches(parts).group_by("word").aggregate([("n", "sum")])
+        return pa.RecordBatch.from_arrays([whole.column(c).combine_chunks() for c in ("word", "n_sum")], ["word", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[pa.RecordBatch] = []
         for batch in batches:
             found = pc.value_counts(batch.column(0).flatten())
-            yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], ["word", "n"])
+            parts.append(pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], ["word", "n"]))
+            if sum(p.num_rows for p in parts) > TASK_WORDS:
+                parts = [sums(parts)]
+                if parts[0].num_rows > TASK_WORDS // 2:
+                    yield parts.pop()
+        if parts:
+            yield sums(parts)
 
-    return words.select("words").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return words.select("words").mapInArrow(lean(count), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def encode_each(tokenizer, words: list[str]) -> list[list[int]]:
@@ -125,7 +137,7 @@ def encode_words(words: DataFrame, tokenizer_json: str) -> DataFrame:
             lists = pa.array(encode_each(tokenizer, text), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["word", "ids"])
 
-    return words.select("word").mapInArrow(encode, "word string, ids array<int>")
+    return words.select("word").mapInArrow(lean(encode), "word string, ids array<int>")
 
 
 def shared_table(words: DataFrame, tokenizer_json: str, shared_words: int) -> tuple[pa.Array, pa.Array]:
@@ -189,7 +201,7 @@ class SharedWords:
     """A frame's texts cut into words, and the table of its frequent words."""
 
     def __init__(self, df: DataFrame, text: str, keep: list[str], tokenizer_json: str, shared_words: int):
-        self.split = df.select(*keep, words_of(F.col(text), special_tokens(tokenizer_json)).alias("__words"))
+        self.split = text_batches(df).select(*keep, words_of(F.col(text), special_tokens(tokenizer_json)).alias("__words"))
         self.words, self.ids = shared_table(self.split.select(F.col("__words").alias("words")), tokenizer_json, shared_words)
         self.tokenizer_json = tokenizer_json
 
@@ -206,7 +218,7 @@ class SharedWords:
                     flat, ends = ids_by_position(batch.column(batch.num_columns - 1), table)
                     yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *values(flat, ends)], names=[f.name for f in schema])
 
-        return self.split.mapInArrow(join, schema)
+        return self.split.mapInArrow(lean(join), schema)
 
 
 def encode(df: DataFrame, text: str, keep: list[str], tokenizer_json: str, shared_words: int = SHARED_WORDS) -> DataFrame:
@@ -239,7 +251,7 @@ def decode(df: DataFrame, ids: str, keep: list[str], tokenizer_json: str) -> Dat
             text = [decode_bytes(x or [], pieces).decode() for x in batch.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(text, pa.string())], names=[*keep, "decoded"])
 
-    return df.select(*keep, F.col(ids).alias("__ids")).mapInArrow(join, schema)
+    return df.select(*keep, F.col(ids).alias("__ids")).mapInArrow(lean(join), schema)
 
 
 def encode_digests(df: DataFrame, text: str, keep: list[str], tokenizer_json: str, shared_words: int = SHARED_WORDS) -> DataFrame:

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
+from collections.abc import Callable, Iterator
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +17,40 @@ from pyspark.sql import types as T
 ONE_THREAD = {"OMP_NUM_THREADS": "1", "OPENBLAS_NUM_THREADS": "1", "TOKENIZERS_PARALLELISM": "false"}
 
 
+#: Rows of an Arrow batch that holds texts. Spark's own default suits short rows;
+#: ten thousand texts at once fill a worker, and the JVM's buffers beside it.
+TEXT_ROWS = 1000
+
+
+def text_batches(df: DataFrame) -> DataFrame:
+    """The same rows; from now on the session sends at most TEXT_ROWS at a time to
+    Python, or fewer where it says so already."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= TEXT_ROWS:
+        conf.set(name, str(TEXT_ROWS))
+    return df
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def lean(work: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """For a function given to mapInArrow: when its task ends, freed memory goes
+    back to the system. Workers are used again and live beside the executor's JVM;
+    what their allocators keep would otherwise count against its memory."""
+
+    @wraps(work)
+    def run(batches: Batches) -> Batches:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # glibc only
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
 def single_threaded() -> None:
     """For the start of a Python task, before a native library is loaded."""
     for name, value in ONE_THREAD.items():

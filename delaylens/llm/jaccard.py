@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from delaylens.llm.common import schema_with, unit_hash
+from delaylens.llm.common import lean, schema_with, text_batches, unit_hash
 from delaylens.llm.graph import components
 from delaylens.session import stage
 
@@ -101,7 +101,7 @@ def zone_need(size, percent: int = PERCENT):
     return np.maximum(1, prefix_length(size, percent) // 2)
 
 
-def word_cache(cache: dict, bound: int = 300_000) -> dict:
+def word_cache(cache: dict, bound: int = 100_000) -> dict:
     return cache if len(cache) < bound else {}
 
 
@@ -127,7 +127,7 @@ def features(df: DataFrame, text: str, key: str, width: int, percent: int) -> Da
                 names=[f.name for f in schema],
             )
 
-    return df.select(key, F.col(text).alias("text")).mapInArrow(make, schema)
+    return text_batches(df).select(key, F.col(text).alias("text")).mapInArrow(lean(make), schema)
 
 
 def possible(rows: DataFrame) -> DataFrame:
@@ -156,7 +156,7 @@ def whole_sets(documents: DataFrame, text: str, key: str, classes: DataFrame, wi
                 lists = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array(prints, pa.binary()), lists], ["fingerprint", "hashes"])
 
-    again = chosen.select(F.col(text).alias("text")).mapInArrow(make, "fingerprint binary, hashes array<long>")
+    again = chosen.select(F.col(text).alias("text")).mapInArrow(lean(make), "fingerprint binary, hashes array<long>")
     matched = again.join(classes.select("fingerprint", "class", "size"), "fingerprint")
     # repeated ids bring the same set twice
     return matched.groupBy("class", "size").agg(F.max("hashes").alias("hashes"))
@@ -230,7 +230,7 @@ def subset_postings(sets: DataFrame, boundary: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.list_(pa.int64()))], ["class", "size", "keys"])
 
     small = sets.where(F.col("size") <= boundary).select("class", "size", "hashes")
-    made = small.mapInArrow(make, "class long, size long, keys array<long>")
+    made = small.mapInArrow(lean(make), "class long, size long, keys array<long>")
     return made.select(F.explode("keys").alias("key"), "class", "size", F.lit(1).cast("long").alias("place"))
 
 
@@ -275,7 +275,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     whole_b = pairs.join(sets.select(F.col("class").alias("b"), F.col("hashes").alias("hashes_b")), "b")
     whole = whole_b.join(sets.select(F.col("class").alias("a"), F.col("hashes").alias("hashes_a")), "a")
-    return whole.select("a", "b", "hashes_a", "hashes_b").mapInArrow(check, "a long, b long")
+    return whole.select("a", "b", "hashes_a", "hashes_b").mapInArrow(lean(check), "a long, b long")
 
 
 def class_components(sets: DataFrame, keys: DataFrame, percent: int) -> DataFrame:

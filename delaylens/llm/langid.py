@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaylens.llm.common import class_sample, schema_with
+from delaylens.llm.common import class_sample, lean, schema_with, text_batches
 
 #: Bytes in a window; the last one of a text is padded with zeros.
 WINDOW = 96
@@ -177,12 +177,12 @@ def identify(df: DataFrame, text: str, keep: list[str], net: ByteConvNet | None)
             out = [pa.array(names, pa.string()), pa.array(np.clip(score, 0, 1))]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *out], names=[f.name for f in schema])
 
-    return with_letters(df, text, keep).mapInArrow(apply, schema)
+    return with_letters(df, text, keep).mapInArrow(lean(apply), schema)
 
 
 def with_letters(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     has_letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    return df.select(*keep, F.col(text).alias("__text"), has_letter.alias("__has_letter"))
+    return text_batches(df).select(*keep, F.col(text).alias("__text"), has_letter.alias("__has_letter"))
 
 
 def judged(batches: Iterator[pa.RecordBatch], n_keep: int, net: ByteConvNet | None) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -209,4 +209,4 @@ def determined(df: DataFrame, text: str, net: ByteConvNet | None) -> DataFrame:
             kept = pa.RecordBatch.from_arrays(batch.columns[:-2], names=columns)
             yield kept.filter(pa.array(names != UNDETERMINED, pa.bool_()))
 
-    return with_letters(df, text, df.columns).mapInArrow(apply, df.schema)
+    return with_letters(df, text, df.columns).mapInArrow(lean(apply), df.schema)

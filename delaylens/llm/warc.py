@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaylens.llm.common import unit_hash
+from delaylens.llm.common import lean, text_batches, unit_hash
 from delaylens.session import shared_dir, stage
 
 #: Bytes of a compressed archive before the next one starts.
@@ -139,7 +139,7 @@ def write(pages: DataFrame, key: str, url: str, text: str, folder: str, least: i
     Other columns are not read."""
     repeated, total = revisits(pages, key, text, least)
     few = repeated.count() <= BROADCAST_REPEATED
-    rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"), F.coalesce(text, F.lit("")).alias("html"))
+    rows = text_batches(pages).select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"), F.coalesce(text, F.lit("")).alias("html"))
     sampled = rows.where(unit_hash(F.col("page_id")) * total < SAMPLE_RECORDS).orderBy(unit_hash(F.col("page_id")), "html").limit(2 * SAMPLE_RECORDS)
     sample = sampled.select("page_id", "url", F.substring("html", 1, SAMPLE_BYTES).alias("html")).collect()
     dictionary = train_dictionary([record(r.page_id, r.url, r.html.encode(), None, False) for r in sample])
@@ -177,7 +177,7 @@ def write(pages: DataFrame, key: str, url: str, text: str, folder: str, least: i
         if parts:
             yield close()
 
-    return stage(marked.mapInArrow(pack, "archive string, records long, bytes long"), "archives")
+    return stage(marked.mapInArrow(lean(pack), "archive string, records long, bytes long"), "archives")
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
@@ -195,7 +195,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
-    return files.select("content").mapInArrow(unpack, FOUND_SCHEMA)
+    return files.select("content").mapInArrow(lean(unpack), FOUND_SCHEMA)
 
 
 def found(headers: dict[str, str], block: bytes) -> tuple:
