@@ -2,6 +2,7 @@
 
 import hashlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,6 +132,48 @@ def test_scores_of_odd_rows(odd, none):
     assert lm.score(rows.limit(0), "text", "doc_id", "held_out", rows).count() == 0
 
 
+def test_model_learns_from_every_text(spark):
+    """What follows x in the fifth of the texts that a sample of 800 would take
+    differs from what follows it in the others."""
+    from delaylens.llm.common import unit_hash
+
+    rows = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit(False).alias("held_out"))
+    training = rows.withColumn("text", F.when(unit_hash(F.col("doc_id")) < 0.22, F.repeat(F.lit("x z "), 12)).otherwise(F.repeat(F.lit("x y "), 12)))
+    asked = spark.createDataFrame([(0, "x y x y", True), (1, "x z x z", True)], "doc_id long, text string, held_out boolean")
+    got = {r.doc_id: r.score for r in lm.score(asked, "text", "doc_id", "held_out", training).collect()}
+    assert got[0] > got[1]
+
+
+def test_epoch_averages_all_tasks(spark):
+    """Against learners that see one task's tokens each, weighed by their tokens."""
+    rng = np.random.default_rng(3)
+    parts = [[rng.integers(0, 6, n).astype(np.uint16) for n in sizes] for sizes in ((700, 1, 40), (300,))]
+    unigram = np.full(6, 1 / 6)
+    coded = spark.createDataFrame(spark.sparkContext.parallelize([(t.tobytes(),) for p in parts for t in p], 4).coalesce(1), "classes binary")
+    first = lm.beginning(unigram)
+
+    def learned(texts, seed):
+        learner = lm.Learner(first, unigram, 0.01, seed)
+        learner.learn(np.concatenate(texts).astype(np.int64), np.cumsum([0, *map(len, texts)])[:-1], 64)
+        return lm.packed(learner.parameters)
+
+    whole = lm.averaged(coded, first, unigram, 64, 0.01, [1, 0])
+    assert lm.packed(whole) == pytest.approx(learned([t for p in parts for t in p], [1, 0, 0]), abs=1e-6)
+    two = spark.createDataFrame(spark.sparkContext.parallelize(parts, 2).flatMap(lambda p: [(t.tobytes(),) for t in p]), "classes binary")
+    expected = (741 * learned(parts[0], [1, 0, 0]) + 300 * learned(parts[1], [1, 0, 1])) / 1041
+    assert lm.packed(lm.averaged(two, first, unigram, 64, 0.01, [1, 0])) == pytest.approx(expected, abs=1e-6)
+
+
+def test_classes_grow_with_the_words(spark):
+    counts = spark.range(1_300_000).select(F.col("id").cast("string").cast("binary").alias("word"), (F.lit(1) + (F.col("id") < 1000).cast("long")).alias("n"))
+    words, _ = lm.known_words(counts, 2000, None)
+    assert len(words.unigram()) == lm.grown_classes(1_300_000) + 1 == 571
+    rng = np.random.default_rng(2)
+    near, far, vectors, bias = (rng.normal(0, 1, s).astype(np.float32) for s in ((8, 4), (8, 4), (7, 4), 7))
+    table = lm.normaliser_table(spark, near, far, vectors, bias)
+    assert table == pytest.approx(np.log(np.exp((near[:, None] + far[None]) @ vectors.T + bias).sum(axis=2)), abs=1e-4)
+
+
 def check_base(got, rows):
     from collections import Counter
     from math import log10
