@@ -5,8 +5,10 @@ start of a path; the longest that fits decides. Where none fits, the host
 decides: hosts whose pages rules allow are trusted seeds, those whose pages rules
 block are distrusted ones, by the share of their pages. Trust follows links
 (personalised PageRank from the trusted seeds), distrust goes back along them
-(from the blocked seeds over reversed links). A host is blocked when its distrust
-exceeds its trust by more than a threshold.
+(from the blocked seeds over reversed links). What a host gets of another's
+distrust is the share of its own links that go there, so it doesn't matter how
+many others link there too. A host is blocked when its distrust exceeds its trust
+by more than a threshold.
 """
 
 from __future__ import annotations
@@ -65,18 +67,20 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return linked.where("source <> target and source <> ''").groupBy("source", "target").agg(F.count("*").cast("double").alias("weight"))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def propagate(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING, by_own_links: bool = False) -> DataFrame:
     """(host, trust, distrust) from seeds(host, trust, distrust): each round a
     host keeps (1 - damping) of its seed and gets damping of what its neighbours
-    spread over their links, trust forwards and distrust backwards. Every round
-    is written to the shared folder. Hosts that nothing reaches are left out."""
+    spread over their links, trust forwards and distrust backwards. Distrust is
+    split over the hosts that link to the distrusted one, or `by_own_links` each
+    of them gets it whole times the share of its own links that go there. Every
+    round is written to the shared folder. Hosts that nothing reaches are left out."""
     own = seeds.select("host", F.explode(F.map_from_arrays(F.array(F.lit("trust"), F.lit("distrust")), F.array("trust", "distrust"))).alias("kind", "value"))
     own = stage(own.where("value > 0").withColumn("value", F.col("value") * (1 - damping)), "seeds")
-    both = edges.select(F.lit("trust").alias("kind"), "source", "target", "weight").union(
-        edges.select(F.lit("distrust"), F.col("target"), F.col("source"), "weight")
+    both = edges.select(F.lit("trust").alias("kind"), "source", "target", F.col("source").alias("of"), "weight").union(
+        edges.select(F.lit("distrust"), F.col("target"), F.col("source"), F.col("source" if by_own_links else "target"), "weight")
     )
-    out = both.groupBy("kind", "source").agg(F.sum("weight").alias("total"))
-    share = stage(both.join(out, ["kind", "source"]).select("kind", "source", "target", (F.col("weight") / F.col("total") * damping).alias("share")), "shares")
+    out = both.groupBy("kind", "of").agg(F.sum("weight").alias("total"))
+    share = stage(both.join(out, ["kind", "of"]).select("kind", "source", "target", (F.col("weight") / F.col("total") * damping).alias("share")), "shares")
     rank = own
     for _ in range(0 if share.isEmpty() else rounds):
         flow = share.join(rank.withColumnRenamed("host", "source"), ["kind", "source"]).select(F.col("target").alias("host"), "kind", (F.col("share") * F.col("value")).alias("value"))
@@ -106,7 +110,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], key: str, url: str, ht
 
     seeds = ruled.where("host <> ''").groupBy("host").agg(part("allow").alias("trust"), part("block").alias("distrust"))
     edges = host_edges(pages.select(host(F.col(url)).alias("host"), F.col(html).alias("html")))
-    ranks = propagate(seeds, edges, rounds)
+    ranks = propagate(seeds, edges, rounds, by_own_links=True)
     blocked = ranks.where(F.col("distrust") - F.col("trust") > threshold * (1 - DAMPING)).select("host", F.lit("block").alias("of_host"))
     final = F.coalesce("verdict", "of_host", F.lit("allow")).alias("verdict")
     return ruled.join(blocked, "host", "left").select(key, "host", "path", "rule", final)

@@ -257,6 +257,20 @@ def test_verdicts_and_links(spark):
     assert urlfilter.judge(pages.limit(0), queries.RULES, "page_id", "url", "html").count() == 0
 
 
+def test_linkers_of_one_blocked_host(spark):
+    """All that link only to it are blocked, however many and however large they
+    are; one with few of its links there is not."""
+    bad = "<a href='http://bad.net/'>x</a>"
+    links = [(f"small{i}.org", bad) for i in range(40)] + [("large.org", bad)] * 300
+    links += [("some.org", bad)] + [("some.org", f"<a href='http://fine{i}.org/'>x</a>") for i in range(4)]
+    links += [("next.org", "<a href='//small7.org/'>x</a>"), ("none.org", None)]
+    rows = [(0, "https://bad.net/es/x", None), *((i, f"http://{h}/{i}", html) for i, (h, html) in enumerate(links, 1))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.host: r.verdict for r in urlfilter.judge(pages, queries.RULES, "page_id", "url", "html").collect()}
+    assert {h for h, v in got.items() if v == "allow"} == {"some.org", "none.org"}
+    assert got["large.org"] == got["next.org"] == "block" and len(got) == 45
+
+
 def test_propagation_by_hand(spark):
     """Two rounds on three hosts against the sums worked out plainly."""
     seeds = spark.createDataFrame([("a", 1.0, 0.0), ("c", 0.0, 1.0)], "host string, trust double, distrust double")
