@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from delaylens.llm import bpe, decontaminate, hnsw, jaccard, langid, lm, preference, quality, urlfilter, warc
+from delaylens.llm import bpe, decontaminate, hnsw, jaccard, langid, lm, preference, quality, repair, urlfilter, warc
 from delaylens.llm.common import held_out, table
 from delaylens.session import prepare
 
@@ -220,6 +220,66 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.search(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("id") % 20 == 0, 20)
 
 
+# crc32 spelled out; the cheapest edits by state, row by row: a recursion keeps the
+# least (cost, audit, repaired) for each conversation and state 0 none, 1 system, 2 user, 3 assistant
+OP11_SQL = r"""
+WITH RECURSIVE named AS (
+  SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations
+), harmed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(
+    list_prepend(4294967295, list_transform(range(1, length(name) + 1), lambda i: CAST(ascii(name[i]) AS BIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 20 AS harm
+  FROM named
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+    CASE harm WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM harmed, range(2) copies(k) WHERE harm <> 0 AND (k = 0 OR harm = 3)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged
+), marked AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault,
+    lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] AS pair
+  FROM placed
+), inserts(q, q2, edits, price, said) AS (
+  VALUES (0, 0, '', 0, []), (1, 1, '', 0, []), (2, 2, '', 0, []), (3, 3, '', 0, []), (0, 2, 'I', 5, ['user:']), (1, 2, 'I', 5, ['user:']),
+    (3, 2, 'I', 5, ['user:']), (2, 3, 'I', 5, ['assistant:']), (0, 3, 'II', 10, ['user:', 'assistant:']), (1, 3, 'II', 10, ['user:', 'assistant:'])
+), moves(q, initial, q2, edit, price, who) AS (
+  VALUES (0, 's', 1, 'K', 0, NULL), (0, 'u', 2, 'K', 0, NULL), (1, 'u', 2, 'K', 0, NULL), (2, 'a', 3, 'K', 0, NULL), (3, 'u', 2, 'K', 0, NULL),
+    (0, NULL, 2, 'R', 1, 'user'), (1, NULL, 2, 'R', 1, 'user'), (3, NULL, 2, 'R', 1, 'user'), (2, NULL, 3, 'R', 1, 'assistant'),
+    (0, NULL, 0, 'D', 2, NULL), (1, NULL, 1, 'D', 2, NULL), (2, NULL, 2, 'D', 2, NULL), (3, NULL, 3, 'D', 2, NULL)
+), best AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, 0 AS q, {'cost': 0, 'audit': '', 'lines': CAST([] AS VARCHAR[])} AS way FROM conversations
+  UNION ALL
+  SELECT b.conv_id, b.i + 1, m.q2, min({'cost': b.way.cost + n.price + m.price + CASE WHEN m.edit <> 'D' AND r.fault = 'truncated' THEN 5 ELSE 0 END,
+    'audit': b.way.audit || n.edits || m.edit,
+    'lines': b.way.lines || n.said || CASE WHEN m.edit = 'D' THEN CAST([] AS VARCHAR[]) ELSE [coalesce(m.who, r.role) || ':' || r.text] END})
+  FROM best b JOIN marked r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.i = b.i + 1 JOIN inserts n ON n.q = b.q
+    JOIN moves m ON m.q = n.q2 AND (m.initial IS NULL OR m.initial = r.role[1]) AND (m.edit = 'D' OR r.fault NOT IN ('blank', 'duplicate'))
+  GROUP BY 1, 2, 3
+), sizes AS (
+  SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM marked GROUP BY 1
+), done AS (
+  SELECT b.conv_id, any_value(s) AS s, min({'cost': b.way.cost + n.price, 'audit': b.way.audit || n.edits, 'lines': b.way.lines || n.said}) AS way
+  FROM best b LEFT JOIN sizes s ON s.conv_id IS NOT DISTINCT FROM b.conv_id JOIN inserts n ON n.q = b.q
+  WHERE b.i = coalesce(s.n, 0) AND n.q2 IN (0, 3) GROUP BY 1
+)
+SELECT conv_id, coalesce(s.gaps, 0) AS gaps, coalesce(s.blank, 0) AS blank, coalesce(s.duplicate, 0) AS duplicate, coalesce(s.truncated, 0) AS truncated,
+  coalesce(s.illegal, 0) AS illegal, CAST(way.cost AS BIGINT) AS cost, way.audit AS audit, sha256(array_to_string(way.lines, chr(10))) AS repaired_sha256
+FROM done
+"""
+
+
+@query("op11_conversation_repair", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repair.damaged(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    return repair.report(rows, "conv_id", "turn", "role", "text", F.col("present"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
