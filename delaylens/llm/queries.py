@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from delaylens.llm import align, bpe, decontaminate, hnsw, jaccard, langid, lm, preference, quality, repair, urlfilter, warc
+from delaylens.llm import align, bpe, decontaminate, hnsw, jaccard, langid, lm, pii, preference, quality, repair, urlfilter, warc
 from delaylens.llm.common import held_out, table
 from delaylens.session import prepare
 
@@ -280,6 +280,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.report(rows, "conv_id", "turn", "role", "text", F.col("present"))
 
 
+@query("op12_disclosed_terms")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"), "text", ["doc_id"])
+
+
 @query("op13_tokenizer_alignment")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.report(table(spark, sf_dir, "documents"), "text", ["doc_id"], bpe.public_tokenizer(), align.public_model())
