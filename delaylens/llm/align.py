@@ -17,6 +17,7 @@ ASCII letters, where both tokenizers start anew, so the tokens stay the same.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from delaylens.llm.bpe import id_pieces
+from delaylens.llm.bpe import WORDS, id_pieces
 from delaylens.llm.common import lean, schema_with, single_threaded, text_batches
 from delaylens.session import stage
 
@@ -73,18 +74,33 @@ class Side:
 
 @lru_cache(maxsize=2)
 def byte_side(tokenizer_json: str) -> Side:
+    """The byte-level tokenizer over its own vocabulary, special tokens as plain
+    text. Where ids follow the order of merges, as in the public vocabularies, an
+    id is its merge's rank, and the faster library that works on ranks gives the
+    same ids."""
     single_threaded()
+    definition, pieces = json.loads(tokenizer_json), id_pieces(tokenizer_json)
+    vocabulary = definition["model"]["vocab"]
+    merges = [m if isinstance(m, list) else m.split(" ") for m in definition["model"]["merges"]]
+    merged = [vocabulary[a + b] for a, b in merges]
+    if merged == sorted(merged):
+        import tiktoken
+
+        ranks = {pieces[i]: i for i in vocabulary.values() if i not in special_ids(definition)}
+        ranked = tiktoken.Encoding("ranks", pat_str=WORDS.removeprefix("(?U)"), mergeable_ranks=ranks, special_tokens={})
+        return Side(lambda texts: [ranked.encode_ordinary(f" {t}") for t in texts], pieces)
+
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(tokenizer_json)
     tokenizer.no_truncation()
     tokenizer.no_padding()
     tokenizer.encode_special_tokens = True
+    return Side(lambda texts: [e.ids for e in tokenizer.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)], pieces)
 
-    def encode(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
 
-    return Side(encode, id_pieces(tokenizer_json))
+def special_ids(definition: dict) -> set[int]:
+    return {t["id"] for t in definition.get("added_tokens") or []}
 
 
 def piece_bytes(piece: str) -> bytes:
@@ -130,10 +146,11 @@ class Aligned:
         self.a, self.b, self.a_doc, self.b_doc = a, b, a_doc, b_doc
         self.a_end, self.b_end = np.cumsum(a_length[a]), np.cumsum(b_length[b])
         self.a_start, self.b_start = self.a_end - a_length[a], self.b_end - b_length[b]
-        from_a = np.stack([np.arange(len(a)), covering(self.a_start, a_doc, self.b_start, b_doc)])
-        from_b = np.stack([covering(self.b_start, b_doc, self.a_start, a_doc), np.arange(len(b))])
-        self.overlaps = np.unique(np.concatenate([from_a, from_b], axis=1), axis=1) if len(a) else np.zeros((2, 0), np.int64)
-        x, y = self.overlaps
+        # a pair of places as one number, in order of a's and then of b's place
+        from_a = np.arange(len(a)) * len(b) + covering(self.a_start, a_doc, self.b_start, b_doc)
+        from_b = covering(self.b_start, b_doc, self.a_start, a_doc) * len(b) + np.arange(len(b))
+        x, y = np.divmod(np.union1d(from_a, from_b), max(len(b), 1))
+        self.overlaps = np.stack([x, y])
         closed = self.a_end[x[self.a_end[x] == self.b_end[y]]]
         self.a_group, self.b_group = np.searchsorted(closed, self.a_end), np.searchsorted(closed, self.b_end)
         self.n_groups = len(closed)
