@@ -1,149 +1,167 @@
 """Why a score is what it is: gain importance and additive contributions.
 
-Both come from the node table a saved boosted model consists of. The table is
-small (trees x nodes), whatever the data.
+Contributions are exact path-dependent Shapley values. A leaf's share of a
+feature's value depends only on which of its path's features the row passes, and
+with x as the chance that a feature is known it is an integral,
+
+    value * (passed_i - cover_i) * int_0^1 prod_{j != i} ((1-x) cover_j + x passed_j) dx,
+
+a polynomial in x that a few Gauss nodes integrate exactly. Rows are routed tree by
+tree: a table per feature turns its code into the interval between the tree's
+splits, the intervals into one number, and each distinct number of a batch is
+worked out once for all leaves and handed to its rows.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.ml import PipelineModel
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from delaylens.operators.boosting import CODES, Booster, Tree
 from delaylens.operators.model import FeatureSpec
-from delaylens.session import shared_dir
-
-
-def node_table(spark: SparkSession, model: PipelineModel) -> DataFrame:
-    """One row per node: tree, id, children, split, prediction, row count, gain."""
-    path = shared_dir(spark, "booster")
-    model.stages[-1].save(path)
-    n = F.col("nodeData")
-    return spark.read.parquet(f"{path}/data").select(
-        F.col("treeID").alias("tree"),
-        n["id"].alias("id"),
-        n["prediction"].alias("prediction"),
-        n["rawCount"].cast("double").alias("rows"),
-        n["gain"].alias("gain"),
-        n["leftChild"].alias("left"),
-        n["rightChild"].alias("right"),
-        n["split"]["featureIndex"].alias("feature"),
-        n["split"]["leftCategoriesOrThreshold"].alias("bounds"),
-        n["split"]["numCategories"].alias("n_categories"),
-    )
-
-
-def importance(spark: SparkSession, model: PipelineModel, spec: FeatureSpec) -> DataFrame:
-    """Share of the total gain per feature, highest first; unused features
-    have 0."""
-    names = spark.createDataFrame(list(enumerate(spec.names)), "feature_index int, feature string")
-    gains = (
-        node_table(spark, model)
-        .where("left >= 0")
-        .groupBy(F.col("feature").alias("feature_index"))
-        .agg(F.sum(F.col("gain") * F.col("rows")).alias("gain"))
-    )
-    total = gains.agg(F.sum("gain")).scalar()
-    share = F.coalesce(F.try_divide(F.col("gain"), total), F.lit(0.0))
-    return (
-        names.join(gains, "feature_index", "left")
-        .select("feature", F.round(share, 4).alias("importance"))
-        .orderBy(F.col("importance").desc(), "feature")
-    )
-
-
-def _leaf_tables(nodes: pd.DataFrame, weights: list[float]) -> tuple[list, float]:
-    """For every leaf: the tests on its path, one per feature, and a table of
-    contributions for each combination of passed tests.
-
-    A leaf's share of the Shapley value of feature i depends only on which of
-    the path's features the row passes, so it is worked out once per leaf and
-    combination."""
-    leaves, bias = [], 0.0
-    columns = [nodes[c].tolist() for c in ("tree", "id", "prediction", "rows", "left", "right", "feature", "bounds", "n_categories")]
-    node_of = {(int(tree), int(i)): rest for tree, i, *rest in zip(*columns)}
-    for tree in sorted({t for t, _ in node_of}):
-        pending: list[tuple[int, dict]] = [(0, {})]
-        while pending:
-            node_id, path = pending.pop()
-            prediction, rows, left, right, feature, bounds, n_categories = node_of[tree, node_id]
-            if left < 0:
-                value = float(prediction) * weights[tree] * 2.0
-                bias += value * math.prod(cover for _, cover in path.values())
-                if path:
-                    leaves.append((list(path), [tests for tests, _ in path.values()], _combinations([c for _, c in path.values()], value)))
-                continue
-            for child, goes_left in ((left, True), (right, False)):
-                cover = node_of[tree, int(child)][1] / rows if rows else 0.0
-                tests, share = path.get(int(feature), ([], 1.0))
-                test = (int(n_categories), tuple(bounds), goes_left)
-                pending.append((int(child), {**path, int(feature): (tests + [test], share * cover)}))
-    return leaves, bias
-
-
-def _combinations(covers: list[float], value: float) -> np.ndarray:
-    """Contributions (combination, feature) of a leaf with these covers: for each
-    feature the product of (cover + passed * t) over the others, as a polynomial
-    in t whose coefficients sum the subsets of each size, weighed by size."""
-    d = len(covers)
-    z = np.array(covers)
-    passed = (np.arange(2**d)[:, None] >> np.arange(d) & 1).astype(float)
-    weight = np.array([math.factorial(s) * math.factorial(d - s - 1) / math.factorial(d) for s in range(d)])
-    by_size = np.zeros((2**d, d, d))
-    by_size[:, :, 0] = 1.0
-    for j in range(d):
-        grown = by_size * z[j]
-        grown[:, :, 1:] += by_size[:, :, :-1] * passed[:, j, None, None]
-        grown[:, j] = by_size[:, j]
-        by_size = grown
-    return value * (passed - z) * (by_size @ weight)
-
-
-def _contributions(x: np.ndarray, leaves: list) -> np.ndarray:
-    """Contributions of each row of x; every distinct split is tested once."""
-    out = np.zeros(x.shape)
-    splits: dict[tuple, np.ndarray] = {}
-
-    def goes_left(feature: int, n_categories: int, bounds: tuple) -> np.ndarray:
-        key = (feature, n_categories, bounds)
-        if key not in splits:
-            column = x[:, feature]
-            splits[key] = column <= bounds[0] if n_categories < 0 else np.isin(column, bounds)
-        return splits[key]
-
-    for features, tests, table in leaves:
-        mask = np.zeros(len(x), dtype=np.int64)
-        for j, feature in enumerate(features):
-            passed = np.ones(len(x), dtype=bool)
-            for n_categories, bounds, left in tests[j]:
-                passed &= goes_left(feature, n_categories, bounds) == left
-            mask |= passed.astype(np.int64) << j
-        out[:, features] += table[mask]
-    return out
 
+#: Numbers worked out at once: distinct patterns x leaves x path features x nodes.
+AT_ONCE = 4_000_000
 
-def leaf_tables(spark: SparkSession, model: PipelineModel) -> tuple[list, float]:
-    """What contributions need of a model: bounded by its trees and leaves."""
-    return _leaf_tables(node_table(spark, model).toPandas(), list(model.stages[-1].treeWeights))
 
+def importance(spark: SparkSession, booster: Booster, spec: FeatureSpec) -> DataFrame:
+    """Share of the total gain per feature, highest first; unused features
+    have 0."""
+    gains = np.zeros(len(spec.names))
+    for tree in booster.trees:
+        inner = tree.feature >= 0
+        np.add.at(gains, tree.feature[inner], tree.gain[inner])
+    shares = gains / gains.sum() if gains.sum() else gains
+    rows = spark.createDataFrame(list(zip(spec.names, shares.tolist())), "feature string, share double")
+    return rows.select("feature", F.round("share", 4).alias("importance")).orderBy(F.col("importance").desc(), "feature")
+
+
+@dataclass
+class Paths:
+    """A tree by its leaves: value, and for each feature on a leaf's path (padded
+    by ones that everything passes) its cover. For each feature of the tree: the
+    interval of every code, and which path places pass in each interval."""
+
+    value: np.ndarray
+    cover: np.ndarray
+    features: list[int]
+    interval: list[np.ndarray]
+    places: list[tuple[np.ndarray, np.ndarray]]
+    passes: list[np.ndarray]
+
+    @property
+    def bias(self) -> float:
+        return float((self.value * self.cover.prod(axis=1)).sum())
+
+
+def paths_of(tree: Tree) -> Paths:
+    leaves: list[tuple[float, dict[int, tuple[float, np.ndarray]]]] = []
+    pending: list[tuple[int, dict[int, tuple[float, np.ndarray]]]] = [(0, {})]
+    while pending:
+        at, path = pending.pop()
+        feature = int(tree.feature[at])
+        if feature < 0:
+            leaves.append((float(tree.value[at]), path))
+            continue
+        for child, passing in ((tree.left[at], tree.goes_left[at]), (tree.right[at], ~tree.goes_left[at])):
+            cover, codes = path.get(feature, (1.0, np.ones(CODES, bool)))
+            share = float(tree.rows[child] / tree.rows[at]) if tree.rows[at] else 0.0
+            pending.append((int(child), {**path, feature: (cover * share, codes & passing)}))
+    depth = max(len(path) for _, path in leaves)
+    cover = np.ones((len(leaves), max(depth, 1)))
+    used: dict[int, list[tuple[int, int, np.ndarray]]] = {}
+    for i, (_, path) in enumerate(leaves):
+        for j, (feature, (share, codes)) in enumerate(path.items()):
+            cover[i, j] = share
+            used.setdefault(feature, []).append((i, j, codes))
+    out = Paths(np.array([v for v, _ in leaves]), cover, sorted(used), [], [], [])
+    for feature in out.features:
+        at_leaf, at_place, codes = zip(*used[feature])
+        kinds, interval = np.unique(np.array(codes).T, axis=0, return_inverse=True)
+        out.interval.append(interval.reshape(-1).astype(np.int64))
+        out.places.append((np.array(at_leaf), np.array(at_place)))
+        out.passes.append(kinds)
+    return out
 
-def with_contributions(df: DataFrame, model: PipelineModel, spec: FeatureSpec, tables: tuple[list, float] | None = None) -> DataFrame:
-    """Adds `contributions` (log-odds per feature, in the order of spec.names)
-    and `bias`; together they add up to the log-odds of the score.
 
-    Expects the `_features` array of operators.model.score, the only column
-    that crosses to Python, in Arrow batches; no rows move between tasks.
-    `tables` are the model's leaf_tables, if they are at hand."""
-    leaves, bias = tables or leaf_tables(df.sparkSession, model)
-    shared = df.sparkSession.sparkContext.broadcast(leaves)
-    width = len(spec.names)
+def pattern_values(paths: Paths, intervals: list[np.ndarray]) -> np.ndarray:
+    """(patterns, features of the tree, then the tree's value) for patterns given
+    as intervals of each feature."""
+    leaves, depth = paths.cover.shape
+    nodes, weights = np.polynomial.legendre.leggauss((depth + 1) // 2)
+    known, weights = (nodes + 1) / 2, weights / 2
+    n = len(intervals[0]) if intervals else 1
+    out = np.zeros((n, len(paths.features) + 1))
+    step = max(1, AT_ONCE // (leaves * depth * len(known)))
+    for at in range(0, n, step):
+        part = [i[at : at + step] for i in intervals]
+        passed = np.ones((len(part[0]) if part else 1, leaves, depth))
+        for interval, (leaf, place), passes in zip(part, paths.places, paths.passes):
+            passed[:, leaf, place] = passes[interval]
+        share = np.zeros_like(passed)
+        for x, weight in zip(known, weights):
+            factor = (1 - x) * paths.cover + x * passed
+            share += weight * factor.prod(axis=2, keepdims=True) / factor
+        share *= (passed - paths.cover) * paths.value[:, None]
+        for f, (leaf, place) in enumerate(paths.places):
+            out[at : at + step, f] = share[:, leaf, place].sum(axis=1)
+        out[at : at + step, -1] = passed.prod(axis=2) @ paths.value
+    return out
 
-    @F.pandas_udf("array<double>")
-    def contribute(features: pd.Series) -> pd.Series:
-        x = np.stack(features.to_numpy()) if len(features) else np.zeros((0, width))
-        return pd.Series(list(_contributions(x, shared.value)))
 
-    return df.withColumns({"contributions": contribute("_features"), "bias": F.lit(bias)})
+def tree_values(paths: Paths, codes: np.ndarray) -> np.ndarray:
+    """The rows' values, each distinct pattern of intervals worked out once."""
+    number, size = np.zeros(codes.shape[1], np.int64), 1
+    for feature, interval, passes in zip(paths.features, paths.interval, paths.passes):
+        number = number * len(passes) + interval[codes[feature]]
+        size *= len(passes)
+    if size <= 4 * len(number) + 4096:
+        present = np.zeros(size, bool)
+        present[number] = True
+        distinct = np.flatnonzero(present)
+        place = np.cumsum(present) - 1
+        which = place[number]
+    else:
+        distinct, which = np.unique(number, return_inverse=True)
+    intervals: list[np.ndarray] = []
+    for passes in reversed(paths.passes):
+        distinct, interval = np.divmod(distinct, len(passes))
+        intervals.append(interval)
+    return pattern_values(paths, intervals[::-1])[which]
+
+
+def contributions(trees: list[Paths], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows x features, margin without base) over all trees."""
+    total, margin = np.zeros((codes.shape[0], codes.shape[1])), np.zeros(codes.shape[1])
+    for paths in trees:
+        values = tree_values(paths, codes)
+        for f, feature in enumerate(paths.features):
+            total[feature] += values[:, f]
+        margin += values[:, -1]
+    return total.T, margin
+
+
+def with_contributions(df: DataFrame, booster: Booster, spec: FeatureSpec, trees: list[Paths] | None = None, name: str = "risk_score") -> DataFrame:
+    """Adds the score, `contributions` (log-odds per feature, in the order of
+    spec.names) and `bias`; together they add up to the log-odds of the score.
+
+    Only feature columns cross to Python, in Arrow batches; no rows move between
+    tasks. `trees` are the booster's paths, if they are at hand; their size is that
+    of the trees, whatever the data."""
+    trees = trees if trees is not None else [paths_of(t) for t in booster.trees]
+    bias = booster.base + math.fsum(p.bias for p in trees)
+    shared = df.sparkSession.sparkContext.broadcast((booster.bins, booster.base, trees))
+
+    @F.arrow_udf("struct<score:double,contributions:array<double>>")
+    def explain(*columns: pa.Array) -> pa.Array:
+        bins, base, paths = shared.value
+        each, margin = contributions(paths, bins.codes(list(columns)))
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(each) + 1) * each.shape[1], pa.int32()), pa.array(each.ravel()))
+        return pa.StructArray.from_arrays([pa.array(1 / (1 + np.exp(-base - margin))), lists], ["score", "contributions"])
+
+    found = df.withColumn("__found", explain(*booster.bins.columns()))
+    return found.withColumns({name: F.col("__found.score"), "contributions": F.col("__found.contributions"), "bias": F.lit(bias)}).drop("__found")

@@ -127,15 +127,18 @@ def top_factors(
     `contributions` and `shown` are arrays in the order of `names`; a missing
     aircraft type is left out before ranking, and tiny effects among the first
     `top` are dropped after it. Ties keep the order of `names`."""
-    order = F.sequence(F.lit(0), F.lit(len(names) - 1))
-    pairs = F.transform(
-        order,
-        lambda i: F.struct(
-            (-F.abs(F.get(contributions, i))).alias("rank"),
-            i.alias("position"),
-            F.get(F.array(*[F.lit(n) for n in names]), i).alias("feature"),
-            F.get(shown, i).alias("value"),
-            F.get(contributions, i).alias("contribution"),
+    # zipped as arguments, so that the texts are worked out once a row
+    labels = F.array(*[F.lit(n) for n in names])
+    placed = F.transform(F.zip_with(shown, contributions, lambda v, c: F.struct(v.alias("value"), c.alias("contribution"))), lambda p, i: F.struct(i.alias("i"), p.alias("p")))
+    pairs = F.zip_with(
+        placed,
+        labels,
+        lambda p, n: F.struct(
+            (-F.abs(p["p"]["contribution"])).alias("rank"),
+            p["i"].alias("position"),
+            n.alias("feature"),
+            p["p"]["value"].alias("value"),
+            p["p"]["contribution"].alias("contribution"),
         ),
     )
     usable = F.filter(pairs, lambda p: ~((p["feature"] == "typecode") & missing_type))

@@ -1,22 +1,19 @@
-"""Delay-risk model: preparation, boosted trees, walk-forward search, scoring.
+"""Delay-risk model: boosted trees on binned rows, walk-forward search, scoring.
 
-Fitting, scoring and evaluation are Spark ML and DataFrame jobs; the driver
-only loops over configurations and folds.
+Fitting is operators.boosting on blocks written once; scoring and evaluation are
+DataFrame jobs. The driver keeps trees and metrics only.
 """
 
 from __future__ import annotations
 
 import json
-import math
 import time
 import uuid
 from dataclasses import asdict, dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from delaylens.constants import (
     BOOST_ROUNDS,
@@ -26,140 +23,60 @@ from delaylens.constants import (
     SEARCH_SPACE,
     TARGET_COLUMN,
 )
-from delaylens.operators import metrics
+from delaylens.operators import boosting, metrics
+from delaylens.operators.boosting import Bins, Blocks, Booster, Fit, Rules
 from delaylens.operators.history import latest_run
-from delaylens.operators.profile import class_balance
-from delaylens.session import ensure_checkpoint_dir
-
-OTHER = "(other)"
-MISSING = "(missing)"
-SENTINEL = -9999.0
-#: Split candidates of a number; a category with more values raises it.
-LEAST_BINS = 255
+from delaylens.session import discard, stage
 
 
 @dataclass
 class FeatureSpec:
-    """What the model sees: columns, label, time, and the values of each category
-    that training rows have (unseen ones share one value)."""
+    """What the model sees: columns, label and time."""
 
     numeric: list[str] = field(default_factory=lambda: [c for c in FEATURE_COLUMNS if c not in CATEGORICAL_COLUMNS])
     categorical: list[str] = field(default_factory=lambda: list(CATEGORICAL_COLUMNS))
     label: str = TARGET_COLUMN
     time: str = "first_seen"
-    kept: dict[str, list[str]] = field(default_factory=dict)
 
     @property
     def names(self) -> list[str]:
         return self.categorical + self.numeric
 
-    @property
-    def bins(self) -> int:
-        """Room for every value of the largest category, unseen and missing ones."""
-        return max(LEAST_BINS, 3 + max((len(v) for v in self.kept.values()), default=0))
-
 
 @dataclass
 class TrainedModel:
-    pipeline: PipelineModel
+    booster: Booster
     spec: FeatureSpec
     threshold: float
     config: dict
     rounds: int
     #: long-run delay rate of each airport in the training rows
     rates: dict[str, float] = field(default_factory=dict)
-    #: explain.leaf_tables of the pipeline, worked out at the first use
-    leaves: tuple | None = None
-
-
-def learn_categories(df: DataFrame, spec: FeatureSpec) -> FeatureSpec:
-    """Keeps every value of each category. Categories are dimensions (airports,
-    aircraft types): their lists fit the driver, as the indexer needs them there."""
-    kept = {}
-    for c in spec.categorical:
-        counts = df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("v")).count()
-        kept[c] = [r["v"] for r in counts.orderBy(F.col("count").desc(), "v").collect()]
-    return FeatureSpec(spec.numeric, spec.categorical, spec.label, spec.time, kept)
-
-
-def prepare(df: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """Casts features to what the trees can split: categories as text with
-    missing and unseen values named, numbers with missing ones far below all
-    others, so that one split can set them apart."""
-    out = {}
-    for c in spec.categorical:
-        value = F.col(c).cast("string")
-        known = F.when(value.isin(spec.kept[c]), value).otherwise(OTHER) if spec.kept.get(c) else value
-        out[f"{c}_in"] = F.when(value.isNull(), MISSING).otherwise(known)
-    for c in spec.numeric:
-        number = F.col(c).cast("double")
-        out[f"{c}_in"] = F.when(number.isNull() | F.isnan(number), SENTINEL).otherwise(number)
-    return df.withColumns(out)
-
-
-def tree_settings(config: dict) -> dict:
-    """Settings of a leaf-wise configuration for level-wise trees."""
-    return {
-        "maxDepth": max(2, math.ceil(math.log2(config["num_leaves"]))),
-        "stepSize": config["learning_rate"],
-        "minInstancesPerNode": config["min_data_in_leaf"],
-    }
+    #: explain.paths_of each tree, worked out at the first use
+    paths: list | None = None
 
 
-def _pipeline(spec: FeatureSpec, config: dict, rounds: int) -> Pipeline:
-    indexed = [f"{c}_ix" for c in spec.categorical]
-    stages = [
-        StringIndexer(
-            inputCols=[f"{c}_in" for c in spec.categorical], outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"
-        ),
-        VectorAssembler(inputCols=indexed + [f"{c}_in" for c in spec.numeric], outputCol="features"),
-    ]
-    booster = GBTClassifier(
-        labelCol="_label",
-        featuresCol="features",
-        weightCol="_weight",
-        maxIter=rounds,
-        maxBins=spec.bins,
-        subsamplingRate=0.8,
-        featureSubsetStrategy="0.8",
-        seed=42,
-        checkpointInterval=10,
-        maxMemoryInMB=1024,
-        **tree_settings(config),
-    )
-    return Pipeline(stages=stages + [booster])
+def learn_bins(df: DataFrame, spec: FeatureSpec) -> Bins:
+    return boosting.learn_bins(df, spec.categorical, spec.numeric)
 
 
-def positive_weight(train: DataFrame, spec: FeatureSpec, config: dict) -> float:
-    return float(class_balance(train, spec.label, config["pos_weight_mult"]).first()["positive_weight"] or 1.0)
+def binned(df: DataFrame, spec: FeatureSpec, parts: list[Column], bins: Bins | None = None) -> Blocks:
+    """The rows as blocks; bit i of a row says whether it is in part i."""
+    bits = [F.when(part, F.lit(1 << i)).otherwise(0) for i, part in enumerate(parts)]
+    return boosting.write_blocks(df, bins or learn_bins(df, spec), spec.label, sum(bits[1:], bits[0]))
 
 
-def _weighted(df: DataFrame, spec: FeatureSpec, weight: float) -> DataFrame:
-    return prepare(df, spec).withColumns(
-        {
-            "_label": F.col(spec.label).cast("double"),
-            "_weight": F.when(F.col(spec.label) == 1, F.lit(weight)).otherwise(1.0),
-        }
-    )
+def as_fit(config: dict, train_bit: int, valid_bit: int | None = None) -> Fit:
+    rules = Rules(config["num_leaves"], config["learning_rate"], config["min_data_in_leaf"])
+    return Fit(rules, config["pos_weight_mult"], train_bit, valid_bit)
 
 
-def fit(train: DataFrame, spec: FeatureSpec, config: dict, rounds: int = BOOST_ROUNDS) -> PipelineModel:
+def fit(train: DataFrame, spec: FeatureSpec, config: dict, rounds: int = BOOST_ROUNDS, bins: Bins | None = None) -> Booster:
     """Fits a boosted classifier of `rounds` trees with weighted positives."""
-    ensure_checkpoint_dir(train.sparkSession)
-    rows = _weighted(train, spec, positive_weight(train, spec, config))
-    return _pipeline(spec, config, rounds).fit(rows)
-
-
-def best_round(losses: list[float], patience: int) -> tuple[int, bool]:
-    """The round with the lowest loss before `patience` rounds pass without a
-    lower one, and whether they did."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            return best + 1, True
-    return best + 1, False
+    blocks = binned(train, spec, [F.lit(True)], bins)
+    booster = boosting.boost(blocks, [as_fit(config, 0)], rounds)[0]
+    discard(train.sparkSession, blocks.path)
+    return booster
 
 
 def fit_early_stopping(
@@ -169,35 +86,45 @@ def fit_early_stopping(
     config: dict,
     rounds: int = BOOST_ROUNDS,
     patience: int = EARLY_STOPPING_ROUNDS,
-) -> tuple[PipelineModel, int]:
-    """Fits with early stopping on the validation loss, weighted like the
-    training rows, and returns the model of the best round and its number.
-
-    A fit cannot be continued, but the same seed grows the same first trees, so
-    the number of rounds is doubled until the loss has stopped falling."""
-    weight = positive_weight(train, spec, config)
-    tried = min(rounds, 2 * patience)
-    while True:
-        model = fit(train, spec, config, tried)
-        rows = _weighted(validation, spec, weight)
-        for stage in model.stages[:-1]:
-            rows = stage.transform(rows)
-        best, stopped = best_round(model.stages[-1].evaluateEachIteration(rows), patience)
-        if stopped or tried == rounds:
-            break
-        tried = min(rounds, 2 * tried)
-    return (model, best) if best == tried else (fit(train, spec, config, best), best)
-
-
-def score(model: PipelineModel, df: DataFrame, spec: FeatureSpec, name: str = "risk_score") -> DataFrame:
-    """Adds the probability of a delay, and the feature vector as an array
-    named `_features` for attribution."""
-    scored = model.transform(prepare(df, spec))
-    return scored.select(
-        *df.columns,
-        vector_to_array("probability")[1].alias(name),
-        vector_to_array("features").alias("_features"),
-    )
+) -> tuple[Booster, Fit]:
+    """Fits until the validation AUC has not risen for `patience` rounds. Returns
+    the model of the best round, and the fit with the AUC of every round."""
+    columns = [*spec.names, spec.label]
+    both = train.select(*columns, F.lit(True).alias("__train")).unionByName(validation.select(*columns, F.lit(False).alias("__train")))
+    blocks = binned(both, spec, [F.col("__train"), ~F.col("__train")], learn_bins(train, spec))
+    one = as_fit(config, 0, 1)
+    booster = boosting.boost(blocks, [one], rounds, patience)[0]
+    discard(train.sparkSession, blocks.path)
+    return booster, one
+
+
+def score(booster: Booster, df: DataFrame, spec: FeatureSpec, name: str = "risk_score") -> DataFrame:
+    """Adds the probability of a delay. Only feature columns cross to Python."""
+    shared = df.sparkSession.sparkContext.broadcast(booster)  # bounded by rounds x leaves
+
+    @F.arrow_udf("double")
+    def probability(*columns: pa.Array) -> pa.Array:
+        model = shared.value
+        return pa.array(1.0 / (1.0 + np.exp(-model.margins(model.bins.codes(list(columns))))))
+
+    return df.withColumn(name, probability(*booster.bins.columns()))
+
+
+def staged_scores(booster: Booster, df: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """The rows' label with the score after each round: (label, round, risk_score).
+    One row becomes as many as there are rounds; for checks of a fold."""
+    shared = df.sparkSession.sparkContext.broadcast(booster)
+
+    @F.arrow_udf("array<double>")
+    def rounds(*columns: pa.Array) -> pa.Array:
+        model = shared.value
+        codes = model.bins.codes(list(columns))
+        margins = np.cumsum([np.full(codes.shape[1], model.base), *(t.value[t.leaf_of(codes)] for t in model.trees)], axis=0)[1:]
+        each = 1.0 / (1.0 + np.exp(-margins.T))
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(each) + 1) * each.shape[1], pa.int32()), pa.array(each.ravel()))
+
+    scored = df.select(spec.label, F.posexplode(rounds(*booster.bins.columns())).alias("round", "risk_score"))
+    return scored.withColumn("round", F.col("round") + 1)
 
 
 def log_metrics(spark: SparkSession, path: str, run: str, rows: list[tuple[str, int, int, str, float]]) -> None:
@@ -225,18 +152,21 @@ def log_params(spark: SparkSession, log_path: str, run_id: str, run_name: str, p
 def save_model(model: TrainedModel, models_path: str, run_id: str) -> str:
     """Writes all that scoring needs below `models_path`/`run_id`."""
     folder = f"{models_path.rstrip('/')}/{run_id}"
-    model.pipeline.write().overwrite().save(f"{folder}/pipeline")
     rest = {"spec": asdict(model.spec), "threshold": model.threshold, "config": model.config, "rounds": model.rounds, "rates": model.rates}
+    plain = model.booster.plain()
+    trees = [(i, json.dumps(t)) for i, t in enumerate(plain.pop("trees"))]
     spark = SparkSession.getActiveSession()
-    spark.createDataFrame([(json.dumps(rest),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/rest")
+    spark.createDataFrame(trees, "tree int, value string").coalesce(1).write.mode("overwrite").parquet(f"{folder}/trees")
+    spark.createDataFrame([(json.dumps({**rest, "booster": plain}),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/rest")
     return folder
 
 
 def load_model(spark: SparkSession, models_path: str, run_id: str) -> TrainedModel:
     folder = f"{models_path.rstrip('/')}/{run_id}"
     rest = json.loads(spark.read.text(f"{folder}/rest").first()["value"])
-    spec = FeatureSpec(**rest.pop("spec"))
-    return TrainedModel(PipelineModel.load(f"{folder}/pipeline"), spec, **rest)
+    trees = [json.loads(r["value"]) for r in spark.read.parquet(f"{folder}/trees").orderBy("tree").collect()]
+    spec, booster = FeatureSpec(**rest.pop("spec")), Booster.of({**rest.pop("booster"), "trees": trees})
+    return TrainedModel(booster, spec, **rest)
 
 
 def search(
@@ -250,31 +180,38 @@ def search(
     scores_path: str | None = None,
 ) -> tuple[dict, int]:
     """Walk-forward search: every configuration is fitted before each fold and
-    scored on it. Returns the configuration with the best mean average
-    precision and its mean number of rounds; all metrics are in the log, and each
-    fold's (trial, fold, risk_score, label) rows under `scores_path`."""
+    stopped by its AUC there, all of them side by side on one binned table, whose
+    edges come from the rows before the last fold's end. Returns the configuration
+    with the best mean average precision and its mean best round; all metrics are
+    in the log, and each fold's (trial, fold, risk_score, label) rows under
+    `scores_path`."""
     spark, run = df.sparkSession, uuid.uuid4().hex[:12]
-    ts = F.col(spec.time)
-    for trial, config in enumerate(configs):
-        for i, (start, end) in enumerate(folds):
-            train, later = metrics.temporal_split(df, spec.time, start)
-            part = later.where(ts < F.lit(end).cast("timestamp_ntz"))
-            model, best = fit_early_stopping(train, part, spec, config, rounds, patience)
-            scored = score(model, part, spec)
-            if scores_path:
-                shown = [F.lit(trial).alias("trial"), F.lit(i).alias("fold"), "risk_score", F.col(spec.label).alias("label")]
-                scored.select(*shown).write.mode("append").parquet(scores_path)
-            result = metrics.ranking_metrics(scored, "risk_score", spec.label).first()
-            log_metrics(
-                spark,
-                log_path,
-                run,
-                [
-                    ("search", trial, i, "val_auc", result["auc"]),
-                    ("search", trial, i, "val_pr_auc", result["average_precision"]),
-                    ("search", trial, i, "best_iteration", float(best)),
-                ],
-            )
+    parts = [c for start, end in folds for c in (F.col(spec.time) < _at(start), (F.col(spec.time) >= _at(start)) & (F.col(spec.time) < _at(end)))]
+    seen = df.where(F.col(spec.time) < _at(max(end for _, end in folds)))
+    blocks = binned(seen, spec, parts)
+    fits = [as_fit(config, 2 * i, 2 * i + 1) for config in configs for i in range(len(folds))]
+    boosters = boosting.boost(blocks, fits, rounds, patience)
+    discard(spark, blocks.path)
+    scored = None
+    for i, (start, end) in enumerate(folds):
+        part = seen.where((F.col(spec.time) >= _at(start)) & (F.col(spec.time) < _at(end)))
+        names = [f"__s{t}" for t in range(len(configs))]
+        for t, name in enumerate(names):
+            part = score(boosters[t * len(folds) + i], part, spec, name)
+        each = F.inline(F.array(*[F.struct(F.lit(t).alias("trial"), F.col(n).alias("risk_score")) for t, n in enumerate(names)]))
+        rows = part.select(F.lit(i).alias("fold"), F.col(spec.label).alias("label"), each)
+        scored = rows if scored is None else scored.unionByName(rows)
+    scored = scored.select("trial", "fold", "risk_score", "label")
+    if scores_path:
+        scored.write.mode("append").parquet(scores_path)
+        scored = spark.read.parquet(scores_path)
+    else:
+        scored = stage(scored, "fold-scores")
+    rows = []
+    for r in metrics.ranking_metrics(scored, "risk_score", "label", ["trial", "fold"]).collect():
+        found = {"val_auc": r["auc"], "val_pr_auc": r["average_precision"], "best_iteration": float(fits[r["trial"] * len(folds) + r["fold"]].best_round)}
+        rows += [("search", r["trial"], r["fold"], name, value) for name, value in found.items()]
+    log_metrics(spark, log_path, run, rows)
     summary = search_summary(spark.read.parquet(log_path).where(F.col("run_id") == run))
     winner = summary.orderBy(F.col("val_pr_auc_mean").desc(), "trial").first()
     chosen = {"trial": winner["trial"], "chosen": configs[winner["trial"]], "configs": configs, "folds": folds, "rounds": rounds, "patience": patience}
@@ -282,6 +219,10 @@ def search(
     return configs[winner["trial"]], max(1, winner["best_iteration_mean"])
 
 
+def _at(text: str) -> Column:
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def search_summary(log: DataFrame) -> DataFrame:
     """Mean and deviation per trial from the metric log."""
     wide = log.groupBy("trial", "fold").pivot("metric", ["val_auc", "val_pr_auc", "best_iteration"]).agg(F.first("value"))
@@ -309,11 +250,11 @@ def train_final(
     the scored test rows; metrics and settings go to the log, the model below
     `models_path` under the run's id."""
     train, test = metrics.temporal_split(df, spec.time, cutoff)
-    pipeline = fit(train, spec, config, rounds)
+    booster = fit(train, spec, config, rounds)
     start, end = folds[-1]
     newest = metrics.temporal_split(metrics.temporal_split(df, spec.time, start)[1], spec.time, end)[0]
-    best = metrics.best_f1(score(pipeline, newest, spec), "risk_score", spec.label).first()
-    scored = score(pipeline, test, spec)
+    best = metrics.best_f1(score(booster, newest, spec), "risk_score", spec.label).first()
+    scored = score(booster, test, spec)
     ranking = metrics.ranking_metrics(scored, "risk_score", spec.label).first()
     counts = metrics.confusion_metrics(scored, "risk_score", spec.label, F.lit(best["threshold"])).first()
     values = {
@@ -325,7 +266,7 @@ def train_final(
     }
     # one row per airport
     rates = {r[0]: r["rate"] for r in train.groupBy("adep").agg(F.avg(F.col(spec.label).cast("double")).alias("rate")).collect() if r[0] is not None}
-    model = TrainedModel(pipeline, spec, best["threshold"], config, rounds, rates)
+    model = TrainedModel(booster, spec, best["threshold"], config, rounds, rates)
     run = uuid.uuid4().hex[:12]
     log_metrics(df.sparkSession, log_path, run, [("final_model", -1, -1, m, v) for m, v in values.items()])
     where = save_model(model, models_path, run) if models_path else None

@@ -9,23 +9,24 @@ from delaylens.functions.calendar import holiday_dim, years_of
 from delaylens.operators import explain, metrics, model as ml
 from delaylens.operators.history import latest_run
 from delaylens.operators.joins import entity_context
+from delaylens.operators.boosting import SCORE_CELLS
 from delaylens.operators.model import FeatureSpec
+from delaylens.operators.prefix import running_totals, value_cells
 from delaylens.plans.catalog import query
 from delaylens.plans.features import build_features
 from delaylens.plans.queries_joins import _context, _with_context
 from delaylens.plans.scoring import live_features, score_context
 from delaylens.plans.testdata import SCOPE, SCOPE_SQL, flights, positions, registry_rows, reports, weather, with_cte
-from delaylens.session import shared_dir
+from delaylens.session import shared_dir, stage
 from delaylens.sources.files import load_registry
 
-# Half-week folds and few rounds: the events span one month. The protocol is
-# the one of the defaults.
-FOLDS = [("2024-01-15", "2024-01-20"), ("2024-01-20", "2024-01-25")]
+# Folds of four days: the events span one month. Otherwise the defaults: all
+# configurations, all folds, 500 rounds, stopped after 30 without a better AUC.
+FOLDS = [("2024-01-09", "2024-01-13"), ("2024-01-13", "2024-01-17"), ("2024-01-17", "2024-01-21"), ("2024-01-21", "2024-01-25")]
 CUTOFF = "2024-01-25"
-ROUNDS = 6
-CONFIGS = [{**SEARCH_SPACE[0], "min_data_in_leaf": 20}, {**SEARCH_SPACE[2], "min_data_in_leaf": 30}]
 
 _TRAINED: dict[tuple[str, str], tuple[ml.TrainedModel, str, str]] = {}
+_SEARCHED: dict[tuple[str, str], tuple[dict, int, str, str]] = {}
 
 
 def training_rows(spark: SparkSession, sf_dir: str) -> str:
@@ -39,15 +40,35 @@ def models_of(log: str) -> str:
     return f"{log}.models"
 
 
+_FEATURES: dict[tuple[str, str], str] = {}
+
+
+def feature_rows(spark: SparkSession, sf_dir: str) -> str:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FEATURES:
+        _FEATURES[key] = training_rows(spark, sf_dir)
+    return _FEATURES[key]
+
+
+def searched(spark: SparkSession, sf_dir: str) -> tuple[dict, int, str, str]:
+    """The chosen configuration and rounds, the metric log and the fold scores;
+    once per application and data set."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SEARCHED:
+        log, kept = shared_dir(spark, "search"), shared_dir(spark, "fold-scores")
+        rows = spark.read.parquet(feature_rows(spark, sf_dir))
+        _SEARCHED[key] = (*ml.search(rows, ml.FeatureSpec(), FOLDS, log, scores_path=kept), log, kept)
+    return _SEARCHED[key]
+
+
 def trained(spark: SparkSession, sf_dir: str) -> tuple[ml.TrainedModel, str, str]:
-    """The final model, its feature table and its metric log; fitted once per
-    application and data set."""
+    """The final model with the searched configuration and rounds, its feature
+    table and its metric log; fitted once per application and data set."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _TRAINED:
-        path, log = training_rows(spark, sf_dir), shared_dir(spark, "metrics")
-        rows = spark.read.parquet(path)
-        spec = ml.learn_categories(rows, ml.FeatureSpec())
-        model, _ = ml.train_final(rows, spec, FOLDS, CUTOFF, CONFIGS[0], ROUNDS, log, models_of(log))
+        path, log = feature_rows(spark, sf_dir), shared_dir(spark, "metrics")
+        config, rounds, _, _ = searched(spark, sf_dir)
+        model, _ = ml.train_final(spark.read.parquet(path), ml.FeatureSpec(), FOLDS, CUTOFF, config, rounds, log, models_of(log))
         _TRAINED[key] = (model, path, log)
     return _TRAINED[key]
 
@@ -64,16 +85,13 @@ _FOLD_SQL = " UNION ALL ".join(
 
 @query(
     "cv_metrics",
-    with_cte("flights", f"SELECT trial, fold, n, n AS n_scored, TRUE AS auc_agrees, TRUE AS in_summary FROM ({_FOLD_SQL}) f, (VALUES (0), (1)) t(trial)"),
+    with_cte("flights", f"SELECT trial, fold, n, n AS n_scored, TRUE AS auc_agrees, TRUE AS in_summary FROM ({_FOLD_SQL}) f, (VALUES (0), (1), (2), (3)) t(trial)"),
 )
 def cv_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Walk-forward search: per configuration and fold the scored rows, whether
     the logged AUC is that of pairs counted by rank over the same scores, and
     whether the summary holds the trial's mean."""
-    _, path, _ = trained(spark, sf_dir)
-    log, kept = shared_dir(spark, "search"), shared_dir(spark, "fold-scores")
-    rows = spark.read.parquet(path)
-    ml.search(rows, ml.learn_categories(rows, ml.FeatureSpec()), FOLDS, log, CONFIGS, 4, patience=2, scores_path=kept)
+    _, _, log, kept = searched(spark, sf_dir)
     scores = spark.read.parquet(kept)
     logged = spark.read.parquet(log).where("metric = 'val_auc'").select("trial", "fold", F.col("value").alias("auc"))
     means = ml.search_summary(spark.read.parquet(log)).select("trial", "val_auc_mean")
@@ -92,12 +110,12 @@ def cv_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rank_auc(scores: DataFrame, keys: list[str], score: str, label: str) -> DataFrame:
-    """AUC from mean ranks (Mann-Whitney), written apart from operators.metrics;
-    one row per distinct score is ranked, so it is for checks."""
-    values = scores.groupBy(*keys, score).agg(F.count("*").alias("n"), F.sum(label).alias("p"))
-    below = Window.partitionBy(*keys).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    mid = F.coalesce(F.sum("n").over(below), F.lit(0)) + (F.col("n") + 1) / 2
-    sums = values.withColumn("mid", mid).groupBy(*keys).agg(F.sum(F.col("mid") * F.col("p")).alias("r"), F.sum("p").alias("p"), F.sum("n").alias("n"))
+    """AUC from mean ranks (Mann-Whitney), written apart from operators.metrics:
+    one row per distinct score, its rank from split running totals."""
+    values = stage(scores.groupBy(*keys, score).agg(F.count("*").alias("n"), F.sum(F.col(label).cast("long")).alias("p")), "ranks")
+    ranked = running_totals(values, keys, score, ["n"], value_cells(values, score))
+    mid = F.col("n_before") + (F.col("n") + 1) / 2
+    sums = ranked.groupBy(*keys).agg(F.sum(mid * F.col("p")).alias("r"), F.sum("p").alias("p"), F.sum("n").alias("n"))
     return sums.select(*keys, ((F.col("r") - F.col("p") * (F.col("p") + 1) / 2) / (F.col("p") * (F.col("n") - F.col("p")))).alias("rank_auc"))
 
 
@@ -110,16 +128,16 @@ def train_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     anew from its scores of the held-out part."""
     model, path, log = trained(spark, sf_dir)
     test = metrics.temporal_split(spark.read.parquet(path), "first_seen", CUTOFF)[1]
-    scored = ml.score(model.pipeline, test, model.spec).select("risk_score", F.col(model.spec.label).alias("label"))
+    scored = ml.score(model.booster, test, model.spec).select("risk_score", F.col(model.spec.label).alias("label"))
     hit = F.col("risk_score") >= model.threshold
     tp, fp, fn = (F.sum(F.when(c, 1.0).otherwise(0.0)) for c in (hit & (F.col("label") == 1), hit & (F.col("label") == 0), ~hit & (F.col("label") == 1)))
     counts = scored.agg(tp.alias("tp"), fp.alias("fp"), fn.alias("fn"))
     # precision at each distinct score times the recall gained there
-    down = Window.partitionBy("all").orderBy(F.desc("risk_score")).rowsBetween(Window.unboundedPreceding, 0)
-    values = scored.groupBy("risk_score").agg(F.count("*").alias("n"), F.sum("label").alias("p")).withColumn("all", F.lit(1))
-    curve = values.select("p", (F.sum("p").over(down) / F.sum("n").over(down)).alias("precision"))
+    values = stage(scored.groupBy("risk_score").agg(F.count("*").alias("n"), F.sum(F.col("label").cast("long")).alias("p")), "curve")
+    down = running_totals(values, [], "risk_score", ["n", "p"], value_cells(values, "risk_score"), descending=True)
+    curve = down.select("p", ((F.col("p_before") + F.col("p")) / (F.col("n_before") + F.col("n"))).alias("precision"))
     average = curve.agg((F.sum(F.col("precision") * F.col("p")) / F.sum("p")).alias("pr_auc"))
-    area = rank_auc(scored.withColumn("all", F.lit(1)), ["all"], "risk_score", "label").select(F.col("rank_auc").alias("auc"))
+    area = rank_auc(scored, [], "risk_score", "label").select(F.col("rank_auc").alias("auc"))
     ratio = {
         "precision": F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")),
         "recall": F.try_divide(F.col("tp"), F.col("tp") + F.col("fn")),
@@ -127,7 +145,7 @@ def train_model(spark: SparkSession, sf_dir: str) -> DataFrame:
         "auc": F.col("auc"),
         "pr_auc": F.col("pr_auc"),
         "decision_threshold": F.lit(float(model.threshold)),
-        "num_boost_round": F.lit(float(ROUNDS)),
+        "num_boost_round": F.lit(float(model.rounds)),
     }
     pairs = F.explode(F.create_map(*[x for k, v in ratio.items() for x in (F.lit(k), F.coalesce(v, F.lit(0.0)).cast("double"))]))
     anew = counts.crossJoin(average).crossJoin(area).select(pairs.alias("metric", "anew"))  # one row each
@@ -156,17 +174,23 @@ def final_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fold scores of a fast learner, and whether it kept no more rounds than
-    were allowed."""
-    model, path, _ = trained(spark, sf_dir)
-    train = spark.read.parquet(path)
+    """Scores of the first fold after a fit with early stopping, and whether the
+    kept round is the first with the highest AUC: of every number of rounds the
+    fold is scored anew, and patience must have run out just then."""
+    train = spark.read.parquet(feature_rows(spark, sf_dir))
     start, end = (F.lit(d).cast("timestamp_ntz") for d in FOLDS[0])
     before = train.where(F.col("first_seen") < start)
     fold = train.where((F.col("first_seen") >= start) & (F.col("first_seen") < end))
-    config = {**CONFIGS[0], "learning_rate": 0.8}
-    stopped, rounds = ml.fit_early_stopping(before, fold, model.spec, config, 12, patience=2)
-    part = ml.score(stopped, fold, model.spec)
-    kept = F.lit(1 <= rounds <= 12 and stopped.stages[-1].getNumTrees == rounds)
+    spec, patience = ml.FeatureSpec(), 5
+    stopped, fit = ml.fit_early_stopping(before, fold, spec, {**SEARCH_SPACE[0], "learning_rate": 0.3}, 40, patience)
+    whole = ml.Booster(stopped.bins, stopped.base, fit.trees)
+    each = ml.staged_scores(whole, fold, spec)
+    cell = F.least(F.floor(F.col("risk_score") * SCORE_CELLS), F.lit(SCORE_CELLS - 1)).alias("risk_score")
+    areas = {r["round"]: r["rank_auc"] for r in rank_auc(each.select("round", cell, F.col(spec.label).alias("label")), ["round"], "risk_score", "label").collect()}
+    best = min(areas, key=lambda r: (-round(areas[r], 12), r)) if areas else 0
+    ended = len(fit.trees) in (best + patience, 40)
+    kept = F.lit(len(stopped.trees) == best and ended)
+    part = ml.score(stopped, fold, spec)
     return part.groupBy("adep").agg(F.count("*").alias("n"), F.count_if(F.col("risk_score").between(0, 1)).alias("n_scored"), F.first(kept).alias("stopped"))
 
 
@@ -177,7 +201,7 @@ def early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
 def importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gain shares of every feature; they add up to one."""
     model, _, _ = trained(spark, sf_dir)
-    shares = explain.importance(spark, model.pipeline, model.spec)
+    shares = explain.importance(spark, model.booster, model.spec)
     total = F.sum("importance").over(Window.partitionBy(F.lit(1)))  # one row per feature
     return shares.select("feature", F.col("importance").between(0, 1).alias("in_range"), (F.abs(total - 1) < 2e-3).alias("adds_up"))
 
@@ -192,12 +216,12 @@ def importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def attribution_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contributions plus bias equal the log-odds of the score, on every row."""
     model, path, _ = trained(spark, sf_dir)
-    scored = ml.score(model.pipeline, spark.read.parquet(path), model.spec)
-    rows = explain.with_contributions(scored, model.pipeline, model.spec)
+    scored = ml.score(model.booster, spark.read.parquet(path), model.spec)
+    rows = explain.with_contributions(scored, model.booster, model.spec, name="again")
     log_odds = F.log(F.col("risk_score") / (1 - F.col("risk_score")))
     total = F.aggregate("contributions", F.col("bias"), lambda a, x: a + x)
     return rows.groupBy("adep").agg(
-        F.count("*").alias("n"), F.count_if(F.abs(total - log_odds) < 1e-6).alias("n_exact")
+        F.count("*").alias("n"), F.count_if((F.abs(total - log_odds) < 1e-6) & (F.abs(F.col("again") - F.col("risk_score")) < 1e-12)).alias("n_exact")
     )
 
 
@@ -239,7 +263,7 @@ def stored_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, path, log = trained(spark, sf_dir)
     loaded = ml.load_newest(spark, log, models_of(log))
     rows = spark.read.parquet(path)
-    both = ml.score(loaded.pipeline, ml.score(model.pipeline, rows, model.spec).drop("_features"), loaded.spec, "again")
+    both = ml.score(loaded.booster, ml.score(model.booster, rows, model.spec), loaded.spec, "again")
     kept = (loaded.spec, loaded.threshold, loaded.config, loaded.rounds, loaded.rates) == (model.spec, model.threshold, model.config, model.rounds, model.rates)
     return both.groupBy("adep").agg(
         F.count("*").alias("n"), F.count_if(F.col("again") == F.col("risk_score")).alias("n_same"), F.first(F.lit(kept)).alias("settings_kept")

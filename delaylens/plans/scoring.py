@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from delaylens.functions.calendar import with_calendar, with_holiday
 from delaylens.functions.text import format_value, risk_band
-from delaylens.operators.explain import leaf_tables, with_contributions
+from delaylens.operators.explain import paths_of, with_contributions
 from delaylens.operators.history import top_factors
-from delaylens.operators.model import TrainedModel, score
+from delaylens.operators.model import TrainedModel
 
 
 def historical_rate(airport: Column, rates: dict[str, float]) -> Column:
@@ -52,9 +52,9 @@ def live_features(
 def score_context(rows: DataFrame, model: TrainedModel, top: int = 3) -> DataFrame:
     """Adds risk_score (4 places), risk_level and top_factors."""
     spec = model.spec
-    if model.leaves is None:
-        model.leaves = leaf_tables(rows.sparkSession, model.pipeline)
-    explained = with_contributions(score(model.pipeline, rows, spec, "_score"), model.pipeline, spec, model.leaves)
+    if model.paths is None:
+        model.paths = [paths_of(tree) for tree in model.booster.trees]
+    explained = with_contributions(rows, model.booster, spec, model.paths, "_score")
     shown = F.array(
         *[
             format_value(

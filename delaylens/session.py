@@ -64,6 +64,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Clears a folder of `shared_dir` that no later step reads."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give the context a checkpoint folder if none is set, so long iterative
     lineages (boosting) can be cut and survive a lost executor."""

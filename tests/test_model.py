@@ -1,4 +1,4 @@
-"""Attribution against brute force, and loads that can be repeated."""
+"""Boosting against a plain version, attribution against brute force, and loads that can be repeated."""
 
 import itertools
 import math
@@ -7,91 +7,194 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from delaylens.operators import explain, model as ml
+from delaylens.operators import boosting, explain, model as ml
 from delaylens.plans.warehouse_load import load_batch, run_batch
 from delaylens.session import shared_dir
 
 CONFIG = {"num_leaves": 7, "learning_rate": 0.3, "min_data_in_leaf": 5, "pos_weight_mult": 1.0}
+SPEC = ml.FeatureSpec(numeric=["a", "b", "c"], categorical=["adep", "kind"], label="y")
 
 
 @pytest.fixture(scope="module")
-def fitted(spark):
+def rows(spark):
     rng = np.random.default_rng(11)
-    n = 600
-    rows = [
-        (str(k), float(a) if a > 0.1 else None, float(b), int(a + b + (k == 1) > 1.4))
-        for k, a, b in zip(rng.integers(0, 4, n), rng.random(n), rng.random(n))
+    n = 500
+    values = zip(rng.integers(0, 6, n), rng.integers(0, 3, n), rng.random(n), rng.random(n), rng.integers(0, 4, n))
+    made = [
+        (i, f"k{k}" if k else None, f"t{t}", None if a < 0.15 else float(a), float(b), float(c), int(a + b + (k in (1, 4)) + 0.3 * rng.normal() > 1.4))
+        for i, (k, t, a, b, c) in enumerate(values)
     ]
-    df = spark.createDataFrame(rows, "adep string, a double, b double, y int")
-    spec = ml.learn_categories(df, ml.FeatureSpec(numeric=["a", "b"], categorical=["adep"], label="y"))
-    pipeline = ml.fit(df, spec, CONFIG, rounds=3)
-    return df, spec, pipeline
+    return spark.createDataFrame(made, "i long, adep string, kind string, a double, b double, c double, y int").cache()
 
 
-def _expectation(nodes, tree, x, known):
+@pytest.fixture(scope="module")
+def fitted(rows):
+    return ml.fit(rows, SPEC, CONFIG, rounds=4)
+
+
+def _halves(g, h, n, left, extra, config, total):
+    gl, hl, nl = (x[left].sum() for x in (g, h, n))
+    gr, hr, nr = total[0] - gl, total[1] - hl, total[2] - nl
+    if min(nl, nr) < config["min_data_in_leaf"] or min(hl, hr) < 1e-3:
+        return -math.inf
+    return gl * gl / (hl + extra) + gr * gr / (hr + extra) - total[0] ** 2 / total[1]
+
+
+def _plain_split(codes, g, h, features, config):
+    """(gain, feature, set of codes that go left) by trying every split."""
+    n, best = np.ones(len(g)), (1e-9, None, None)
+    total = (g.sum(), h.sum(), len(g))
+    for f in features:
+        column, tried = codes[f], []
+        seen = sorted(set(column) - {255})
+        if f < 2:
+            ratio = {c: g[column == c].sum() / (h[column == c].sum() + 10) for c in seen}
+            order = sorted(seen, key=lambda c: (ratio[c], c))
+            for way in (order, order[::-1]):
+                tried += [(_halves(g, h, n, np.isin(column, way[: k + 1]), 10.0, config, total), set(way[: k + 1])) for k in range(min(len(way), 32))]
+        else:
+            for missing in ({}, {255}) if 255 in column else ({},):
+                for cut in range(254):
+                    left = {c for c in range(cut + 1)} | set(missing)
+                    tried.append((_halves(g, h, n, np.isin(column, list(left)), 0.0, config, total), left))
+        for gain, left in tried:
+            if gain > best[0] + 1e-9:
+                best = (gain, f, left)
+    return best
+
+
+def _plain_boost(codes, ids, label, config, rounds):
+    fit = ml.as_fit(config, 0)
+    weight = (label == 0).sum() / (label == 1).sum() * config["pos_weight_mult"]
+    margin = np.full(len(label), math.log(weight * (label == 1).sum() / (label == 0).sum()))
+    for r in range(rounds):
+        fit.trees = [None] * r
+        features = boosting.chosen_features(len(codes), fit)
+        bag = boosting.mixed(ids, r) < 0.8
+        g, h = (x / boosting.UNIT for x in boosting.gradients(label, margin, weight))
+        leaves = [np.ones(len(label), bool)]
+        best = [_plain_split(codes[:, bag], g[bag], h[bag], features, config)]
+        while len(leaves) < config["num_leaves"] and max(b[0] for b in best) > 1e-9:
+            i = max(range(len(best)), key=lambda j: best[j][0])
+            _, f, left = best.pop(i)
+            node = leaves.pop(i)
+            goes = np.isin(codes[f], list(left))
+            if f >= 2 and 255 not in codes[f][node & bag]:  # unseen: with the larger side
+                known = codes[f][node & bag]
+                goes = goes | ((codes[f] == 255) & (np.isin(known, list(left)).sum() * 2 >= len(known)))
+            for side in (node & goes, node & ~goes):
+                leaves.append(side)
+                part = side & bag
+                best.append(_plain_split(codes[:, part], g[part], h[part], features, config))
+        for node in leaves:
+            margin = margin + np.where(node, -config["learning_rate"] * g[node & bag].sum() / max(h[node & bag].sum(), 1e-3), 0.0)
+    return margin
+
+
+def test_trees_equal_a_plain_version(rows, fitted):
+    columns = rows.select(*fitted.bins.columns(), F.xxhash64(*rows.columns), "y").toArrow().combine_chunks()
+    *features, ids, label = (columns.column(i).combine_chunks() for i in range(columns.num_columns))
+    codes = fitted.bins.codes(features)
+    plain = _plain_boost(codes, ids.to_numpy(), label.to_numpy(), CONFIG, 4)
+    assert fitted.margins(codes) == pytest.approx(plain, abs=1e-9)
+    assert max((t.feature < 0).sum() for t in fitted.trees) == 7
+
+
+def test_neither_tasks_nor_merging_change_a_tree(rows, fitted, monkeypatch):
+    monkeypatch.setattr(boosting, "MERGE_HERE", 0)
+    monkeypatch.setattr(boosting, "SNAPSHOT", 2)
+    assert ml.fit(rows.repartition(5), SPEC, CONFIG, 4, fitted.bins).plain() == fitted.plain()
+
+
+def test_fits_side_by_side_stop_at_their_best_round(rows):
+    parts = [F.col("i") < 300, F.col("i") >= 300, F.col("i") < 400, F.col("i") >= 400]
+    blocks = ml.binned(rows, SPEC, parts)
+    other = {**CONFIG, "num_leaves": 3, "learning_rate": 0.9}
+    fits = [ml.as_fit(c, t, v) for c in (CONFIG, other) for t, v in ((0, 1), (2, 3))]
+    together = boosting.boost(blocks, fits, 12, 3)
+    alone = ml.as_fit(other, 2, 3)
+    assert boosting.boost(blocks, [alone], 12, 3)[0].plain() == together[3].plain()
+    for f, b in zip(fits, together):
+        whole = ml.Booster(b.bins, b.base, f.trees)
+        valid = rows.where(parts[f.valid_bit])
+        scores = ml.staged_scores(whole, valid, SPEC).toPandas()
+        areas = []
+        for _, part in scores.groupby("round"):
+            cell = np.floor(part["risk_score"] * boosting.SCORE_CELLS)
+            p, q = cell[part["y"] == 1].to_numpy(), cell[part["y"] == 0].to_numpy()
+            areas.append(((p[:, None] > q).sum() + (p[:, None] == q).sum() / 2) / (len(p) * len(q)))
+        assert f.aucs == pytest.approx(areas)
+        assert len(b.trees) == f.best_round == int(np.argmax(np.round(areas, 12))) + 1
+        assert len(f.trees) in (12, f.best_round + 3)
+
+
+def test_one_class_and_empty_tables(rows):
+    assert ml.fit(rows.where("y = 1"), SPEC, CONFIG, 3).trees == []
+    nothing = ml.fit(rows.limit(0), SPEC, CONFIG, 3)
+    assert nothing.trees == [] and ml.score(nothing, rows, SPEC).where("risk_score = 0.5").count() == 500
+
+
+def _expectation(tree, codes, known):
     """Path-dependent value of a tree when only `known` features are used."""
-    by_id = nodes[nodes["tree"] == tree].set_index("id")
 
     def value(i):
-        node = by_id.loc[i]
-        if node["left"] < 0:
-            return node["prediction"]
-        f = int(node["feature"])
+        f = tree.feature[i]
+        if f < 0:
+            return tree.value[i]
         if f in known:
-            bounds = list(node["bounds"])
-            left = x[f] <= bounds[0] if node["n_categories"] < 0 else x[f] in bounds
-            return value(node["left"] if left else node["right"])
-        l, r = by_id.loc[node["left"]]["rows"], by_id.loc[node["right"]]["rows"]
-        return (l * value(node["left"]) + r * value(node["right"])) / (l + r)
+            return value(tree.left[i] if tree.goes_left[i, codes[f]] else tree.right[i])
+        l, r = tree.rows[tree.left[i]], tree.rows[tree.right[i]]
+        return (l * value(tree.left[i]) + r * value(tree.right[i])) / (l + r)
 
     return value(0)
 
 
-def test_contributions_are_shapley_values(spark, fitted):
-    df, spec, pipeline = fitted
-    scored = ml.score(pipeline, df.limit(12), spec)
-    rows = explain.with_contributions(scored, pipeline, spec).collect()
-    nodes = explain.node_table(spark, pipeline).toPandas()
-    weights = list(pipeline.stages[-1].treeWeights)
-    width = len(spec.names)
-    for row in rows:
-        x, expected = row["_features"], [0.0] * width
-        for tree, weight in enumerate(weights):
-            for i in range(width):
-                others = [j for j in range(width) if j != i]
-                for s in range(width):
-                    for known in itertools.combinations(others, s):
-                        order = math.factorial(s) * math.factorial(width - s - 1) / math.factorial(width)
-                        gain = _expectation(nodes, tree, x, {*known, i}) - _expectation(nodes, tree, x, set(known))
-                        expected[i] += 2 * weight * order * gain
+def test_contributions_are_shapley_values(rows, fitted):
+    some = ml.score(fitted, rows.limit(25), SPEC, "score")
+    found = explain.with_contributions(some, fitted, SPEC).select("*", F.array(*fitted.bins.columns()[2:]).alias("n")).collect()
+    width = len(SPEC.names)
+    import pyarrow as pa
+
+    for row in found:
+        codes = fitted.bins.codes([pa.array([row[c]]) for c in SPEC.categorical] + [pa.array([row[c]], pa.float64()) for c in SPEC.numeric])[:, 0]
+        expected = [0.0] * width
+        for tree, i in itertools.product(fitted.trees, range(width)):
+            others = [j for j in range(width) if j != i]
+            for s in range(width):
+                order = math.factorial(s) * math.factorial(width - s - 1) / math.factorial(width)
+                for known in itertools.combinations(others, s):
+                    expected[i] += order * (_expectation(tree, codes, {*known, i}) - _expectation(tree, codes, set(known)))
         assert row["contributions"] == pytest.approx(expected, abs=1e-9)
-        odds = math.log(row["risk_score"] / (1 - row["risk_score"]))
-        assert sum(row["contributions"]) + row["bias"] == pytest.approx(odds, abs=1e-6)
-
-
-def test_best_round():
-    assert ml.best_round([3, 2, 1, 2, 2, 0], 2) == (3, True)
-    assert ml.best_round([3, 2, 1, 2, 0], 3) == (5, False)
-    assert ml.best_round([1, 2, 3], 2) == (1, True)
+        assert row["risk_score"] == pytest.approx(row["score"], abs=1e-12)
+        odds = math.log(row["score"] / (1 - row["score"]))
+        assert sum(row["contributions"]) + row["bias"] == pytest.approx(odds, abs=1e-9)
 
 
-def test_early_stopping_keeps_the_best_round(fitted):
-    df, spec, _ = fitted
-    model, best = ml.fit_early_stopping(df, df, spec, {**CONFIG, "learning_rate": 1.0}, rounds=4, patience=1)
-    assert model.stages[-1].getNumTrees == best
+def test_patterns_by_table_and_by_sort_agree(fitted):
+    codes = np.random.default_rng(1).integers(0, 256, (5, 3000)).astype(np.uint8)
+    paths = [explain.paths_of(t) for t in fitted.trees]
+    whole, margin = explain.contributions(paths, codes)
+    few = [explain.contributions(paths, codes[:, i : i + 1]) for i in range(40)]
+    assert whole[:40] == pytest.approx(np.concatenate([c for c, _ in few]), abs=1e-12)
+    assert margin == pytest.approx(fitted.margins(codes) - fitted.base, abs=1e-12)
 
 
 def test_importance_shares_add_up(spark, fitted):
-    _, spec, pipeline = fitted
-    rows = explain.importance(spark, pipeline, spec).collect()
-    assert {r["feature"] for r in rows} == set(spec.names)
-    assert sum(r["importance"] for r in rows) == pytest.approx(1.0, abs=1e-3)
+    shares = explain.importance(spark, fitted, SPEC).collect()
+    assert {r["feature"] for r in shares} == set(SPEC.names)
+    assert sum(r["importance"] for r in shares) == pytest.approx(1.0, abs=1e-3)
 
 
 def test_unseen_and_missing_values_are_scored(spark, fitted):
-    _, spec, pipeline = fitted
-    rows = spark.createDataFrame([("new", None, None, 0), (None, 0.5, 0.5, 0)], "adep string, a double, b double, y int")
-    assert ml.score(pipeline, rows, spec).where("risk_score between 0 and 1").count() == 2
+    odd = spark.createDataFrame([("new", None, None, None, float("nan")), (None, "t1", 0.5, 0.5, 9e9)], "adep string, kind string, a double, b double, c double")
+    assert ml.score(fitted, odd, SPEC).where("risk_score between 0 and 1").count() == 2
+
+
+def test_a_stored_model_scores_the_same(spark, rows, fitted):
+    folder = shared_dir(spark, "models")
+    ml.save_model(ml.TrainedModel(fitted, SPEC, 0.5, CONFIG, 4, {"k1": 0.5}), folder, "run")
+    loaded = ml.load_model(spark, folder, "run")
+    assert loaded.booster.plain() == fitted.plain() and (loaded.spec, loaded.rates) == (SPEC, {"k1": 0.5})
 
 
 def test_failed_batch_leaves_others_alone(spark):
