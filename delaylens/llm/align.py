@@ -149,7 +149,8 @@ class Aligned:
         # a pair of places as one number, in order of a's and then of b's place
         from_a = np.arange(len(a)) * len(b) + covering(self.a_start, a_doc, self.b_start, b_doc)
         from_b = covering(self.b_start, b_doc, self.a_start, a_doc) * len(b) + np.arange(len(b))
-        x, y = np.divmod(np.union1d(from_a, from_b), max(len(b), 1))
+        both = np.sort(np.concatenate([from_a, from_b]), kind="stable")  # two runs in order
+        x, y = np.divmod(both[np.append(True, both[1:] != both[:-1])] if len(both) else both, max(len(b), 1))
         self.overlaps = np.stack([x, y])
         closed = self.a_end[x[self.a_end[x] == self.b_end[y]]]
         self.a_group, self.b_group = np.searchsorted(closed, self.a_end), np.searchsorted(closed, self.b_end)
@@ -188,12 +189,21 @@ class Aligned:
 
 
 def summed(docs: np.ndarray, codes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each (text, pair) once, in order, with its times added up."""
     if not len(docs):
         return docs, codes, times
-    order = np.lexsort((codes, docs))
-    docs, codes, times = docs[order], codes[order], times[order]
-    new = np.flatnonzero(np.append(True, (docs[1:] != docs[:-1]) | (codes[1:] != codes[:-1])))
-    return docs[new], codes[new], np.add.reduceat(times, new)
+    both = (docs << 2 * ID_BITS) | codes  # texts of a slice are far fewer than 2^23
+    if (times == 1).all():
+        both = np.sort(both)
+        new = np.flatnonzero(np.append(True, both[1:] != both[:-1]))
+        times = np.diff(np.append(new, len(both)))
+    else:
+        order = np.argsort(both, kind="stable")
+        both = both[order]
+        new = np.flatnonzero(np.append(True, both[1:] != both[:-1]))
+        times = np.add.reduceat(times[order], new)
+    both = both[new]
+    return both >> 2 * ID_BITS, both & ((1 << 2 * ID_BITS) - 1), times
 
 
 def id_texts(n: int, inner: str, last: str) -> np.ndarray:
@@ -292,7 +302,7 @@ def add_slice(documents: list[Document], rows: list[int], got: Aligned, equal: l
         d.equal &= equal[i]
         if not d.equal:
             continue
-        d.digest.update(((";" if d.n_groups else "") + "".join(shown[shown_ends[i] : shown_ends[i + 1]])[:-1]).encode())
+        d.digest.update(((";" if d.n_groups else "") + "".join(shown[shown_ends[i] : shown_ends[i + 1]].tolist())[:-1]).encode())
         d.n_a += int(n_a[i])
         d.n_b += int(n_b[i])
         d.n_groups += int(n_groups[i])
