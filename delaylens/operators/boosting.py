@@ -38,6 +38,8 @@ CODES, MISSING = 256, 255
 MOST_EDGES = MOST_VALUES = 254
 #: Rows of a block, and trees of a fit between two writings of the margins.
 BLOCK_ROWS, SNAPSHOT = 16_384, 8
+#: Rows that are worth a task of their own while there are fewer tasks than cores.
+TASK_ROWS = 4_000
 #: Tasks whose histograms the driver adds up itself; those of more are merged first.
 MERGE_HERE = 32
 #: Gradients count in units of 2^-20: sums of up to 2^28 rows a task stay exact.
@@ -120,6 +122,12 @@ class Tree:
             left = self.goes_left[at, codes[self.feature[at], rows]]
             node[rows] = np.where(left, self.left[at], self.right[at])
 
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "goes_left": np.packbits(self.goes_left, axis=1)}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ = {**state, "goes_left": np.unpackbits(state["goes_left"], axis=1).astype(bool)}
+
     def plain(self) -> dict:
         sets = [np.packbits(row).tobytes().hex() for row in self.goes_left]
         return {"goes_left": sets} | {k: getattr(self, k).tolist() for k in ("feature", "left", "right", "value", "rows", "gain")}
@@ -171,45 +179,52 @@ class Split:
     goes_left: np.ndarray
 
 
-def _gain(g, h):
-    return g * g / np.maximum(h, 1e-12)
-
-
 def best_split(hist: np.ndarray, features: list[int], n_categorical: int, rules: Rules) -> Split | None:
     """The split with the highest positive gain, ties to the first feature and
     the lowest code. hist: features x codes x (gradient, hessian, rows)."""
     total = hist[0].sum(axis=0)
-    parent = _gain(total[0], total[1])
-    least, best = max(rules.min_data_in_leaf, 1), None
-
-    def offer(left: np.ndarray, extra: float) -> np.ndarray:
-        right = total - left
-        gain = left[..., 0] ** 2 / np.maximum(left[..., 1] + extra, 1e-12) + right[..., 0] ** 2 / np.maximum(right[..., 1] + extra, 1e-12) - parent
-        allowed = (left[..., 2] >= least) & (right[..., 2] >= least)
-        return np.where(allowed & (left[..., 1] >= LEAST_HESSIAN) & (right[..., 1] >= LEAST_HESSIAN), gain, -np.inf)
-
-    for i, feature in enumerate(features):
-        missing = hist[i, MISSING]
-        if feature < n_categorical:
-            seen = np.flatnonzero(hist[i, :MISSING, 2])
+    parent = float(total[0] ** 2 / max(total[1], 1e-12))
+    least = max(rules.min_data_in_leaf, 1)
+    if total[2] < 2 * least:
+        return None
+
+    def gains(left: np.ndarray, extra: float) -> np.ndarray:
+        g, h, n = left[..., 0], left[..., 1], left[..., 2]
+        other = total[1] - h
+        allowed = (n >= least) & (total[2] - n >= least) & (h >= LEAST_HESSIAN) & (other >= LEAST_HESSIAN)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gain = g * g / (h + extra) + (total[0] - g) ** 2 / (other + extra) - parent
+        return np.where(allowed, gain, -np.inf)
+
+    found: list[tuple[float, int, np.ndarray]] = []
+    n_sets = sum(f < n_categorical for f in features)
+    for i, feature in enumerate(features[:n_sets]):
+        seen = np.flatnonzero(hist[i, :MISSING, 2])
+        if len(seen):
             order = seen[np.argsort(hist[i, seen, 0] / (hist[i, seen, 1] + SMOOTH), kind="stable")]
-            found = []
             for codes in (order, order[::-1]):
-                gains = offer(np.cumsum(hist[i, codes[:MOST_IN_SET]], axis=0), SMOOTH) if len(codes) else np.array([-np.inf])
-                found.append((gains.max(), codes[: int(gains.argmax()) + 1]))
-            gain, codes = max(found, key=lambda f: f[0])
-            left = np.zeros(CODES, bool)
-            left[codes] = True
-        else:
-            upto = np.cumsum(hist[i, : MISSING - 1], axis=0)
-            apart = offer(upto, 0.0)
-            joined = offer(upto + missing, 0.0) if missing[2] else np.full(len(apart), -np.inf)
-            gain, cut = max((apart.max(), int(apart.argmax())), (joined.max(), int(joined.argmax())), key=lambda f: f[0])
-            left = np.arange(CODES) <= cut
-            left[MISSING] = joined.max() > apart.max() if missing[2] else upto[cut, 2] * 2 >= total[2]
-        if gain > 1e-9 and (best is None or gain > best.gain):
-            best = Split(float(gain), feature, left)
-    return best
+                gain = gains(np.cumsum(hist[i, codes[:MOST_IN_SET]], axis=0), SMOOTH)
+                found.append((float(gain.max()), feature, codes[: int(gain.argmax()) + 1]))
+    if n_sets < len(features):
+        numbers = hist[n_sets:]
+        missing = numbers[:, MISSING]
+        upto = np.cumsum(numbers[:, : MISSING - 1], axis=1)
+        apart = gains(upto, 0.0)
+        joined = np.where(missing[:, 2:] > 0, gains(upto + missing[:, None], 0.0), -np.inf)
+        rows, cuts = np.arange(len(numbers)), np.stack([apart.argmax(axis=1), joined.argmax(axis=1)])
+        best = np.stack([apart[rows, cuts[0]], joined[rows, cuts[1]]])
+        way = best.argmax(axis=0)
+        i = int(best.max(axis=0).argmax())
+        cut = int(cuts[way[i], i])
+        left = np.arange(CODES) <= cut
+        left[MISSING] = way[i] == 1 if missing[i, 2] else upto[i, cut, 2] * 2 >= total[2]
+        found.append((float(best[way[i], i]), features[n_sets + i], left))
+    gain, feature, left = max(found, key=lambda f: f[0], default=(0.0, -1, None))
+    if gain <= 1e-9:
+        return None
+    if feature < n_categorical:
+        left = np.isin(np.arange(CODES), left)
+    return Split(gain, feature, left)
 
 
 @dataclass
@@ -401,6 +416,9 @@ def write_blocks(df: DataFrame, bins: Bins, label: str, member: Column) -> Block
 
     spark = df.sparkSession
     path = shared_dir(spark, "blocks")
+    cores = spark.sparkContext.defaultParallelism
+    if (count := rows.count()) < cores * BLOCK_ROWS:  # few rows lie in few files
+        rows = rows.repartition(max(1, min(cores, count // TASK_ROWS)))
     rows.mapInArrow(work, BLOCKS).write.parquet(path)
     return Blocks(spark.read.parquet(path), path, bins)
 
@@ -462,29 +480,53 @@ class Sums:
             self.hist.setdefault((w.fit, i), np.zeros((n_slots, CODES, 3)))
             self.hist[w.fit, i] += np.stack(sums, axis=1).reshape(n_slots, CODES, 3)
 
-    def rows(self) -> Iterator[tuple[int, int, bytes]]:
+    def rows(self) -> Iterator[tuple[int, int, bytes, bytes]]:
+        """Only cells that rows fell into: small leaves fill few."""
         for (fit, i), hist in self.hist.items():
-            yield fit, i, hist.tobytes()
+            yield fit, i, *_filled(hist.reshape(-1, 3))
         for fit, cells in self.cells.items():
-            yield fit, -1, cells.astype(float).tobytes()
+            yield fit, -1, *_filled(cells.reshape(-1, 1).astype(float))
+
+
+def _filled(cells: np.ndarray) -> tuple[bytes, bytes]:
+    at = np.flatnonzero(cells[:, -1])
+    return at.astype(np.int32).tobytes(), cells[at].tobytes()
 
 
-SUMS = "fit int, what int, data binary"
+SUMS = "fit int, what int, at binary, data binary"
 
 
-def _sums_batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [(), (), ()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.binary()))], ["fit", "what", "data"])
+def _sums_batch(rows: list[tuple[int, int, bytes, bytes]]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [(), (), (), ()]
+    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["fit", "what", "at", "data"])
+
+
+def _summed(parts: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Filled cells and their sums."""
+    at = np.concatenate([np.frombuffer(a, np.int32) for a, _ in parts])
+    if not len(at):
+        return at, np.zeros((0, 1))
+    data = np.concatenate([np.frombuffer(d).reshape(len(a) // 4, -1) for a, d in parts if a])
+    cells, place = np.unique(at, return_inverse=True)
+    return cells, np.stack([np.bincount(place, weights=column, minlength=len(cells)) for column in data.T], axis=1)
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds up what has one key; keys are dealt to tasks."""
-    total: dict[tuple[int, int], np.ndarray] = {}
+    parts: dict[tuple[int, int], list[tuple[bytes, bytes]]] = defaultdict(list)
     for batch in batches:
         for r in batch.to_pylist():
-            key, data = (r["fit"], r["what"]), np.frombuffer(r["data"])
-            total[key] = total[key] + data if key in total else data
-    yield _sums_batch([(*key, data.tobytes()) for key, data in total.items()])
+            key = (r["fit"], r["what"])
+            parts[key].append((r["at"], r["data"]))
+            if len(parts[key]) == MERGE_HERE:
+                at, data = _summed(parts[key])
+                parts[key] = [(at.tobytes(), data.tobytes())]
+    rows = []
+    for key, several in parts.items():
+        at, data = _summed(several)
+        rows.append((*key, at.tobytes(), data.tobytes()))
+    yield _sums_batch(rows)
 
 
 def with_recent(works: list[Work], margins: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -495,8 +537,9 @@ def with_recent(works: list[Work], margins: np.ndarray, codes: np.ndarray) -> np
     return out
 
 
-def sum_pass(blocks: Blocks, works: list[Work]) -> dict[tuple[int, int], np.ndarray]:
-    """The merged sums of one pass, by (fit, feature place or -1 for scores)."""
+def sum_pass(blocks: Blocks, works: list[Work]) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
+    """The merged sums of one pass, filled cells only, by (fit, feature place or
+    -1 for scores)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = Sums()
@@ -510,11 +553,10 @@ def sum_pass(blocks: Blocks, works: list[Work]) -> dict[tuple[int, int], np.ndar
     found = blocks.df.mapInArrow(work, SUMS)
     if blocks.tasks > MERGE_HERE:
         found = found.repartition(min(blocks.tasks, 200), "fit", "what").mapInArrow(_merge, SUMS)
-    total: dict[tuple[int, int], np.ndarray] = {}
+    parts: dict[tuple[int, int], list[tuple[bytes, bytes]]] = defaultdict(list)
     for r in found.collect():
-        key, data = (r["fit"], r["what"]), np.frombuffer(r["data"])
-        total[key] = total[key] + data if key in total else data
-    return total
+        parts[r["fit"], r["what"]].append((bytes(r["at"]), bytes(r["data"])))
+    return {key: _summed(several) for key, several in parts.items()}
 
 
 def write_margins(blocks: Blocks, fits: list[Fit]) -> Blocks:
@@ -550,11 +592,11 @@ def class_counts(blocks: Blocks, bits: set[int]) -> dict[int, tuple[int, int]]:
             for _, label, member, _, _ in _arrays(batch):
                 for i, bit in enumerate(listed):
                     total[i] += np.bincount(label[(member >> bit & 1).astype(bool)] == 1, minlength=2)
-        yield _sums_batch([(i, 0, row.tobytes()) for i, row in enumerate(total)])
+        yield _sums_batch([(i, 0, *_filled(row.reshape(-1, 1))) for i, row in enumerate(total)])
 
     counts: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(2))
     for r in blocks.df.mapInArrow(work, SUMS).repartition(1).mapInArrow(_merge, SUMS).collect():
-        counts[listed[r["fit"]]] = np.frombuffer(r["data"])
+        counts[listed[r["fit"]]][np.frombuffer(r["at"], np.int32)] = np.frombuffer(r["data"])
     return {bit: (int(counts[bit][0]), int(counts[bit][1])) for bit in listed}
 
 
@@ -612,12 +654,14 @@ def boost(blocks: Blocks, fits: list[Fit], rounds: int, patience: int | None = N
         for w in works:
             f = fits[w.fit]
             if w.auc:
-                f.aucs.append(area(found.get((w.fit, -1), np.zeros(2 * SCORE_CELLS))))
+                f.aucs.append(area(_cells(found.get((w.fit, -1)), 2 * SCORE_CELLS, 1)))
                 f.stopped = patience is not None and len(f.aucs) - f.best_round >= patience
             if w.partial is None or f.stopped:
                 f.done = True
                 continue
-            hists = {node: np.stack([_slot(found, w, j, s) for j in range(len(w.features))]) for s, node in enumerate(f.growth.wanted)}
+            n = len(f.growth.wanted)
+            each = [_cells(found.get((w.fit, j)), n * CODES, 3).reshape(n, CODES, 3) for j in range(len(w.features))]
+            hists = dict(zip(f.growth.wanted, np.stack(each, axis=1) / np.array([UNIT, UNIT, 1.0])))
             if f.growth.take(hists):
                 f.trees.append(f.growth.tree())
                 f.growth = None
@@ -628,6 +672,8 @@ def boost(blocks: Blocks, fits: list[Fit], rounds: int, patience: int | None = N
     return [Booster(blocks.bins, f.base, f.trees[: f.best_round] if f.valid_bit is not None else f.trees) for f in fits]
 
 
-def _slot(found: dict[tuple[int, int], np.ndarray], w: Work, j: int, s: int) -> np.ndarray:
-    data = found.get((w.fit, j))
-    return np.zeros((CODES, 3)) if data is None else data.reshape(-1, CODES, 3)[s] / np.array([UNIT, UNIT, 1.0])
+def _cells(found: tuple[np.ndarray, np.ndarray] | None, n: int, width: int) -> np.ndarray:
+    out = np.zeros((n, width))
+    if found is not None:
+        out[found[0]] = found[1]
+    return out
