@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from delaylens.llm.bpe import WORDS, id_pieces
-from delaylens.llm.common import lean, schema_with, single_threaded, text_batches
+from delaylens.llm.common import free_name, lean, schema_with, single_threaded, text_batches
 from delaylens.session import stage
 
 #: Characters of one piece of a text, and of the pieces that are aligned at once.
@@ -285,7 +285,7 @@ def aligned(df: DataFrame, text: str, keep: list[str], tokenizer_json: str, mode
                 yield written(batch.slice(at, 200), documents[at : at + 200], row + at, schema)
             row += batch.num_rows
 
-    return text_batches(df).select(*keep, F.col(text).alias("__text")).mapInArrow(lean(work), schema)
+    return text_batches(df).select(*keep, F.col(text).alias(free_name(df, "__text"))).mapInArrow(lean(work), schema)
 
 
 def add_slice(documents: list[Document], rows: list[int], got: Aligned, equal: list[bool], a_text: np.ndarray, b_text: np.ndarray) -> None:
@@ -393,4 +393,4 @@ def groups(df: DataFrame, text: str, keep: list[str], tokenizer_json: str, model
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))]))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(lists, kind)], names=schema.names)
 
-    return text_batches(df).select(*keep, F.col(text).alias("__text")).mapInArrow(lean(work), schema)
+    return text_batches(df).select(*keep, F.col(text).alias(free_name(df, "__text"))).mapInArrow(lean(work), schema)

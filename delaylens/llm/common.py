@@ -69,6 +69,14 @@ def schema_with(df: DataFrame, keep: list[str], ddl: str) -> T.StructType:
     return T.StructType(df.select(*keep).schema.fields + added.fields)
 
 
+def free_name(df: DataFrame, stem: str) -> str:
+    """A name that no column of `df` has, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo; null ids count as remainder 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus, F.lit(0))

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from delaylens.llm.common import free_name
 from delaylens.session import stage
 
 WINDOW = 10
@@ -139,12 +140,14 @@ def remove(
     """All columns of `documents`, without the hit spans; rows of which at least
     `document_share` of the words are hit are removed whole. `length` names a
     column that gets the new text's length. Rows without a hit are unchanged."""
-    found = stage(hits(documents, benchmark, key, text, item, item_text, window).select(F.col("row_key").alias("__key"), F.col("words_hit").alias("__hit")), "hits")
-    few = found.agg(F.coalesce(F.sum(F.size("__hit") + 10), F.lit(0))).first()[0] <= 10 * BROADCAST_HITS
-    rows = documents.withColumn("__key", row_key(F.col(key), F.col(text))).join(F.broadcast(found) if few else found, "__key", "left")
-    hit = F.col("__hit").isNotNull()
-    kept = rows.where(~hit | (F.size("__hit") < document_share * F.size(words(F.col(text)))))
-    cleaned = kept.withColumn(text, F.when(hit, without_words(F.col(text), F.col("__hit"))).otherwise(F.col(text)))
+    row, spans = free_name(documents, "__key"), free_name(documents, "__hit")
+    found = hits(documents, benchmark, key, text, item, item_text, window)
+    found = stage(found.select(F.col("row_key").alias(row), F.col("words_hit").alias(spans)), "hits")
+    few = found.agg(F.coalesce(F.sum(F.size(spans) + 10), F.lit(0))).first()[0] <= 10 * BROADCAST_HITS
+    rows = documents.withColumn(row, row_key(F.col(key), F.col(text))).join(F.broadcast(found) if few else found, row, "left")
+    hit = F.col(spans).isNotNull()
+    kept = rows.where(~hit | (F.size(spans) < document_share * F.size(words(F.col(text)))))
+    cleaned = kept.withColumn(text, F.when(hit, without_words(F.col(text), F.col(spans))).otherwise(F.col(text)))
     if length:
         cleaned = cleaned.withColumn(length, F.when(hit, F.length(text)).otherwise(F.col(length)).cast(documents.schema[length].dataType))
-    return cleaned.select(*documents.columns)
+    return cleaned.select(*[F.col(f"`{c}`") for c in documents.columns])

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from delaylens.llm.common import lean, schema_with, text_batches, unit_hash
+from delaylens.llm.common import free_name, lean, schema_with, text_batches, unit_hash
 from delaylens.llm.graph import components
 from delaylens.session import stage
 
@@ -344,14 +344,22 @@ def join(df: DataFrame, text: str, key: str, width: int = SHINGLE, percent: int
 
 def one_of_each(df: DataFrame, text: str, key: str, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of `df`, all columns, less the near copies: of each component the
-    row with the smallest key stays (of rows with that key, one). Rows with an
-    empty set all stay, but for repeated rows."""
-    padded = F.lpad(F.coalesce(F.col(key).cast("string"), F.lit("null")), 20, "0")
-    tagged = df.withColumn("__tag", F.concat_ws(":", padded, F.hex(F.xxhash64(text)), F.length(text).cast("string")))
-    joined = stage(join(tagged, text, "__tag", width, percent).select("__tag", "component_id"), "components")
-    losers = joined.where("component_id <> __tag").select("__tag").distinct()
-    kept = tagged.join(F.broadcast(losers) if losers.count() <= BROADCAST_LOSERS else losers, "__tag", "left_anti")
-    repeated = joined.where("component_id = __tag").groupBy("__tag").count().where("count > 1").select("__tag")
+    row with the smallest key, as its type orders it, stays (null keys come last;
+    of rows with that key, one stays). Rows with an empty set all stay, but for
+    repeated rows. Columns may have any names."""
+    tag = free_name(df, "__tag")
+    named = F.concat_ws(":", F.col(key).isNull().cast("int").cast("string"), F.col(key).cast("string"))
+    tagged = df.withColumn(tag, F.concat_ws(":", named, F.hex(F.xxhash64(text)), F.length(text).cast("string")))
+    joined = stage(join(tagged.select(F.col(tag).alias("tag"), F.col(text).alias("text")), "text", "tag", width, percent).select("tag", "component_id"), "components")
+    # components of several different rows, few beside all rows
+    several = joined.groupBy("component_id").agg(F.min("tag").alias("low"), F.max("tag").alias("high")).where("low <> high")
+    members = joined.join(several.select("component_id"), "component_id", "left_semi").distinct()
+    keys = tagged.select(F.col(tag).alias("tag"), F.col(key).alias("key")).join(members, "tag")
+    first = F.min_by("tag", F.struct(F.col("key").isNull(), "key", "tag")).alias("first")
+    losers = members.join(keys.groupBy("component_id").agg(first), "component_id").where("tag <> first")
+    losers = stage(losers.select(F.col("tag").alias(tag)).distinct(), "losers")
+    kept = tagged.join(F.broadcast(losers) if losers.count() <= BROADCAST_LOSERS else losers, tag, "left_anti")
+    repeated = joined.groupBy("tag").count().where("count > 1").select(F.col("tag").alias(tag))
     if not repeated.isEmpty():
-        kept = kept.join(repeated, "__tag", "left_anti").unionByName(kept.join(repeated, "__tag").dropDuplicates(["__tag"]))
-    return kept.select(*df.columns)
+        kept = kept.join(repeated, tag, "left_anti").unionByName(kept.join(repeated, tag).dropDuplicates([tag]))
+    return kept.select(*[F.col(f"`{c}`") for c in df.columns])

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaylens.llm.common import class_sample, lean, schema_with, text_batches
+from delaylens.llm.common import class_sample, free_name, lean, schema_with, text_batches
 
 #: Bytes in a window; the last one of a text is padded with zeros.
 WINDOW = 96
@@ -182,7 +182,7 @@ def identify(df: DataFrame, text: str, keep: list[str], net: ByteConvNet | None)
 
 def with_letters(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     has_letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    return text_batches(df).select(*keep, F.col(text).alias("__text"), has_letter.alias("__has_letter"))
+    return text_batches(df).select(*keep, F.col(text).alias(free_name(df, "__text")), has_letter.alias(free_name(df, "__has_letter")))
 
 
 def judged(batches: Iterator[pa.RecordBatch], n_keep: int, net: ByteConvNet | None) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:

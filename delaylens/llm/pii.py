@@ -241,6 +241,8 @@ class Marked:
     while it is small, or else a column of each text's own terms."""
 
     def __init__(self, df: DataFrame, text: str, keep: list[str], broadcast_terms: int):
+        if clash := {"__text", "__terms", "__digest"} & set(keep):
+            raise ValueError(f"kept columns have names used here: {sorted(clash)}")
         terms = disclosing(df, text, broadcast_terms).select("term")
         self.shapes = frozenset(r[0] for r in terms.where(F.col("term").isin(NAME, NUMBER, PLAIN)).collect())
         self.shared: frozenset[str] | None = None

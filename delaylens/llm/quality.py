@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaylens.llm.common import class_sample, lean, schema_with, text_batches, unit_hash
+from delaylens.llm.common import class_sample, free_name, lean, schema_with, text_batches, unit_hash
 
 #: Bytes compressed at a time, and of each dictionary.
 PIECE = 1024
@@ -177,7 +177,7 @@ def score(df: DataFrame, text: str, keep: list[str], model: CompressionModel) ->
             out = [pa.array(got), pa.array((got >= GOOD_FROM).astype(np.int32))]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *out], names=[f.name for f in schema])
 
-    return text_batches(df).select(*keep, F.col(text).alias("__text")).mapInArrow(lean(apply), schema)
+    return text_batches(df).select(*keep, F.col(text).alias(free_name(df, "__text"))).mapInArrow(lean(apply), schema)
 
 
 def good(df: DataFrame, text: str, model: CompressionModel) -> DataFrame:
@@ -191,4 +191,4 @@ def good(df: DataFrame, text: str, model: CompressionModel) -> DataFrame:
             good_enough = scorer.score(batch.column(len(columns)).to_pylist()) >= GOOD_FROM
             yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=columns).filter(pa.array(good_enough, pa.bool_()))
 
-    return text_batches(df).select("*", F.col(text).alias("__text")).mapInArrow(lean(apply), df.schema)
+    return text_batches(df).select("*", F.col(text).alias(free_name(df, "__text"))).mapInArrow(lean(apply), df.schema)

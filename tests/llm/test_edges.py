@@ -306,10 +306,30 @@ def test_pairs_of_odd_turns(spark):
     assert {(r.conv_id, r.chosen[-1].text, r.rejected[-1].text) for r in made.collect()} == {(1, "b", ""), (3, "s", "")}
 
 
+def test_near_copies_go_by_the_key_as_its_type_orders_it(spark):
+    said = "one two three four five six seven eight nine ten eleven twelve"
+    long_ids = [("a" * 20 + "1", ""), ("a" * 20 + "2", ""), ("b", said), (None, said), ("null", said)]
+    df = spark.createDataFrame([(i, t, "mine", "yours") for i, t in long_ids], "id string, text string, __tag string, tag string")
+    kept = jaccard.one_of_each(df, "text", "id")
+    assert kept.schema == df.schema
+    assert sorted(r.id for r in kept.collect()) == ["a" * 20 + "1", "a" * 20 + "2", "b"]
+    assert {r["__tag"] for r in kept.collect()} == {"mine"}
+    numbers = spark.createDataFrame([(2, said), (-5, said), (-3, said), (10, said), (None, said)], "id long, text string")
+    assert [r.id for r in jaccard.one_of_each(numbers, "text", "id").collect()] == [-5]
+
+
+def test_spans_go_whatever_the_columns_are_called(spark):
+    df = spark.createDataFrame([(1, "x dog sat on the rug y", 7, "k"), (2, "clean", 8, "l")], "id long, text string, __hit long, __key string")
+    benchmark = spark.createDataFrame([(1, "dog sat on the rug")], "item_id long, text string")
+    out = {r.id: r for r in decontaminate.remove(df, benchmark, "id", "text", "item_id", "text").collect()}
+    assert out[1].text == "x y" and (out[1]["__hit"], out[1]["__key"], out[2]["__hit"]) == (7, "k", 8)
+
+
 def test_pipeline_of_odd_rows(spark, odd, tmp_path):
     spark.createDataFrame([(1, 1, 0), (5, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([(1, "dog sat on the rug")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    plain = odd.select("doc_id", "text", "lang", "source", "n_chars")
+    clashing = {"__tag": F.lit(1), "__hit": F.lit(2), "__key": F.lit("k"), "__text": F.lit("t"), "tag": F.lit("u"), "row_key": F.lit("v")}
+    plain = odd.select("doc_id", "text", "lang", "source", "n_chars").withColumns(clashing)
     for rows in (plain, plain.limit(0)):
         docs = rows
         for _, step in corpus_pipeline.STAGES[:-1]:
