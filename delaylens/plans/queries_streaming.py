@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from delaylens.functions.calendar import holiday_dim, years_of
 from delaylens.operators import traffic as batch
+from delaylens.operators.joins import match_sites
 from delaylens.plans.catalog import query
 from delaylens.plans.queries_history import _current, _sliding_sql
 from delaylens.plans.queries_model import trained
@@ -24,7 +25,7 @@ from delaylens.plans.testdata import (
 )
 from delaylens.session import shared_dir
 from delaylens.streaming import traffic as live
-from delaylens.streaming.scoring import score_stream
+from delaylens.streaming.scoring import rescore_stream, score_stream
 
 
 def _position_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,6 +129,68 @@ def late_rows_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).drop("batch_id")
 
 
+def deliveries(rows: DataFrame, n: int) -> list[DataFrame]:
+    """The rows in `n` parts by time."""
+    span = rows.agg(F.min("time").alias("low"), F.max("time").alias("high")).first()
+    width = (span["high"] - span["low"]) // n + 1
+    return [rows.where(F.floor((F.col("time") - span["low"]) / width) == i) for i in range(n)]
+
+
+_DELIVERED_SQL = (
+    "SELECT delivery, max(time) AS time FROM (SELECT time, CAST(floor((time - min(time) OVER ()) / (floor((max(time) OVER () - min(time) OVER ()) / 3) + 1)) AS BIGINT) "
+    "AS delivery FROM positions) d GROUP BY 1"
+)
+
+
+@query(
+    "stream_newest_snapshot",
+    with_cte("positions", f"SELECT delivery, icao24, time, TRUE AS logged FROM ({_DELIVERED_SQL}) c JOIN (SELECT DISTINCT icao24, time FROM positions) p USING (time)"),
+)
+def stream_newest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state after each of three deliveries: the aircraft of the newest
+    snapshot only, and whether the log of changes leads to just these."""
+    source, path, kept = shared_dir(spark, "snapshots"), shared_dir(spark, "newest"), shared_dir(spark, "kept")
+    rows = positions(spark, sf_dir).select("icao24", "time", "lat", "lon")
+    for i, part in enumerate(deliveries(rows, 3)):
+        part.write.mode("append").parquet(source)
+        live.keep_newest_snapshot(live.read_stream(spark, source, rows.schema), path)
+        state = live.newest_state(spark, path).select(F.lit(i).cast("long").alias("delivery"), "icao24", "time")
+        last = F.max_by("status", "batch_id")
+        alive = spark.read.parquet(f"{path}/changes").groupBy("icao24").agg(last.alias("status")).where("status = 'seen'")
+        logged = state.join(alive, "icao24", "left").select("delivery", "icao24", "time", F.col("status").isNotNull().alias("logged"))
+        gone = alive.join(state, "icao24", "left_anti").select(F.lit(i).cast("long").alias("delivery"), "icao24", F.lit(None).cast("long").alias("time"), F.lit(False).alias("logged"))
+        logged.unionByName(gone).write.mode("append").parquet(kept)
+    return spark.read.parquet(kept)
+
+
+@query(
+    "stream_rescore",
+    with_cte(
+        "airports positions sightings",
+        "SELECT tick, a.airport, count(DISTINCT s.icao24) AS live_traffic_count FROM (VALUES (0), (1), (2)) t(tick) CROSS JOIN airports a "
+        "LEFT JOIN (SELECT * FROM sightings WHERE time = (SELECT max(time) FROM positions)) s ON s.airport = a.airport GROUP BY 1, 2",
+    ),
+)
+def stream_rescore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per airport at each of three ticks after the last position, each
+    tick its own run from the checkpoint."""
+    source, path, ticks, out = (shared_dir(spark, name) for name in ("snapshots", "newest", "ticks", "history"))
+    rows = positions(spark, sf_dir).select("icao24", "time", "lat", "lon")
+    rows.write.parquet(source)
+    live.keep_newest_snapshot(live.read_stream(spark, source, rows.schema), path)
+
+    def counts(state: DataFrame) -> DataFrame:
+        near = match_sites(state).groupBy("airport").agg(F.count_distinct("icao24").alias("live_traffic_count"))
+        return airports(spark).select("airport").join(near, "airport", "left").fillna(0)
+
+    moment = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 30).alias("timestamp")
+    for i in range(3):
+        spark.range(i, i + 1).select(moment).write.mode("append").parquet(ticks)
+        rescore_stream(live.read_stream(spark, ticks, spark.range(1).select(moment).schema), counts, path, out).awaitTermination()
+    number = ((F.unix_seconds("tick") - 1_700_000_000) / 30).cast("int")
+    return spark.read.parquet(out).select(number.alias("tick"), "airport", "live_traffic_count")
+
+
 _AT_SQL = with_cte(
     "airports flights positions sightings weather",
     "SELECT t.time AS at, a.airport, count(DISTINCT s.icao24) FILTER (s.time = t.time) AS live_traffic_count, "

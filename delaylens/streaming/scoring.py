@@ -6,12 +6,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
 from delaylens.constants import SLIDE_SECONDS, TRAFFIC_WINDOWS
 from delaylens.operators.joins import live_context, match_sites
 from delaylens.operators.model import TrainedModel
 from delaylens.plans.scoring import live_features, score_context
-from delaylens.streaming.traffic import run_available
+from delaylens.streaming.traffic import checkpoint_of, newest_state, run_available
 
 
 def _write(rows: DataFrame, path: str, batch_id: int) -> None:
@@ -90,3 +91,26 @@ def score_stream(
         rows.unpersist()
 
     run_available(positions, predict, history_path)
+
+
+def rescore_stream(ticks: DataFrame, predict: Callable[[DataFrame], DataFrame], state_path: str, history_path: str, interval: str | None = None) -> StreamingQuery:
+    """Scores the newest state again at every tick, whether or not positions came.
+
+    `ticks` is any stream with a `timestamp`, on a cluster the rate source; each
+    micro-batch counts as one tick, that of its newest timestamp. `predict` gets the
+    rows of the newest state (operators that read what is live are called in it) and
+    returns scored rows, which are appended under the tick and its batch id: a
+    repeated batch replaces itself, and a restart goes on behind the last tick of
+    its checkpoint. Before the first state a tick scores nothing. With an
+    `interval` the query runs until it is stopped, otherwise over all ticks that
+    have come."""
+    spark = ticks.sparkSession
+
+    def tick(rows: DataFrame, batch_id: int) -> None:
+        at, state = rows.agg(F.max("timestamp")).first()[0], newest_state(spark, state_path)
+        if at is not None and state is not None:
+            scored = predict(state).withColumns({"tick": F.lit(at), "batch_id": F.lit(batch_id)})
+            scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(history_path)
+
+    job = ticks.writeStream.foreachBatch(tick).option("checkpointLocation", checkpoint_of(history_path))
+    return (job.trigger(processingTime=interval) if interval else job.trigger(availableNow=True)).start()

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from delaylens.constants import SLIDE_SECONDS
 from delaylens.operators.joins import match_sites
+from delaylens.session import discard
 from delaylens.sources.files import parse_states
 
 
@@ -151,3 +152,59 @@ def track_latest(positions: DataFrame, ttl_seconds: int) -> DataFrame:
     return located.groupBy("icao24").applyInPandasWithState(
         newest, _CHANGE, _STATE, "update", GroupStateTimeout.EventTimeTimeout
     )
+
+
+def _batches(spark: SparkSession, path: str) -> list[int]:
+    """Ids of the micro-batches whose rows lie below `path` as a whole."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    names = [f.getPath().getName() for f in files.listStatus(folder)]
+    whole = [n for n in names if n.startswith("batch_id=") and files.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
+    return sorted(int(n.split("=")[1]) for n in whole)
+
+
+def newest_state(spark: SparkSession, path: str) -> DataFrame | None:
+    """The state that `keep_newest_snapshot` last completed, None before the first."""
+    found = _batches(spark, f"{path}/state")
+    return spark.read.parquet(f"{path}/state/batch_id={found[-1]}") if found else None
+
+
+def keep_newest_snapshot(positions: DataFrame, path: str, entity: str = "icao24", time: str = "time") -> None:
+    """Keeps the newest snapshot as state, and what changed as a log.
+
+    The state's clock is the time of its rows. A micro-batch with a newer snapshot
+    replaces it, so an entity that the newer snapshot lacks is gone at once, however
+    recent its last row; rows of the same time are added, older ones change nothing.
+    Each micro-batch writes its own state below `path`/state and its changes
+    (`entity`, time, `seen` or `gone`) below `path`/changes; both hold one snapshot's
+    rows at most. A repeated micro-batch starts from the state before it and
+    replaces its own, and a state counts only once it is whole. Of several rows of
+    an entity in one snapshot the first by the other columns stays; null times are
+    no snapshot."""
+    spark = positions.sparkSession
+
+    def step(rows: DataFrame, batch_id: int) -> None:
+        before = [b for b in _batches(spark, f"{path}/state") if b < batch_id]
+        known = spark.read.parquet(f"{path}/state/batch_id={before[-1]}") if before else rows.limit(0)
+        both = rows.where(F.col(time).isNotNull()).unionByName(known)
+        # one number: the clock
+        clock = both.agg(F.max(time)).first()[0]
+        rest = [c for c in rows.columns if c not in (entity, time)]
+        newest = both.where(F.col(time) == F.lit(clock)).groupBy(entity, time).agg(F.min(F.struct(*rest)).alias("__rest"))
+        newest = newest.select(*[F.col(c) if c in (entity, time) else F.col(f"__rest.{c}").alias(c) for c in rows.columns])
+        newest.write.mode("overwrite").parquet(f"{path}/state/batch_id={batch_id}")
+        now = spark.read.parquet(f"{path}/state/batch_id={batch_id}")
+        old = known.select(F.col(entity).alias("__old"), F.col(time).alias("__before"))
+        met = now.select(entity, time).join(old, F.col(entity).eqNullSafe(F.col("__old")), "full_outer")
+        gone = F.col(time).isNull()
+        changes = met.where(gone | F.col("__before").isNull() | (F.col("__before") < F.col(time))).select(
+            F.when(gone, F.col("__old")).otherwise(F.col(entity)).alias(entity), F.lit(clock).alias(time), F.when(gone, "gone").otherwise("seen").alias("status")
+        )
+        changes.write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
+        for past in before[:-1]:  # the one before this batch stays, for a repetition
+            discard(spark, f"{path}/state/batch_id={past}")
+
+    run_available(positions, step, path)
