@@ -43,8 +43,8 @@ HEADLINE = [
     "rollup_time",
     "stream_sightings_windows",
     "stream_window_counts",
-    "train_model",  # builds the features, fits the final model and scores the test part
-    "cv_metrics",  # the walk-forward search
+    "cv_metrics",  # builds the features and runs the walk-forward search
+    "train_model",  # fits the final model and scores the test part
     "stored_model",  # loads the newest model and scores every flight twice
     "score_flights",  # scores and explains every flight
 ]

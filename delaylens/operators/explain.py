@@ -24,8 +24,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from delaylens.operators.boosting import CODES, Booster, Tree
 from delaylens.operators.model import FeatureSpec
 
-#: Numbers worked out at once: distinct patterns x leaves x path features x nodes.
-AT_ONCE = 4_000_000
+#: Features of a path up to which a leaf's cases make a table.
+TABLE_DEPTH = 10
+#: Numbers worked out at once on longer paths: distinct patterns x leaves x places.
+AT_ONCE = 1_000_000
 
 
 def importance(spark: SparkSession, booster: Booster, spec: FeatureSpec) -> DataFrame:
@@ -88,25 +90,44 @@ def paths_of(tree: Tree) -> Paths:
     return out
 
 
+def shares(paths: Paths, passed: np.ndarray) -> np.ndarray:
+    """Each path place's contribution, for `passed` (n, leaves or 1, places)."""
+    leaves, depth = paths.cover.shape
+    nodes, weights = np.polynomial.legendre.leggauss((depth + 1) // 2)
+    out = np.zeros((len(passed), leaves, depth))
+    for x, weight in zip((nodes + 1) / 2, weights / 2):
+        factor = (1 - x) * paths.cover + x * passed
+        out += weight * factor.prod(axis=2, keepdims=True) / factor
+    return out * (passed - paths.cover) * paths.value[:, None]
+
+
 def pattern_values(paths: Paths, intervals: list[np.ndarray]) -> np.ndarray:
     """(patterns, features of the tree, then the tree's value) for patterns given
-    as intervals of each feature."""
+    as intervals of each feature.
+
+    What a leaf contributes depends on which of its path's places pass: on short
+    paths it is looked up in a table of all these cases, worked out once."""
     leaves, depth = paths.cover.shape
-    nodes, weights = np.polynomial.legendre.leggauss((depth + 1) // 2)
-    known, weights = (nodes + 1) / 2, weights / 2
     n = len(intervals[0]) if intervals else 1
     out = np.zeros((n, len(paths.features) + 1))
-    step = max(1, AT_ONCE // (leaves * depth * len(known)))
+    if depth <= TABLE_DEPTH:
+        cases = (np.arange(1 << depth)[:, None] >> np.arange(depth) & 1).astype(float)
+        table = shares(paths, cases[:, None, :])  # cases x leaves x places
+        case = np.full((leaves, n), (1 << depth) - 1, np.int32)
+        for interval, (leaf, place), passes in zip(intervals, paths.places, paths.passes):
+            case[leaf] -= (~passes.T).astype(np.int32)[:, interval] << place[:, None].astype(np.int32)
+        flat = table.transpose(1, 2, 0).reshape(leaves * depth, -1)
+        for f, (leaf, place) in enumerate(paths.places):
+            out[:, f] = sum(flat[i * depth + j][case[i]] for i, j in zip(leaf, place))
+        out[:, -1] = (case == (1 << depth) - 1).T @ paths.value
+        return out
+    step = max(1, AT_ONCE // (leaves * depth))
     for at in range(0, n, step):
         part = [i[at : at + step] for i in intervals]
         passed = np.ones((len(part[0]) if part else 1, leaves, depth))
         for interval, (leaf, place), passes in zip(part, paths.places, paths.passes):
             passed[:, leaf, place] = passes[interval]
-        share = np.zeros_like(passed)
-        for x, weight in zip(known, weights):
-            factor = (1 - x) * paths.cover + x * passed
-            share += weight * factor.prod(axis=2, keepdims=True) / factor
-        share *= (passed - paths.cover) * paths.value[:, None]
+        share = shares(paths, passed)
         for f, (leaf, place) in enumerate(paths.places):
             out[at : at + step, f] = share[:, leaf, place].sum(axis=1)
         out[at : at + step, -1] = passed.prod(axis=2) @ paths.value

@@ -22,7 +22,7 @@ from delaylens.sources.files import load_registry
 
 # Folds of four days: the events span one month. All configurations and folds of
 # the defaults; fewer rounds and less patience, for the reason the README gives.
-ROUNDS, PATIENCE = 20, 5
+ROUNDS, PATIENCE = 20, 3
 FOLDS = [("2024-01-09", "2024-01-13"), ("2024-01-13", "2024-01-17"), ("2024-01-17", "2024-01-21"), ("2024-01-21", "2024-01-25")]
 CUTOFF = "2024-01-25"
 

@@ -170,10 +170,11 @@ def test_contributions_are_shapley_values(rows, fitted):
         assert sum(row["contributions"]) + row["bias"] == pytest.approx(odds, abs=1e-9)
 
 
-def test_patterns_by_table_and_by_sort_agree(fitted):
+def test_patterns_by_table_and_by_sort_agree(fitted, monkeypatch):
     codes = np.random.default_rng(1).integers(0, 256, (5, 3000)).astype(np.uint8)
     paths = [explain.paths_of(t) for t in fitted.trees]
     whole, margin = explain.contributions(paths, codes)
+    monkeypatch.setattr(explain, "TABLE_DEPTH", 0)
     few = [explain.contributions(paths, codes[:, i : i + 1]) for i in range(40)]
     assert whole[:40] == pytest.approx(np.concatenate([c for c, _ in few]), abs=1e-12)
     assert margin == pytest.approx(fitted.margins(codes) - fitted.base, abs=1e-12)
