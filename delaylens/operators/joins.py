@@ -7,6 +7,8 @@ splits the heavy keys of the rest.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from delaylens.functions.calendar import hour_floor
@@ -174,6 +176,59 @@ def find_matches(df: DataFrame, queries: list[str], fields: list[str], position:
     )
 
 
+#: Letters of an index gram; shorter texts are looked up by grams of their length.
+GRAM = 3
+#: Looked-up grams sent to every task; more are joined by a shuffle.
+BROADCAST_GRAMS = 500_000
+
+
+def grams_of(text: Column, n: int) -> Column:
+    """The distinct runs of n letters of a text."""
+    starts = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - n + 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, n)))
+
+
+def _grams(n: int, text: Column) -> Column:
+    return grams_of(text, n)
+
+
+def find_many(df: DataFrame, searches: DataFrame, query: str, fields: list[str], position: str, limit: int = 5) -> DataFrame:
+    """As find_matches, for a table of any number of search texts: its distinct
+    texts, trimmed and in capitals, stand in `query` of the result.
+
+    An inverted index by runs of three letters: each text is looked up by its
+    rarest run only, rows bring the runs that some text is looked up by, and the
+    exact test follows. A text with a run that no row has is dropped before any
+    row is read again. The rank filter cuts every map partition to `limit` rows a
+    text before the shuffle. Null texts are no search, empty ones match all rows
+    with a value in a field, as in find_matches."""
+    wanted = searches.select(F.upper(F.trim(query)).alias("query")).where("query is not null").distinct()
+    wanted = stage(wanted, "searches")
+    size = F.least(F.length("query"), F.lit(GRAM))
+    parts = [wanted.where(size == n).select("query", F.explode(grams_of(F.col("query"), n)).alias("gram")) for n in range(1, GRAM + 1)]
+    asked = parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+    value = F.filter(F.array(*[F.upper(F.col(f)) for f in fields]), lambda v: v.isNotNull())
+    every = [F.flatten(F.transform(value, partial(_grams, n))) for n in range(1, GRAM + 1)]
+
+    def with_grams(rows: DataFrame, grams: DataFrame) -> DataFrame:
+        """The rows once for each of their runs that is among `grams`."""
+        side = F.broadcast(grams) if grams.count() <= BROADCAST_GRAMS else grams
+        return rows.withColumn("gram", F.explode(F.array_distinct(F.concat(*every)))).join(side, "gram")
+
+    known = with_grams(df.select(*fields), stage(asked.select("gram").distinct(), "asked")).groupBy("gram").agg(F.count("*").alias("rows"))
+    counted = asked.join(known, "gram", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+    rarest = counted.groupBy("query").agg(F.min_by("gram", F.struct("rows", "gram")).alias("gram"), F.min("rows").alias("rows"))
+    rarest = stage(rarest.where("rows > 0").select("query", "gram"), "rarest")
+    looked_up = with_grams(df, stage(rarest.select("gram").distinct(), "looked-up")).join(rarest, "gram")
+    empty = wanted.where("query = ''").limit(1)
+    whole = looked_up.where(F.exists(value, lambda v: F.contains(v, F.col("query")))).drop("gram")
+    if not empty.isEmpty():
+        whole = whole.unionByName(df.where(F.size(value) > 0).withColumn("query", F.lit("")))
+    first = Window.partitionBy("query").orderBy(position)
+    return whole.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= limit)
+
+
 def live_context(
     airports: DataFrame,
     reports: DataFrame,

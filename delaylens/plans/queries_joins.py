@@ -250,6 +250,25 @@ def substring_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("query", F.col("rank").cast("bigint").alias("rank"), "event_id")
 
 
+@query(
+    "substring_many",
+    with_cte(
+        "positions",
+        "SELECT query, rank, event_id FROM (SELECT query, event_id, row_number() OVER (PARTITION BY query ORDER BY event_id) AS rank "
+        "FROM positions JOIN (SELECT DISTINCT upper(trim(t)) AS query FROM (SELECT substr(callsign, 2, 4) AS t FROM positions UNION ALL "
+        "SELECT right(icao24, 2) FROM positions UNION ALL VALUES ('NOSUCH'), (''))) v "
+        "ON contains(upper(callsign), query) OR contains(upper(icao24), query)) x WHERE rank <= 5",
+    ),
+)
+def substring_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first five matches of every text of a table: parts of all callsigns and
+    ids, one that is nowhere and an empty one."""
+    rows = positions(spark, sf_dir)
+    texts = F.array(F.substring("callsign", 2, 4), F.right("icao24", F.lit(2)), F.lit("NOSUCH"), F.lit(" "))
+    found = joins.find_many(rows, rows.select(F.explode(texts).alias("text")), "text", ["callsign", "icao24"], "event_id")
+    return found.select("query", F.col("rank").cast("bigint").alias("rank"), "event_id")
+
+
 @query(
     "aircraft_lines",
     with_cte(
