@@ -154,3 +154,19 @@ def test_cells_follow_the_values(spark):
     positive = y["y"].to_numpy() == 1
     p, q = positive.sum(), (~positive).sum()
     assert np.isclose(area, (ranks[positive].sum() - p * (p + 1) / 2) / (p * q))
+
+
+def test_many_searches_equal_the_direct_form(spark):
+    rows = [(1, "ABCD", "xy"), (2, "abce", None), (3, None, None), (4, "ZABC ", "abab"), (5, "", "q"), (6, "ÄBC", "bc")]
+    df = spark.createDataFrame(rows, "i long, a string, b string")
+    texts = ["abc", " ABCD", "b", "bc", "", "äb", "abcx", "abab", "q", "zz"]
+    searches = spark.createDataFrame([(t,) for t in [*texts, *texts, None]], "t string")
+    direct = {(r["query"], r["rank"], r["i"]) for r in joins.find_matches(df, texts, ["a", "b"], "i", 2).collect()}
+    for limit in (joins.BROADCAST_GRAMS, 0):
+        joins.BROADCAST_GRAMS, before = limit, joins.BROADCAST_GRAMS
+        try:
+            found = joins.find_many(df, searches, "t", ["a", "b"], "i", 2).collect()
+        finally:
+            joins.BROADCAST_GRAMS = before
+        assert {(r["query"], r["rank"], r["i"]) for r in found} == direct and len(found) == len(direct)
+    assert joins.find_many(df.limit(0), searches, "t", ["a"], "i").count() == 0
