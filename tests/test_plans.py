@@ -11,7 +11,7 @@ from delaylens.streaming.traffic import window_counts, with_event_time
 
 SF_DIR = "/root/testdata/sf0.001"
 # these build several jobs or a model before they return
-EAGER = ("stream_", "cv_", "train_", "score_", "entity_risk", "early_", "importance", "attribution", "late_", "chunked", "batch_rerun", "final_run")
+EAGER = ("stream_", "cv_", "train_", "score_", "entity_risk", "early_", "importance", "attribution", "stored_", "late_", "chunked", "batch_rerun", "final_run")
 
 
 def plan(df) -> str:
