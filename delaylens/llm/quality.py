@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delaylens.llm.common import class_sample, free_name, lean, schema_with, text_batches, unit_hash
@@ -27,10 +27,10 @@ from delaylens.llm.common import class_sample, free_name, lean, schema_with, tex
 PIECE = 1024
 DICTIONARY = 64 * 1024
 #: Bound of the sample: labelled texts of each class (half of them make the
-#: dictionary, half the curve), and bytes of each that train the dictionary, in
-#: samples of SAMPLE.
+#: dictionary, half the curve), and of each the pieces of SAMPLE characters that
+#: are learned from, evenly spaced over the whole text (all, if no more).
 TEXTS_PER_CLASS = 1000
-BYTES_PER_TEXT = 8192
+PIECES_PER_TEXT = 16
 SAMPLE = 512
 LEVEL = 3
 GOOD_FROM = 0.7
@@ -82,8 +82,9 @@ def compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
 
 
 def dictionary(texts: list[str]) -> bytes:
-    """Trained on the texts' samples; of too few to train on, their own bytes."""
-    raw = [t.encode()[:BYTES_PER_TEXT] for t in texts]
+    """Trained on samples of the texts; of too few to train on (under 200), a raw
+    content dictionary of their own bytes."""
+    raw = [t.encode() for t in texts]
     samples = [b[at : at + SAMPLE] for b in raw for at in range(0, len(b), SAMPLE)]
     try:
         return zstandard.train_dictionary(DICTIONARY, samples).as_bytes() if len(samples) >= 200 else b"".join(raw)[-DICTIONARY:]
@@ -142,15 +143,24 @@ def agreed_labels(labels: DataFrame, key: str, label: str) -> DataFrame:
     )
 
 
+def spaced(text: Column, pieces: int = PIECES_PER_TEXT, size: int = SAMPLE) -> Column:
+    """A text of at most pieces * size characters whole; of a longer one `pieces`
+    pieces at equal distances, the first at its start and the last at its end."""
+    gap = (F.length(text) - size) / (pieces - 1)
+    cut = F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)), lambda i: F.substring(text, F.floor(i * gap).cast("int") + 1, F.lit(size)))
+    return F.when(F.length(text) <= pieces * size, text).otherwise(F.array_join(cut, ""))
+
+
 def labelled(documents: DataFrame, agreed: DataFrame, text: str, key: str, per_class: int) -> DataFrame:
-    """(text, label, in_dictionary) of a bounded sample of labelled texts. The
-    sample is drawn from the ids, so only its own texts are fetched."""
+    """(text, label, in_dictionary) of a bounded sample of labelled texts, each
+    `spaced`. The sample is drawn from the ids, so only its own texts are fetched,
+    and of a long one only the pieces leave its task."""
     # bounded: at most 4 * per_class ids
     chosen = F.broadcast(class_sample(agreed, "label", "key", per_class))
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.length("text") > 0)
     return (
         rows.join(chosen, "key")
-        .select("text", "label", (unit_hash(F.col("key"), F.lit("dictionary")) < 0.5).alias("in_dictionary"), "key")
+        .select(spaced(F.col("text")).alias("text"), "label", (unit_hash(F.col("key"), F.lit("dictionary")) < 0.5).alias("in_dictionary"), "key")
         .orderBy("key", "text")
         .limit(4 * per_class)
     )
