@@ -1,19 +1,26 @@
 """Scoring texts with a log-bilinear language model.
 
-The frequent words, the text's end and one class for all other words are the
-model's classes; there are more of them as the vocabulary grows. The two classes
-before a word predict it: their vectors, each through its own matrix, give a
-vector whose products with the classes' vectors are the scores. The model is
-trained by noise-contrastive estimation on every training text: in each epoch
-tasks take the steps over their own texts in numpy, and their parameters are
-averaged by their tokens for the next one. As there are only so many pairs of
-classes, the normaliser of every context is computed once, in tasks by the class
-before the word, and each token's log-probability is a product less its
-context's normaliser. A word of the other class gets its share of that class by
-its smoothed count.
-
-Counts are taken over all training texts. The most frequent words' counts go to
-every task (bounded); the rest are joined by word, and their sums by row.
+Words have places: each frequent word its own, rarer ones share slots by a hash of
+the word, more of them as the vocabulary grows. Places belong to classes: half the
+classes are single words, the others hold places of equal shares of the tokens, and
+there are about as many classes as the square root of the distinct words. A word's
+probability is that of its class after the two classes before it, times that of its
+place within the class in the same context, times a rare word's smoothed share of
+its slot.
+
+Both models are log-bilinear and learn by noise-contrastive estimation from every
+training text. The classes' vectors, each through its own matrix, give a vector
+whose products with the classes' vectors are the scores: in each epoch tasks take
+the steps over their own texts in numpy, and their parameters are averaged by their
+tokens for the next one. Then tokens are shuffled by class, and a task learns its
+classes' places one class after another, from the vectors that the first model gives
+the contexts. As contexts are pairs of classes, the normalisers of all contexts are
+computed once, by matrix products in tasks, and a token's log-probability is a few
+products less its contexts' normalisers.
+
+Counts are taken over all training texts. The most frequent words' counts and
+vectors go to every task (bounded); the other words' counts are joined by word, and
+their sums by row.
 """
 
 from __future__ import annotations
@@ -21,7 +28,9 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 from math import isqrt
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -32,17 +41,23 @@ from pyspark.sql import functions as F
 from delaylens.llm.common import lean, most_frequent, schema_with, text_batches
 from delaylens.session import stage
 
-#: Words that are classes of their own, at least (grown_classes), and the
-#: vectors' length.
-CLASSES = 500
+#: Classes, at least and at most (grown_classes); the vectors' length.
+CLASSES, MOST_CLASSES = 1000, 2000
 DIMENSIONS = 16
 EPOCHS = 3
+#: Slots of rare words, at most, and rare words that make one more.
+SLOTS, SLOT_WORDS = 16_384, 8
 #: Tokens that make a task of their own in training, and that it takes at once.
 TASK_TOKENS = 1_000_000
 CHUNK_TOKENS = 500_000
 #: Tokens of a step: a share of all, within these.
 STEP_SHARE, STEP_TOKENS = 4000, (512, 2048)
-NOISE = 64
+NOISE = 32
+#: Within classes: passes over a chunk, tokens of a step, noise places, step size.
+INSIDE_EPOCHS, INSIDE_STEP, INSIDE_NOISE, INSIDE_RATE = 2, 1024, 64, 0.05
+#: The longest step of a place: a rare one that is drawn as noise is hit by a
+#: whole step's tokens at once.
+INSIDE_REACH = 0.5
 #: Products (near class, far class, class) of a task that computes normalisers.
 TASK_PRODUCTS = 1_000_000_000
 #: Words whose counts every task gets.
@@ -211,50 +226,76 @@ def normalisers(near: np.ndarray, far: np.ndarray, vectors: np.ndarray, bias: np
 
 @dataclass
 class Words:
-    """The shared words: their counts and classes; and the totals."""
+    """The shared words' places and counts (the last place is the end's where the
+    training texts lack it); the slots of all others, which follow; each place's
+    class and its number within; and the totals. `mass`: a place's count, smoothed
+    as if each word of it, and in a slot the words not seen, occurred once more."""
 
     place: dict[bytes, int]
     counts: np.ndarray
+    slots: int
+    mass: np.ndarray
     classes: np.ndarray
+    inside: np.ndarray
     n: int
     distinct: int
-    other_n: int
-    other_distinct: int
+
+    def of(self, word: bytes) -> int:
+        found = self.place.get(word)
+        return found if found is not None else len(self.counts) + crc32(word) % self.slots
 
     def unigram(self) -> np.ndarray:
-        own = [0.0] * (int(self.classes.max()) + 1)
-        for c, n in zip(self.classes, self.counts, strict=True):
-            if c < len(own) - 1:
-                own[c] = n
-        own[-1] = self.other_n
-        p = np.array(own) + 1
-        return p / p.sum()
+        """Of the classes."""
+        sums = np.bincount(self.classes, self.mass)
+        return sums / sums.sum()
+
+    def several(self) -> np.ndarray:
+        """Whether a class holds more than one place."""
+        return np.bincount(self.classes) > 1
 
 
 def grown_classes(distinct: int) -> int:
-    """Half the square root of the distinct words, and CLASSES at least: the
-    normalisers of all pairs are then a quarter as many as the distinct words."""
-    return max(CLASSES, isqrt(distinct) // 2)
+    """The square root of the distinct words, within CLASSES and MOST_CLASSES: the
+    normalisers of all pairs are bounded, and beyond the bound classes only hold
+    more places."""
+    return min(MOST_CLASSES, max(CLASSES, isqrt(distinct)))
+
+
+def dealt(mass: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """The class of each place and its number within: the heaviest half of the
+    classes are one place each, the others equal shares of what is left."""
+    order = np.argsort(-mass, kind="stable")
+    single = min(len(mass), max(1, classes // 2))
+    rest = mass[order[single:]].astype(np.float64)
+    before = np.cumsum(rest) - rest
+    share = np.floor(before * (max(1, classes - single) / max(1.0, rest.sum())))
+    ranked = np.concatenate([np.arange(single), single + np.unique(share, return_inverse=True)[1]])
+    first = np.searchsorted(ranked, ranked)  # ranked is sorted
+    of_class, inside = np.empty(len(mass), np.int64), np.empty(len(mass), np.int64)
+    of_class[order], inside[order] = ranked, np.arange(len(mass)) - first
+    return of_class, inside
 
 
 def known_words(counts: DataFrame, shared_words: int, classes: int | None) -> tuple[Words, DataFrame]:
     """The words every task gets, and the table of the others; without `classes`
     their number follows the distinct words."""
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    classes = classes or grown_classes(total[1])
     frequent = most_frequent(counts, shared_words)
     rows = sorted(((r.n, bytes(r.word)) for r in frequent.collect()), key=lambda r: (-r[0], r[1]))
     least = min((c for c, _ in rows), default=None)
+    rare = counts if least is None else counts.where(F.col("n") < least)
     if not any(w == END for _, w in rows):  # rare itself, or no training text at all
         rows.append((sum(r.n for r in counts.where(F.col("word") == F.lit(END)).collect()), END))
-    names = [w for _, w in rows]
-    own = [END, *[w for w in names if w != END][: classes - 1]]
-    number = {w: i for i, w in enumerate(own)}
-    of_class = np.array([number.get(w, len(own)) for w in names] + [len(own)])
-    n = np.array([c for c, _ in rows] + [0], np.int64)
-    inside = int(n[of_class < len(own)].sum())
-    words = Words(dict(zip(names, range(len(names)))), n, of_class, total[0], total[1], total[0] - inside, max(0, total[1] - len(own)))
-    return words, counts if least is None else counts.where(F.col("n") < least)
+    rare = rare.where(F.col("word") != F.lit(END))
+    slots = min(SLOTS, 1 + max(0, total[1] - len(rows)) // SLOT_WORDS)
+    slot = (F.crc32("word") % slots).cast("int").alias("slot")
+    extra = np.ones(slots, np.int64)
+    for r in rare.groupBy(slot).agg((F.sum("n") + F.count("*")).alias("mass")).collect():  # at most SLOTS
+        extra[r.slot] += r.mass
+    n = np.array([c for c, _ in rows], np.int64)
+    mass = np.concatenate([n + 1, extra])
+    names = {w: i for i, (_, w) in enumerate(rows)}
+    return Words(names, n, slots, mass, *dealt(mass, classes or grown_classes(total[1])), total[0], total[1]), rare
 
 
 def score(df: DataFrame, text: str, key: str, flag: str, training: DataFrame, shared_words: int = SHARED_WORDS, classes: int | None = None) -> DataFrame:
@@ -266,13 +307,16 @@ def score(df: DataFrame, text: str, key: str, flag: str, training: DataFrame, sh
     not read."""
     counts = stage(token_counts(training, text), "counts")
     words, rare = known_words(counts, shared_words, classes)
-    model = fit(training, text, words)
+    return scored(df, text, key, flag, words, rare, fit(training, text, words))
+
+
+def scored(df: DataFrame, text: str, key: str, flag: str, words: Words, rare: DataFrame, model: Model) -> DataFrame:
+    """The columns of `score`, from what known_words() and fit() gave."""
     rows = stage(apply(df, text, [key, flag], words, model).withColumn("row", F.monotonically_increasing_id()), "scored")
     tail = rows.select("row", F.explode("tail").alias("tail")).select("row", "tail.word", "tail.times")
     sums = tail.join(rare, "word").groupBy("row").agg(F.sum("times").alias("known"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("logs"))
     known, logs = F.coalesce("known", F.lit(0)), F.coalesce("logs", F.lit(0.0))
     all_mass = float(np.log10(words.n + words.distinct + 1))
-    other_mass = float(np.log10(words.other_n + words.other_distinct + 1))
     return rows.join(sums, "row", "left").select(
         key,
         flag,
@@ -280,21 +324,190 @@ def score(df: DataFrame, text: str, key: str, flag: str, training: DataFrame, sh
         (F.col("n_known") + known).alias("n_known"),
         F.lit(words.n).cast("long").alias("train_tokens"),
         (F.col("base") + logs - F.col("n_tokens") * all_mass).alias("base_score"),
-        (F.col("model") + logs - F.col("n_other") * other_mass).alias("score"),
+        (F.col("model") + logs).alias("score"),
     )
 
 
-def fit(training: DataFrame, text: str, words: Words, epochs: int = EPOCHS, rate: float = 0.01, seed: int = 11) -> LogBilinear:
-    """Learns from every token of every training text, in each epoch. The texts'
-    classes are written once, a task gets TASK_TOKENS of them or more."""
-    coded = stage(encoded(training, text, words), "classes").coalesce(max(1, words.n // TASK_TOKENS))
+@dataclass
+class Model:
+    """The classes' model; and within classes a place's vector and bias by place
+    (zero in classes of one), with the normaliser of each class and context. The
+    context there is the nearer of the two classes before that is a single word,
+    else the one before; `features` are the contexts' vectors."""
+
+    outer: LogBilinear
+    classes: np.ndarray
+    several: np.ndarray
+    features: np.ndarray
+    vectors: np.ndarray
+    bias: np.ndarray
+    normaliser: np.ndarray
+
+    def log_probability(self, far: np.ndarray, near: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Natural log of P(place | far, near), elementwise."""
+        of = self.classes[place]
+        value = self.outer.log_probability(far, near, of)
+        part = np.flatnonzero(self.several[of])
+        place, of, context = place[part], of[part], clearer(far[part], near[part], self.several)
+        within = np.einsum("ij,ij->i", self.features.take(context, axis=0), self.vectors.take(place, axis=0))
+        value[part] += within + self.bias[place] - self.normaliser[of, context]
+        return value
+
+
+def clearer(far: np.ndarray, near: np.ndarray, several: np.ndarray) -> np.ndarray:
+    """Of the two classes before a token the nearer single word, else the nearer.
+    The start, behind the last class, is one word."""
+    vague = np.append(several, False)
+    return np.where(vague[near] & ~vague[far], far, near)
+
+
+def fit(training: DataFrame, text: str, words: Words, epochs: int = EPOCHS, rate: float = 0.01, seed: int = 11) -> Model:
+    """Learns from every token of every training text. The texts' places are
+    written once, in files of about TASK_TOKENS, and a task gets one or more."""
+    tasks = max(1, words.n // TASK_TOKENS)
+    coded = stage(encoded(training, text, words).repartition(tasks), "places").coalesce(tasks)
     unigram = words.unigram()
     parameters = beginning(unigram, seed)
     batch = int(np.clip(words.n // STEP_SHARE, *STEP_TOKENS))
     for epoch in range(epochs):
-        parameters = averaged(coded, parameters, unigram, batch, rate / (1 + epoch), [seed, epoch])
-    model = products(parameters)
-    return LogBilinear(*model, normaliser_table(training.sparkSession, *model).ravel())
+        parameters = averaged(coded, parameters, unigram, batch, rate / (1 + epoch), [seed, epoch], words.classes)
+    near, far, vectors, bias = products(parameters)
+    outer = LogBilinear(near, far, vectors, bias, normaliser_table(training.sparkSession, near, far, vectors, bias).ravel())
+    return within_classes(coded, words, outer, features(near, unigram), tasks, seed)
+
+
+def features(near: np.ndarray, unigram: np.ndarray) -> np.ndarray:
+    """The contexts' vectors, centred and scaled to a mean square length of half
+    their dimensions."""
+    weight = np.append(unigram, unigram.min())
+    centred = near - np.average(near, axis=0, weights=weight)
+    spread = np.sqrt(np.average(centred**2, axis=0, weights=weight))
+    return (centred / np.maximum(spread, 1e-6) * np.sqrt(0.5)).clip(-4, 4).astype(np.float32)
+
+
+class Inside:
+    """One class's places, learning by noise-contrastive estimation: a place's
+    vector and bias against the contexts' fixed vectors. The steps are plain
+    gradients, shortened by how often a step meets a place, so a rare place
+    moves by its few tokens only."""
+
+    def __init__(self, mass: np.ndarray, contexts: np.ndarray, seed: list[int]):
+        p = mass / mass.sum()
+        self.features, self.rng = contexts, np.random.default_rng(seed)
+        self.vectors = np.zeros((len(p), contexts.shape[1]), np.float32)
+        self.bias = np.log(p).astype(np.float32)
+        self.up_to, self.log_noise = np.cumsum(p), np.log(INSIDE_NOISE * p).astype(np.float32)
+        self.pace = (1 / (1 + INSIDE_STEP * p)).astype(np.float32)
+
+    def learn(self, context: np.ndarray, place: np.ndarray) -> None:
+        for epoch in range(INSIDE_EPOCHS):
+            order = self.rng.permutation(len(place))
+            for at in range(0, len(order), INSIDE_STEP):
+                part = order[at : at + INSIDE_STEP]
+                self.step(self.features.take(context[part], axis=0), place[part], INSIDE_RATE / (1 + epoch))
+
+    def step(self, x: np.ndarray, w: np.ndarray, rate: float) -> None:
+        noise = np.searchsorted(self.up_to, self.rng.random(INSIDE_NOISE), side="right").clip(max=len(self.bias) - 1)
+        offset = self.log_noise - self.bias
+        own = sigmoid_of_minus(offset.take(w) - np.einsum("ij,ij->i", x, self.vectors.take(w, axis=0))) - 1
+        other = sigmoid_of_minus(offset[noise] - x @ self.vectors[noise].T)
+        # a row's last number is the bias's slope
+        rows = np.concatenate([np.column_stack([own[:, None] * x, own]), np.column_stack([other.T @ x, other.sum(axis=0)])])
+        slope = sums_at(np.concatenate([w, noise]).astype(id_type(len(self.bias))), rows, len(self.bias)) * (rate * self.pace)[:, None]
+        slope *= np.minimum(1, INSIDE_REACH / np.maximum(np.sqrt(np.einsum("ij,ij->i", slope, slope)), 1e-9))[:, None]
+        self.vectors -= slope[:, :-1]
+        self.bias -= slope[:, -1]
+
+    def normalisers(self) -> np.ndarray:
+        """Of each context."""
+        total = np.full(len(self.features), -np.inf)
+        for at in range(0, len(self.bias), 1024):
+            score = self.features @ self.vectors[at : at + 1024].T + self.bias[at : at + 1024]
+            top = score.max(axis=1)
+            total = np.logaddexp(total, top + np.log(np.exp(score - top[:, None]).sum(axis=1)))
+        return total.astype(np.float32)
+
+
+def by_class(coded: DataFrame, words: Words) -> DataFrame:
+    """(class, contexts, places): the tokens of classes of several places, some at
+    a time; a place by its number within the class."""
+    kind, classes, inside, several = id_type(len(words.unigram())), words.classes, words.inside, words.several()
+
+    def rows_of(texts: list[np.ndarray]) -> pa.RecordBatch:
+        places = np.concatenate(texts)
+        of = classes[places]
+        far, near = contexts(of, np.cumsum([0, *map(len, texts)])[:-1], len(several))
+        kept = np.flatnonzero(several[of])
+        kept = kept[np.argsort(of[kept].astype(kind), kind="stable")]
+        sorted_of, context, number = of[kept], clearer(far[kept], near[kept], several).astype(kind), inside[places[kept]].astype(np.uint32)
+        at = np.flatnonzero(np.diff(sorted_of, prepend=-1))
+        ends = [*at[1:], len(kept)] if len(at) else []
+        pieces = [[x[a:b].tobytes() for a, b in zip(at, ends, strict=True)] for x in (context, number)]
+        return pa.RecordBatch.from_arrays([pa.array(sorted_of[at], pa.int32()), *(pa.array(x, pa.binary()) for x in pieces)], ["class", "contexts", "places"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts: list[np.ndarray] = []
+        for batch in batches:
+            for value in batch.column(0):
+                texts.append(np.frombuffer(value.as_buffer(), np.uint32))
+            if sum(map(len, texts)) >= CHUNK_TOKENS:
+                yield rows_of(texts)
+                texts = []
+        if texts:
+            yield rows_of(texts)
+
+    return coded.mapInArrow(lean(run), "class int, contexts binary, places binary")
+
+
+def within_classes(coded: DataFrame, words: Words, outer: LogBilinear, contexts_of: np.ndarray, tasks: int, seed: int) -> Model:
+    """Learns the places of each class. Classes of several places hold about equal
+    shares of the tokens; a task takes them one after another, and of a class
+    CHUNK_TOKENS at a time. To the driver come the places' vectors (bounded by
+    the shared words and slots) and a normaliser for each class and context."""
+    several = words.several()
+    kind, n = id_type(len(several)), len(several)
+    order = np.argsort(words.classes, kind="stable")
+    ends = np.cumsum(np.bincount(words.classes))
+    mass = np.split(words.mass[order], ends[:-1])
+
+    def learnt(of: int, parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        inside = Inside(mass[of], contexts_of, [seed, of])
+        for context, place in parts:
+            inside.learn(context, place)
+        found = [inside.vectors, inside.bias, inside.normalisers()]
+        return pa.RecordBatch.from_arrays([pa.array([of], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in found)], ["class", "vectors", "bias", "logs"])
+
+    def chunks(rows: Iterator[tuple[int, np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for _, context, place in rows:
+            held.append((context, place))
+            if sum(len(p) for _, p in held) >= CHUNK_TOKENS:
+                yield tuple(map(np.concatenate, zip(*held, strict=True)))
+                held = []
+        if held:
+            yield tuple(map(np.concatenate, zip(*held, strict=True)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (
+            (of, np.frombuffer(context.as_buffer(), kind), np.frombuffer(place.as_buffer(), np.uint32).astype(np.int64))
+            for batch in batches
+            for of, context, place in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True)
+        )
+        for of, group in groupby(rows, key=lambda r: r[0]):
+            yield learnt(of, chunks(group))
+
+    shuffled = by_class(coded, words).repartition(max(1, min(tasks, int(several.sum()))), "class").sortWithinPartitions("class")
+    model = Model(outer, words.classes, several, contexts_of, np.zeros((len(order), contexts_of.shape[1]), np.float32), np.zeros(len(order), np.float32), np.zeros((n, n + 1), np.float32))
+    for r in shuffled.mapInArrow(lean(run), "class int, vectors binary, bias binary, logs binary").toLocalIterator():
+        at = order[ends[r["class"]] - len(mass[r["class"]]) : ends[r["class"]]]
+        model.vectors[at] = np.frombuffer(r.vectors, np.float32).reshape(len(at), -1)
+        model.bias[at] = np.frombuffer(r.bias, np.float32)
+        model.normaliser[r["class"]] = np.frombuffer(r.logs, np.float32)
+    untouched = np.setdiff1d(np.flatnonzero(several), np.flatnonzero(model.normaliser.any(axis=1)))
+    for of in untouched:  # no training token: the smoothed shares
+        at = order[ends[of] - len(mass[of]) : ends[of]]
+        model.bias[at] = np.log(words.mass[at] / words.mass[at].sum())
+    return model
 
 
 def id_type(n: int) -> type:
@@ -303,25 +516,26 @@ def id_type(n: int) -> type:
 
 
 def encoded(df: DataFrame, text: str, words: Words) -> DataFrame:
-    """Each text's classes, as bytes of their id_type."""
-    other = int(words.classes[-1])
-    kind = id_type(other + 1)
-    number = {w: int(words.classes[i]) for w, i in words.place.items() if words.classes[i] < other}
+    """Each text's places, as bytes of uint32."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = number.get
         for batch in batches:
-            ids = [np.array([of(w, other) for w in tokens(t)], kind).tobytes() for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["classes"])
+            ids = [places(tokens(t), words).astype(np.uint32).tobytes() for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["places"])
+
+    return text_batches(df).select(F.col(text).alias("text")).mapInArrow(lean(run), "places binary")
+
 
-    return text_batches(df).select(F.col(text).alias("text")).mapInArrow(lean(run), "classes binary")
+def places(ws: list[bytes], words: Words) -> np.ndarray:
+    of, shared, slots = words.place.get, len(words.counts), words.slots
+    return np.array([p if (p := of(w)) is not None else shared + crc32(w) % slots for w in ws], np.int64)
 
 
-def averaged(coded: DataFrame, parameters: list[np.ndarray], unigram: np.ndarray, batch: int, rate: float, seed: list[int]) -> list[np.ndarray]:
-    """One epoch: every task learns from its own texts, from the same parameters
+def averaged(coded: DataFrame, parameters: list[np.ndarray], unigram: np.ndarray, batch: int, rate: float, seed: list[int], classes: np.ndarray | None = None) -> list[np.ndarray]:
+    """One epoch over rows of classes, or of places with their `classes`: every task learns from its own texts, from the same parameters
     on; the mean of what they come to, by their tokens. Summed by row of the
     parameters, so the driver gets one set of them, however many tasks there are."""
-    n, kind = len(unigram), id_type(len(unigram))
+    n, kind = len(unigram), id_type(len(unigram)) if classes is None else np.uint32
     names = [f"p{i}" for i in range(DIMENSIONS + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,7 +548,8 @@ def averaged(coded: DataFrame, parameters: list[np.ndarray], unigram: np.ndarray
 
         for rows in batches:
             for value in rows.column(0):
-                texts.append(np.frombuffer(value.as_buffer(), kind).astype(np.int64))
+                ids = np.frombuffer(value.as_buffer(), kind)
+                texts.append(ids.astype(np.int64) if classes is None else classes[ids])
                 held += len(texts[-1])
                 if held >= CHUNK_TOKENS:
                     learn()
@@ -382,37 +597,36 @@ def normaliser_table(spark: SparkSession, near: np.ndarray, far: np.ndarray, vec
     return table
 
 
-def apply(df: DataFrame, text: str, keep: list[str], words: Words, model: LogBilinear) -> DataFrame:
-    """What the shared words say of each row, and the row's other words."""
-    schema = schema_with(df, keep, "n_tokens long, n_known long, n_other long, base double, model double, tail array<struct<word: binary, times: long>>")
-    other = int(words.classes[-1])
-    logs = np.log10(words.counts + 1)
-    # words outside the model's own classes also pay for their place in the other class
-    other_logs = np.where(words.classes == other, logs, 0.0)
+def apply(df: DataFrame, text: str, keep: list[str], words: Words, model: Model) -> DataFrame:
+    """What the shared words and slots say of each row, and the row's other words."""
+    schema = schema_with(df, keep, "n_tokens long, n_known long, base double, model double, tail array<struct<word: binary, times: long>>")
+    shared, start = len(words.counts), len(model.several)
+    logs = np.concatenate([np.log10(words.counts + 1), np.zeros(words.slots)])
+    known = np.concatenate([words.counts > 0, np.zeros(words.slots, bool)])
+    # a word in a slot is its count's share of it
+    of_slot = np.concatenate([np.zeros(shared), np.log10(words.mass[shared:])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = words.place.get
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
                 texts = [tokens(t) for t in batch.column(len(keep)).to_pylist()]
-                found = np.array([place(w, -1) for ws in texts for w in ws], np.int64)
+                ids = [places(ws, words) for ws in texts]
                 length = np.array([len(ws) for ws in texts], np.int64)
                 starts = np.cumsum(length) - length
-                tails = [Counter(w for w in ws if w not in words.place) for ws in texts]
-                classes = words.classes[found]
-                far, near = contexts(classes, starts, other + 1)
-                value = np.empty(len(classes))
-                for i in range(0, len(classes), 8192):
+                tails = [Counter(ws[i] for i in np.flatnonzero(p >= shared)) for ws, p in zip(texts, ids, strict=True)]
+                found = np.concatenate([np.zeros(0, np.int64), *ids])
+                far, near = contexts(model.classes[found], starts, start)
+                value = np.empty(len(found))
+                for i in range(0, len(found), 8192):
                     part = slice(i, i + 8192)
-                    value[part] = model.log_probability(far[part], near[part], classes[part])
+                    value[part] = model.log_probability(far[part], near[part], found[part])
                 by_row = lambda x: np.add.reduceat(x, starts) if len(starts) else np.zeros(0, x.dtype)
                 out = [
                     pa.array(length),
-                    pa.array(by_row((words.counts[found] > 0).astype(np.int64))),
-                    pa.array(by_row((classes == other).astype(np.int64))),
+                    pa.array(by_row(known[found].astype(np.int64))),
                     pa.array(by_row(logs[found])),
-                    pa.array(by_row(value / np.log(10) + other_logs[found])),
+                    pa.array(by_row(value / np.log(10) - of_slot[found])),
                     pa.array([[{"word": w, "times": n} for w, n in t.items()] for t in tails], schema_type()),
                 ]
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *out], names=[f.name for f in schema])

@@ -166,8 +166,11 @@ def test_epoch_averages_all_tasks(spark):
 
 def test_classes_grow_with_the_words(spark):
     counts = spark.range(1_300_000).select(F.col("id").cast("string").cast("binary").alias("word"), (F.lit(1) + (F.col("id") < 1000).cast("long")).alias("n"))
-    words, _ = lm.known_words(counts, 2000, None)
-    assert len(words.unigram()) == lm.grown_classes(1_300_000) + 1 == 571
+    words, rare = lm.known_words(counts, 2000, None)
+    assert lm.grown_classes(1_300_000) == 1140 and lm.grown_classes(10**9) == lm.MOST_CLASSES
+    assert 1100 <= len(words.unigram()) <= 1140
+    assert words.slots == lm.SLOTS and rare.count() == 1_299_000
+    assert words.mass.sum() == 1_301_000 + 1_300_000 + 1 + words.slots  # every token, every word and the end once more, and one for the unseen of each slot
     rng = np.random.default_rng(2)
     near, far, vectors, bias = (rng.normal(0, 1, s).astype(np.float32) for s in ((8, 4), (8, 4), (7, 4), 7))
     table = lm.normaliser_table(spark, near, far, vectors, bias)
