@@ -498,7 +498,7 @@ def within_classes(coded: DataFrame, words: Words, outer: LogBilinear, contexts_
 
     shuffled = by_class(coded, words).repartition(max(1, min(tasks, int(several.sum()))), "class").sortWithinPartitions("class")
     model = Model(outer, words.classes, several, contexts_of, np.zeros((len(order), contexts_of.shape[1]), np.float32), np.zeros(len(order), np.float32), np.zeros((n, n + 1), np.float32))
-    for r in shuffled.mapInArrow(lean(run), "class int, vectors binary, bias binary, logs binary").toLocalIterator():
+    for r in shuffled.mapInArrow(lean(run), "class int, vectors binary, bias binary, logs binary").collect():  # bounded
         at = order[ends[r["class"]] - len(mass[r["class"]]) : ends[r["class"]]]
         model.vectors[at] = np.frombuffer(r.vectors, np.float32).reshape(len(at), -1)
         model.bias[at] = np.frombuffer(r.bias, np.float32)
