@@ -40,6 +40,8 @@ MOST_EDGES = MOST_VALUES = 254
 BLOCK_ROWS, SNAPSHOT = 16_384, 8
 #: Rows that are worth a task of their own while there are fewer tasks than cores.
 TASK_ROWS = 4_000
+#: Rows of a fit that a task gathers before it adds them to its histograms.
+GATHERED = 65_536
 #: Tasks whose histograms the driver adds up itself; those of more are merged first.
 MERGE_HERE = 32
 #: Gradients count in units of 2^-20: sums of up to 2^28 rows a task stay exact.
@@ -111,19 +113,16 @@ class Tree:
 
     def leaf_of(self, codes: np.ndarray) -> np.ndarray:
         """The leaf that each column of codes reaches."""
-        n = codes.shape[1]
-        node, rows = np.zeros(n, np.int32), np.arange(n)
-        while True:
-            feature = self.feature[node[rows]]
-            rows = rows[feature >= 0]
-            if not len(rows):
-                return node
-            at = node[rows]
-            left = self.goes_left[at, codes[self.feature[at], rows]]
-            node[rows] = np.where(left, self.left[at], self.right[at])
+        if "router" not in self.__dict__:
+            self.__dict__["router"] = Router(self, np.flatnonzero(self.feature < 0))
+        out = np.zeros(codes.shape[1], np.int32)
+        for rows, leaf in self.__dict__["router"].reached(codes):
+            out[rows] = leaf
+        return out
 
     def __getstate__(self) -> dict:
-        return {**self.__dict__, "goes_left": np.packbits(self.goes_left, axis=1)}
+        kept = {k: v for k, v in self.__dict__.items() if k != "router"}
+        return {**kept, "goes_left": np.packbits(self.goes_left, axis=1)}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__ = {**state, "goes_left": np.unpackbits(state["goes_left"], axis=1).astype(bool)}
@@ -139,6 +138,51 @@ class Tree:
         return cls(goes_left=sets, **{k: np.array(d[k], np.int32) for k in ints}, **{k: np.array(d[k], float) for k in floats})
 
 
+class Router:
+    """Finds the rows that reach some leaves of a tree without walking it. Leaves
+    are bits of a word, up to 64 at a time: a feature's table says of each code
+    which of them are still open, and the one bit that all features leave is the
+    row's leaf. A row whose leaf is not asked for has no bit left."""
+
+    def __init__(self, tree: Tree, leaves: np.ndarray):
+        self.words: list[tuple[np.ndarray, dict[int, np.ndarray]]] = []
+        inner = np.flatnonzero(tree.feature >= 0)
+        for start in range(0, len(leaves), 64):
+            part = np.asarray(leaves[start : start + 64], np.int32)
+            full = (1 << len(part)) - 1
+            kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if full <= np.iinfo(k).max)
+            below = [0] * len(tree.feature)
+            for bit, leaf in enumerate(part):
+                below[leaf] = 1 << bit
+            for i in inner[::-1]:  # children have higher numbers
+                below[i] = below[tree.left[i]] | below[tree.right[i]]
+            tables: dict[int, np.ndarray] = {}
+            for i in inner:
+                if below[i]:
+                    table = tables.setdefault(int(tree.feature[i]), np.full(CODES, full, kind))
+                    table &= np.where(tree.goes_left[i], kind(full ^ below[tree.right[i]]), kind(full ^ below[tree.left[i]]))
+            self.words.append((part, tables))
+        self.whole = len(leaves) == len(tree.feature) - len(inner)
+
+    def reached(self, codes: np.ndarray) -> Iterator[tuple[np.ndarray | slice, np.ndarray]]:
+        """(rows, the leaf of each)."""
+        n = codes.shape[1]
+        for part, tables in self.words:
+            if not tables:
+                yield slice(None), np.full(n, part[0], np.int32)
+                continue
+            open_ = None
+            for feature, table in tables.items():
+                bits = table.take(codes[feature], mode="clip")
+                open_ = bits if open_ is None else np.bitwise_and(open_, bits, out=open_)
+            if self.whole and len(self.words) == 1:
+                yield slice(None), part.take(np.bitwise_count(open_ - open_.dtype.type(1)), mode="clip")
+            else:
+                rows = np.flatnonzero(open_)
+                bits = open_[rows]
+                yield rows, part.take(np.bitwise_count(bits - bits.dtype.type(1)), mode="clip")
+
+
 @dataclass
 class Booster:
     bins: Bins
@@ -378,7 +422,8 @@ BLOCKS = "ids binary, label binary, member binary, codes binary, margins binary"
 
 @dataclass
 class Blocks:
-    """The written column store, and how many trees of each fit its margins hold."""
+    """The written column store, and how many trees of each fit its margins hold. It
+    is read by one task a core: each more sends histograms of its own."""
 
     df: DataFrame
     path: str
@@ -387,7 +432,10 @@ class Blocks:
     tasks: int = 0
 
     def __post_init__(self):
-        self.tasks = self.df.rdd.getNumPartitions()
+        cores, files = self.df.sparkSession.sparkContext.defaultParallelism, self.df.rdd.getNumPartitions()
+        self.tasks = min(files, cores)
+        if files > cores:
+            self.df = self.df.coalesce(cores)
 
 
 def write_blocks(df: DataFrame, bins: Bins, label: str, member: Column) -> Blocks:
@@ -419,7 +467,10 @@ def write_blocks(df: DataFrame, bins: Bins, label: str, member: Column) -> Block
     cores = spark.sparkContext.defaultParallelism
     if (count := rows.count()) < cores * BLOCK_ROWS:  # few rows lie in few files
         rows = rows.repartition(max(1, min(cores, count // TASK_ROWS)))
-    rows.mapInArrow(work, BLOCKS).write.parquet(path)
+    made = rows.mapInArrow(work, BLOCKS)
+    if count >= cores * BLOCK_ROWS:  # whole blocks move, one row each
+        made = made.repartition(cores)
+    made.write.parquet(path)
     return Blocks(spark.read.parquet(path), path, bins)
 
 
@@ -455,35 +506,67 @@ def gradients(label: np.ndarray, margin: np.ndarray, weight: float) -> tuple[np.
 class Sums:
     """A task's sums of all its blocks."""
 
-    def __init__(self):
+    def __init__(self, works: list[Work], bases: list[float]):
+        self.works, self.bases = works, bases
         self.hist: dict[tuple[int, int], np.ndarray] = {}
         self.cells: dict[int, np.ndarray] = {}
+        #: the rows of each fit that are not in its histograms yet: slot, codes, gradient, hessian
+        self.gathered: dict[int, list[tuple[np.ndarray, ...]]] = defaultdict(list)
+        self.routers = [w.partial and Router(w.partial, np.flatnonzero(w.slots >= 0)) for w in works]
+
+    def add(self, ids: np.ndarray, label: np.ndarray, member: np.ndarray, codes: np.ndarray, margins: np.ndarray) -> None:
+        """A block's rows. Only those in a leaf that is summed are worked out any
+        further; fits of one round on the same rows share what they sample."""
+        sampled: dict[tuple[int, int, float], tuple[np.ndarray, np.ndarray]] = {}
+        drawn: dict[int, np.ndarray] = {}
+        for w, router in zip(self.works, self.routers):
+            if w.auc:
+                rows = np.flatnonzero(member >> w.valid_bit & 1)
+                margin = self.margin(w, margins, rows, codes[:, rows])
+                cell = np.minimum((SCORE_CELLS / (1.0 + np.exp(-margin))).astype(np.int64), SCORE_CELLS - 1)
+                both = np.bincount(cell * 2 + (label[rows] == 1), minlength=2 * SCORE_CELLS)
+                self.cells[w.fit] = self.cells.get(w.fit, 0) + both
+            if router is None:
+                continue
+            key = (w.train_bit, w.round, w.row_fraction)
+            if key not in sampled:
+                if w.round not in drawn:
+                    drawn[w.round] = mixed(ids, w.round)
+                rows = np.flatnonzero((member >> w.train_bit & 1).astype(bool) & (drawn[w.round] < w.row_fraction))
+                sampled[key] = rows, codes[:, rows]
+            rows, part = sampled[key]
+            for at, leaf in router.reached(part):
+                own = part if isinstance(at, slice) else part[:, at]
+                if own.shape[1]:
+                    g, h = gradients(label[rows[at]], self.margin(w, margins, rows[at], own), w.weight)
+                    self.gathered[w.fit].append((w.slots[leaf], own, g, h))
+            if sum(len(p[0]) for p in self.gathered[w.fit]) >= GATHERED:
+                self.flush(w)
+
+    def margin(self, w: Work, margins: np.ndarray, rows: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Of the rows, whose codes are given: what the block holds and the trees since."""
+        out = margins[w.fit, rows] if len(margins) else np.full(len(rows), self.bases[w.fit])
+        for tree in w.recent:
+            out += tree.value[tree.leaf_of(codes)]
+        return out
 
-    def add(self, w: Work, ids: np.ndarray, label: np.ndarray, member: np.ndarray, codes: np.ndarray, margin: np.ndarray) -> None:
-        if w.auc:
-            rows = (member >> w.valid_bit & 1).astype(bool)
-            cell = np.minimum((SCORE_CELLS / (1.0 + np.exp(-margin[rows]))).astype(np.int64), SCORE_CELLS - 1)
-            both = np.bincount(cell * 2 + (label[rows] == 1), minlength=2 * SCORE_CELLS)
-            self.cells[w.fit] = self.cells.get(w.fit, 0) + both
-        if w.partial is None:
+    def flush(self, w: Work) -> None:
+        if not (parts := self.gathered.pop(w.fit, None)):
             return
-        rows = np.flatnonzero((member >> w.train_bit & 1).astype(bool) & (mixed(ids, w.round) < w.row_fraction))
-        slot = w.slots[w.partial.leaf_of(codes[:, rows])]
-        rows, slot = rows[slot >= 0], slot[slot >= 0]
-        if not len(rows):
-            return
-        g, h = gradients(label[rows], margin[rows], w.weight)
-        n_slots = int(w.slots.max()) + 1
+        slot, codes, g, h = (np.concatenate(p, axis=-1) for p in zip(*parts))
+        first, n_slots = slot.astype(np.intp) * CODES, int(w.slots.max()) + 1
         for i, feature in enumerate(w.features):
-            key = slot * CODES + codes[feature, rows]
-            sums = [np.bincount(key, weights=x, minlength=n_slots * CODES) for x in (g, h, None)]
-            self.hist.setdefault((w.fit, i), np.zeros((n_slots, CODES, 3)))
-            self.hist[w.fit, i] += np.stack(sums, axis=1).reshape(n_slots, CODES, 3)
+            hist = self.hist.setdefault((w.fit, i), np.zeros((3, n_slots * CODES)))
+            key = first + codes[feature]
+            for sums, x in zip(hist, (g, h, None)):
+                sums += np.bincount(key, weights=x, minlength=n_slots * CODES)
 
     def rows(self) -> Iterator[tuple[int, int, bytes, bytes]]:
         """Only cells that rows fell into: small leaves fill few."""
+        for w in self.works:
+            self.flush(w)
         for (fit, i), hist in self.hist.items():
-            yield fit, i, *_filled(hist.reshape(-1, 3))
+            yield fit, i, *_filled(hist.T)
         for fit, cells in self.cells.items():
             yield fit, -1, *_filled(cells.reshape(-1, 1).astype(float))
 
@@ -503,13 +586,16 @@ def _sums_batch(rows: list[tuple[int, int, bytes, bytes]]) -> pa.RecordBatch:
 
 
 def _summed(parts: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """Filled cells and their sums."""
-    at = np.concatenate([np.frombuffer(a, np.int32) for a, _ in parts])
-    if not len(at):
-        return at, np.zeros((0, 1))
-    data = np.concatenate([np.frombuffer(d).reshape(len(a) // 4, -1) for a, d in parts if a])
-    cells, place = np.unique(at, return_inverse=True)
-    return cells, np.stack([np.bincount(place, weights=column, minlength=len(cells)) for column in data.T], axis=1)
+    """Filled cells and their sums. A part names each of its cells once, in order."""
+    read = [(np.frombuffer(a, np.int32), d) for a, d in parts if a]
+    if not read:
+        return np.zeros(0, np.int32), np.zeros((0, 1))
+    each = [(at, np.frombuffer(d).reshape(len(at), -1)) for at, d in read]
+    sums = np.zeros((max(int(at[-1]) for at, _ in each) + 1, each[0][1].shape[1]))
+    for at, data in each:
+        sums[at] += data
+    cells = np.flatnonzero(sums[:, -1])
+    return cells.astype(np.int32), sums[cells]
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -529,25 +615,15 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _sums_batch(rows)
 
 
-def with_recent(works: list[Work], margins: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    out = margins.copy()
-    for w in works:
-        for tree in w.recent:
-            out[w.fit] += tree.value[tree.leaf_of(codes)]
-    return out
-
-
-def sum_pass(blocks: Blocks, works: list[Work]) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
+def sum_pass(blocks: Blocks, works: list[Work], bases: list[float]) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
     """The merged sums of one pass, filled cells only, by (fit, feature place or
     -1 for scores)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = Sums()
+        sums = Sums(works, bases)
         for batch in batches:
-            for ids, label, member, codes, margins in _arrays(batch):
-                now = with_recent(works, margins, codes)
-                for w in works:
-                    sums.add(w, ids, label, member, codes, now[w.fit])
+            for block in _arrays(batch):
+                sums.add(*block)
         yield _sums_batch(list(sums.rows()))
 
     found = blocks.df.mapInArrow(work, SUMS)
@@ -559,25 +635,30 @@ def sum_pass(blocks: Blocks, works: list[Work]) -> dict[tuple[int, int], tuple[n
     return {key: _summed(several) for key, several in parts.items()}
 
 
-def write_margins(blocks: Blocks, fits: list[Fit]) -> Blocks:
-    """The blocks with the margins of all finished trees; the earlier writing goes."""
+def write_margins(blocks: Blocks, fits: list[Fit], first: Blocks) -> Blocks:
+    """The blocks with the margins of all finished trees, of the rows that a fit
+    learns from or is stopped by; the earlier writing goes, unless it is `first`."""
     held, bases = blocks.held or [0] * len(fits), [f.base for f in fits]
-    recent = [f.trees[h:] for f, h in zip(fits, held)]
-    fresh = not blocks.held
+    recent = [(f.train_bit, f.valid_bit, f.trees[h:]) for f, h in zip(fits, held)]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, label, member, codes, margins in _arrays(batch):
-                now = np.repeat(np.array(bases)[:, None], len(ids), axis=1) if fresh else margins.copy()
-                for i, trees in enumerate(recent):
+                now = margins.copy() if len(margins) else np.repeat(np.array(bases)[:, None], len(ids), axis=1)
+                kept: dict[tuple[int, int | None], tuple[np.ndarray, np.ndarray]] = {}
+                for i, (train, valid, trees) in enumerate(recent):
+                    if (train, valid) not in kept:
+                        rows = np.flatnonzero(member & (1 << train | (0 if valid is None else 1 << valid)))
+                        kept[train, valid] = rows, codes[:, rows]
+                    rows, part = kept[train, valid]
                     for tree in trees:
-                        now[i] += tree.value[tree.leaf_of(codes)]
+                        now[i, rows] += tree.value[tree.leaf_of(part)]
                 yield _block(ids, label, member, codes, now)
 
     spark = blocks.df.sparkSession
     path = shared_dir(spark, "blocks")
     blocks.df.mapInArrow(work, BLOCKS).write.parquet(path)
-    if not fresh:
+    if blocks.path != first.path:
         discard(spark, blocks.path)
     return Blocks(spark.read.parquet(path), path, blocks.bins, [len(f.trees) for f in fits])
 
@@ -628,10 +709,11 @@ def boost(blocks: Blocks, fits: list[Fit], rounds: int, patience: int | None = N
             f.weight = negatives / positives * f.positive_weight_times
             f.base = math.log(f.weight * positives / negatives)
     names, n_categorical = blocks.bins.names, len(blocks.bins.categorical)
-    work_blocks = write_margins(blocks, fits)
+    # a block without margins stands for those before the first tree
+    work_blocks, bases = Blocks(blocks.df, blocks.path, blocks.bins, [0] * len(fits)), [f.base for f in fits]
     while not all(f.done for f in fits):
         if max(len(f.trees) - h for f, h in zip(fits, work_blocks.held) if not f.done) >= SNAPSHOT:
-            work_blocks = write_margins(work_blocks, fits)
+            work_blocks = write_margins(work_blocks, fits, blocks)
         works = []
         for i, f in enumerate(fits):
             if f.done:
@@ -650,7 +732,7 @@ def boost(blocks: Blocks, fits: list[Fit], rounds: int, patience: int | None = N
             features = f.growth.features if f.growth else []
             recent = f.trees[work_blocks.held[i] :]
             works.append(Work(i, f.train_bit, f.valid_bit, len(f.trees), f.weight, f.row_fraction, recent, partial, slots, features, auc))
-        found = sum_pass(work_blocks, works)
+        found = sum_pass(work_blocks, works, bases)
         for w in works:
             f = fits[w.fit]
             if w.auc:
@@ -668,7 +750,8 @@ def boost(blocks: Blocks, fits: list[Fit], rounds: int, patience: int | None = N
                 f.done = len(f.trees) == rounds and f.valid_bit is None
         if progress:
             progress(fits)
-    discard(blocks.df.sparkSession, work_blocks.path)
+    if work_blocks.path != blocks.path:
+        discard(blocks.df.sparkSession, work_blocks.path)
     return [Booster(blocks.bins, f.base, f.trees[: f.best_round] if f.valid_bit is not None else f.trees) for f in fits]
 
 

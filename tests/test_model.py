@@ -215,3 +215,46 @@ def test_failed_batch_leaves_others_alone(spark):
 
 def test_shared_dir_follows_the_session(spark):
     assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def _walked(tree, codes):
+    out = []
+    for column in codes.T:
+        at = 0
+        while tree.feature[at] >= 0:
+            at = (tree.left if tree.goes_left[at, column[tree.feature[at]]] else tree.right)[at]
+        out.append(at)
+    return out
+
+
+@pytest.mark.parametrize("n_leaves", [1, 5, 64, 150])
+def test_leaves_by_tables_are_those_of_a_walk(n_leaves):
+    rng = np.random.default_rng(n_leaves)
+    n = 2 * n_leaves - 1
+    tree = boosting.Tree(*(np.full(n, -1, np.int32) for _ in range(3)), rng.random((n, 256)) < 0.5, rng.random(n), np.ones(n), np.zeros(n))
+    leaves, free = [0], 1
+    while free < n:
+        at = leaves.pop(int(rng.integers(len(leaves))))
+        tree.feature[at], tree.left[at], tree.right[at] = rng.integers(0, 4), free, free + 1
+        leaves += [free, free + 1]
+        free += 2
+    codes = rng.integers(0, 256, (4, 700)).astype(np.uint8)
+    walked = np.array(_walked(tree, codes))
+    assert tree.leaf_of(codes).tolist() == walked.tolist()
+    asked = np.array(sorted(leaves))[::2]
+    found = np.full(codes.shape[1], -1)
+    for rows, leaf in boosting.Router(tree, asked).reached(codes):
+        found[rows] = leaf
+    assert found.tolist() == np.where(np.isin(walked, asked), walked, -1).tolist()
+
+
+def test_blocks_are_dealt_over_the_cores(spark, monkeypatch):
+    """Rows in one partition become work for all cores, and many files no more tasks than these."""
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 50)
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(cores * 400).coalesce(1).selectExpr("CAST(id AS STRING) AS adep", "'x' AS kind", "id / 7 AS a", "1D AS b", "2D AS c", "CAST(id % 2 AS INT) AS y")
+    blocks = ml.binned(rows, SPEC, [F.lit(True)])
+    held = [r[0] for r in blocks.df.groupBy(F.spark_partition_id()).agg(F.sum(F.length("label"))).collect()]
+    assert len(held) == blocks.tasks == cores and max(held) <= 2 * cores * 400 / cores
+    many = boosting.Blocks(blocks.df.repartition(cores * 3), blocks.path, blocks.bins)
+    assert many.tasks == many.df.rdd.getNumPartitions() == cores
