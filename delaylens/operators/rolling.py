@@ -75,15 +75,30 @@ def trailing_windows_direct(
     label: str = "delayed_15min",
     windows: dict[str, int] = TRAFFIC_WINDOWS,
 ) -> DataFrame:
-    """The same by one RANGE window per length. Fine when every key is small;
-    used as the check of trailing_windows."""
-    out = df.withColumn("_t", micros(F.col(ts)))
-    for w, seconds in windows.items():
-        frame = Window.partitionBy(key).orderBy("_t").rangeBetween(-seconds * MICROS, -1)
-        out = out.withColumns(
-            {f"traffic_{w}": F.count(label).over(frame), f"delay_rate_{w}": F.avg(F.col(label).cast("double")).over(frame)}
-        )
-    return out.drop("_t")
+    """The same by plain RANGE windows; used as the check of trailing_windows.
+
+    A sliding frame is worked out anew for every row, so each window is what a
+    frame that only grows holds up to t less what one holds up to t - w. The time
+    axis is cut into cells as long as the longest window: a label counts in its own
+    cell and the next, and each (key, cell) is a window of its own. The label must
+    be an integer or boolean; a row without a time has empty windows."""
+    span = max(windows.values()) * MICROS
+    own = df.withColumn("_t", micros(F.col(ts))).withColumns({"_cell": F.floor(F.col("_t") / F.lit(span)), "_own": F.lit(True)})
+    seen = own.where(F.col("_t").isNotNull() & F.col(label).isNotNull())
+    later = seen.select(key, label, "_t", (F.col("_cell") + 1).alias("_cell"), F.lit(False).alias("_own"))
+    in_cell = Window.partitionBy(key, "_cell").orderBy("_t")
+
+    def upto(end: int) -> tuple[Column, Column]:
+        frame = in_cell.rangeBetween(Window.unboundedPreceding, -end)
+        return F.count(label).over(frame), F.coalesce(F.sum(F.col(label).cast("bigint")).over(frame), F.lit(0))
+
+    ends = {"now": 1, **{w: seconds * MICROS + 1 for w, seconds in windows.items()}}
+    held = {f"_{m}_{w}": c for w, end in ends.items() for m, c in zip("ns", upto(end))}
+    out = own.unionByName(later, allowMissingColumns=True).withColumns(held).where("_own")
+    for w in windows:
+        n, total = (F.col(f"_{m}_now") - F.col(f"_{m}_{w}") for m in "ns")
+        out = out.withColumns({f"traffic_{w}": n, f"delay_rate_{w}": F.when(n > 0, total / n)})
+    return out.drop("_t", "_cell", "_own", *held)
 
 
 def key_rates(df: DataFrame, key: str = "adep", label: str = "delayed_15min", rate: str = "mean_rate") -> DataFrame:

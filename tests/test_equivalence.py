@@ -125,6 +125,24 @@ def test_four_hundred_sites(spark):
     same(joins.match_sites(df, sites=sites).select("id", "airport"), joins.grid_match(df, table).select("id", F.col("site").alias("airport")))
 
 
+def test_direct_windows_only_grow_within_cells(spark):
+    """One key that holds all rows: its windows are cut by time as well, none
+    slides, and they count as a plain loop does, over cell borders and ties."""
+    rng = np.random.default_rng(3)
+    times = [int(t) for t in rng.integers(0, 5 * 10_800, 400)] + [10_800, 21_600, 21_600]
+    labels = [None if x < 0.1 else int(x < 0.4) for x in rng.random(len(times))]
+    rows = spark.createDataFrame([(i, "A", t, y) for i, (t, y) in enumerate(zip(times, labels))] + [(999, "A", None, 1)], "id int, adep string, s bigint, delayed_15min int")
+    rolled = rolling.trailing_windows_direct(rows.withColumn("first_seen", F.timestamp_seconds("s").cast("timestamp_ntz")))
+    got = {r.id: (r.traffic_1h, r.traffic_3h, r.delay_rate_3h) for r in rolled.collect()}
+    plain = {999: (0, 0, None)}
+    for i, t in enumerate(times):
+        one, three = ([y for u, y in zip(times, labels) if t - w <= u < t and y is not None] for w in (3600, 10_800))
+        plain[i] = (len(one), len(three), sum(three) / len(three) if three else None)
+    assert got == plain
+    text = rolled._jdf.queryExecution().optimizedPlan().toString()
+    assert "_cell" in text and "RangeFrame, -" not in text
+
+
 def test_crowded_sites(spark, monkeypatch):
     """Sites crowded on a spot and copies at one place: no position is measured
     against more than the limit, and the closest is found."""
