@@ -115,7 +115,7 @@ def dense_ids(df: DataFrame, natural_key: list[str], id_name: str, start: int =
     are evenly filled whatever the keys look like, and the same key set always
     gets the same ids."""
     text = F.concat_ws("\x1f", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in natural_key])
-    hashed = df.withColumns({"_hash": F.md5(text), "_one": F.lit(1).cast("bigint")})
-    cell = F.conv(F.substring("_hash", 1, cells_hex), 16, 10)
+    hashed = df.withColumns({"_hash": F.unhex(F.md5(text)), "_one": F.lit(1).cast("bigint")})  # half as long, the same order
+    cell = F.conv(F.substring(F.hex("_hash"), 1, cells_hex), 16, 10)
     ranked = running_totals(hashed, [], "_hash", ["_one"], cell)
     return ranked.withColumn(id_name, F.col("_one_before") + F.lit(start)).drop("_hash", "_one", "_one_before", "_one_total")

@@ -19,7 +19,7 @@ from delaylens.constants import (
 from delaylens.operators import warehouse as wh
 from delaylens.operators.prefix import dense_ids
 from delaylens.plans.catalog import ORACLES, query
-from delaylens.plans.testdata import CAUSES, CTE, shipments, station_weather, table, with_cte
+from delaylens.plans.testdata import CAUSES, CTE, shipment_details, shipment_rows, shipments, station_weather, table, with_cte
 from delaylens.plans.warehouse_load import load_batches, run_batch
 from delaylens.session import shared_dir, stage
 
@@ -186,20 +186,21 @@ def banding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _load(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
     """The fact rows (four time roles, airline, two airports, flight, and two
     weather roles that may stay null) and the dimensions they point to."""
-    # the joined source feeds the flight dimension and the fact
-    source = stage(shipments(spark, sf_dir), "shipments")
-    rows = source.withColumns(
+    # the joined source feeds the flight dimension and the fact; what a row says by
+    # itself is worked out after the one lookup that moves rows between tasks
+    narrow = stage(shipment_rows(spark, sf_dir), "shipments")
+    source, flight = shipment_details(narrow), _flight_dim(narrow)
+    located = wh.lookup_dimension(narrow, flight, {c: c for c in _FLIGHT_KEY}, "flight_id", "flight_id")
+    rows = shipment_details(located).withColumns(
         {
             **{f"{r}_time_id": wh.time_id(F.col(r)) for r in _ROLES},
             "air_time": F.col("elapsed_time") - F.col("taxi_out") - F.col("taxi_in"),
         }
     )
-    airport, weather, airline, flight = _airport_dim(spark, sf_dir), _weather_dim(spark, sf_dir), _airline_dim(spark, sf_dir), _flight_dim(source)
-    flight_key = {c: c for c in _FLIGHT_KEY}
+    airport, weather, airline = _airport_dim(spark, sf_dir), _weather_dim(spark, sf_dir), _airline_dim(spark, sf_dir)
     fact = wh.lookup_dimension(rows, airline, {"carrier": "c_mktsegment"}, "airline_id", "airline_id")
     fact = wh.lookup_dimension(fact, airport, {"origin": "n_nationkey"}, "airport_id", "origin_airport_id")
     fact = wh.lookup_dimension(fact, airport, {"destination": "n_nationkey"}, "airport_id", "destination_airport_id")
-    fact = wh.lookup_dimension(fact, flight, flight_key, "flight_id", "flight_id")
     fact = fact.withColumns({"dep_h": F.hour("departure"), "arr_h": F.hour("arrival")})
     for role, place, hour in (("origin", "origin", "dep_h"), ("destination", "destination", "arr_h")):
         fact = wh.lookup_dimension(
@@ -283,7 +284,7 @@ def fact_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The loaded fact and its ten keys against dimensions with rows taken out."""
     fact, dims = _load(spark, sf_dir)
     keys = {role: (dims[dim].where(f"NOT ({hole.format(key)})"), key) for role, (dim, key, hole) in _KEYS.items()}
-    return wh.audit_fact(stage(fact, "fact"), ["flight_id", "arrival_delay", "origin_weather_id"], keys)
+    return wh.audit_fact(stage(fact.select(*_FACT_OUT), "fact"), ["flight_id", "arrival_delay", "origin_weather_id"], keys)
 
 
 @query("fact_ids", "SELECT CAST(1 AS BIGINT) AS first_id, count(*) AS last_id, count(*) AS n_ids FROM lineitem")

@@ -228,11 +228,19 @@ _ADD_SPARK = "{base} + make_dt_interval(0, 0, CAST({minutes} AS INT))"
 _ADD_CHECK = "{base} + to_minutes(CAST({minutes} AS BIGINT))"
 
 
-def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _joined_lines(spark, sf_dir).selectExpr(*_SHIPMENT)
+def shipment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shipments without the columns that `shipment_details` works out of a row."""
+    return _joined_lines(spark, sf_dir).selectExpr(*_SHIPMENT)
+
+
+def shipment_details(rows: DataFrame) -> DataFrame:
     return rows.selectExpr(*_CAUSES).selectExpr(*_times(_ADD_SPARK))
 
 
+def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shipment_details(shipment_rows(spark, sf_dir))
+
+
 # Station weather for the star schema, one row per (nation, hour of day)
 _STATION = [
     "CAST(user_id % 23 AS INT) AS nation",

@@ -60,7 +60,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared folder and read back: for a result that
     several later steps read and that is costly to work out again."""
     path = shared_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

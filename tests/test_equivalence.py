@@ -206,3 +206,17 @@ def test_many_searches_equal_the_direct_form(spark):
             joins.BROADCAST_GRAMS = before
         assert {(r["query"], r["rank"], r["i"]) for r in found} == direct and len(found) == len(direct)
     assert joins.find_many(df.limit(0), searches, "t", ["a"], "i").count() == 0
+
+
+def test_fact_load_moves_narrow_rows(spark, monkeypatch):
+    """What a row says by itself is not written with the joined source, and the
+    audited fact has its own columns only; ids keep the order of the hex digest."""
+    from delaylens.plans import queries_warehouse as qw
+
+    staged, stage = {}, qw.stage
+    monkeypatch.setattr(qw, "stage", lambda df, label: staged.setdefault(label, stage(df, label)))
+    qw.fact_audit(spark, "/root/testdata/sf0.001")
+    assert not {"departure", "arrival", *qw.CAUSES} & set(staged["shipments"].columns)
+    assert staged["fact"].columns == qw._FACT_OUT
+    ids = prefix.dense_ids(spark.range(300).selectExpr("CAST(id AS STRING) AS k"), ["k"], "n").withColumn("h", F.md5("k")).orderBy("n").collect()
+    assert [r.n for r in ids] == list(range(1, 301)) and [r.h for r in ids] == sorted(r.h for r in ids)
