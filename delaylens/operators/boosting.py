@@ -25,19 +25,23 @@ import heapq
 import math
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from delaylens.session import discard, shared_dir
 
 #: Codes of a feature; the last one is a missing or unseen value.
 CODES, MISSING = 256, 255
 MOST_EDGES = MOST_VALUES = 254
-#: Rows of a block, and trees of a fit between two writings of the margins.
-BLOCK_ROWS, SNAPSHOT = 16_384, 8
+#: Rows of a block, and trees of a fit between two writings of the margins: to walk
+#: some fifty trees costs a pass as much as to read all fits' margins.
+BLOCK_ROWS, SNAPSHOT = 16_384, 24
+#: Blocks that a reader holds at a time, and sends to Python at a time.
+READ_BLOCKS = {"spark.sql.parquet.columnarReaderBatchSize": "2", "spark.sql.execution.arrow.maxRecordsPerBatch": "2"}
 #: Rows that are worth a task of their own while there are fewer tasks than cores.
 TASK_ROWS = 4_000
 #: Rows of a fit that a task gathers before it adds them to its histograms.
@@ -146,21 +150,23 @@ class Router:
 
     def __init__(self, tree: Tree, leaves: np.ndarray):
         self.words: list[tuple[np.ndarray, dict[int, np.ndarray]]] = []
-        inner = np.flatnonzero(tree.feature >= 0)
+        inner, left, right = np.flatnonzero(tree.feature >= 0), tree.left.tolist(), tree.right.tolist()
         for start in range(0, len(leaves), 64):
             part = np.asarray(leaves[start : start + 64], np.int32)
             full = (1 << len(part)) - 1
             kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if full <= np.iinfo(k).max)
             below = [0] * len(tree.feature)
-            for bit, leaf in enumerate(part):
+            for bit, leaf in enumerate(part.tolist()):
                 below[leaf] = 1 << bit
-            for i in inner[::-1]:  # children have higher numbers
-                below[i] = below[tree.left[i]] | below[tree.right[i]]
-            tables: dict[int, np.ndarray] = {}
-            for i in inner:
-                if below[i]:
-                    table = tables.setdefault(int(tree.feature[i]), np.full(CODES, full, kind))
-                    table &= np.where(tree.goes_left[i], kind(full ^ below[tree.right[i]]), kind(full ^ below[tree.left[i]]))
+            for i in inner[::-1].tolist():  # children have higher numbers
+                below[i] = below[left[i]] | below[right[i]]
+            open_at = np.array(below, kind)
+            nodes = inner[open_at[inner] > 0]
+            nodes = nodes[np.argsort(tree.feature[nodes], kind="stable")]
+            features, first = np.unique(tree.feature[nodes], return_index=True)
+            shut = np.array(full, kind) ^ open_at
+            kept = np.where(tree.goes_left[nodes], shut[tree.right[nodes]][:, None], shut[tree.left[nodes]][:, None])
+            tables = dict(zip(features.tolist(), np.bitwise_and.reduceat(kept, first, axis=0) if len(nodes) else (), strict=True))
             self.words.append((part, tables))
         self.whole = len(leaves) == len(tree.feature) - len(inner)
 
@@ -438,6 +444,20 @@ class Blocks:
             self.df = self.df.coalesce(cores)
 
 
+@contextmanager
+def few_blocks(spark: SparkSession) -> Iterator[None]:
+    """For jobs over blocks. A row of theirs is megabytes long, so Spark's thousands
+    of rows a batch would be a task's whole part, held several times over."""
+    before = {name: spark.conf.get(name) for name in READ_BLOCKS}
+    for name, value in READ_BLOCKS.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def write_blocks(df: DataFrame, bins: Bins, label: str, member: Column) -> Blocks:
     """Writes the rows with a label as blocks; `member` is a long of fold bits. A
     row is sampled by a hash of all its columns: equal rows go together."""
@@ -480,10 +500,10 @@ def _block(ids: np.ndarray, label: np.ndarray, member: np.ndarray, codes: np.nda
 
 
 def _arrays(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
-    for row in batch.to_pylist():
-        ids, label = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["label"], np.int8)
-        member, codes = np.frombuffer(row["member"], np.int64), np.frombuffer(row["codes"], np.uint8)
-        yield ids, label, member, codes.reshape(-1, len(ids)), np.frombuffer(row["margins"], float).reshape(-1, len(ids))
+    for cells in zip(*batch.select(["ids", "label", "member", "codes", "margins"]).columns, strict=True):
+        kinds = (np.int64, np.int8, np.int64, np.uint8, float)
+        ids, label, member, codes, margins = (np.frombuffer(cell.as_buffer(), kind) for cell, kind in zip(cells, kinds, strict=True))
+        yield ids, label, member, codes.reshape(-1, len(ids)), margins.reshape(-1, len(ids))
 
 
 def mixed(ids: np.ndarray, salt: int) -> np.ndarray:
@@ -630,7 +650,9 @@ def sum_pass(blocks: Blocks, works: list[Work], bases: list[float]) -> dict[tupl
     if blocks.tasks > MERGE_HERE:
         found = found.repartition(min(blocks.tasks, 200), "fit", "what").mapInArrow(_merge, SUMS)
     parts: dict[tuple[int, int], list[tuple[bytes, bytes]]] = defaultdict(list)
-    for r in found.collect():
+    with few_blocks(blocks.df.sparkSession):
+        rows = found.collect()
+    for r in rows:
         parts[r["fit"], r["what"]].append((bytes(r["at"]), bytes(r["data"])))
     return {key: _summed(several) for key, several in parts.items()}
 
@@ -657,7 +679,8 @@ def write_margins(blocks: Blocks, fits: list[Fit], first: Blocks) -> Blocks:
 
     spark = blocks.df.sparkSession
     path = shared_dir(spark, "blocks")
-    blocks.df.mapInArrow(work, BLOCKS).write.parquet(path)
+    with few_blocks(spark):
+        blocks.df.mapInArrow(work, BLOCKS).write.parquet(path)
     if blocks.path != first.path:
         discard(spark, blocks.path)
     return Blocks(spark.read.parquet(path), path, blocks.bins, [len(f.trees) for f in fits])
@@ -676,7 +699,9 @@ def class_counts(blocks: Blocks, bits: set[int]) -> dict[int, tuple[int, int]]:
         yield _sums_batch([(i, 0, *_filled(row.reshape(-1, 1))) for i, row in enumerate(total)])
 
     counts: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(2))
-    for r in blocks.df.mapInArrow(work, SUMS).repartition(1).mapInArrow(_merge, SUMS).collect():
+    with few_blocks(blocks.df.sparkSession):
+        rows = blocks.df.mapInArrow(work, SUMS).repartition(1).mapInArrow(_merge, SUMS).collect()
+    for r in rows:
         counts[listed[r["fit"]]][np.frombuffer(r["at"], np.int32)] = np.frombuffer(r["data"])
     return {bit: (int(counts[bit][0]), int(counts[bit][1])) for bit in listed}
 

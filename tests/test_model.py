@@ -258,3 +258,24 @@ def test_blocks_are_dealt_over_the_cores(spark, monkeypatch):
     assert len(held) == blocks.tasks == cores and max(held) <= 2 * cores * 400 / cores
     many = boosting.Blocks(blocks.df.repartition(cores * 3), blocks.path, blocks.bins)
     assert many.tasks == many.df.rdd.getNumPartitions() == cores
+
+
+def test_a_pass_holds_few_blocks_and_no_margins_of_a_short_fit(spark, rows, monkeypatch):
+    spread = spark.createDataFrame([(i, *row[1:]) for i, row in enumerate(rows.collect() * 3)], rows.schema).coalesce(1)
+    settings = {name: spark.conf.get(name) for name in boosting.READ_BLOCKS}
+    real = boosting._arrays
+
+    def few(batch):
+        assert batch.num_rows <= 2
+        yield from real(batch)
+
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 50)
+    blocks = ml.binned(spread, SPEC, [F.lit(True)])
+    assert blocks.df.count() > 8 * 2
+    monkeypatch.setattr(boosting, "_arrays", few)
+    monkeypatch.setattr(boosting, "write_margins", None)
+    short = boosting.boost(blocks, [ml.as_fit(CONFIG, 0)], 12)[0]
+    monkeypatch.undo()
+    monkeypatch.setattr(boosting, "SNAPSHOT", 5)
+    assert short.plain() == boosting.boost(blocks, [ml.as_fit(CONFIG, 0)], 12)[0].plain()
+    assert settings == {name: spark.conf.get(name) for name in boosting.READ_BLOCKS}
