@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from delaylens.constants import SLIDE_SECONDS, TRAFFIC_WINDOWS
@@ -31,18 +31,30 @@ def traffic_at(snapshots: DataFrame, seen: DataFrame) -> DataFrame:
     """(time, airport, traffic_1h, traffic_3h): distinct aircraft of the windows
     that are current at each snapshot, of sightings up to that moment.
 
-    `seen` has the first time of each (airport, aircraft, cell); a snapshot meets
-    it by cell, so only the cells of its longest window are read."""
-    spans = {label: size // SLIDE_SECONDS for label, size in TRAFFIC_WINDOWS.items()}
-    last = F.floor(F.col("time") / SLIDE_SECONDS)
-    cells = snapshots.select(F.col("time").alias("at"), last.alias("last"), F.explode(F.sequence(last - max(spans.values()) + 1, last)).alias("cell"))
-    known = seen.withColumn("cell", F.floor(F.col("time") / SLIDE_SECONDS))
-    found = cells.join(known, "cell").where("time <= at")
-    counts = [
-        F.count_distinct(F.when(F.col("cell") > F.col("last") - span, F.col("icao24"))).alias(f"traffic_{label}")
-        for label, span in spans.items()
-    ]
-    return found.groupBy(F.col("at").alias("time"), "airport").agg(*counts)
+    `seen` has the first time of each (airport, aircraft, cell). An aircraft counts
+    from a sighting until the cell's window ends or its next sighting takes over, so
+    a sighting is one step up and one down of the airport's count, and the count at
+    a snapshot is the sum of the steps until then: rows by moment, not by snapshot
+    and sighting. Aircraft without an address show that there is traffic only."""
+    cell = F.floor(F.col("time") / SLIDE_SECONDS)
+    taken_over = F.lead("time").over(Window.partitionBy("airport", "icao24").orderBy("time"))
+    named = F.col("icao24").isNotNull().cast("long")
+    ends = {label: F.least((cell + size // SLIDE_SECONDS) * SLIDE_SECONDS, taken_over) for label, size in TRAFFIC_WINDOWS.items()}
+    longest = max(TRAFFIC_WINDOWS, key=TRAFFIC_WINDOWS.get)
+    lasting = seen.where(F.col("time").isNotNull()).select("airport", "time", named.alias("named"), *[end.alias(label) for label, end in ends.items()])
+
+    def step(moment: str, sign: int, labels: list[str]) -> Column:
+        steps = [(F.col("named") * sign if label in labels else F.lit(0).cast("long")).alias(f"traffic_{label}") for label in ends]
+        return F.struct(F.col(moment).cast("long").alias("time"), *steps, F.lit(sign if longest in labels else 0).cast("long").alias("any"))
+
+    steps = lasting.select("airport", F.inline(F.array(step("time", 1, [*ends]), *[step(label, -1, [label]) for label in ends])))
+    sums = [*[f"traffic_{label}" for label in ends], "any"]
+    moments = steps.groupBy("airport", "time").agg(*[F.sum(c).alias(c) for c in sums], F.lit(False).alias("asked"))
+    asked = steps.select("airport").distinct().crossJoin(snapshots.select(F.col("time").cast("long").alias("time")))  # airports x snapshots
+    both = moments.unionByName(asked.select("airport", "time", *[F.lit(0).cast("long").alias(c) for c in sums], F.lit(True).alias("asked")))
+    until = Window.partitionBy("airport").orderBy("time").rangeBetween(Window.unboundedPreceding, 0)
+    counted = both.select("airport", "time", "asked", *[F.sum(c).over(until).alias(c) for c in sums])
+    return counted.where(F.col("asked") & (F.col("any") > 0)).select("time", "airport", *sums[:-1])
 
 
 def score_stream(

@@ -1,12 +1,13 @@
 """State by snapshot clock and timed scoring, delivery by delivery."""
 
+import numpy as np
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from delaylens.operators.history import latest_state
 from delaylens.session import shared_dir
 from delaylens.streaming import traffic as live
-from delaylens.streaming.scoring import rescore_stream
+from delaylens.streaming.scoring import rescore_stream, traffic_at
 
 DDL = "icao24 string, time long, lat double, lon double"
 
@@ -71,3 +72,21 @@ def test_ticks_score_without_positions_and_go_on_after_a_stop(spark):
     assert set(first) < set(second)
     rows = spark.read.parquet(out)
     assert rows.groupBy("batch_id").agg(F.count("*").alias("n"), F.count_distinct("tick").alias("t")).where("n <> 2 or t <> 1").count() == 0
+
+
+def test_traffic_at_counts_each_sighting_in_steps(spark):
+    rng = np.random.default_rng(5)
+    sightings = sorted({(f"A{rng.integers(2)}", f"ac{k}" if (k := rng.integers(5)) else None, int(rng.integers(40_000)) // 90 * 90) for _ in range(300)}, key=str)
+    sightings += sightings[:20] + [("B", None, 100)]  # repeated by a second batch; no address
+    seen = spark.createDataFrame([*sightings, ("B", "ac9", None)], "airport string, icao24 string, time long")
+    moments = [*range(0, 52_000, 450), 899, 900, 901]
+    rows = traffic_at(spark.createDataFrame([(m,) for m in moments], "time long"), seen)
+    expected = {}
+    for at in moments:
+        for airport in ("A0", "A1", "B"):
+            spans = {s: {(i, t) for a, i, t in sightings if a == airport and t <= at and t // 300 > at // 300 - s} for s in (12, 36)}
+            if spans[36]:
+                expected[at, airport] = tuple(len({i for i, _ in spans[s] if i}) for s in (12, 36))
+    assert {(r.time, r.airport): (r.traffic_1h, r.traffic_3h) for r in rows.collect()} == expected
+    # what becomes of a sighting does not depend on how many snapshots look back at it
+    assert "explode(sequence(" not in rows._jdf.queryExecution().toString()
