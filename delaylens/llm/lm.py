@@ -126,11 +126,10 @@ class Learner:
 
     def __init__(self, parameters: list[np.ndarray], unigram: np.ndarray, rate: float, seed: int | list[int]):
         self.parameters = [p.astype(np.float32) for p in parameters]
-        self.mean, self.square = ([np.zeros_like(p) for p in self.parameters] for _ in range(2))
+        self.mean, self.square, self.work = ([np.zeros_like(p) for p in self.parameters] for _ in range(3))
         self.rate, self.t, self.rng = rate, 0, np.random.default_rng(seed)
         self.up_to = np.cumsum(unigram) / np.sum(unigram)
         self.log_noise = np.log(NOISE * unigram).astype(np.float32)
-        self.narrow = id_type(3 * len(unigram) + 3)  # short numbers sort faster
 
     def learn(self, classes: np.ndarray, starts: np.ndarray, batch: int) -> None:
         """Every token once, in random order, `batch` in a step."""
@@ -158,15 +157,27 @@ class Learner:
         back = other @ of_noise
         back += own[:, None] * of_word
         # by word, then by near and by far context
-        at = np.concatenate([w, noise, c + n, f + 2 * n]).astype(self.narrow)
-        by_word, by_near, by_far = np.split(sums_at(at, np.concatenate([own[:, None] * context, other.T @ context, back, back]), 3 * n), 3)
-        g_vectors = by_word + by_near @ m_near.T + by_far @ m_far.T
-        g_bias = (np.bincount(w, own, n - 1) + np.bincount(noise, other.sum(axis=0), n - 1)).astype(np.float32)
+        at = np.concatenate([w, noise, c + n, f + 2 * n])
+        by_word, by_near, by_far = sums_at(at, np.concatenate([own[:, None] * context, other.T @ context, back, back]), 3 * n).reshape(3, n, -1)
+        g_vectors = by_near @ m_near.T
+        g_vectors += by_far @ m_far.T
+        g_vectors += by_word
+        g_bias = (np.bincount(w, own, n - 1) + np.bincount(noise, np.ones(len(w), np.float32) @ other, n - 1)).astype(np.float32)
         self.t += 1
-        for p, g, m, v in zip(self.parameters, [g_vectors, vectors.T @ by_near, vectors.T @ by_far, g_bias], self.mean, self.square, strict=True):
-            m += 0.1 * (g - m)
-            v += 0.001 * (g * g - v)
-            p -= self.rate * (m / (1 - 0.9**self.t)) / (np.sqrt(v / (1 - 0.999**self.t)) + 1e-8)
+        shrink, spread = self.rate / (1 - 0.9**self.t), 1 / (1 - 0.999**self.t)
+        for p, g, m, v, x in zip(self.parameters, [g_vectors, vectors.T @ by_near, vectors.T @ by_far, g_bias], self.mean, self.square, self.work, strict=True):
+            m *= 0.9
+            m += np.multiply(g, 0.1, out=x)
+            v *= 0.999
+            np.multiply(g, g, out=x)
+            x *= 0.001
+            v += x
+            np.multiply(v, spread, out=x)
+            np.sqrt(x, out=x)
+            x += 1e-8
+            np.divide(m, x, out=x)
+            x *= shrink
+            p -= x
 
 
 def sigmoid_of_minus(x: np.ndarray) -> np.ndarray:
@@ -178,13 +189,10 @@ def sigmoid_of_minus(x: np.ndarray) -> np.ndarray:
 
 
 def sums_at(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """Row i: the sum of the values at i."""
-    order = np.argsort(at, kind="stable")
-    at = at.take(order)
-    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    total = np.zeros((n, values.shape[1]), values.dtype)
-    total[at[first]] = np.add.reduceat(values.take(order, axis=0), first, axis=0)
-    return total
+    """Row i: the sum of the values at i, added up as doubles."""
+    width = values.shape[1]
+    cells = (at.astype(np.intp) * width)[:, None] + np.arange(width)
+    return np.bincount(cells.ravel(), values.ravel(), n * width).reshape(n, width).astype(values.dtype)
 
 
 def beginning(unigram: np.ndarray, seed: int = 11) -> list[np.ndarray]:
@@ -413,7 +421,7 @@ class Inside:
         other = sigmoid_of_minus(offset[noise] - x @ self.vectors[noise].T)
         # a row's last number is the bias's slope
         rows = np.concatenate([np.column_stack([own[:, None] * x, own]), np.column_stack([other.T @ x, other.sum(axis=0)])])
-        slope = sums_at(np.concatenate([w, noise]).astype(id_type(len(self.bias))), rows, len(self.bias)) * (rate * self.pace)[:, None]
+        slope = sums_at(np.concatenate([w, noise]), rows, len(self.bias)) * (rate * self.pace)[:, None]
         slope *= np.minimum(1, INSIDE_REACH / np.maximum(np.sqrt(np.einsum("ij,ij->i", slope, slope)), 1e-9))[:, None]
         self.vectors -= slope[:, :-1]
         self.bias -= slope[:, -1]

@@ -371,3 +371,13 @@ def test_long_texts_give_pieces_from_all_over(spark):
     gap = (20_000 - 512) / 15
     assert got == {0: "".join(text[int(i * gap) : int(i * gap) + 512] for i in range(16)), 1: text[:8192], 2: ""}
     assert got[0].startswith(text[:512]) and got[0].endswith(text[-512:])
+
+
+def test_sums_at_need_no_sorting(monkeypatch):
+    rng = np.random.default_rng(2)
+    at, values = rng.integers(0, 40, 3000).astype(np.uint16), rng.normal(size=(3000, 17)).astype(np.float32)
+    expected = np.zeros((50, 17))
+    np.add.at(expected, at, values.astype(float))
+    monkeypatch.setattr(np, "argsort", None)
+    sums = lm.sums_at(at, values, 50)
+    assert sums.dtype == np.float32 and np.array_equal(sums, expected.astype(np.float32))
