@@ -25,7 +25,6 @@ their sums by row.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import groupby
@@ -34,6 +33,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,8 +62,8 @@ INSIDE_REACH = 0.5
 TASK_PRODUCTS = 1_000_000_000
 #: Words whose counts every task gets.
 SHARED_WORDS = 200_000
-#: Distinct words that a task sums up before it passes them on.
-COUNTED_WORDS = 200_000
+#: Tokens that a task sums up before it passes their counts on.
+COUNTED_TOKENS = 2_000_000
 END = b""
 
 
@@ -72,20 +72,28 @@ def tokens(text: str | None) -> list[bytes]:
     return [*(text or "").encode("utf-8", "surrogatepass").lower().split(), END]
 
 
+def token_arrays(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """tokens() of many texts one after another, and how many each has."""
+    trimmed = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    # what is split off behind a last space is the end, as is an empty text
+    closed = pc.if_else(pc.equal(pc.binary_length(trimmed), 0), trimmed, pc.binary_join_element_wise(trimmed, "", " "))
+    split = pc.ascii_split_whitespace(closed)
+    return split.flatten().cast(pa.binary()), np.diff(split.offsets.to_numpy())
+
+
 def token_counts(df: DataFrame, text: str) -> DataFrame:
     """(word, n) over all rows."""
 
-    def sums(found: Counter[bytes]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.int64())], ["word", "n"])
+    def sums(found: list[pa.Array]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(pc.value_counts(pa.chunked_array(found, pa.binary())).flatten(), ["word", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter[bytes] = Counter()
+        found: list[pa.Array] = []
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                found.update(tokens(t))
-            if len(found) > COUNTED_WORDS:
+            found.append(token_arrays(batch.column(0))[0])
+            if sum(map(len, found)) >= COUNTED_TOKENS:
                 yield sums(found)
-                found.clear()
+                found = []
         yield sums(found)
 
     return text_batches(df).select(F.col(text).alias("text")).mapInArrow(lean(count), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -104,9 +112,10 @@ class LogBilinear:
 
     def log_probability(self, far: np.ndarray, near: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Natural log of P(word | far, near), elementwise."""
-        context = self.near[near] + self.far[far]
-        score = np.einsum("ij,ij->i", context, self.vectors[word]) + self.bias[word]
-        return score - self.normaliser[near.astype(np.int64) * len(self.near) + far]
+        context = self.near.take(near, axis=0)
+        context += self.far.take(far, axis=0)
+        score = np.einsum("ij,ij->i", context, self.vectors.take(word, axis=0)) + self.bias.take(word)
+        return score - self.normaliser.take(near.astype(np.int64) * len(self.near) + far)
 
 
 def contexts(classes: np.ndarray, starts: np.ndarray, start_class: int) -> tuple[np.ndarray, np.ndarray]:
@@ -130,14 +139,16 @@ class Learner:
         self.rate, self.t, self.rng = rate, 0, np.random.default_rng(seed)
         self.up_to = np.cumsum(unigram) / np.sum(unigram)
         self.log_noise = np.log(NOISE * unigram).astype(np.float32)
+        self.cells = cells_of(np.arange(3 * (len(unigram) + 1)), DIMENSIONS // 2)
+        self.rows = np.empty((0, DIMENSIONS), np.float32)
 
     def learn(self, classes: np.ndarray, starts: np.ndarray, batch: int) -> None:
         """Every token once, in random order, `batch` in a step."""
-        far, near = contexts(classes, starts, len(self.log_noise))
+        ids = [x.astype(id_type(len(self.log_noise))) for x in (*contexts(classes, starts, len(self.log_noise)), classes)]
         order = self.rng.permutation(len(classes))
         for at in range(0, len(order), batch):
             part = order[at : at + batch]
-            self.step(far[part], near[part], classes[part])
+            self.step(*(x.take(part).astype(np.int64) for x in ids))
 
     def step(self, f: np.ndarray, c: np.ndarray, w: np.ndarray) -> None:
         noise = np.searchsorted(self.up_to, self.rng.random(NOISE), side="right").clip(max=len(self.up_to) - 1)
@@ -149,20 +160,29 @@ class Learner:
         offset = self.log_noise - bias
         own = sigmoid_of_minus(offset.take(w) - np.einsum("ij,ij->i", context, of_word))
         other = context @ -of_noise.T
-        other += offset[noise]
+        other += offset.take(noise)
         other = sigmoid_of_minus(other)
         own -= 1
         own /= len(w)
         other /= len(w)
-        back = other @ of_noise
-        back += own[:, None] * of_word
         # by word, then by near and by far context
+        size, count = len(w), 3 * len(w) + NOISE
+        if len(self.rows) < count:
+            self.rows = np.empty((count, DIMENSIONS), np.float32)
+        rows = self.rows[:count]
+        of_words, of_noises, of_nears, of_fars = rows[:size], rows[size : size + NOISE], rows[size + NOISE : count - size], rows[count - size :]
+        np.matmul(other, of_noise, out=of_nears)
+        of_word *= own[:, None]
+        of_nears += of_word
+        of_fars[:] = of_nears
+        np.matmul(other.T, context, out=of_noises)
+        np.multiply(context, own[:, None], out=of_words)
         at = np.concatenate([w, noise, c + n, f + 2 * n])
-        by_word, by_near, by_far = sums_at(at, np.concatenate([own[:, None] * context, other.T @ context, back, back]), 3 * n).reshape(3, n, -1)
+        by_word, by_near, by_far = sums_in_pairs(self.cells.take(at, axis=0), rows, 3 * n).reshape(3, n, -1)
         g_vectors = by_near @ m_near.T
         g_vectors += by_far @ m_far.T
         g_vectors += by_word
-        g_bias = (np.bincount(w, own, n - 1) + np.bincount(noise, np.ones(len(w), np.float32) @ other, n - 1)).astype(np.float32)
+        g_bias = (np.bincount(w, own, n - 1) + np.bincount(noise, np.ones(size, np.float32) @ other, n - 1)).astype(np.float32)
         self.t += 1
         shrink, spread = self.rate / (1 - 0.9**self.t), 1 / (1 - 0.999**self.t)
         for p, g, m, v, x in zip(self.parameters, [g_vectors, vectors.T @ by_near, vectors.T @ by_far, g_bias], self.mean, self.square, self.work, strict=True):
@@ -191,8 +211,20 @@ def sigmoid_of_minus(x: np.ndarray) -> np.ndarray:
 def sums_at(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     """Row i: the sum of the values at i, added up as doubles."""
     width = values.shape[1]
-    cells = (at.astype(np.intp) * width)[:, None] + np.arange(width)
-    return np.bincount(cells.ravel(), values.ravel(), n * width).reshape(n, width).astype(values.dtype)
+    return np.bincount(cells_of(at, width).ravel(), values.ravel(), n * width).reshape(n, width).astype(values.dtype)
+
+
+def cells_of(at: np.ndarray, width: int) -> np.ndarray:
+    """Where the numbers of rows `at` stand in a table of `width` columns."""
+    return (at.astype(np.intp) * width)[:, None] + np.arange(width)
+
+
+def sums_in_pairs(cells: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """sums_at() where cells_of() half the width are known: two doubles are added
+    at once, as a complex number."""
+    sums = np.zeros(n * cells.shape[1], np.complex128)
+    np.add.at(sums, cells.ravel(), values.astype(np.float64).view(np.complex128).ravel())
+    return sums.view(np.float64).reshape(n, -1).astype(values.dtype)
 
 
 def beginning(unigram: np.ndarray, seed: int = 11) -> list[np.ndarray]:
@@ -252,6 +284,10 @@ class Words:
         found = self.place.get(word)
         return found if found is not None else len(self.counts) + crc32(word) % self.slots
 
+    def shared(self) -> pa.Array:
+        """The shared words by place."""
+        return pa.array(sorted(self.place, key=self.place.__getitem__), pa.binary())
+
     def unigram(self) -> np.ndarray:
         """Of the classes."""
         sums = np.bincount(self.classes, self.mass)
@@ -353,12 +389,12 @@ class Model:
 
     def log_probability(self, far: np.ndarray, near: np.ndarray, place: np.ndarray) -> np.ndarray:
         """Natural log of P(place | far, near), elementwise."""
-        of = self.classes[place]
+        of = self.classes.take(place)
         value = self.outer.log_probability(far, near, of)
-        part = np.flatnonzero(self.several[of])
+        part = np.flatnonzero(self.several.take(of))
         place, of, context = place[part], of[part], clearer(far[part], near[part], self.several)
         within = np.einsum("ij,ij->i", self.features.take(context, axis=0), self.vectors.take(place, axis=0))
-        value[part] += within + self.bias[place] - self.normaliser[of, context]
+        value[part] += within + self.bias.take(place) - self.normaliser.ravel().take(of * self.normaliser.shape[1] + context)
         return value
 
 
@@ -366,7 +402,7 @@ def clearer(far: np.ndarray, near: np.ndarray, several: np.ndarray) -> np.ndarra
     """Of the two classes before a token the nearer single word, else the nearer.
     The start, behind the last class, is one word."""
     vague = np.append(several, False)
-    return np.where(vague[near] & ~vague[far], far, near)
+    return np.where(vague.take(near) & ~vague.take(far), far, near)
 
 
 def fit(training: DataFrame, text: str, words: Words, epochs: int = EPOCHS, rate: float = 0.01, seed: int = 11) -> Model:
@@ -397,34 +433,36 @@ class Inside:
     """One class's places, learning by noise-contrastive estimation: a place's
     vector and bias against the contexts' fixed vectors. The steps are plain
     gradients, shortened by how often a step meets a place, so a rare place
-    moves by its few tokens only."""
+    moves by its few tokens only. A row of `table` is a place's vector, then its
+    bias, whose context is one."""
 
     def __init__(self, mass: np.ndarray, contexts: np.ndarray, seed: list[int]):
         p = mass / mass.sum()
         self.features, self.rng = contexts, np.random.default_rng(seed)
-        self.vectors = np.zeros((len(p), contexts.shape[1]), np.float32)
-        self.bias = np.log(p).astype(np.float32)
+        self.table = np.zeros((len(p), contexts.shape[1] + 1), np.float32)
+        self.vectors, self.bias = self.table[:, :-1], self.table[:, -1]
+        self.bias[:] = np.log(p)
         self.up_to, self.log_noise = np.cumsum(p), np.log(INSIDE_NOISE * p).astype(np.float32)
         self.pace = (1 / (1 + INSIDE_STEP * p)).astype(np.float32)
 
     def learn(self, context: np.ndarray, place: np.ndarray) -> None:
+        closed = np.column_stack([self.features, np.ones(len(self.features), np.float32)])
         for epoch in range(INSIDE_EPOCHS):
             order = self.rng.permutation(len(place))
             for at in range(0, len(order), INSIDE_STEP):
                 part = order[at : at + INSIDE_STEP]
-                self.step(self.features.take(context[part], axis=0), place[part], INSIDE_RATE / (1 + epoch))
+                self.step(closed.take(context[part], axis=0), place[part], INSIDE_RATE / (1 + epoch))
 
     def step(self, x: np.ndarray, w: np.ndarray, rate: float) -> None:
         noise = np.searchsorted(self.up_to, self.rng.random(INSIDE_NOISE), side="right").clip(max=len(self.bias) - 1)
-        offset = self.log_noise - self.bias
-        own = sigmoid_of_minus(offset.take(w) - np.einsum("ij,ij->i", x, self.vectors.take(w, axis=0))) - 1
-        other = sigmoid_of_minus(offset[noise] - x @ self.vectors[noise].T)
-        # a row's last number is the bias's slope
-        rows = np.concatenate([np.column_stack([own[:, None] * x, own]), np.column_stack([other.T @ x, other.sum(axis=0)])])
+        against = -self.table
+        against[:, -1] += self.log_noise
+        own = sigmoid_of_minus(np.einsum("ij,ij->i", x, against.take(w, axis=0))) - 1
+        other = sigmoid_of_minus(x @ against.take(noise, axis=0).T)
+        rows = np.concatenate([own[:, None] * x, other.T @ x])
         slope = sums_at(np.concatenate([w, noise]), rows, len(self.bias)) * (rate * self.pace)[:, None]
         slope *= np.minimum(1, INSIDE_REACH / np.maximum(np.sqrt(np.einsum("ij,ij->i", slope, slope)), 1e-9))[:, None]
-        self.vectors -= slope[:, :-1]
-        self.bias -= slope[:, -1]
+        self.table -= slope
 
     def normalisers(self) -> np.ndarray:
         """Of each context."""
@@ -525,18 +563,35 @@ def id_type(n: int) -> type:
 
 def encoded(df: DataFrame, text: str, words: Words) -> DataFrame:
     """Each text's places, as bytes of uint32."""
+    shared, slots = words.shared(), words.slots
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [places(tokens(t), words).astype(np.uint32).tobytes() for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["places"])
+            found, length = token_arrays(batch.column(0))
+            ids = placed(found, shared, slots)[0].astype(np.uint32)
+            ends = (4 * np.concatenate([[0], np.cumsum(length)])).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.BinaryArray.from_buffers(pa.binary(), len(length), [None, pa.py_buffer(ends), pa.py_buffer(ids)])], ["places"])
 
     return text_batches(df).select(F.col(text).alias("text")).mapInArrow(lean(run), "places binary")
 
 
-def places(ws: list[bytes], words: Words) -> np.ndarray:
-    of, shared, slots = words.place.get, len(words.counts), words.slots
-    return np.array([p if (p := of(w)) is not None else shared + crc32(w) % slots for w in ws], np.int64)
+def placed(found: pa.Array, shared: pa.Array, slots: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Words.of() of many words; which of them are in slots, and these words."""
+    at = pc.index_in(found, value_set=shared)
+    others = np.flatnonzero(at.is_null().to_numpy(zero_copy_only=False))
+    rare = found.take(pa.array(others))
+    ids = at.fill_null(0).to_numpy().astype(np.int64)
+    ids[others] = [len(shared) + crc32(w) % slots for w in rare.to_numpy(zero_copy_only=False)]
+    return ids, others, rare
+
+
+def times_in(row: np.ndarray, found: pa.Array, rows: int) -> pa.Array:
+    """For each of `rows` the words found in it, with how often; `row` grows."""
+    coded = found.dictionary_encode()
+    one, times = np.unique(row * len(coded.dictionary) + coded.indices.to_numpy(), return_counts=True)
+    row, code = np.divmod(one, max(1, len(coded.dictionary)))
+    pairs = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(code)), pa.array(times, pa.int64())], fields=list(schema_type().value_type))
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(rows + 1)), pa.int32()), pairs, schema_type())
 
 
 def averaged(coded: DataFrame, parameters: list[np.ndarray], unigram: np.ndarray, batch: int, rate: float, seed: list[int], classes: np.ndarray | None = None) -> list[np.ndarray]:
@@ -557,7 +612,7 @@ def averaged(coded: DataFrame, parameters: list[np.ndarray], unigram: np.ndarray
         for rows in batches:
             for value in rows.column(0):
                 ids = np.frombuffer(value.as_buffer(), kind)
-                texts.append(ids.astype(np.int64) if classes is None else classes[ids])
+                texts.append(ids.astype(np.int64) if classes is None else classes.take(ids))
                 held += len(texts[-1])
                 if held >= CHUNK_TOKENS:
                     learn()
@@ -608,7 +663,7 @@ def normaliser_table(spark: SparkSession, near: np.ndarray, far: np.ndarray, vec
 def apply(df: DataFrame, text: str, keep: list[str], words: Words, model: Model) -> DataFrame:
     """What the shared words and slots say of each row, and the row's other words."""
     schema = schema_with(df, keep, "n_tokens long, n_known long, base double, model double, tail array<struct<word: binary, times: long>>")
-    shared, start = len(words.counts), len(model.several)
+    names, slots, shared, start = words.shared(), words.slots, len(words.counts), len(model.several)
     logs = np.concatenate([np.log10(words.counts + 1), np.zeros(words.slots)])
     known = np.concatenate([words.counts > 0, np.zeros(words.slots, bool)])
     # a word in a slot is its count's share of it
@@ -616,15 +671,15 @@ def apply(df: DataFrame, text: str, keep: list[str], words: Words, model: Model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
+            every, lengths = token_arrays(whole.column(len(keep)))
+            ids, others, rare = placed(every, names, slots)
+            ends = np.cumsum(lengths, dtype=np.int64)
+            tails = times_in(np.searchsorted(ends, others, side="right"), rare, len(ends))
             for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                texts = [tokens(t) for t in batch.column(len(keep)).to_pylist()]
-                ids = [places(ws, words) for ws in texts]
-                length = np.array([len(ws) for ws in texts], np.int64)
+                batch, length = whole.slice(at, 500), lengths[at : at + 500].astype(np.int64)
                 starts = np.cumsum(length) - length
-                tails = [Counter(ws[i] for i in np.flatnonzero(p >= shared)) for ws, p in zip(texts, ids, strict=True)]
-                found = np.concatenate([np.zeros(0, np.int64), *ids])
-                far, near = contexts(model.classes[found], starts, start)
+                found = ids[ends[at] - length[0] :][: length.sum()]
+                far, near = contexts(model.classes.take(found), starts, start)
                 value = np.empty(len(found))
                 for i in range(0, len(found), 8192):
                     part = slice(i, i + 8192)
@@ -632,10 +687,10 @@ def apply(df: DataFrame, text: str, keep: list[str], words: Words, model: Model)
                 by_row = lambda x: np.add.reduceat(x, starts) if len(starts) else np.zeros(0, x.dtype)
                 out = [
                     pa.array(length),
-                    pa.array(by_row(known[found].astype(np.int64))),
-                    pa.array(by_row(logs[found])),
-                    pa.array(by_row(value / np.log(10) - of_slot[found])),
-                    pa.array([[{"word": w, "times": n} for w, n in t.items()] for t in tails], schema_type()),
+                    pa.array(by_row(known.take(found).astype(np.int64))),
+                    pa.array(by_row(logs.take(found))),
+                    pa.array(by_row(value / np.log(10) - of_slot.take(found))),
+                    tails.slice(at, 500),
                 ]
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *out], names=[f.name for f in schema])
 

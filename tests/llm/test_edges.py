@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -164,6 +165,29 @@ def test_epoch_averages_all_tasks(spark):
     assert lm.packed(lm.averaged(two, first, unigram, 64, 0.01, [1, 0])) == pytest.approx(expected, abs=1e-6)
 
 
+def test_tokens_of_many_texts_at_once():
+    """Arrow's tokens, places and tails against the plain ones, text by text."""
+    from collections import Counter
+
+    texts = ["", None, " ", "a", " A  b ", "x\x1cY\x85\u3000\xc9 z\x0b\x0cq\r\n\t", "".join(map(chr, range(128))) * 2, "rare b rare \xc9 Rare", "\u0130 \u03a3"]
+    plain = [lm.tokens(t) for t in texts]
+    found, length = lm.token_arrays(pa.array(["skipped", *texts])[1:])
+    assert length.tolist() == [len(ws) for ws in plain] and found.to_pylist() == [w for ws in plain for w in ws]
+    words = lm.Words({b"b": 1, b"a": 0, lm.END: 2}, np.ones(3), 5, np.ones(8), np.arange(8), np.zeros(8), 3, 3)
+    ids, others, rare = lm.placed(found, words.shared(), words.slots)
+    assert ids.tolist() == [words.of(w) for ws in plain for w in ws]
+    tails = lm.times_in(np.searchsorted(np.cumsum(length), others, side="right"), rare, len(texts))
+    assert [{r["word"]: r["times"] for r in tail} for tail in tails.to_pylist()] == [Counter(w for w in ws if words.of(w) >= 3) for ws in plain]
+    none = lm.token_arrays(pa.array([], pa.string()))
+    assert len(none[0]) == len(none[1]) == 0 and len(lm.placed(none[0], words.shared(), 5)[0]) == 0
+
+
+def test_pairs_add_up_as_single_sums():
+    rng = np.random.default_rng(4)
+    at, values = rng.integers(0, 40, 3000), rng.normal(size=(3000, 16)).astype(np.float32)
+    assert np.array_equal(lm.sums_in_pairs(lm.cells_of(at, 8), values, 50), lm.sums_at(at, values, 50))
+
+
 def test_classes_grow_with_the_words(spark):
     counts = spark.range(1_300_000).select(F.col("id").cast("string").cast("binary").alias("word"), (F.lit(1) + (F.col("id") < 1000).cast("long")).alias("n"))
     words, rare = lm.known_words(counts, 2000, None)
