@@ -25,8 +25,9 @@ BROADCAST_HITS = 500_000
 
 # The alphabet that is lower-cased and what stands between words.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: One by one: Java looks these up in a table, but tries ranges one after another.
+BETWEEN = "[" + "".join(rf"\x{c:02X}" for c in range(128) if not chr(c).isalnum()) + "]+"
 
 
 def ascii_lower(text: Column) -> Column:
@@ -34,17 +35,29 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def cut(text: Column) -> Column:
+    """The words in order, in their case; null and empty texts have none."""
+    # split leaves an empty string before a separator at the start and behind one at the end
+    return F.coalesce(F.array_remove(F.split(text, BETWEEN), ""), F.array().cast("array<string>"))
+
+
 def words(text: Column) -> Column:
-    """The normalised words in order; null and empty texts have none."""
-    return F.coalesce(F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
+    """The normalised words in order."""
+    return cut(ascii_lower(text))
+
+
+def word_hashes(words_column: Column) -> Column:
+    return F.transform(words_column, lambda w: F.xxhash64(w))
 
 
-def window_hashes(words_column: Column, length: int) -> Column:
-    """The hash of each run of `length` words, in order of its first word."""
-    hashes = F.transform(words_column, lambda w: F.xxhash64(w))
-    last = F.size(words_column) - length + 1
-    starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.xxhash64(F.slice(words_column, i, length))) if length > 1 else hashes
+def window_hashes(worded: DataFrame, key: str, length: int) -> DataFrame:
+    """(key, start, hash): each run of `length` words of the column `hashes`, by
+    its first word. Windows are rows before they are hashed: the ten look-ups are
+    compiled, where a slice in a lambda is not."""
+    last = F.size("hashes") - length
+    starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    placed = worded.select(key, "hashes", F.explode(starts).alias("start"))
+    return placed.select(key, "start", F.xxhash64(*[F.get("hashes", F.col("start") + i) for i in range(length)]).alias("hash"))
 
 
 def benchmark_windows(benchmark: DataFrame, item: str, text: str, window: int) -> DataFrame:
@@ -54,7 +67,7 @@ def benchmark_windows(benchmark: DataFrame, item: str, text: str, window: int) -
     length = F.least(F.size("words"), F.lit(window))
     starts = F.sequence(F.lit(1), F.size("words") - length + 1)
     cut = worded.select("item", length.alias("length"), F.explode(F.transform(starts, lambda i: F.slice("words", i, length))).alias("part"))
-    return cut.select("item", "length", F.concat_ws(" ", "part").alias("phrase"), F.xxhash64("part").alias("hash")).distinct()
+    return cut.select("item", "length", F.concat_ws(" ", "part").alias("phrase"), F.xxhash64(word_hashes(F.col("part"))).alias("hash")).distinct()
 
 
 def found_windows(documents: DataFrame, benchmark: DataFrame, key: str, text: str, item: str, item_text: str, window: int) -> DataFrame:
@@ -64,11 +77,10 @@ def found_windows(documents: DataFrame, benchmark: DataFrame, key: str, text: st
     sizes = {r["length"]: r["count"] for r in windows.groupBy("length").count().collect()}
     few = sum(sizes.values()) <= BROADCAST_WINDOWS
     probes = None
-    worded = documents.select(key, words(F.col(text)).alias("words"))
+    worded = documents.select(key, word_hashes(words(F.col(text))).alias("hashes"))
     for length in sorted(sizes):  # the window and, if there are shorter items, their lengths
         hashes = windows.where(F.col("length") == length).select("hash").distinct()
-        scanned = worded.select(key, F.posexplode(window_hashes(F.col("words"), length)).alias("start", "hash"))
-        hit = scanned.join(F.broadcast(hashes) if few else hashes, "hash").withColumn("length", F.lit(length))
+        hit = window_hashes(worded, key, length).join(F.broadcast(hashes) if few else hashes, "hash").withColumn("length", F.lit(length))
         probes = hit if probes is None else probes.unionByName(hit)
     if probes is None:
         return documents.select(key, F.lit(None).cast(benchmark.schema[item].dataType).alias("item"), F.lit(0).alias("start"), F.lit(0).alias("length"), F.lit("").alias("phrase")).limit(0)
@@ -111,7 +123,7 @@ def report(documents: DataFrame, benchmark: DataFrame, key: str, text: str, item
     nothing; items whose id is null mark words but are not counted; repeated rows
     stay. Other columns are not read."""
     found = hits(documents, benchmark, key, text, item, item_text, window)
-    base = documents.select(key, row_key(F.col(key), F.col(text)).alias("row_key"), F.size(words(F.col(text))).cast("long").alias("n_words"))
+    base = documents.select(key, row_key(F.col(key), F.col(text)).alias("row_key"), F.size(cut(F.col(text))).cast("long").alias("n_words"))
     names = F.array_sort(F.transform(F.coalesce("items", F.array().cast(found.schema["items"].dataType)), lambda i: i.cast("string")))
     return base.join(found, "row_key", "left").select(
         key,
@@ -146,7 +158,7 @@ def remove(
     few = found.agg(F.coalesce(F.sum(F.size(spans) + 10), F.lit(0))).first()[0] <= 10 * BROADCAST_HITS
     rows = documents.withColumn(row, row_key(F.col(key), F.col(text))).join(F.broadcast(found) if few else found, row, "left")
     hit = F.col(spans).isNotNull()
-    kept = rows.where(~hit | (F.size(spans) < document_share * F.size(words(F.col(text)))))
+    kept = rows.where(~hit | (F.size(spans) < document_share * F.size(cut(F.col(text)))))
     cleaned = kept.withColumn(text, F.when(hit, without_words(F.col(text), F.col(spans))).otherwise(F.col(text)))
     if length:
         cleaned = cleaned.withColumn(length, F.when(hit, F.length(text)).otherwise(F.col(length)).cast(documents.schema[length].dataType))

@@ -188,6 +188,25 @@ def test_pairs_add_up_as_single_sums():
     assert np.array_equal(lm.sums_in_pairs(lm.cells_of(at, 8), values, 50), lm.sums_at(at, values, 50))
 
 
+def test_words_and_windows_of_odd_texts(spark):
+    """Against a plain regular expression; a window's hash is the benchmark's, and
+    no regular expression is tried word by word."""
+    import re
+
+    texts = ["", None, " ", "a", " A  b ", "-\xc9-\xe9,\xdf\u0663x--", "".join(map(chr, range(128))) * 2, "\U0001d518\U0001d52b ok\u3000x I\u0130", "\x7f\x00"]
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    plain = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(lower)) for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = df.select("id", decontaminate.words(F.col("text")).alias("words"), F.size(decontaminate.cut(F.col("text"))).alias("n"))
+    assert [(r.words, r.n) for r in got.orderBy("id").collect()] == [(ws, len(ws)) for ws in plain]
+    assert "regexp_extract_all" not in got._jdf.queryExecution().optimizedPlan().toString()
+    worded = got.select("id", decontaminate.word_hashes(F.col("words")).alias("hashes"))
+    for length in (1, 2, 10):
+        expected = {(r.item, r.phrase): r.hash for r in decontaminate.benchmark_windows(df, "id", "text", length).where(F.col("length") == length).collect()}
+        found = {(r.id, " ".join(plain[r.id][r.start : r.start + length])): r.hash for r in decontaminate.window_hashes(worded, "id", length).collect()}
+        assert found == expected
+
+
 def test_classes_grow_with_the_words(spark):
     counts = spark.range(1_300_000).select(F.col("id").cast("string").cast("binary").alias("word"), (F.lit(1) + (F.col("id") < 1000).cast("long")).alias("n"))
     words, rare = lm.known_words(counts, 2000, None)
