@@ -1,6 +1,7 @@
 """Boosting against a plain version, attribution against brute force, and loads that can be repeated."""
 
 import itertools
+import json
 import math
 
 import numpy as np
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from delaylens.operators import boosting, explain, model as ml
+from delaylens.plans import queries_model
 from delaylens.plans.warehouse_load import load_batch, run_batch
 from delaylens.session import shared_dir
 
@@ -198,6 +200,17 @@ def test_a_stored_model_scores_the_same(spark, rows, fitted):
     assert loaded.booster.plain() == fitted.plain() and (loaded.spec, loaded.rates) == (SPEC, {"k1": 0.5})
 
 
+def test_the_search_of_the_queries_is_the_whole_one(spark):
+    """All configurations and folds, 500 rounds and a patience of 30: on the smallest
+    tables three configurations have fits that are best after the twentieth round."""
+    log = queries_model.searched(spark, "/root/testdata/sf0.001")[2]
+    params = {r["key"]: json.loads(r["value"]) for r in spark.read.parquet(ml.params_path(log)).collect()}
+    assert (params["rounds"], params["patience"]) == (500, 30)
+    assert params["configs"] == ml.SEARCH_SPACE and len(params["folds"]) == 4
+    best = spark.read.parquet(log).where("metric = 'best_iteration'").groupBy("trial").agg(F.max("value"), F.count("*")).collect()
+    assert [r[2] for r in best] == [4] * 4 and sum(r[1] > 20 for r in best) == 3
+
+
 def test_failed_batch_leaves_others_alone(spark):
     target = shared_dir(spark, "load")
     load_batch(spark.range(10), target, "a")
