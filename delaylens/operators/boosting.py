@@ -17,16 +17,23 @@ Several fits (configurations x folds) share the blocks and every pass: fold
 membership is a bit mask, and each fit is at its own place in its own tree. The
 validation AUC of a finished tree comes from a score histogram in the pass that
 starts the next one, so early stopping costs no pass and no second fit.
+
+Where the rows of every fit have room in a task, there are no passes: a task reads
+all blocks, keeps the rows of one fit and grows its trees from the same sums. The
+trees are the same, bit by bit.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+import pickle
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +49,17 @@ MOST_EDGES = MOST_VALUES = 254
 BLOCK_ROWS, SNAPSHOT = 16_384, 24
 #: Blocks that a reader holds at a time, and sends to Python at a time.
 READ_BLOCKS = {"spark.sql.parquet.columnarReaderBatchSize": "2", "spark.sql.execution.arrow.maxRecordsPerBatch": "2"}
+#: A union of parts of one task each has a task for each, not one for all.
+TASK_EACH = {"spark.sql.unionOutputPartitioning": "false"}
 #: Rows that are worth a task of their own while there are fewer tasks than cores.
 TASK_ROWS = 4_000
 #: Rows of a fit that a task gathers before it adds them to its histograms.
 GATHERED = 65_536
+#: Bytes of codes that a task may hold: 6.7 million rows of 20 features, and about three
+#: times as much with their ids, margins and gradients.
+HELD_CODES = 1 << 27
+#: Rows that a task with all rows of a fit adds to a histogram at a time.
+ADDED = 32_768
 #: Tasks whose histograms the driver adds up itself; those of more are merged first.
 MERGE_HERE = 32
 #: Gradients count in units of 2^-20: sums of up to 2^28 rows a task stay exact.
@@ -393,6 +407,7 @@ class Fit:
     # state
     weight: float = 1.0
     base: float = 0.0
+    n_rows: int = 0
     trees: list[Tree] = field(default_factory=list)
     aucs: list[float | None] = field(default_factory=list)
     growth: Growth | None = None
@@ -445,17 +460,21 @@ class Blocks:
 
 
 @contextmanager
-def few_blocks(spark: SparkSession) -> Iterator[None]:
+def few_blocks(spark: SparkSession, more: dict[str, str] = {}) -> Iterator[None]:
     """For jobs over blocks. A row of theirs is megabytes long, so Spark's thousands
     of rows a batch would be a task's whole part, held several times over."""
-    before = {name: spark.conf.get(name) for name in READ_BLOCKS}
-    for name, value in READ_BLOCKS.items():
+    settings = READ_BLOCKS | more
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
         spark.conf.set(name, value)
     try:
         yield
     finally:
         for name, value in before.items():
-            spark.conf.set(name, value)
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def write_blocks(df: DataFrame, bins: Bins, label: str, member: Column) -> Blocks:
@@ -523,6 +542,12 @@ def gradients(label: np.ndarray, margin: np.ndarray, weight: float) -> tuple[np.
     return np.rint(w * (p - label) * UNIT), np.rint(w * p * (1.0 - p) * UNIT)
 
 
+def score_cells(label: np.ndarray, margin: np.ndarray) -> np.ndarray:
+    """(negatives, positives) by score cell, one after the other."""
+    cell = np.minimum((SCORE_CELLS / (1.0 + np.exp(-margin))).astype(np.int64), SCORE_CELLS - 1)
+    return np.bincount(cell * 2 + (label == 1), minlength=2 * SCORE_CELLS)
+
+
 class Sums:
     """A task's sums of all its blocks."""
 
@@ -543,9 +568,7 @@ class Sums:
             if w.auc:
                 rows = np.flatnonzero(member >> w.valid_bit & 1)
                 margin = self.margin(w, margins, rows, codes[:, rows])
-                cell = np.minimum((SCORE_CELLS / (1.0 + np.exp(-margin))).astype(np.int64), SCORE_CELLS - 1)
-                both = np.bincount(cell * 2 + (label[rows] == 1), minlength=2 * SCORE_CELLS)
-                self.cells[w.fit] = self.cells.get(w.fit, 0) + both
+                self.cells[w.fit] = self.cells.get(w.fit, 0) + score_cells(label[rows], margin)
             if router is None:
                 continue
             key = (w.train_bit, w.round, w.row_fraction)
@@ -721,19 +744,122 @@ def chosen_features(n: int, fit: Fit) -> list[int]:
     return sorted(order[: max(1, math.ceil(n * fit.feature_fraction))].tolist())
 
 
+class Held:
+    """All rows that one fit learns from or is stopped by, in one task, with the
+    margins of the trees so far."""
+
+    def __init__(self, fit: Fit, n_categorical: int):
+        self.fit, self.n_categorical = fit, n_categorical
+        self.parts: list[tuple[np.ndarray, ...]] = []
+
+    def add(self, ids: np.ndarray, label: np.ndarray, member: np.ndarray, codes: np.ndarray) -> None:
+        train, valid = (np.zeros(len(ids), bool) if bit is None else (member >> bit & 1).astype(bool) for bit in (self.fit.train_bit, self.fit.valid_bit))
+        rows = np.flatnonzero(train | valid)
+        self.parts.append((ids[rows], label[rows], train[rows], valid[rows], codes[:, rows]))
+
+    def grow(self, rounds: int, patience: int | None) -> None:
+        """All trees of the fit, as the passes would."""
+        f = self.fit
+        ids, label, train, valid = (np.concatenate(p) for p in zip(*(part[:4] for part in self.parts)))
+        codes = np.empty((len(self.parts[0][4]), len(ids)), np.uint8)
+        at = 0
+        for *_, part in self.parts:
+            codes[:, at : at + part.shape[1]] = part
+            at += part.shape[1]
+        self.parts.clear()
+        learnt, judged = np.flatnonzero(train), np.flatnonzero(valid)
+        margin = np.full(len(ids), f.base)
+        while not f.done:
+            drawn = learnt[mixed(ids[learnt], len(f.trees)) < f.row_fraction].astype(np.int32)
+            tree = self.tree(codes, drawn, label, margin)
+            f.trees.append(tree)
+            for start in range(0, len(ids), GATHERED):
+                margin[start : start + GATHERED] += tree.value[tree.leaf_of(codes[:, start : start + GATHERED])]
+            if f.valid_bit is not None:
+                f.aucs.append(area(score_cells(label[judged], margin[judged])))
+                f.stopped = patience is not None and len(f.aucs) - f.best_round >= patience
+            f.done = f.stopped or len(f.trees) == rounds
+
+    def tree(self, codes: np.ndarray, drawn: np.ndarray, label: np.ndarray, margin: np.ndarray) -> Tree:
+        g, h = np.zeros(len(label)), np.zeros(len(label))
+        for start in range(0, len(drawn), GATHERED):
+            rows = drawn[start : start + GATHERED]
+            g[rows], h[rows] = gradients(label[rows], margin[rows], self.fit.weight)
+        growth = Growth(chosen_features(len(codes), self.fit), self.n_categorical, self.fit.rules)
+        rows_of = {0: drawn}
+        complete = False
+        while not complete:
+            found = {}
+            for node, relation in growth.wanted.items():
+                if relation is not None:
+                    parent = relation[1]
+                    rows, split = rows_of.pop(parent), growth.nodes[parent].split
+                    goes = split.goes_left[codes[split.feature].take(rows)]
+                    rows_of |= zip(growth.nodes[parent].children, (rows[goes], rows[~goes]))
+                found[node] = node_sums(codes, growth.features, rows_of[node], g, h)
+            complete = growth.take(found)
+        return growth.tree()
+
+
+def node_sums(codes: np.ndarray, features: list[int], rows: np.ndarray, g: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Features x codes x (gradient, hessian, rows) of some rows."""
+    sums = np.zeros((len(features), 3, CODES))
+    for start in range(0, len(rows), ADDED):
+        some = rows[start : start + ADDED]
+        weights = g.take(some), h.take(some), None
+        for hist, feature in zip(sums, features):
+            key = codes[feature].take(some).astype(np.intp)
+            for cells, x in zip(hist, weights):
+                cells += np.bincount(key, weights=x, minlength=CODES)
+    return sums.transpose(0, 2, 1) / np.array([UNIT, UNIT, 1.0])
+
+
+def task_each(blocks: Blocks, fits: list[int]) -> DataFrame:
+    """All blocks for each of the fits, read by one task each under TASK_EACH."""
+    return reduce(DataFrame.union, [blocks.df.coalesce(1).withColumn("fit", F.lit(i)) for i in fits])
+
+
+def boost_held(blocks: Blocks, fits: list[Fit], rounds: int, patience: int | None) -> None:
+    """Grows each fit in a task of its own, which reads all blocks; those with the most
+    rows and leaves first."""
+    n_categorical, states = len(blocks.bins.categorical), dict(enumerate(fits))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks_of = ((i, block) for batch in batches for i, block in zip(batch.column("fit").to_pylist(), _arrays(batch), strict=True))
+        for i, own in groupby(blocks_of, key=lambda b: b[0]):
+            held = Held(states[i], n_categorical)
+            for _, (ids, label, member, codes, _) in own:
+                held.add(ids, label, member, codes)
+            held.grow(rounds, patience)
+            grown = pickle.dumps((held.fit.trees, held.fit.aucs, held.fit.stopped))
+            del held
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([grown], pa.binary())], ["fit", "grown"])
+
+    order = sorted((i for i, f in states.items() if not f.done), key=lambda i: (-fits[i].n_rows, -fits[i].rules.num_leaves, i))
+    with few_blocks(blocks.df.sparkSession, TASK_EACH):
+        found = task_each(blocks, order).mapInArrow(work, "fit int, grown binary").collect()
+    for r in found:
+        f = fits[r["fit"]]
+        f.trees, f.aucs, f.stopped = pickle.loads(r["grown"])
+        f.done = True
+
+
 def boost(blocks: Blocks, fits: list[Fit], rounds: int, patience: int | None = None, progress: Callable[[list[Fit]], None] | None = None) -> list[Booster]:
     """Grows all fits side by side, up to `rounds` trees each. A fit with
     validation rows stops when its AUC has not risen for `patience` rounds and
     keeps the trees up to its best round; a fit without a row of either class has
     no trees. The blocks given stay; margins are written and cleared beside them."""
-    counts = class_counts(blocks, {f.train_bit for f in fits})
+    counts = class_counts(blocks, {bit for f in fits for bit in (f.train_bit, f.valid_bit) if bit is not None})
     for f in fits:
         negatives, positives = counts[f.train_bit]
+        f.n_rows = negatives + positives + (0 if f.valid_bit is None else sum(counts[f.valid_bit]))
         f.done = not (negatives and positives) or rounds < 1
         if negatives and positives:
             f.weight = negatives / positives * f.positive_weight_times
             f.base = math.log(f.weight * positives / negatives)
     names, n_categorical = blocks.bins.names, len(blocks.bins.categorical)
+    if not all(f.done for f in fits) and max(f.n_rows for f in fits) * len(names) <= HELD_CODES:
+        boost_held(blocks, fits, rounds, patience)
     # a block without margins stands for those before the first tree
     work_blocks, bases = Blocks(blocks.df, blocks.path, blocks.bins, [0] * len(fits)), [f.base for f in fits]
     while not all(f.done for f in fits):

@@ -17,6 +17,14 @@ CONFIG = {"num_leaves": 7, "learning_rate": 0.3, "min_data_in_leaf": 5, "pos_wei
 SPEC = ml.FeatureSpec(numeric=["a", "b", "c"], categorical=["adep", "kind"], label="y")
 
 
+@pytest.fixture(autouse=True, params=[boosting.HELD_CODES, 0], ids=["in_one_task", "by_passes"])
+def most_held(request):
+    """Each test twice: with a fit's rows in one task, and summed by passes."""
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(boosting, "HELD_CODES", request.param)
+        yield request.param
+
+
 @pytest.fixture(scope="module")
 def rows(spark):
     rng = np.random.default_rng(11)
@@ -130,6 +138,26 @@ def test_fits_side_by_side_stop_at_their_best_round(rows):
         assert len(f.trees) in (12, f.best_round + 3)
 
 
+def test_a_task_grows_the_trees_of_the_passes(spark, rows, monkeypatch):
+    parts = [F.col("i") < 300, F.col("i") >= 300, F.col("i") < 400, F.col("i") >= 400, F.col("i") < 0]
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 50)
+    blocks = ml.binned(rows, SPEC, parts)
+    others = [{**CONFIG, "num_leaves": n, "learning_rate": r, "pos_weight_mult": w} for n, r, w in ((3, 0.9, 1.0), (20, 0.1, 0.5))]
+    names = [*boosting.READ_BLOCKS, *boosting.TASK_EACH]
+    settings = {name: spark.conf.get(name) for name in names}
+
+    def grown(most):
+        monkeypatch.setattr(boosting, "HELD_CODES", most)
+        fits = [ml.as_fit(c, t, v) for c in (CONFIG, *others) for t, v in ((0, 1), (2, 3), (2, None), (0, 4), (4, 0))]
+        boosters = boosting.boost(blocks, fits, 12, 3)
+        return [(b.plain(), [t.plain() for t in f.trees], f.aucs, f.stopped, f.done) for f, b in zip(fits, boosters)]
+
+    assert grown(1 << 20) == grown(0)
+    assert settings == {name: spark.conf.get(name) for name in names}
+    with boosting.few_blocks(spark, boosting.TASK_EACH):
+        assert boosting.task_each(blocks, [4, 0, 2]).rdd.getNumPartitions() == 3
+
+
 def test_one_class_and_empty_tables(rows):
     assert ml.fit(rows.where("y = 1"), SPEC, CONFIG, 3).trees == []
     nothing = ml.fit(rows.limit(0), SPEC, CONFIG, 3)
@@ -211,6 +239,17 @@ def test_the_search_of_the_queries_is_the_whole_one(spark):
     assert [r[2] for r in best] == [4] * 4 and sum(r[1] > 20 for r in best) == 3
 
 
+def test_the_final_model_has_the_rounds_of_the_whole_search(spark):
+    """As many trees as the chosen configuration's fits had at their best, on average:
+    more than the 20 that a cut search could give."""
+    sf_dir = "/root/testdata/sf0.001"
+    model, _, log = queries_model.trained(spark, sf_dir)
+    searched = spark.read.parquet(queries_model.searched(spark, sf_dir)[2])
+    best = searched.where(f"metric = 'best_iteration' AND trial = {ml.SEARCH_SPACE.index(model.config)}").agg(F.avg("value")).first()[0]
+    assert len(model.booster.trees) == model.rounds == round(best) > 20
+    assert spark.read.parquet(log).where("metric = 'num_boost_round'").first()["value"] == model.rounds
+
+
 def test_failed_batch_leaves_others_alone(spark):
     target = shared_dir(spark, "load")
     load_batch(spark.range(10), target, "a")
